@@ -143,3 +143,29 @@ def now_millis(now: datetime | None = None) -> int:
     if now.tzinfo is None:
         now = now.replace(tzinfo=timezone.utc)
     return int(now.timestamp() * 1000)
+
+
+_PY_PATTERNS = {HOUR_KEY: "%Y%m%d%H", MINUTE_KEY: "%Y%m%d%H%M", DAY_KEY: "%Y%m%d"}
+
+
+def shift_key(key: str, pattern: str, unit: str, amount: int) -> str:
+    """Driver-side twin of ``add_to_key`` for one constant (a window bound).
+
+    Calendar rules as in ``add_time``: month / year steps clamp to month end.
+    """
+    import calendar
+    from datetime import timedelta
+
+    fmt = _PY_PATTERNS[pattern]
+    t = datetime.strptime(key, fmt)
+    u = UNIT_NAMES.get(unit)
+    if u in ("YEAR", "MONTH"):
+        months = t.month - 1 + amount * (12 if u == "YEAR" else 1)
+        y, m = t.year + months // 12, months % 12 + 1
+        t = t.replace(year=y, month=m, day=min(t.day, calendar.monthrange(y, m)[1]))
+    elif u is not None:
+        step = {"WEEK": timedelta(weeks=1), "DAY": timedelta(days=1),
+                "HOUR": timedelta(hours=1), "MINUTE": timedelta(minutes=1),
+                "SECOND": timedelta(seconds=1), "MILLISECOND": timedelta(milliseconds=1)}[u]
+        t = t + step * amount
+    return t.strftime(fmt)

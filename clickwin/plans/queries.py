@@ -12,11 +12,20 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from clickwin.functions import records as rec
+from clickwin.functions import timekeys as tk
 from clickwin.functions.labels import split_labels
-from clickwin.operators import counts
+from clickwin.operators import cells as cx
+from clickwin.operators import counts, topn
+from clickwin.operators import upsert as up
 from clickwin.plans import backfill as bf
+from clickwin.plans import incremental as inc
+from clickwin.session import scratch_path
 from clickwin.sources import clicklog as cl
+from clickwin.sources import tables as src
+from clickwin.streaming import counts as sc
 
 # Fixed parameters of the registered queries.
 START = "2024010100"           # default start (hour key), before the first event
@@ -34,9 +43,15 @@ def register(name: str):
 
 
 def _click(spark, sf_dir):
+    # Time keys are read and written in UTC throughout.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return cl.clicklog(spark, sf_dir)
 
 
+def _cells(spark, sf_dir):
+    return cl.cells_from_clicklog(_click(spark, sf_dir))
+
+
 # -- aggregations -----------------------------------------------------------
 
 @register("dim_pv_window")
@@ -88,3 +103,449 @@ def backfill_windows(spark, sf_dir):
 @register("backfill_labels_5h")
 def backfill_labels_5h(spark, sf_dir):
     return bf.label_backfill(_click(spark, sf_dir), START, 5, now=NOW)
+
+
+# -- scans / sources ----------------------------------------------------------
+
+@register("scan_table")
+def scan_table(spark, sf_dir):
+    events = src.scan_table(spark, cl.table_path(sf_dir, "events"))
+    return cl.clicklog_from_events(events)
+
+
+@register("scan_columns")
+def scan_columns(spark, sf_dir):
+    return src.scan_columns(_click(spark, sf_dir), ["TIME", "PLATFORM", "PARAM_TYPE",
+                                                    "CONTENT_TYPE"])
+
+
+@register("scan_sql_subquery")
+def scan_sql_subquery(spark, sf_dir):
+    return src.scan_sql_subquery(
+        spark, "SELECT TIME, CONTENT_LABEL FROM clicklog "
+               "WHERE TIME >= :s AND TIME < :e AND CONTENT_LABEL IS NOT NULL",
+        {"clicklog": _click(spark, sf_dir)}, {"s": START, "e": MONTH_END})
+
+
+@register("query_with_args")
+def query_with_args(spark, sf_dir):
+    return src.scan_sql_subquery(
+        spark, "SELECT CONTENT_TYPE, count(*) AS N FROM clicklog "
+               "WHERE TIME >= ? AND TIME < ? GROUP BY CONTENT_TYPE",
+        {"clicklog": _click(spark, sf_dir)}, [START, MONTH_END])
+
+
+MAP_COLS = ["UDID", "TIME", "CONTENT_TYPE"]
+
+
+@register("scan_as_maps")
+def scan_as_maps(spark, sf_dir):
+    first10 = topn.limit_n(_click(spark, sf_dir), 10, "TIME", "ID")
+    return src.scan_as_maps(first10, MAP_COLS, "m").select(rec.map_as_text("m").alias("M"))
+
+
+@register("scan_key_range")
+def scan_key_range(spark, sf_dir):
+    return cx.scan_key_range(_cells(spark, sf_dir), "0000", "0100", "info")
+
+
+@register("scan_qualifier")
+def scan_qualifier(spark, sf_dir):
+    return cx.scan_qualifier(_cells(spark, sf_dir), "info", "CONTENT_TYPE")
+
+
+@register("project_rowkey")
+def project_rowkey(spark, sf_dir):
+    return cx.project_rowkey(cx.scan_key_range(_cells(spark, sf_dir), "0000", "0100"))
+
+
+# -- projections / filters -----------------------------------------------------
+
+COPY_COLS = ["ID", "TIME", "PARAM_TYPE", "URL", "TITLE", "CONTENT_TYPE"]
+
+
+@register("project_columns")
+def project_columns(spark, sf_dir):
+    return _click(spark, sf_dir).select(*COPY_COLS)
+
+
+@register("project_alias")
+def project_alias(spark, sf_dir):
+    return _click(spark, sf_dir).groupBy("CONTENT_TYPE").agg(
+        F.count(F.lit(1)).alias("FREQUENCY"), F.max("TIME").alias("maxEndTime"))
+
+
+@register("filter_time_range")
+def filter_time_range(spark, sf_dir):
+    return counts.in_window(_click(spark, sf_dir), "2024011000", "2024012000").select(
+        "ID", "TIME")
+
+
+@register("filter_not_null")
+def filter_not_null(spark, sf_dir):
+    return _click(spark, sf_dir).where(F.col("CONTENT_LABEL").isNotNull()).select(
+        "ID", "CONTENT_LABEL")
+
+
+@register("filter_in_list")
+def filter_in_list(spark, sf_dir):
+    return _click(spark, sf_dir).where(F.col("CONTENT_TYPE").isin("click", "view")).select(
+        "ID", "UDID", "CONTENT_TYPE")
+
+
+@register("upper_columns")
+def upper_columns(spark, sf_dir):
+    return up.upper_columns(cl.load(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "value", "props"))
+
+
+# -- cells ---------------------------------------------------------------------
+
+@register("cells_to_map")
+def cells_to_map(spark, sf_dir):
+    m = cx.cells_to_map(_cells(spark, sf_dir))
+    return m.select("rowkey", rec.map_as_text("cells").alias("CELLS"))
+
+
+@register("filter_cell_count")
+def filter_cell_count(spark, sf_dir):
+    m = cx.filter_cell_count(cx.cells_to_map(_cells(spark, sf_dir)), 9)
+    return m.select("rowkey", rec.map_as_text("cells").alias("CELLS"))
+
+
+@register("cells_to_wide")
+def cells_to_wide(spark, sf_dir):
+    m = cx.filter_cell_count(cx.cells_to_map(_cells(spark, sf_dir)), 9)
+    return cx.cells_to_wide(m, 9, 14)
+
+
+def _latest_n_from_cells(spark, sf_dir):
+    # J4: key range -> cells to sorted map -> full rows -> wide -> top 3 per
+    # device (col8 = UDID) by time (col6 = TIME), ties by col3 = ID.
+    cells = cx.scan_key_range(_cells(spark, sf_dir), "0000", "9999", "info")
+    wide = cx.cells_to_wide(cx.filter_cell_count(cx.cells_to_map(cells), 9), 9, 14)
+    top = topn.latest_n_per_group(wide, "col8", "col6", 3, tie_break="col3")
+    return topn.sort_desc(top.select("col1", "col2", "col3", "col6", "col8", "rank"), "col2")
+
+
+@register("job_latest_n")
+def job_latest_n(spark, sf_dir):
+    return _latest_n_from_cells(spark, sf_dir)
+
+
+@register("rows_to_cells")
+def rows_to_cells(spark, sf_dir):
+    top = _latest_n_from_cells(spark, sf_dir)
+    return cx.rows_to_cells(top.withColumn("rank", F.col("rank").cast("string")),
+                            "col3", ["col1", "col2", "col6", "col8", "rank"], "info",
+                            null_text="null")
+
+
+# -- window, sorts, lookups ----------------------------------------------------
+
+@register("latest_n_per_group")
+def latest_n_per_group(spark, sf_dir):
+    top = topn.latest_n_per_group(_click(spark, sf_dir), "CONTENT_TYPE", "TIME", 3,
+                                  tie_break="ID")
+    return top.select("CONTENT_TYPE", "TIME", "ID", "rank")
+
+
+@register("sort_desc")
+def sort_desc(spark, sf_dir):
+    return topn.sort_desc(_click(spark, sf_dir).select("ID", "TIME"), "TIME", "ID")
+
+
+@register("top_one")
+def top_one(spark, sf_dir):
+    return topn.top_one(_click(spark, sf_dir).select("TIME"), "TIME")
+
+
+@register("limit_n")
+def limit_n(spark, sf_dir):
+    return topn.limit_n(_click(spark, sf_dir).select("ID", "TIME"), 100, "TIME", "ID")
+
+
+@register("range_exists")
+def range_exists(spark, sf_dir):
+    return topn.range_exists(_click(spark, sf_dir), tk.key_range("TIME", "2024013023",
+                                                                 "2024013100"))
+
+
+def _label_windows(spark, sf_dir):
+    return bf.label_backfill(_click(spark, sf_dir), START, 5, now=NOW)
+
+
+@register("max_window_end")
+def max_window_end(spark, sf_dir):
+    return counts.max_value(_label_windows(spark, sf_dir), "ENDTIME", "MAX_ENDTIME")
+
+
+@register("lookup_first")
+def lookup_first(spark, sf_dir):
+    ordered = topn.top_one(_label_windows(spark, sf_dir).select("ENDTIME"), "ENDTIME")
+    return topn.lookup_first(ordered, "ENDTIME", "VALUE")
+
+
+@register("lookup_exactly_one")
+def lookup_exactly_one(spark, sf_dir):
+    one = _click(spark, sf_dir).where(F.col("CONTENT_TYPE") == "view").select(
+        "CONTENT_TYPE").distinct()
+    return topn.lookup_exactly_one(one, "CONTENT_TYPE", "VALUE")
+
+
+# -- time keys -------------------------------------------------------------------
+
+@register("ms_to_key")
+def ms_to_key(spark, sf_dir):
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ev = cl.load(spark, sf_dir, "events")
+    _click(spark, sf_dir)
+    return ev.select(F.col("event_id").cast("string").alias("ID"),
+                     tk.ms_to_key(ms.cast("string")).alias("KEY17"),
+                     tk.ms_to_key(ms, tk.HOUR_KEY).alias("KEYH"))
+
+
+@register("ts_to_key")
+def ts_to_key(spark, sf_dir):
+    ev = cl.load(spark, sf_dir, "events")
+    _click(spark, sf_dir)
+    return ev.select(F.col("event_id").cast("string").alias("ID"),
+                     tk.ts_to_key("ts", tk.DAY_KEY).alias("K_DAY"),
+                     tk.ts_to_key("ts", tk.HOUR_KEY).alias("K_HOUR"),
+                     tk.ts_to_key("ts", tk.MINUTE_KEY).alias("K_MINUTE"))
+
+
+@register("key_to_ms")
+def key_to_ms(spark, sf_dir):
+    c = _click(spark, sf_dir)
+    return c.select("ID", tk.key_to_ms("TIME").alias("MS"),
+                    tk.key_to_ms(F.substring("TIME", 1, 10), tk.HOUR_KEY).alias("HOUR_MS"))
+
+
+@register("key17_to_ts")
+def key17_to_ts(spark, sf_dir):
+    c = _click(spark, sf_dir)
+    return c.select("ID", F.date_format(tk.key_to_ts("TIME"), "yyyy-MM-dd HH:mm:ss.SSS")
+                    .alias("TS"))
+
+
+@register("key_to_ts")
+def key_to_ts(spark, sf_dir):
+    # strict parse: the 13-digit prefix does not match yyyyMMddHH -> null
+    c = _click(spark, sf_dir)
+    return c.select("ID",
+                    F.date_format(tk.key_to_ts(F.substring("TIME", 1, 10), tk.HOUR_KEY),
+                                  "yyyy-MM-dd HH:mm:ss").alias("HOUR_TS"),
+                    tk.key_to_ts(F.substring("TIME", 1, 13), tk.HOUR_KEY).isNull()
+                    .alias("BAD_IS_NULL"))
+
+
+def _days(spark, sf_dir):
+    return _click(spark, sf_dir).select(
+        F.to_date(tk.key_to_ts(F.substring("TIME", 1, 8), tk.DAY_KEY)).alias("D")).distinct()
+
+
+@register("week_of_month")
+def week_of_month(spark, sf_dir):
+    return _days(spark, sf_dir).select(F.col("D").cast("string").alias("DAY"),
+                                       tk.week_of_month("D").alias("WOM"))
+
+
+@register("day_of_week")
+def day_of_week(spark, sf_dir):
+    return _days(spark, sf_dir).select(F.col("D").cast("string").alias("DAY"),
+                                       tk.day_of_week("D").alias("DOW"))
+
+
+@register("add_time_units")
+def add_time_units(spark, sf_dir):
+    m = _click(spark, sf_dir).select(F.substring("TIME", 1, 12).alias("K")).distinct()
+    return m.select("K", *[tk.add_time("K", u, 1).alias(f"PLUS_{u.upper()}")
+                           for u in ["YEAR", "MONTH", "DAY", "HOUR", "MIMUE", "SESCOND",
+                                     "millisecond", "WEEK", "UNKNOWN"]])
+
+
+@register("parse_datetime")
+def parse_datetime(spark, sf_dir):
+    c = _click(spark, sf_dir)
+    text = F.date_format(tk.key_to_ts("TIME"), tk.DATETIME)
+    return c.select("ID", tk.parse_datetime(text).alias("MS"))
+
+
+# -- records ---------------------------------------------------------------------
+
+REC_SCHEMA = T.StructType([T.StructField("ID", T.LongType()),
+                           T.StructField("UDID", T.StringType()),
+                           T.StructField("Platform", T.StringType())])
+
+
+def _rec_maps(spark, sf_dir):
+    c = _click(spark, sf_dir)
+    return c.select(F.create_map(F.lit("ID"), F.col("ID"), F.lit("udid"), F.col("UDID"),
+                                 F.lit("Platform"), F.col("PLATFORM")).alias("m"))
+
+
+@register("map_to_struct")
+def map_to_struct(spark, sf_dir):
+    s_ = rec.map_to_struct("m", REC_SCHEMA)
+    return _rec_maps(spark, sf_dir).select(s_.alias("r")).select("r.*")
+
+
+@register("map_to_struct_ci")
+def map_to_struct_ci(spark, sf_dir):
+    s_ = rec.map_to_struct_ci("m", REC_SCHEMA)
+    return _rec_maps(spark, sf_dir).select(s_.alias("r")).select("r.*")
+
+
+@register("struct_to_map")
+def struct_to_map(spark, sf_dir):
+    c = _click(spark, sf_dir)
+    return c.select("ID", rec.map_as_text(rec.struct_to_map(["TIME", "PLATFORM", "TITLE"]))
+                    .alias("M"))
+
+
+@register("struct_to_array")
+def struct_to_array(spark, sf_dir):
+    c = _click(spark, sf_dir)
+    arr = rec.struct_to_array(["UDID", "PLATFORM", "CONTENT_LABEL"])
+    return c.select("ID", F.array_join(F.transform(arr, lambda x: F.coalesce(x, F.lit("\\N"))),
+                                       "|").alias("A"))
+
+
+# -- keyed writes ----------------------------------------------------------------
+
+def _old_new(spark, sf_dir):
+    c = _click(spark, sf_dir)
+    old = c.where(F.col("TIME") < "2024011600")
+    new = c.where(F.col("TIME") >= "2024011000").withColumn(
+        "PLATFORM", F.coalesce("PLATFORM", F.lit("web"))).withColumn(
+        "TITLE", F.concat("TITLE", F.lit("*")))
+    return old, new
+
+
+@register("upsert_by_key")
+def upsert_by_key(spark, sf_dir):
+    old, new = _old_new(spark, sf_dir)
+    return up.merge_upsert(old, up.dedupe_latest(new, ["ID"], ["TIME"]), ["ID"])
+
+
+@register("upsert_partial")
+def upsert_partial(spark, sf_dir):
+    old, new = _old_new(spark, sf_dir)
+    return up.merge_upsert(old, new.select("ID", "TITLE"), ["ID"])
+
+
+@register("upsert_batch")
+def upsert_batch(spark, sf_dir):
+    # device-keyed table; the batch repeats keys, the latest write wins
+    old, new = _old_new(spark, sf_dir)
+    old_latest = up.dedupe_latest(old, ["UDID"], ["TIME", "ID"])
+    return up.merge_upsert(old_latest, up.dedupe_latest(new, ["UDID"], ["TIME", "ID"]),
+                           ["UDID"])
+
+
+@register("upsert_positional")
+def upsert_positional(spark, sf_dir):
+    lc = counts.label_counts(_click(spark, sf_dir), START, MONTH_END)
+    tuples = lc.select(F.lit(MONTH_END), F.lit(START), "WORD", "FREQUENCY")
+    return up.positional(tuples, ["ENDTIME", "STARTTIME", "WORD", "FREQUENCY"])
+
+
+@register("upsert_ragged_maps")
+def upsert_ragged_maps(spark, sf_dir):
+    c = _click(spark, sf_dir)
+    maps = src.scan_as_maps(c, cl.CLICK_COLUMNS, "m").select(
+        F.col("m")["ID"].alias("ID"), F.map_filter("m", lambda k, v: v.isNotNull()).alias("m"))
+    return up.ragged_maps_to_rows(maps, "m", ["ID"])
+
+
+@register("marker_upsert")
+def marker_upsert(spark, sf_dir):
+    windows = bf.dim_backfill(_click(spark, sf_dir), START, 1, now=NOW)
+    marks = windows.select(F.lit("STAT_PARAMTYPE_CONTENTTYPE").alias("TABLE_NAME"),
+                           "ENDTIME", "STARTTIME").distinct()
+    empty = spark.createDataFrame([], inc.MARKER_SCHEMA)
+    return up.merge_upsert(empty, marks, ["TABLE_NAME", "ENDTIME"])
+
+
+@register("delete_where")
+def delete_where(spark, sf_dir):
+    c = _click(spark, sf_dir).select("ID", "CONTENT_TYPE", "PLATFORM")
+    return up.delete_where(c, F.col("CONTENT_TYPE") == "error")
+
+
+@register("update_where")
+def update_where(spark, sf_dir):
+    c = _click(spark, sf_dir).select("ID", "PLATFORM", "TITLE")
+    return up.update_where(c, {"PLATFORM": F.lit("web"), "TITLE": F.upper("TITLE")},
+                           F.col("PLATFORM").isNull())
+
+
+# -- incremental control ---------------------------------------------------------
+
+@register("next_window_hour")
+def next_window_hour(spark, sf_dir):
+    recorded = bf.dim_backfill(_click(spark, sf_dir), START, 1, now=NOW)
+    return inc.next_window(spark, recorded, 1, "HOUR", tk.HOUR_KEY, START, NOW, "start")
+
+
+@register("next_window_minute")
+def next_window_minute(spark, sf_dir):
+    recorded = _click(spark, sf_dir).select(F.substring("TIME", 1, 12).alias("ENDTIME"))
+    return inc.next_window(spark, recorded, 10, "MIMUE", tk.MINUTE_KEY, "202401010000", NOW,
+                           "end")
+
+
+@register("window_ready")
+def window_ready(spark, sf_dir):
+    return inc.window_ready(_click(spark, sf_dir), "2024011600", tk.HOUR_KEY, "next_hour")
+
+
+def _run_job(spark, sf_dir, kind):
+    root = scratch_path(spark, f"job-{kind}")
+    store = inc.label_store(root) if kind == "label" else inc.dim_store(root)
+    click = _click(spark, sf_dir)
+    for _ in range(2):  # second launch stops at the gate (no data after the month)
+        inc.run_window_job(spark, click, store, kind, 360, now=NOW, default_start=START)
+    res = store.results(spark)
+    return res.select("ENDTIME", "STARTTIME", *[c for c in res.columns
+                                                if c not in ("ENDTIME", "STARTTIME")])
+
+
+@register("job_label_pv")
+def job_label_pv(spark, sf_dir):
+    return _run_job(spark, sf_dir, "label")
+
+
+@register("job_dim_pv")
+def job_dim_pv(spark, sf_dir):
+    return _run_job(spark, sf_dir, "dim")
+
+
+@register("job_copy_window")
+def job_copy_window(spark, sf_dir):
+    dst = scratch_path(spark, "copy")
+    inc.copy_window(spark, _click(spark, sf_dir), dst, COPY_COLS, START, MONTH_END)
+    return spark.read.parquet(dst)
+
+
+# -- streaming -------------------------------------------------------------------
+
+def _run_stream(spark, sf_dir, kind):
+    _click(spark, sf_dir)
+    events = sc.event_stream(spark, sf_dir, "events.parquet")
+    df = sc.stream_label_counts(events) if kind == "label" else sc.stream_dim_counts(events)
+    sink = scratch_path(spark, f"stream-{kind}")
+    q = sc.start_to_parquet(df, sink, sink + "-checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+@register("stream_label_pv")
+def stream_label_pv(spark, sf_dir):
+    return _run_stream(spark, sf_dir, "label")
+
+
+@register("stream_dim_pv")
+def stream_dim_pv(spark, sf_dir):
+    return _run_stream(spark, sf_dir, "dim")

@@ -30,12 +30,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def clicklog_from_events(events: DataFrame) -> DataFrame:
+def clicklog_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Click-log rows built column by column from ``events``.
 
     Pure projection: no shuffle, and Catalyst prunes the scan to
     ``event_id, ts, user_id, event_type`` (or fewer, when a caller selects
-    fewer columns).
+    fewer columns).  ``keep`` passes extra ``events`` columns through.
     """
     eid = F.col("event_id")
     uid = F.col("user_id")
@@ -48,6 +48,7 @@ def clicklog_from_events(events: DataFrame) -> DataFrame:
              .when(eid % 7 == 4, F.concat(F.lit(","), et))
              .otherwise(F.concat(et, F.lit(",u"), s(uid % 10), F.lit(","), et)))
     return events.select(
+        *keep,
         s(eid).alias("ID"),
         F.date_format("ts", MILLI_KEY).alias("TIME"),
         F.lpad(s(uid), 4, "0").alias("UDID"),
