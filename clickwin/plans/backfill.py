@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from clickwin.functions.labels import split_labels
 from clickwin.functions.timekeys import HOUR_KEY, key_to_ts, now_millis
+from clickwin.session import ensure_checkpoint_dir
 
 MS_PER_HOUR = 3_600_000
 
@@ -95,11 +96,23 @@ def ready_limit(hours_present: DataFrame, step_hours: int, start: str,
 def backfill(df: DataFrame, start: str, step_hours: int,
              keys: Callable[[DataFrame], DataFrame], count_filter: Column | None = None,
              now: datetime | None = None, gate: str = "next_hour",
-             time_col: str = "TIME") -> DataFrame:
-    """All ready windows: ``(ENDTIME, STARTTIME, *keys, FREQUENCY)``."""
+             time_col: str = "TIME", materialize: bool = True) -> DataFrame:
+    """All ready windows: ``(ENDTIME, STARTTIME, *keys, FREQUENCY)``.
+
+    ``materialize`` checkpoints the hour-grain aggregate (eagerly, into
+    ``spark.checkpoint.dir``).  The big table is then scanned exactly once;
+    the readiness subquery and the final roll-up read the small checkpoint,
+    and a lost executor never forces a rescan of the source.  It also keeps
+    Catalyst from pushing the window-limit predicate (a function of the hour
+    key) below the aggregate, where it would be evaluated once per row.
+    """
     h = int(step_hours)
-    hourly = hourly_counts(df, start, keys, time_col).withColumn(
-        "K", _hour_index(F.col("HOUR"), start)).where(F.col("K").isNotNull())
+    hourly = hourly_counts(df, start, keys, time_col)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        hourly = hourly.checkpoint(eager=True)
+    hourly = hourly.withColumn("K", _hour_index(F.col("HOUR"), start)).where(
+        F.col("K").isNotNull())
     key_cols = [c for c in hourly.columns if c not in ("HOUR", "N", "K")]
     limit = ready_limit(hourly.select("K"), h, start, now, gate)
     kept = hourly.where((F.col("K") >= 0) & (F.floor(F.col("K") / h) < limit))

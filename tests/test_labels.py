@@ -1,0 +1,62 @@
+from pyspark.sql import functions as F
+
+from clickwin.functions.labels import split_labels
+from clickwin.operators import counts
+
+# java.lang.String.split(",") results, written out by hand.
+JAVA_SPLIT = {
+    "": [""],
+    ",": [],
+    ",,,": [],
+    "a": ["a"],
+    "a,b,,": ["a", "b"],
+    ",a": ["", "a"],
+    "a,,b": ["a", "", "b"],
+    " a , b ": [" a ", " b "],
+    "皇马,火箭,哈德": ["皇马", "火箭", "哈德"],
+}
+
+
+def test_split_matches_java_semantics(spark):
+    rows = [(k,) for k in JAVA_SPLIT] + [(None,)]
+    df = spark.createDataFrame(rows, "s string")
+    got = {r["s"]: r["p"] for r in df.select("s", split_labels("s").alias("p")).collect()}
+    for k, want in JAVA_SPLIT.items():
+        assert got[k] == want, k
+    assert got[None] is None
+
+
+def test_label_count_demo_rows(spark):
+    # id, labels -- counted by hand: 皇马 2, 火箭 3, 哈德 4, 飞机 2, 赞皇 1
+    rows = [("001", "皇马,火箭,哈德"), ("002", "皇马,火箭,哈德"), ("001", "飞机,火箭,哈德"),
+            ("001", "飞机,赞皇,哈德")]
+    df = spark.createDataFrame(rows, "id string, CONTENT_LABEL string")
+    got = {r["WORD"]: r["FREQUENCY"] for r in counts.label_counts(df).collect()}
+    assert got == {"皇马": 2, "火箭": 3, "哈德": 4, "飞机": 2, "赞皇": 1}
+
+
+def test_label_window_bounds_and_nulls(spark):
+    rows = [("2024010100000", "a,b"), ("2024010100999", None), ("2024010101000", "a"),
+            ("2024010059999", "a"), ("2024010100500", "a,,b,,")]
+    df = spark.createDataFrame(rows, "TIME string, CONTENT_LABEL string")
+    got = {r["WORD"]: r["FREQUENCY"] for r in
+           counts.label_counts(df, "2024010100", "2024010101").collect()}
+    assert got == {"a": 2, "b": 2, "": 1}
+    got2 = {r["WORD"]: r["FREQUENCY"] for r in counts.label_counts(
+        df, "2024010100", "2024010101", null_as_empty=True).collect()}
+    assert got2 == {"a": 2, "b": 2, "": 2}
+
+
+def test_dim_count_null_group(spark):
+    rows = [("20240101", None, "p1", "view"), ("20240101", None, "p1", "view"),
+            ("20240101", "ios", None, None)]
+    df = spark.createDataFrame(rows, "TIME string, PLATFORM string, PARAM_TYPE string, "
+                                     "CONTENT_TYPE string")
+    got = sorted((r["PLATFORM"] or "-", r["FREQUENCY"]) for r in counts.dim_counts(df).collect())
+    assert got == [("-", 2), ("ios", 1)]
+
+
+def test_empty_window_gives_no_rows(spark):
+    df = spark.createDataFrame([("2024010100000", "a")], "TIME string, CONTENT_LABEL string")
+    assert counts.label_pv_window(df, "2025010100", "2025010101").count() == 0
+    assert counts.max_value(df.where(F.lit(False)), "TIME").first()["TIME"] is None
