@@ -42,28 +42,73 @@ def dedupe_latest(batch: DataFrame, keys: Sequence[str],
     order = list(order_desc) if order_desc else [c for c in batch.columns if c not in keys]
     if not order:
         return batch.dropDuplicates(list(keys))
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    # Partition by the same expressions the null-safe join shuffles on, so
+    # the join reuses this partitioning instead of shuffling the batch again.
+    w = Window.partitionBy(*null_safe_keys(batch, keys)).orderBy(
+        *[F.col(c).desc_nulls_last() for c in order])
     return batch.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+_DEFAULTS = {"string": "", "boolean": False}
+
+
+def null_safe_keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """``(coalesce(k, default), isnull(k))`` per key: the hash keys Spark uses
+    for a ``<=>`` equi-join.  Partitioning by them groups exactly like
+    partitioning by ``k`` (null forms its own group)."""
+    types = dict(df.dtypes)
+    out: list[Column] = []
+    for k in keys:
+        t = types[k]
+        if t in _DEFAULTS:
+            d = F.lit(_DEFAULTS[t])
+        elif t in ("tinyint", "smallint", "int", "bigint", "float", "double") or \
+                t.startswith("decimal"):
+            d = F.lit(0).cast(t)
+        else:
+            out.append(F.col(k))
+            continue
+        out += [F.coalesce(F.col(k), d), F.isnull(F.col(k))]
+    return out
+
+
+def _with_join_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    exprs = null_safe_keys(df, keys)
+    names = [f"__k{i}" for i in range(len(exprs))]
+    return df.select("*", *[e.alias(n) for e, n in zip(exprs, names)]), names
+
+
 def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str],
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, dedupe: bool = False,
+                 order_desc: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``old`` with ``new`` upserted by (null-safe) ``keys``.
 
     ``columns`` is the batch's column list (defaults to all of ``new``'s
     columns).  Listed columns take the batch value -- a null in the batch
     overwrites; unlisted columns keep the stored value, and are null for new
-    keys (partial-column upsert).  ``new`` must hold one row per key.
+    keys (partial-column upsert).  ``new`` must hold one row per key unless
+    ``dedupe`` is set (then the greatest ``order_desc`` row of a key wins).
+
+    The join is an equi-join on materialised ``(coalesce(k, default),
+    isnull(k))`` columns -- the same null-safe semantics as ``<=>`` -- and the
+    dedup window is partitioned on those very columns, so the batch is
+    shuffled once for both.
     """
     cols = list(columns) if columns is not None else list(new.columns)
     missing = [k for k in keys if k not in cols]
     if missing:
         raise ValueError(f"batch lacks key columns {missing}")
-    o = old.alias("o")
-    n = new.select(*cols, F.lit(True).alias(_NEW)).alias("n")
+    n, kn = _with_join_keys(new.select(*cols), keys)
+    if dedupe:
+        order = list(order_desc) if order_desc else [c for c in cols if c not in keys]
+        w = Window.partitionBy(*kn).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+        n = n.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    o, ko = _with_join_keys(old, keys)
+    o = o.alias("o")
+    n = n.withColumn(_NEW, F.lit(True)).alias("n")
     cond = None
-    for k in keys:
-        c = F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}"))
+    for k in kn:
+        c = F.col(f"o.{k}") == F.col(f"n.{k}")
         cond = c if cond is None else cond & c
     joined = o.join(n, cond, "full_outer")
     present = F.col(f"n.{_NEW}").isNotNull()
@@ -161,9 +206,9 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     construction (a grouped aggregate keyed by the table key).
     """
     part = list(partition_by)
-    if not unique:
-        batch = dedupe_latest(batch, keys, order_desc)
     if not path_exists(spark, path):
+        if not unique:
+            batch = dedupe_latest(batch, keys, order_desc)
         _write(batch, path, part, fmt, "overwrite")
         return
     old = read_table(spark, path, part, fmt)
@@ -171,7 +216,7 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     if part:
         touched = batch.select(*part).distinct()
         old = old.join(touched, part, "left_semi")
-    merged = merge_upsert(old, batch, keys, columns)
+    merged = merge_upsert(old, batch, keys, columns, dedupe=not unique, order_desc=order_desc)
     merged = merged.select(*order, *[c for c in merged.columns if c not in order])
     staging = scratch_path(spark, "upsert-staging")
     _write(merged, staging, part, fmt, "overwrite")

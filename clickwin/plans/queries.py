@@ -426,7 +426,7 @@ def _old_new(spark, sf_dir):
 @register("upsert_by_key")
 def upsert_by_key(spark, sf_dir):
     old, new = _old_new(spark, sf_dir)
-    return up.merge_upsert(old, up.dedupe_latest(new, ["ID"], ["TIME"]), ["ID"])
+    return up.merge_upsert(old, new, ["ID"], dedupe=True, order_desc=["TIME"])
 
 
 @register("upsert_partial")
@@ -440,8 +440,7 @@ def upsert_batch(spark, sf_dir):
     # device-keyed table; the batch repeats keys, the latest write wins
     old, new = _old_new(spark, sf_dir)
     old_latest = up.dedupe_latest(old, ["UDID"], ["TIME", "ID"])
-    return up.merge_upsert(old_latest, up.dedupe_latest(new, ["UDID"], ["TIME", "ID"]),
-                           ["UDID"])
+    return up.merge_upsert(old_latest, new, ["UDID"], dedupe=True, order_desc=["TIME", "ID"])
 
 
 @register("upsert_positional")
