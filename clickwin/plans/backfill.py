@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from clickwin.functions.labels import split_labels
 from clickwin.functions.timekeys import HOUR_KEY, key_to_ts, now_millis
-from clickwin.session import ensure_checkpoint_dir
+from clickwin.session import materialize as materialize_table
 
 MS_PER_HOUR = 3_600_000
 
@@ -72,23 +72,28 @@ def ready_limit(hours_present: DataFrame, step_hours: int, start: str,
     """
     h = int(step_hours)
     ks = hours_present.select("K").where(F.col("K") >= 0)
+    spark = ks.sparkSession
     if gate == "next_hour":
         ready = ks.where((F.col("K") % h == 0) & (F.col("K") >= h)).select(
             (F.col("K") / h - 1).cast("bigint").alias("I"))
+        # f = the smallest i >= 0 that is not ready; it is 0 or ready + 1.
+        # One grouped pass over (value, is_ready, is_candidate) flags, no join.
+        flags = (ready.select(F.col("I").alias("V"), F.lit(1).alias("R"), F.lit(0).alias("C"))
+                 .unionByName(ready.select((F.col("I") + 1).alias("V"), F.lit(0).alias("R"),
+                                           F.lit(1).alias("C")))
+                 .unionByName(spark.range(1).select(F.lit(0).cast("bigint").alias("V"),
+                                                    F.lit(0).alias("R"), F.lit(1).alias("C"))))
+        first_gap = (flags.groupBy("V").agg(F.max("R").alias("R"), F.max("C").alias("C"))
+                     .where((F.col("C") == 1) & (F.col("R") == 0)).agg(F.min("V").alias("F")))
     elif gate == "any_later":
-        # window i is ready when some hour >= (i+1)*h is present
-        last = ks.agg(F.max("K").alias("M"))
-        ready = last.select(F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                 (F.floor(F.col("M") / h) - 1).cast("bigint")
-                                                 )).alias("I")).where(F.col("I") >= 0)
+        # window i is ready when some hour >= (i+1)*h is present, so the ready
+        # windows are exactly 0 .. floor(max_hour / h) - 1
+        first_gap = ks.agg(F.coalesce(F.floor(F.max("K") / h), F.lit(0)).cast("bigint")
+                           .alias("F"))
     else:
         raise ValueError(f"unknown gate {gate!r}")
-    ready = ready.distinct()
-    candidates = ready.select((F.col("I") + 1).alias("I")).union(
-        ready.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("I")))
-    first_gap = candidates.join(ready, "I", "left_anti").agg(F.min("I").alias("F"))
     # guard: window i runs only if now - start_i >= 1 hour
-    start_ms = key_millis(start, ready.sparkSession.conf.get("spark.sql.session.timeZone"))
+    start_ms = key_millis(start, spark.conf.get("spark.sql.session.timeZone"))
     guard = (now_millis(now) - MS_PER_HOUR - start_ms) // (h * MS_PER_HOUR) + 1
     return F.least(first_gap.scalar(), F.lit(max(guard, 0)).cast("bigint"))
 
@@ -99,8 +104,8 @@ def backfill(df: DataFrame, start: str, step_hours: int,
              time_col: str = "TIME", materialize: bool = True) -> DataFrame:
     """All ready windows: ``(ENDTIME, STARTTIME, *keys, FREQUENCY)``.
 
-    ``materialize`` checkpoints the hour-grain aggregate (eagerly, into
-    ``spark.checkpoint.dir``).  The big table is then scanned exactly once;
+    ``materialize`` writes the hour-grain aggregate once as a table in
+    ``spark.checkpoint.dir`` and reads it back.  The big table is then scanned exactly once;
     the readiness subquery and the final roll-up read the small checkpoint,
     and a lost executor never forces a rescan of the source.  It also keeps
     Catalyst from pushing the window-limit predicate (a function of the hour
@@ -109,8 +114,7 @@ def backfill(df: DataFrame, start: str, step_hours: int,
     h = int(step_hours)
     hourly = hourly_counts(df, start, keys, time_col)
     if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        hourly = hourly.checkpoint(eager=True)
+        hourly = materialize_table(hourly, "hourly")
     hourly = hourly.withColumn("K", _hour_index(F.col("HOUR"), start)).where(
         F.col("K").isNotNull())
     key_cols = [c for c in hourly.columns if c not in ("HOUR", "N", "K")]

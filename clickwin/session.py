@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  They are applied by ``get_spark`` and
 # are safe defaults for a cluster: AQE re-plans shuffles at run time,
@@ -68,3 +68,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "clickwin", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    This cuts lineage like ``checkpoint()`` but in a single pass:
+    ``Dataset.checkpoint`` on an unpersisted plan computes the plan twice
+    (once for the eager count, once more to write the checkpoint files).
+    The read-back also gives AQE exact sizes for later joins.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -98,3 +98,15 @@ def test_copy_window(spark, tmp_root):
     want = click.where((F.col("TIME") >= "2024010500") & (F.col("TIME") < "2024010700"))
     assert got.count() == want.count() > 0
     assert got.select("ID").distinct().count() == got.count()
+
+
+def test_any_later_gate_skips_empty_hours(spark):
+    rows = [("20240101000500000",), ("20240101010500000",), ("20240101030500000",)]
+    click = spark.createDataFrame(rows, "TIME string").selectExpr("TIME", "'ios' AS PLATFORM", "'p1' AS PARAM_TYPE",
+                             "'view' AS CONTENT_TYPE")
+    strict = bf.dim_backfill(click, START, 1, now=NOW)
+    assert sorted(r[0] for r in strict.select("ENDTIME").collect()) == ["2024010101"]
+    loose = bf.dim_backfill(click, START, 1, now=NOW, gate="any_later")
+    # hour 02 is empty but later data exists: windows 00, 01, 02 close
+    assert sorted(r[0] for r in loose.select("ENDTIME").collect()) == [
+        "2024010101", "2024010102"]
