@@ -20,12 +20,26 @@ from clickwin.functions.timekeys import key_range
 DIMENSIONS = ("PLATFORM", "PARAM_TYPE", "CONTENT_TYPE")
 
 
+DAY_PARTITION = "DAY"
+
+
 def in_window(df: DataFrame, start: str | None, end: str | None, time_col: str = "TIME"
               ) -> DataFrame:
-    """Rows with ``start <= time < end`` (string compare; prefix bounds work)."""
+    """Rows with ``start <= time < end`` (string compare; prefix bounds work).
+
+    On a log stored by day (``sources.clicklog.write_clicklog``) the implied
+    ``DAY`` range is added too: Spark cannot derive it from the ``TIME``
+    bounds, and it is what prunes whole day folders from the scan.
+    """
     if start is None and end is None:
         return df
-    return df.where(key_range(time_col, start, end))
+    cond = key_range(time_col, start, end)
+    if DAY_PARTITION in df.columns:
+        if start is not None:
+            cond = cond & (F.col(DAY_PARTITION) >= F.lit(start[:8]))
+        if end is not None:
+            cond = cond & (F.col(DAY_PARTITION) <= F.lit(end[:8]))
+    return df.where(cond)
 
 
 def label_counts(df: DataFrame, start: str | None = None, end: str | None = None,

@@ -104,6 +104,12 @@ def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str],
         w = Window.partitionBy(*kn).orderBy(*[F.col(c).desc_nulls_last() for c in order])
         n = n.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     o, ko = _with_join_keys(old, keys)
+    if set(cols) == set(old.columns):
+        # Full-row upsert: stored rows whose key is not in the batch, plus the
+        # batch.  The anti-join needs only the batch's keys, so a small batch
+        # is broadcast by AQE and the stored side is never shuffled.
+        kept = o.join(n.select(*kn), kn, "left_anti").select(*old.columns)
+        return kept.unionByName(n.select(*old.columns))
     o = o.alias("o")
     n = n.withColumn(_NEW, F.lit(True)).alias("n")
     cond = None

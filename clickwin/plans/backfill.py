@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from clickwin.functions.labels import split_labels
 from clickwin.functions.timekeys import HOUR_KEY, key_to_ts, now_millis
+from clickwin.operators.counts import in_window
 from clickwin.session import materialize as materialize_table
 
 MS_PER_HOUR = 3_600_000
@@ -55,7 +56,7 @@ def _window_key(start: str, hours: Column) -> Column:
 def hourly_counts(df: DataFrame, start: str, keys: Callable[[DataFrame], DataFrame],
                   time_col: str = "TIME") -> DataFrame:
     """``(HOUR, *keys, N)``; ``keys`` maps rows to key columns (may explode)."""
-    rows = df.where(F.col(time_col) >= F.lit(start)).withColumn(
+    rows = in_window(df, start, None, time_col).withColumn(
         "HOUR", F.substring(F.col(time_col), 1, 10))
     keyed = keys(rows)
     return keyed.groupBy("HOUR", *[c for c in keyed.columns if c != "HOUR"]).agg(

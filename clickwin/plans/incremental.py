@@ -68,12 +68,12 @@ def window_ready(click: DataFrame, end: str, pattern: str = HOUR_KEY, gate: str
     ``end``.  ``limit(1)`` lets the scan stop at the first match.
     """
     if gate == "next_hour":
-        cond = key_range(time_col, end, shift_key(end, pattern, "HOUR", 1))
+        rows = counts.in_window(click, end, shift_key(end, pattern, "HOUR", 1), time_col)
     elif gate == "any_later":
-        cond = F.col(time_col) >= F.lit(end)
+        rows = counts.in_window(click, end, None, time_col)
     else:
         raise ValueError(f"unknown gate {gate!r}")
-    return click.where(cond).select(F.lit(1).alias("x")).limit(1).agg(
+    return rows.select(F.lit(1).alias("x")).limit(1).agg(
         (F.count(F.lit(1)) > 0).alias("READY"))
 
 
@@ -145,7 +145,7 @@ def copy_window(spark: SparkSession, src: DataFrame, dst_path: str, columns: Seq
     Narrow: scan (with the range pushed down) -> project -> write; the only
     shuffle is the keyed merge when the target already holds rows.
     """
-    rows = src.where(key_range(time_col, start, end)).select(*columns)
+    rows = counts.in_window(src, start, end, time_col).select(*columns)
     up.write_upsert(spark, dst_path, rows, list(keys), partition_by=partition_by)
 
 

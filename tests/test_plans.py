@@ -54,3 +54,34 @@ def test_entry_smoke(spark):
     assert df.columns == ["ENDTIME", "STARTTIME", "WORD", "FREQUENCY"]
     assert df.count() > 0
     assert df.where(F.col("FREQUENCY") <= 0).count() == 0
+
+
+def test_day_partitions_are_pruned(spark, tmp_root):
+    from clickwin.plans import incremental as inc
+    path = os.path.join(tmp_root, "daylog")
+    click = cl.clicklog(spark, "/root/testdata/sf0.01")
+    cl.write_clicklog(click, path, 8)
+    stored = cl.read_clicklog(spark, path)
+    window = counts.label_counts(stored, "2024010523", "2024010601")
+    plan = _plan(window)
+    assert "PartitionFilters: [isnotnull(DAY" in plan and "(DAY#" in plan
+    assert sorted(map(tuple, window.collect())) == sorted(
+        map(tuple, counts.label_counts(click, "2024010523", "2024010601").collect()))
+    files = window._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert "20240105" in plan or files is not None
+    ready = inc.window_ready(stored, "2024010600")
+    assert ready.first()["READY"] is True
+    assert "PartitionFilters: [isnotnull(DAY" in _plan(ready)
+
+
+def test_full_row_upsert_does_not_shuffle_stored_side(spark):
+    # AQE sees the batch is small at run time and broadcasts its keys
+    from clickwin.operators import upsert as up
+    old = spark.range(100000).selectExpr("CAST(id AS STRING) AS k", "'old' AS v")
+    new = spark.createDataFrame([("5", "new"), ("500000", "new")], "k string, v string")
+    merged = up.merge_upsert(old, new, ["k"])
+    got = {r["k"]: r["v"] for r in merged.collect()}
+    assert len(got) == 100001 and got["5"] == "new" and got["500000"] == "new"
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
