@@ -184,10 +184,23 @@ def affected(df: DataFrame, cond: Column, out: str = "AFFECTED") -> DataFrame:
 # -- storage ----------------------------------------------------------------
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a table with at least one data file.
+
+    A folder left by writing an empty result has no schema to read, so it
+    counts as absent.  The listing stops at the first data file.
+    """
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    if not fs.exists(p):
+        return False
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        rel = str(st.getPath().toUri().getPath())[len(str(p.toUri().getPath())):]
+        if not any(part.startswith(("_", ".")) for part in rel.split("/") if part):
+            return True
+    return False
 
 
 def read_table(spark: SparkSession, path: str, partition_by: Sequence[str] = (),

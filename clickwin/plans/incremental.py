@@ -80,14 +80,24 @@ def window_ready(click: DataFrame, end: str, pattern: str = HOUR_KEY, gate: str
 class WindowStore:
     """Result table (partitioned by window end) plus a marker table."""
 
-    def __init__(self, root: str, table_name: str, keys: Sequence[str]):
+    def __init__(self, root: str, table_name: str, keys: Sequence[str],
+                 marker_in_results: bool = False):
         self.root = root
         self.table_name = table_name
         self.keys = list(keys)
+        # Parity with the reference: the marker is a row of the result table
+        # itself (window columns set, the others null) and the next window is
+        # read from the results.  Off by default: a crash between rows and
+        # marker then cannot make a half-written window look done.
+        self.marker_in_results = marker_in_results
         self.results_path = os.path.join(root, table_name)
         self.markers_path = os.path.join(root, "MARKERS")
 
     def markers(self, spark: SparkSession) -> DataFrame | None:
+        if self.marker_in_results:
+            if not up.path_exists(spark, self.results_path):
+                return None
+            return self.results(spark).select("ENDTIME", "STARTTIME")
         if not up.path_exists(spark, self.markers_path):
             return None
         return spark.read.schema(MARKER_SCHEMA).parquet(self.markers_path).where(
@@ -101,9 +111,23 @@ class WindowStore:
                         unique=True)
 
     def mark(self, spark: SparkSession, start: str, end: str) -> None:
+        if self.marker_in_results:
+            rows = self.results(spark)
+            marker = spark.range(1).select(*[
+                (F.lit(end) if c == "ENDTIME" else F.lit(start) if c == "STARTTIME"
+                 else F.lit(None)).cast(t).alias(c) for c, t in rows.dtypes])
+            up.write_upsert(spark, self.results_path, marker, self.keys,
+                            partition_by=["ENDTIME"], unique=True)
+            return
         row = spark.createDataFrame([(self.table_name, end, start)], MARKER_SCHEMA)
         up.write_upsert(spark, self.markers_path, row, ["TABLE_NAME", "ENDTIME"], unique=True)
 
+    def mark_many(self, spark: SparkSession, windows: DataFrame) -> None:
+        """Markers for many windows (``ENDTIME, STARTTIME`` rows)."""
+        rows = windows.select(F.lit(self.table_name).alias("TABLE_NAME"), "ENDTIME",
+                              "STARTTIME")
+        up.write_upsert(spark, self.markers_path, rows, ["TABLE_NAME", "ENDTIME"])
+
 
 def run_window_job(spark: SparkSession, click: DataFrame, store: WindowStore, kind: str,
                    step: int, now: datetime | None = None, default_start: str = "2018092716",
@@ -129,12 +153,14 @@ def run_window_job(spark: SparkSession, click: DataFrame, store: WindowStore, ki
     return {"status": "done", "start": start, "end": end}
 
 
-def label_store(root: str) -> WindowStore:
-    return WindowStore(root, "STAT_LABEL", ["ENDTIME", "WORD"])
+def label_store(root: str, marker_in_results: bool = False) -> WindowStore:
+    return WindowStore(root, "STAT_LABEL", ["ENDTIME", "WORD"], marker_in_results)
 
 
-def dim_store(root: str, dims: Sequence[str] = counts.DIMENSIONS) -> WindowStore:
-    return WindowStore(root, "STAT_PARAMTYPE_CONTENTTYPE", ["ENDTIME", *dims])
+def dim_store(root: str, dims: Sequence[str] = counts.DIMENSIONS,
+              marker_in_results: bool = False) -> WindowStore:
+    return WindowStore(root, "STAT_PARAMTYPE_CONTENTTYPE", ["ENDTIME", *dims],
+                       marker_in_results)
 
 
 def copy_window(spark: SparkSession, src: DataFrame, dst_path: str, columns: Sequence[str],

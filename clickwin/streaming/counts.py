@@ -86,3 +86,41 @@ def start_to_parquet(df: DataFrame, sink: str, checkpoint: str,
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=processing_time or "1 minute")
     return w.start()
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep window state in RocksDB (off-heap, spills to local disk and
+    snapshots to the checkpoint) instead of the JVM heap.  Must be set before
+    a query first starts; an explicit user setting is left alone."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if current is None or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB)
+
+
+def start_to_store(df: DataFrame, store, checkpoint: str, available_now: bool = True,
+                   processing_time: str | None = None) -> StreamingQuery:
+    """Write closed windows into the batch jobs' keyed result store.
+
+    Each micro-batch holds windows the watermark has closed; they are
+    upserted by key (so a micro-batch replayed after a failure rewrites the
+    same rows) and a marker per window is recorded after the rows are
+    committed -- the same protocol as ``plans.incremental.run_window_job``.
+    """
+    spark = df.sparkSession
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():  # no window closed in this micro-batch
+            return
+        store.write_results(spark, batch)
+        windows = batch.select("ENDTIME", "STARTTIME").distinct()
+        store.mark_many(spark, windows)
+
+    w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint) \
+        .foreachBatch(write_batch)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(
+        processingTime=processing_time or "1 minute")
+    return w.start()

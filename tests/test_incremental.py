@@ -110,3 +110,15 @@ def test_any_later_gate_skips_empty_hours(spark):
     # hour 02 is empty but later data exists: windows 00, 01, 02 close
     assert sorted(r[0] for r in loose.select("ENDTIME").collect()) == [
         "2024010101", "2024010102"]
+
+
+def test_marker_in_results_parity(spark, tmp_root):
+    click = cl.clicklog(spark, SF01)
+    store = inc.label_store(tmp_root, marker_in_results=True)
+    r1 = inc.run_window_job(spark, click, store, "label", 1, now=NOW, default_start=START)
+    r2 = inc.run_window_job(spark, click, store, "label", 1, now=NOW, default_start=START)
+    assert (r1["end"], r2["start"], r2["end"]) == ("2024010101", "2024010101", "2024010102")
+    res = store.results(spark)
+    markers = res.where(F.col("WORD").isNull()).collect()
+    assert sorted(r["ENDTIME"] for r in markers) == ["2024010101", "2024010102"]
+    assert all(r["FREQUENCY"] is None for r in markers)

@@ -36,3 +36,22 @@ def test_stream_label_delay_holds_back_one_more_window(spark):
                             sink + "-ckpt").awaitTermination()
         out[delay] = spark.read.parquet(sink).select(F.max("ENDTIME")).first()[0]
     assert out["0 seconds"] == "2024013023" and out["1 hour"] == "2024013022"
+
+
+def test_stream_into_keyed_store_matches_batch_launch(spark, tmp_root):
+    from clickwin.plans import incremental as inc
+    events = sc.event_stream(spark, SF01, "events.parquet", max_files_per_trigger=1)
+    store = inc.label_store(tmp_root)
+    ckpt = scratch_path(spark, "test-stream-store")
+    sc.start_to_store(sc.stream_label_counts(events), store, ckpt).awaitTermination()
+    got = store.results(spark)
+    marks = store.markers(spark)
+    assert marks.count() == got.select("ENDTIME").distinct().count() > 700
+    # the next launch of the batch job continues after the last streamed window
+    nxt = inc.next_window(spark, marks, 1, now=dt.datetime(2024, 3, 1)).first()
+    assert nxt["STARTTIME"] == "2024013023"
+    batch = bf.label_backfill(cl.clicklog(spark, SF01), "2024010100", 1,
+                              now=dt.datetime(2024, 3, 1))
+    cols = ["ENDTIME", "STARTTIME", "WORD", "FREQUENCY"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(
+        map(tuple, batch.select(*cols).collect()))
