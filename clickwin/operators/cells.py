@@ -50,10 +50,23 @@ def cells_to_map(cells: DataFrame, drop_last: bool = False, out: str = "cells")
 
 
 def filter_cell_count(maps: DataFrame, n: int, col: str = "cells") -> DataFrame:
-    """Rows holding exactly ``n`` cells."""
+    """Rows holding exactly ``n`` cells (on rows already turned into maps)."""
     return maps.where(F.size(col) == n)
 
 
+def cells_of_rows_with_n(cells: DataFrame, n: int) -> DataFrame:
+    """Cells of the rows that hold exactly ``n`` cells, before any row is
+    assembled.
+
+    Counting cells per row key is a partial + final aggregate, so even a row
+    with millions of qualifiers costs one row per map task; only rows that
+    pass -- each with exactly ``n`` cells -- are then gathered into maps.
+    """
+    keep = cells.groupBy("rowkey").agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") == n).select("rowkey")
+    return cells.join(keep, "rowkey", "left_semi")
+
+
 def cells_to_wide(maps: DataFrame, n_cells: int, width: int, col: str = "cells",
                   prefix: str = "col") -> DataFrame:
     """Positional wide row: values in qualifier order as ``col1..col{width}``;

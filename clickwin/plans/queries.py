@@ -209,7 +209,7 @@ def cells_to_map(spark, sf_dir):
 
 @register("filter_cell_count")
 def filter_cell_count(spark, sf_dir):
-    m = cx.filter_cell_count(cx.cells_to_map(_cells(spark, sf_dir)), 9)
+    m = cx.cells_to_map(cx.cells_of_rows_with_n(_cells(spark, sf_dir), 9))
     return m.select("rowkey", rec.map_as_text("cells").alias("CELLS"))
 
 
@@ -223,7 +223,7 @@ def _latest_n_from_cells(spark, sf_dir):
     # J4: key range -> cells to sorted map -> full rows -> wide -> top 3 per
     # device (col8 = UDID) by time (col6 = TIME), ties by col3 = ID.
     cells = cx.scan_key_range(_cells(spark, sf_dir), "0000", "9999", "info")
-    wide = cx.cells_to_wide(cx.filter_cell_count(cx.cells_to_map(cells), 9), 9, 14)
+    wide = cx.cells_to_wide(cx.cells_to_map(cx.cells_of_rows_with_n(cells, 9)), 9, 14)
     top = topn.latest_n_per_group(wide, "col8", "col6", 3, tie_break="col3")
     return topn.sort_desc(top.select("col1", "col2", "col3", "col6", "col8", "rank"), "col2")
 

@@ -103,7 +103,8 @@ def write_sorted_cells(cells_df: DataFrame, path: str, num_partitions: int | Non
     statistics (the cell store's key-range scan).
     """
     n = num_partitions or cells_df.sparkSession.sparkContext.defaultParallelism
-    (cells_df.repartitionByRange(n, "rowkey")
+    # qualifier breaks ties, so one very wide row spreads over several tasks
+    (cells_df.repartitionByRange(n, "rowkey", "qualifier")
      .sortWithinPartitions("rowkey", "family", "qualifier")
      .write.mode("overwrite").parquet(path))
 
@@ -113,7 +114,7 @@ DAY_PARTITION = "DAY"
 
 
 def write_clicklog(click: DataFrame, path: str, num_partitions: int | None = None,
-                   mode: str = "overwrite") -> None:
+                   mode: str = "overwrite", tie_break: str | None = "ID") -> None:
     """Store a click log partitioned by day and sorted by ``TIME``.
 
     Rows are range-partitioned on ``TIME`` first: each task writes a
@@ -123,8 +124,10 @@ def write_clicklog(click: DataFrame, path: str, num_partitions: int | None = Non
     the days present in ``click``.
     """
     n = num_partitions or int(click.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the tie-break column splits a burst of equal TIME values over tasks
+    order = ["TIME"] + ([tie_break] if tie_break and tie_break in click.columns else [])
     (click.withColumn(DAY_PARTITION, F.substring("TIME", 1, 8))
-     .repartitionByRange(n, "TIME").sortWithinPartitions("TIME")
+     .repartitionByRange(n, *order).sortWithinPartitions(*order)
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(DAY_PARTITION).parquet(path))
 
