@@ -7,7 +7,7 @@ Runs the main page-view queries at ``$BENCH_SF_DIR`` (default
 Each query is executed to completion with the ``noop`` sink (no driver
 collection); a warm-up query runs first so JVM start-up is not charged to
 the first measured query.  Each query is timed ``$BENCH_REPEAT`` times
-(default 2) and the best time is reported.
+(default 3) and the best time is reported.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from clickwin.session import get_spark
     from clickwin.plans.queries import QUERIES
 

@@ -61,8 +61,31 @@ def clicklog_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataF
     )
 
 
+_DEFINITIONS: dict = {}
+
+
+def _mtime(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 def clicklog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clicklog_from_events(load(spark, sf_dir, "events"))
+    """The click log of ``sf_dir``'s events.
+
+    The analysed DataFrame definition (not data) is reused within a session
+    while the input file is unchanged, so building a query does not repeat
+    the listing and the analysis of the derived columns.
+    """
+    path = table_path(sf_dir, "events")
+    key = (id(spark), spark.sparkContext.applicationId, path, _mtime(spark, path),
+           spark.conf.get("spark.sql.session.timeZone"))
+    df = _DEFINITIONS.get(key)
+    if df is None:
+        df = clicklog_from_events(spark.read.parquet(path))
+        _DEFINITIONS[key] = df
+    return df
 
 
 def rows_to_cells(df: DataFrame, rowkey: str = "rowkey", columns: list[str] | None = None,
