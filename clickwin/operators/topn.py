@@ -65,3 +65,13 @@ def lookup_exactly_one(df: DataFrame, col: str, out: str | None = None) -> DataF
     # Two rows are enough to know "not exactly one".
     two = df.select(F.col(col).alias(name)).limit(2)
     return two.agg(F.when(F.count(F.lit(1)) == 1, F.first(name)).alias(name))
+
+
+def lookup_object(df: DataFrame, record, out: str = "R") -> DataFrame:
+    """One typed record when the query returns exactly one row, else null.
+
+    ``record`` is a column expression building the record (for example
+    ``functions.records.map_to_struct(...)``); the result has one row.
+    """
+    two = df.select(record.alias(out)).limit(2)
+    return two.agg(F.when(F.count(F.lit(1)) == 1, F.first(out)).alias(out))

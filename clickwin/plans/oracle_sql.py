@@ -355,3 +355,10 @@ SQL["stream_label_pv"] = with_clicklog(
 SQL["stream_dim_pv"] = with_clicklog(
     f"SELECT strftime({_WEND}, '%Y%m%d%H') AS ENDTIME, substr(TIME, 1, 10) AS STARTTIME, {DIMS},"
     f" CAST(count(*) AS BIGINT) AS FREQUENCY FROM clicklog WHERE {_CLOSED} GROUP BY ALL")
+
+_LATEST_ROW = "(SELECT * FROM clicklog ORDER BY TIME DESC, ID DESC LIMIT 1) l"
+SQL["lookup_object"] = with_clicklog(
+    'SELECT CAST(ID AS BIGINT) AS ID, CAST(NULL AS VARCHAR) AS UDID, PLATFORM AS "Platform" '
+    f"FROM {_LATEST_ROW}")
+SQL["lookup_object_ci"] = with_clicklog(
+    f'SELECT CAST(ID AS BIGINT) AS ID, UDID, PLATFORM AS "Platform" FROM {_LATEST_ROW}')

@@ -397,6 +397,25 @@ def map_to_struct_ci(spark, sf_dir):
     return _rec_maps(spark, sf_dir).select(s_.alias("r")).select("r.*")
 
 
+def _latest_as_map(spark, sf_dir):
+    latest = topn.limit_n(_click(spark, sf_dir), 1, F.col("TIME").desc(), F.col("ID").desc())
+    return latest.select(F.create_map(F.lit("ID"), F.col("ID"), F.lit("udid"), F.col("UDID"),
+                                      F.lit("Platform"), F.col("PLATFORM")).alias("m"))
+
+
+@register("lookup_object")
+def lookup_object(spark, sf_dir):
+    one = topn.lookup_object(_latest_as_map(spark, sf_dir), rec.map_to_struct("m", REC_SCHEMA))
+    return one.select("R.*")
+
+
+@register("lookup_object_ci")
+def lookup_object_ci(spark, sf_dir):
+    one = topn.lookup_object(_latest_as_map(spark, sf_dir),
+                             rec.map_to_struct_ci("m", REC_SCHEMA))
+    return one.select("R.*")
+
+
 @register("struct_to_map")
 def struct_to_map(spark, sf_dir):
     c = _click(spark, sf_dir)
