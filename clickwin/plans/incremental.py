@@ -33,6 +33,17 @@ MARKER_SCHEMA = StructType([StructField("TABLE_NAME", StringType(), False),
 MS_PER_HOUR = 3_600_000
 
 
+def rows_between(source, start: str | None, end: str | None) -> DataFrame:
+    """Rows of ``[start, end)`` from a DataFrame or from a source factory.
+
+    A factory ``(start, end) -> DataFrame`` lets the source turn the window
+    into scan-level predicates (partition folders, pushed filters on stored
+    event times); the window filter on ``TIME`` is applied on top either way.
+    """
+    df = source(start, end) if callable(source) else source
+    return counts.in_window(df, start, end)
+
+
 def next_window(spark: SparkSession, recorded: DataFrame | None, step: int,
                 unit: str = "HOUR", pattern: str = HOUR_KEY,
                 default_start: str = "2018092716", now: datetime | None = None,
@@ -59,7 +70,7 @@ def next_window(spark: SparkSession, recorded: DataFrame | None, step: int,
                          F.when(waiting, "caught_up").otherwise("run").alias("STATUS"))
 
 
-def window_ready(click: DataFrame, end: str, pattern: str = HOUR_KEY, gate: str = "next_hour",
+def window_ready(click, end: str, pattern: str = HOUR_KEY, gate: str = "next_hour",
                  time_col: str = "TIME") -> DataFrame:
     """One row ``READY``: has data arrived after the window?
 
@@ -68,9 +79,9 @@ def window_ready(click: DataFrame, end: str, pattern: str = HOUR_KEY, gate: str
     ``end``.  ``limit(1)`` lets the scan stop at the first match.
     """
     if gate == "next_hour":
-        rows = counts.in_window(click, end, shift_key(end, pattern, "HOUR", 1), time_col)
+        rows = rows_between(click, end, shift_key(end, pattern, "HOUR", 1))
     elif gate == "any_later":
-        rows = counts.in_window(click, end, None, time_col)
+        rows = rows_between(click, end, None)
     else:
         raise ValueError(f"unknown gate {gate!r}")
     return rows.select(F.lit(1).alias("x")).limit(1).agg(
@@ -129,7 +140,7 @@ class WindowStore:
         up.write_upsert(spark, self.markers_path, rows, ["TABLE_NAME", "ENDTIME"])
 
 
-def run_window_job(spark: SparkSession, click: DataFrame, store: WindowStore, kind: str,
+def run_window_job(spark: SparkSession, click, store: WindowStore, kind: str,
                    step: int, now: datetime | None = None, default_start: str = "2018092716",
                    gate: str = "next_hour", unit: str = "HOUR", pattern: str = HOUR_KEY,
                    guard: str = "start", dims: Sequence[str] = counts.DIMENSIONS,
@@ -142,10 +153,11 @@ def run_window_job(spark: SparkSession, click: DataFrame, store: WindowStore, ki
         return {"status": "caught_up", "start": start, "end": end}
     if not window_ready(click, end, pattern, gate).first()["READY"]:
         return {"status": "not_ready", "start": start, "end": end}
+    window = rows_between(click, start, end)
     if kind == "label":
-        rows = counts.label_pv_window(click, start, end, null_as_empty=null_as_empty)
+        rows = counts.label_pv_window(window, start, end, null_as_empty=null_as_empty)
     elif kind == "dim":
-        rows = counts.dim_pv_window(click, start, end, dims)
+        rows = counts.dim_pv_window(window, start, end, dims)
     else:
         raise ValueError(f"unknown job kind {kind!r}")
     store.write_results(spark, rows)
@@ -163,7 +175,7 @@ def dim_store(root: str, dims: Sequence[str] = counts.DIMENSIONS,
                        marker_in_results)
 
 
-def copy_window(spark: SparkSession, src: DataFrame, dst_path: str, columns: Sequence[str],
+def copy_window(spark: SparkSession, src, dst_path: str, columns: Sequence[str],
                 start: str, end: str, keys: Sequence[str] = ("ID",),
                 partition_by: Sequence[str] = (), time_col: str = "TIME") -> None:
     """Upsert a projected time slice of one table into another.
@@ -171,7 +183,7 @@ def copy_window(spark: SparkSession, src: DataFrame, dst_path: str, columns: Seq
     Narrow: scan (with the range pushed down) -> project -> write; the only
     shuffle is the keyed merge when the target already holds rows.
     """
-    rows = counts.in_window(src, start, end, time_col).select(*columns)
+    rows = rows_between(src, start, end).select(*columns)
     up.write_upsert(spark, dst_path, rows, list(keys), partition_by=partition_by)
 
 

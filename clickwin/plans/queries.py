@@ -42,10 +42,16 @@ def register(name: str):
     return deco
 
 
-def _click(spark, sf_dir):
-    # Time keys are read and written in UTC throughout.
+def _click(spark, sf_dir, start=None, end=None):
+    # Time keys are read and written in UTC throughout.  Window bounds become
+    # pushed filters on the stored event time.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return cl.clicklog(spark, sf_dir)
+    return cl.clicklog(spark, sf_dir, start, end)
+
+
+def _source(spark, sf_dir):
+    """Source factory for the jobs: each window reads only its own slice."""
+    return lambda start, end: _click(spark, sf_dir, start, end)
 
 
 def _cells(spark, sf_dir):
@@ -56,23 +62,24 @@ def _cells(spark, sf_dir):
 
 @register("dim_pv_window")
 def dim_pv_window(spark, sf_dir):
-    return counts.dim_pv_window(_click(spark, sf_dir), START, MONTH_END)
+    return counts.dim_pv_window(_click(spark, sf_dir, START, MONTH_END), START, MONTH_END)
 
 
 @register("label_pv_window")
 def label_pv_window(spark, sf_dir):
-    return counts.label_pv_window(_click(spark, sf_dir), START, MONTH_END)
+    return counts.label_pv_window(_click(spark, sf_dir, START, MONTH_END), START, MONTH_END)
 
 
 @register("label_pv_minute")
 def label_pv_minute(spark, sf_dir):
-    return counts.label_pv_window(_click(spark, sf_dir), "202401010000", "202402010000",
-                                  null_as_empty=True)
+    return counts.label_pv_window(_click(spark, sf_dir, "202401010000", "202402010000"),
+                                  "202401010000", "202402010000", null_as_empty=True)
 
 
 @register("label_pv_day")
 def label_pv_day(spark, sf_dir):
-    df = counts.label_counts(_click(spark, sf_dir), "20240101", "20240201")
+    df = counts.label_counts(_click(spark, sf_dir, "20240101", "20240201"), "20240101",
+                             "20240201")
     return df.select(F.lit("20240101").alias("TIME"), "WORD", "FREQUENCY")
 
 
@@ -124,7 +131,7 @@ def scan_sql_subquery(spark, sf_dir):
     return src.scan_sql_subquery(
         spark, "SELECT TIME, CONTENT_LABEL FROM clicklog "
                "WHERE TIME >= :s AND TIME < :e AND CONTENT_LABEL IS NOT NULL",
-        {"clicklog": _click(spark, sf_dir)}, {"s": START, "e": MONTH_END})
+        {"clicklog": _click(spark, sf_dir, START, MONTH_END)}, {"s": START, "e": MONTH_END})
 
 
 @register("query_with_args")
@@ -132,7 +139,7 @@ def query_with_args(spark, sf_dir):
     return src.scan_sql_subquery(
         spark, "SELECT CONTENT_TYPE, count(*) AS N FROM clicklog "
                "WHERE TIME >= ? AND TIME < ? GROUP BY CONTENT_TYPE",
-        {"clicklog": _click(spark, sf_dir)}, [START, MONTH_END])
+        {"clicklog": _click(spark, sf_dir, START, MONTH_END)}, [START, MONTH_END])
 
 
 MAP_COLS = ["UDID", "TIME", "CONTENT_TYPE"]
@@ -177,7 +184,8 @@ def project_alias(spark, sf_dir):
 
 @register("filter_time_range")
 def filter_time_range(spark, sf_dir):
-    return counts.in_window(_click(spark, sf_dir), "2024011000", "2024012000").select(
+    return counts.in_window(_click(spark, sf_dir, "2024011000", "2024012000"), "2024011000",
+                            "2024012000").select(
         "ID", "TIME")
 
 
@@ -267,8 +275,8 @@ def limit_n(spark, sf_dir):
 
 @register("range_exists")
 def range_exists(spark, sf_dir):
-    return topn.range_exists(_click(spark, sf_dir), tk.key_range("TIME", "2024013023",
-                                                                 "2024013100"))
+    return topn.range_exists(_click(spark, sf_dir, "2024013023", "2024013100"),
+                             tk.key_range("TIME", "2024013023", "2024013100"))
 
 
 def _label_windows(spark, sf_dir):
@@ -434,9 +442,9 @@ def struct_to_array(spark, sf_dir):
 # -- keyed writes ----------------------------------------------------------------
 
 def _old_new(spark, sf_dir):
-    c = _click(spark, sf_dir)
-    old = c.where(F.col("TIME") < "2024011600")
-    new = c.where(F.col("TIME") >= "2024011000").withColumn(
+    old = counts.in_window(_click(spark, sf_dir, None, "2024011600"), None, "2024011600")
+    new = counts.in_window(_click(spark, sf_dir, "2024011000", None), "2024011000", None)
+    new = new.withColumn(
         "PLATFORM", F.coalesce("PLATFORM", F.lit("web"))).withColumn(
         "TITLE", F.concat("TITLE", F.lit("*")))
     return old, new
@@ -516,13 +524,13 @@ def next_window_minute(spark, sf_dir):
 
 @register("window_ready")
 def window_ready(spark, sf_dir):
-    return inc.window_ready(_click(spark, sf_dir), "2024011600", tk.HOUR_KEY, "next_hour")
+    return inc.window_ready(_source(spark, sf_dir), "2024011600", tk.HOUR_KEY, "next_hour")
 
 
 def _run_job(spark, sf_dir, kind):
     root = scratch_path(spark, f"job-{kind}")
     store = inc.label_store(root) if kind == "label" else inc.dim_store(root)
-    click = _click(spark, sf_dir)
+    click = _source(spark, sf_dir)
     for _ in range(2):  # second launch stops at the gate (no data after the month)
         inc.run_window_job(spark, click, store, kind, 360, now=NOW, default_start=START)
     res = store.results(spark)
@@ -543,7 +551,7 @@ def job_dim_pv(spark, sf_dir):
 @register("job_copy_window")
 def job_copy_window(spark, sf_dir):
     dst = scratch_path(spark, "copy")
-    inc.copy_window(spark, _click(spark, sf_dir), dst, COPY_COLS, START, MONTH_END)
+    inc.copy_window(spark, _source(spark, sf_dir), dst, COPY_COLS, START, MONTH_END)
     return spark.read.parquet(dst)
 
 

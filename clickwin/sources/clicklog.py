@@ -71,8 +71,41 @@ def _mtime(spark: SparkSession, path: str) -> int:
     return int(fs.getFileStatus(p).getModificationTime())
 
 
-def clicklog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The click log of ``sf_dir``'s events.
+_KEY_FORMATS = {8: "%Y%m%d", 10: "%Y%m%d%H", 12: "%Y%m%d%H%M", 14: "%Y%m%d%H%M%S"}
+
+
+def key_start(key: str):
+    """The instant a time key starts at (driver-side, for one bound).
+
+    Keys are prefixes of ``yyyyMMddHHmmssSSS``: ``TIME >= key`` holds exactly
+    when the event time is at or after this instant, and ``TIME < key`` when
+    it is before it.
+    """
+    from datetime import datetime, timedelta
+    if len(key) == 17:
+        return datetime.strptime(key[:14], _KEY_FORMATS[14]) + timedelta(
+            milliseconds=int(key[14:]))
+    return datetime.strptime(key, _KEY_FORMATS[len(key)])
+
+
+def events_between(events: DataFrame, start: str | None, end: str | None,
+                   ts_col: str = "ts") -> DataFrame:
+    """Events whose derived ``TIME`` lies in ``[start, end)``, filtered on the
+    stored event time so the bounds reach the Parquet scan (``PushedFilters``
+    on ``ts``; row groups outside the range are skipped)."""
+    cond = None
+    for bound, op in ((start, "__ge__"), (end, "__lt__")):
+        if bound is None:
+            continue
+        lit = F.lit(key_start(bound).isoformat(sep=" ")).cast("timestamp_ntz")
+        c = getattr(F.col(ts_col), op)(lit)
+        cond = c if cond is None else cond & c
+    return events if cond is None else events.where(cond)
+
+
+def clicklog(spark: SparkSession, sf_dir: str, start: str | None = None,
+             end: str | None = None) -> DataFrame:
+    """The click log of ``sf_dir``'s events, optionally only ``[start, end)``.
 
     The analysed DataFrame definition (not data) is reused within a session
     while the input file is unchanged, so building a query does not repeat
@@ -80,10 +113,11 @@ def clicklog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = table_path(sf_dir, "events")
     key = (id(spark), spark.sparkContext.applicationId, path, _mtime(spark, path),
-           spark.conf.get("spark.sql.session.timeZone"))
+           spark.conf.get("spark.sql.session.timeZone"), start, end)
     df = _DEFINITIONS.get(key)
     if df is None:
-        df = clicklog_from_events(spark.read.parquet(path))
+        events = events_between(spark.read.parquet(path), start, end)
+        df = clicklog_from_events(events)
         _DEFINITIONS[key] = df
     return df
 

@@ -85,3 +85,21 @@ def test_full_row_upsert_does_not_shuffle_stored_side(spark):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in plan
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+@pytest.mark.parametrize("start,end", [("2024010500", "2024010600"),
+                                       ("202401051234", "202401070001"),
+                                       ("20240105123456789", "20240105180000001"),
+                                       (None, "20240103"), ("2024012923", None)])
+def test_window_bounds_reach_events_scan_exactly(spark, start, end):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    sf = "/root/testdata/sf0.01"
+    bounded = counts.in_window(cl.clicklog(spark, sf, start, end), start, end)
+    full = counts.in_window(cl.clicklog(spark, sf), start, end)
+    assert sorted(r["ID"] for r in bounded.select("ID").collect()) == sorted(
+        r["ID"] for r in full.select("ID").collect())
+    plan = _plan(bounded)
+    if start:
+        assert "GreaterThanOrEqual(ts," in plan
+    if end:
+        assert "LessThan(ts," in plan
