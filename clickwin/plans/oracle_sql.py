@@ -177,8 +177,8 @@ SQL["job_latest_n"] = with_cells(
     "SELECT * FROM top", WIDE_CTE.format(lo="0000", hi="9999") + ",\n" + LATEST_CTE)
 SQL["rows_to_cells"] = with_cells(
     "SELECT rowkey, 'info' AS family, qualifier, coalesce(value, 'null') AS value FROM ("
-    "SELECT col3 AS rowkey, col1, col2, col6, col8, CAST(rank AS VARCHAR) AS rank FROM top)"
-    " UNPIVOT INCLUDE NULLS (value FOR qualifier IN (col1, col2, col6, col8, rank))",
+    "SELECT col3 AS rowkey, col1, col2, col3, col6, col8, CAST(rank AS VARCHAR) AS rank FROM top)"
+    " UNPIVOT INCLUDE NULLS (value FOR qualifier IN (col1, col2, col3, col6, col8, rank))",
     WIDE_CTE.format(lo="0000", hi="9999") + ",\n" + LATEST_CTE)
 
 # -- window, sorts, lookups ----------------------------------------------------

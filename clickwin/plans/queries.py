@@ -104,12 +104,12 @@ def split_labels_q(spark, sf_dir):
 
 @register("backfill_windows")
 def backfill_windows(spark, sf_dir):
-    return bf.dim_backfill(_click(spark, sf_dir), START, 1, now=NOW)
+    return bf.dim_backfill(_click(spark, sf_dir, START), START, 1, now=NOW)
 
 
 @register("backfill_labels_5h")
 def backfill_labels_5h(spark, sf_dir):
-    return bf.label_backfill(_click(spark, sf_dir), START, 5, now=NOW)
+    return bf.label_backfill(_click(spark, sf_dir, START), START, 5, now=NOW)
 
 
 # -- scans / sources ----------------------------------------------------------
@@ -244,9 +244,11 @@ def job_latest_n(spark, sf_dir):
 @register("rows_to_cells")
 def rows_to_cells(spark, sf_dir):
     top = _latest_n_from_cells(spark, sf_dir)
-    return cx.rows_to_cells(top.withColumn("rank", F.col("rank").cast("string")),
-                            "col3", ["col1", "col2", "col6", "col8", "rank"], "info",
-                            null_text="null")
+    # every column becomes a cell, the row-key column included (as the
+    # reference's writer did); col3 (the event id here) is the row key
+    keyed = top.withColumn("rank", F.col("rank").cast("string")).withColumn("_rk", F.col("col3"))
+    return cx.rows_to_cells(keyed, "_rk", ["col1", "col2", "col3", "col6", "col8", "rank"],
+                            "info", null_text="null")
 
 
 # -- window, sorts, lookups ----------------------------------------------------
@@ -280,7 +282,7 @@ def range_exists(spark, sf_dir):
 
 
 def _label_windows(spark, sf_dir):
-    return bf.label_backfill(_click(spark, sf_dir), START, 5, now=NOW)
+    return bf.label_backfill(_click(spark, sf_dir, START), START, 5, now=NOW)
 
 
 @register("max_window_end")
@@ -487,7 +489,7 @@ def upsert_ragged_maps(spark, sf_dir):
 
 @register("marker_upsert")
 def marker_upsert(spark, sf_dir):
-    windows = bf.dim_backfill(_click(spark, sf_dir), START, 1, now=NOW)
+    windows = bf.dim_backfill(_click(spark, sf_dir, START), START, 1, now=NOW)
     marks = windows.select(F.lit("STAT_PARAMTYPE_CONTENTTYPE").alias("TABLE_NAME"),
                            "ENDTIME", "STARTTIME").distinct()
     empty = spark.createDataFrame([], inc.MARKER_SCHEMA)
@@ -511,7 +513,7 @@ def update_where(spark, sf_dir):
 
 @register("next_window_hour")
 def next_window_hour(spark, sf_dir):
-    recorded = bf.dim_backfill(_click(spark, sf_dir), START, 1, now=NOW)
+    recorded = bf.dim_backfill(_click(spark, sf_dir, START), START, 1, now=NOW)
     return inc.next_window(spark, recorded, 1, "HOUR", tk.HOUR_KEY, START, NOW, "start")
 
 
