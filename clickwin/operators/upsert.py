@@ -218,14 +218,22 @@ def read_table(spark: SparkSession, path: str, partition_by: Sequence[str] = (),
 def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  partition_by: Sequence[str] = (), order_desc: Sequence[str] | None = None,
                  columns: Sequence[str] | None = None, fmt: str = "parquet",
-                 unique: bool = False) -> None:
+                 unique: bool = False, partition_values: Sequence[str] | None = None
+                 ) -> None:
     """Upsert ``batch`` into the table at ``path`` (created when absent).
 
     ``unique=True`` skips the dedup when the batch is one row per key by
     construction (a grouped aggregate keyed by the table key).
+    ``partition_values`` (single partition column) names the partitions the
+    batch can touch; when none of them exists yet there is nothing to merge
+    and the batch is written straight into new partitions.
     """
     part = list(partition_by)
-    if not path_exists(spark, path):
+    fresh = not path_exists(spark, path)
+    if not fresh and partition_values is not None and len(part) == 1:
+        fresh = not any(path_exists(spark, f"{path.rstrip('/')}/{part[0]}={v}")
+                        for v in partition_values)
+    if fresh:
         if not unique:
             batch = dedupe_latest(batch, keys, order_desc)
         _write(batch, path, part, fmt, "overwrite")

@@ -117,9 +117,12 @@ class WindowStore:
     def results(self, spark: SparkSession) -> DataFrame:
         return up.read_table(spark, self.results_path, ["ENDTIME"])
 
-    def write_results(self, spark: SparkSession, rows: DataFrame) -> None:
+    def write_results(self, spark: SparkSession, rows: DataFrame, end: str | None = None
+                      ) -> None:
+        """Upsert result rows; ``end`` (the window's end, when known) lets a
+        first run write its new partition directly."""
         up.write_upsert(spark, self.results_path, rows, self.keys, partition_by=["ENDTIME"],
-                        unique=True)
+                        unique=True, partition_values=None if end is None else [end])
 
     def mark(self, spark: SparkSession, start: str, end: str) -> None:
         if self.marker_in_results:
@@ -160,7 +163,7 @@ def run_window_job(spark: SparkSession, click, store: WindowStore, kind: str,
         rows = counts.dim_pv_window(window, start, end, dims)
     else:
         raise ValueError(f"unknown job kind {kind!r}")
-    store.write_results(spark, rows)
+    store.write_results(spark, rows, end)
     store.mark(spark, start, end)
     return {"status": "done", "start": start, "end": end}
 
