@@ -140,11 +140,14 @@ def label_keys(label_col: str = "CONTENT_LABEL") -> Callable[[DataFrame], DataFr
 
 
 def label_backfill(df: DataFrame, start: str, step_hours: int, now: datetime | None = None,
-                   gate: str = "next_hour") -> DataFrame:
-    return backfill(df, start, step_hours, label_keys(), F.col("WORD").isNotNull(), now, gate)
+                   gate: str = "next_hour", materialize: bool = True) -> DataFrame:
+    return backfill(df, start, step_hours, label_keys(), F.col("WORD").isNotNull(), now, gate,
+                    materialize=materialize)
 
 
 def dim_backfill(df: DataFrame, start: str, step_hours: int,
                  dims: Sequence[str] = ("PLATFORM", "PARAM_TYPE", "CONTENT_TYPE"),
-                 now: datetime | None = None, gate: str = "next_hour") -> DataFrame:
-    return backfill(df, start, step_hours, lambda r: r.select("HOUR", *dims), None, now, gate)
+                 now: datetime | None = None, gate: str = "next_hour",
+                 materialize: bool = True) -> DataFrame:
+    return backfill(df, start, step_hours, lambda r: r.select("HOUR", *dims), None, now, gate,
+                    materialize=materialize)

@@ -24,6 +24,20 @@ DEFAULT_CONF = {
 }
 
 
+# Extra defaults when no master is given (spark-submit on a cluster).  Many
+# initial shuffle partitions that AQE coalesces to ~128 MB each keep every
+# reducer within executor memory at 100 TB scale; larger scan splits cut the
+# task count of full scans; window state lives in RocksDB, off the heap.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "clickwin", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings.
@@ -34,6 +48,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if not master:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
