@@ -75,6 +75,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # executors on other machines could not read a driver-local folder
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object "
+                               "store) for intermediate tables")
         configured = tempfile.mkdtemp(prefix="clickwin-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
