@@ -215,6 +215,17 @@ def read_table(spark: SparkSession, path: str, partition_by: Sequence[str] = (),
     return df
 
 
+def read_partitions(spark: SparkSession, path: str, part: str, dirs: Sequence[str],
+                    fmt: str = "parquet") -> DataFrame:
+    """Read some partition folders of a table (listing only those folders);
+    the partition column comes back as a string."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    probe = spark.read.format(fmt).option("basePath", path).load(*dirs)
+    fields = [StructField(f.name, StringType(), True) if f.name == part else f
+              for f in probe.schema.fields]
+    return spark.read.format(fmt).schema(StructType(fields)).option("basePath", path).load(*dirs)
+
+
 def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  partition_by: Sequence[str] = (), order_desc: Sequence[str] | None = None,
                  columns: Sequence[str] | None = None, fmt: str = "parquet",
@@ -230,17 +241,24 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     """
     part = list(partition_by)
     fresh = not path_exists(spark, path)
+    touched_dirs = None
     if not fresh and partition_values is not None and len(part) == 1:
-        fresh = not any(path_exists(spark, f"{path.rstrip('/')}/{part[0]}={v}")
-                        for v in partition_values)
+        touched_dirs = [d for d in (f"{path.rstrip('/')}/{part[0]}={v}"
+                                    for v in partition_values) if path_exists(spark, d)]
+        fresh = not touched_dirs
     if fresh:
         if not unique:
             batch = dedupe_latest(batch, keys, order_desc)
         _write(batch, path, part, fmt, "overwrite")
         return
-    old = read_table(spark, path, part, fmt)
+    if touched_dirs:
+        # Read only the touched partition folders: plain Parquet would list
+        # every partition of the table first, however many windows it holds.
+        old = read_partitions(spark, path, part[0], touched_dirs, fmt)
+    else:
+        old = read_table(spark, path, part, fmt)
     order = old.columns
-    if part:
+    if part and not touched_dirs:
         touched = batch.select(*part).distinct()
         old = old.join(touched, part, "left_semi")
     merged = merge_upsert(old, batch, keys, columns, dedupe=not unique, order_desc=order_desc)

@@ -32,6 +32,9 @@ MARKER_SCHEMA = StructType([StructField("TABLE_NAME", StringType(), False),
 
 MS_PER_HOUR = 3_600_000
 
+# Fixed value: default first window start (hour key) of the reference's jobs.
+DEFAULT_START = "2018092716"
+
 
 def rows_between(source, start: str | None, end: str | None) -> DataFrame:
     """Rows of ``[start, end)`` from a DataFrame or from a source factory.
@@ -46,7 +49,7 @@ def rows_between(source, start: str | None, end: str | None) -> DataFrame:
 
 def next_window(spark: SparkSession, recorded: DataFrame | None, step: int,
                 unit: str = "HOUR", pattern: str = HOUR_KEY,
-                default_start: str = "2018092716", now: datetime | None = None,
+                default_start: str = DEFAULT_START, now: datetime | None = None,
                 guard: str = "start", end_col: str = "ENDTIME") -> DataFrame:
     """One row ``(STARTTIME, ENDTIME, STATUS)``.
 
@@ -144,7 +147,7 @@ class WindowStore:
 
 
 def run_window_job(spark: SparkSession, click, store: WindowStore, kind: str,
-                   step: int, now: datetime | None = None, default_start: str = "2018092716",
+                   step: int, now: datetime | None = None, default_start: str = DEFAULT_START,
                    gate: str = "next_hour", unit: str = "HOUR", pattern: str = HOUR_KEY,
                    guard: str = "start", dims: Sequence[str] = counts.DIMENSIONS,
                    null_as_empty: bool = False) -> dict:

@@ -91,3 +91,21 @@ def test_positional_and_upper(spark):
     df = spark.createDataFrame([("a", 1)], "x string, y int")
     assert up.positional(df, ["WORD", "FREQUENCY"]).columns == ["WORD", "FREQUENCY"]
     assert up.upper_columns(df).columns == ["X", "Y"]
+
+
+def test_rerun_reads_only_touched_partition(spark, tmp_root):
+    path = os.path.join(tmp_root, "stat2")
+    schema = "ENDTIME string, WORD string, FREQUENCY bigint"
+    for end in ("2024010101", "2024010102", "2024010103"):
+        up.write_upsert(spark, path, spark.createDataFrame([(end, "a", 1)], schema),
+                        ["ENDTIME", "WORD"], ["ENDTIME"], unique=True, partition_values=[end])
+    fix = spark.createDataFrame([("2024010102", "a", 7), ("2024010102", "b", 2)], schema)
+    up.write_upsert(spark, path, fix, ["ENDTIME", "WORD"], ["ENDTIME"], unique=True,
+                    partition_values=["2024010102"])
+    got = sorted(tuple(r) for r in up.read_table(spark, path, ["ENDTIME"]).select(
+        "ENDTIME", "WORD", "FREQUENCY").collect())
+    assert got == [("2024010101", "a", 1), ("2024010102", "a", 7), ("2024010102", "b", 2),
+                   ("2024010103", "a", 1)]
+    old = up.read_partitions(spark, path, "ENDTIME", [path + "/ENDTIME=2024010102"])
+    assert old.inputFiles() and all("ENDTIME=2024010102" in f for f in old.inputFiles())
+    assert dict(old.dtypes)["ENDTIME"] == "string"
