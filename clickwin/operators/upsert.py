@@ -220,10 +220,11 @@ def read_partitions(spark: SparkSession, path: str, part: str, dirs: Sequence[st
     """Read some partition folders of a table (listing only those folders);
     the partition column comes back as a string."""
     from pyspark.sql.types import StringType, StructField, StructType
-    probe = spark.read.format(fmt).option("basePath", path).load(*dirs)
+    probe = spark.read.format(fmt).option("basePath", path).load(list(dirs))
     fields = [StructField(f.name, StringType(), True) if f.name == part else f
               for f in probe.schema.fields]
-    return spark.read.format(fmt).schema(StructType(fields)).option("basePath", path).load(*dirs)
+    return spark.read.format(fmt).schema(StructType(fields)).option("basePath", path).load(
+        list(dirs))
 
 
 def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],

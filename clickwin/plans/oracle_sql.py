@@ -362,3 +362,5 @@ SQL["lookup_object"] = with_clicklog(
     f"FROM {_LATEST_ROW}")
 SQL["lookup_object_ci"] = with_clicklog(
     f'SELECT CAST(ID AS BIGINT) AS ID, UDID, PLATFORM AS "Platform" FROM {_LATEST_ROW}')
+
+SQL["job_label_pv_stored"] = SQL["job_label_pv"]

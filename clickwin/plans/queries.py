@@ -550,6 +550,20 @@ def job_dim_pv(spark, sf_dir):
     return _run_job(spark, sf_dir, "dim")
 
 
+@register("job_label_pv_stored")
+def job_label_pv_stored(spark, sf_dir):
+    # the same two launches against a log stored by day: every window read
+    # and gate probe prunes to the day folders it needs
+    log = scratch_path(spark, "daylog")
+    cl.write_clicklog(_click(spark, sf_dir), log)
+    root = scratch_path(spark, "job-label-stored")
+    store = inc.label_store(root)
+    for _ in range(2):
+        inc.run_window_job(spark, lambda s, e: cl.read_clicklog(spark, log, s, e), store,
+                           "label", 360, now=NOW, default_start=START)
+    return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")
+
+
 @register("job_copy_window")
 def job_copy_window(spark, sf_dir):
     dst = scratch_path(spark, "copy")

@@ -189,11 +189,26 @@ def write_clicklog(click: DataFrame, path: str, num_partitions: int | None = Non
      .partitionBy(DAY_PARTITION).parquet(path))
 
 
-def read_clicklog(spark: SparkSession, path: str) -> DataFrame:
+def read_clicklog(spark: SparkSession, path: str, start: str | None = None,
+                  end: str | None = None) -> DataFrame:
     """Read a stored click log; ``DAY`` stays a string partition column.
 
-    Window filters from ``operators.counts.in_window`` add the matching
-    ``DAY`` predicate, so a one-hour window lists and reads one day.
+    With both bounds only the day folders of ``[start, end)`` are listed and
+    read (a log of many years is never listed whole for a one-hour job).
+    Window filters from ``operators.counts.in_window`` also add the matching
+    ``DAY`` predicate, so a full read is pruned the same way.
     """
-    from clickwin.operators.upsert import read_table
+    from datetime import timedelta
+
+    from clickwin.operators.upsert import path_exists, read_partitions, read_table
+    if start is not None and end is not None:
+        d, last = key_start(start[:8]), key_start(end[:8])
+        dirs = []
+        while d <= last:
+            folder = f"{path.rstrip('/')}/{DAY_PARTITION}={d.strftime('%Y%m%d')}"
+            if path_exists(spark, folder):
+                dirs.append(folder)
+            d += timedelta(days=1)
+        if dirs:
+            return read_partitions(spark, path, DAY_PARTITION, dirs)
     return read_table(spark, path, [DAY_PARTITION])

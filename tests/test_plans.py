@@ -103,3 +103,15 @@ def test_window_bounds_reach_events_scan_exactly(spark, start, end):
         assert "GreaterThanOrEqual(ts," in plan
     if end:
         assert "LessThan(ts," in plan
+
+
+def test_stored_log_lists_only_window_days(spark, tmp_root):
+    path = os.path.join(tmp_root, "daylog2")
+    click = cl.clicklog(spark, SF001)
+    cl.write_clicklog(click, path, 4)
+    part = cl.read_clicklog(spark, path, "2024010523", "2024010601")
+    days = {f.split("DAY=")[1][:8] for f in part.inputFiles()}
+    assert days <= {"20240105", "20240106"} and days
+    got = counts.label_counts(part, "2024010523", "2024010601")
+    want = counts.label_counts(click, "2024010523", "2024010601")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
