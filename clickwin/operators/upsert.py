@@ -270,6 +270,14 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     _write(staged.select(*merged.columns), path, part, fmt, "overwrite")
 
 
+def upsert_sql(spark: SparkSession, path: str, sql: str, args, keys: Sequence[str],
+               partition_by: Sequence[str] = ()) -> None:
+    """Upsert the rows a SQL statement with bound values produces, e.g.
+    ``SELECT ? AS ENDTIME, ? AS STARTTIME`` with ``args=[end, start]``.
+    Values are bound, never spliced into the text."""
+    write_upsert(spark, path, spark.sql(sql, args=args), keys, partition_by)
+
+
 def _write(df: DataFrame, path: str, part: Sequence[str], fmt: str, mode: str) -> None:
     w = df.write.format(fmt).mode(mode)
     if part:
