@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from clickwin.functions.timekeys import (HOUR_KEY, MINUTE_KEY, add_to_key, key_range,
-                                         key_to_ms, now_millis, shift_key)
+from clickwin.functions.timekeys import (HOUR_KEY, MINUTE_KEY, add_to_key, key_to_ms,
+                                         now_millis, shift_key)
 from clickwin.operators import counts
 from clickwin.operators import upsert as up
 
