@@ -364,3 +364,5 @@ SQL["lookup_object_ci"] = with_clicklog(
     f'SELECT CAST(ID AS BIGINT) AS ID, UDID, PLATFORM AS "Platform" FROM {_LATEST_ROW}')
 
 SQL["job_label_pv_stored"] = SQL["job_label_pv"]
+
+SQL["scan_key_range_stored"] = SQL["scan_key_range"]

@@ -156,6 +156,15 @@ def scan_key_range(spark, sf_dir):
     return cx.scan_key_range(_cells(spark, sf_dir), "0000", "0100", "info")
 
 
+@register("scan_key_range_stored")
+def scan_key_range_stored(spark, sf_dir):
+    # cells stored range-partitioned and sorted by row key: the [start, stop)
+    # bounds are pushed to the scan and row groups outside them are skipped
+    path = scratch_path(spark, "cells")
+    cl.write_sorted_cells(_cells(spark, sf_dir), path)
+    return cx.scan_key_range(spark.read.parquet(path), "0000", "0100", "info")
+
+
 @register("scan_qualifier")
 def scan_qualifier(spark, sf_dir):
     return cx.scan_qualifier(_cells(spark, sf_dir), "info", "CONTENT_TYPE")
