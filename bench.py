@@ -42,8 +42,12 @@ def main() -> None:
     from clickwin.session import get_spark
     from clickwin.plans.queries import QUERIES
 
-    spark = get_spark(f"local[{cpus}]", int(cpus) * 2,
-                      extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        # stage / task times for later reading, without any UI or server
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = get_spark(f"local[{cpus}]", int(cpus) * 2, extra=extra)
     # warm-up: one unmeasured run of every headline query (JIT, file footers)
     for name in HEADLINE:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
