@@ -66,7 +66,8 @@ def null_safe_keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:
                 t.startswith("decimal"):
             d = F.lit(0).cast(t)
         else:
-            out.append(F.col(k))
+            # dates, timestamps, ...: compare their text form, still null-safe
+            out += [F.coalesce(F.col(k).cast("string"), F.lit("")), F.isnull(F.col(k))]
             continue
         out += [F.coalesce(F.col(k), d), F.isnull(F.col(k))]
     return out

@@ -109,3 +109,17 @@ def test_rerun_reads_only_touched_partition(spark, tmp_root):
     old = up.read_partitions(spark, path, "ENDTIME", [path + "/ENDTIME=2024010102"])
     assert old.inputFiles() and all("ENDTIME=2024010102" in f for f in old.inputFiles())
     assert dict(old.dtypes)["ENDTIME"] == "string"
+
+
+def test_null_safe_date_and_int_keys(spark):
+    import datetime as dt
+    schema = "d date, n int, v string"
+    old = spark.createDataFrame([(None, None, "old"), (dt.date(2024, 1, 1), 1, "old1")], schema)
+    new = spark.createDataFrame([(None, None, "new"), (dt.date(2024, 1, 2), None, "new2")],
+                                schema)
+    got = sorted((str(r["d"]), str(r["n"]), r["v"]) for r in
+                 up.merge_upsert(old, new, ["d", "n"]).collect())
+    assert got == [("2024-01-01", "1", "old1"), ("2024-01-02", "None", "new2"),
+                   ("None", "None", "new")]
+    partial = up.merge_upsert(old, new.select("d", "n", "v"), ["d", "n"], ["d", "n", "v"])
+    assert partial.count() == 3
