@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from clickwin.functions.labels import split_labels
 from clickwin.functions.timekeys import HOUR_KEY
@@ -113,11 +114,17 @@ def start_to_store(df: DataFrame, store, checkpoint: str, available_now: bool =
     spark = df.sparkSession
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():  # no window closed in this micro-batch
-            return
-        store.write_results(spark, batch)
-        windows = batch.select("ENDTIME", "STARTTIME").distinct()
-        store.mark_many(spark, windows)
+        # read three times (empty check, keyed write, markers): keep it rather
+        # than recompute the stateful micro-batch; spills to disk if large
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():  # no window closed in this micro-batch
+                return
+            store.write_results(spark, batch)
+            windows = batch.select("ENDTIME", "STARTTIME").distinct()
+            store.mark_many(spark, windows)
+        finally:
+            batch.unpersist()
 
     w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint) \
         .foreachBatch(write_batch)
