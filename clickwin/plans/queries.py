@@ -42,10 +42,14 @@ def register(name: str):
     return deco
 
 
-def _click(spark, sf_dir, start=None, end=None):
-    # Time keys are read and written in UTC throughout.  Window bounds become
-    # pushed filters on the stored event time.
+def _utc(spark):
+    # Time keys are read and written in UTC throughout.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _click(spark, sf_dir, start=None, end=None):
+    # Window bounds become pushed filters on the stored event time.
+    _utc(spark)
     return cl.clicklog(spark, sf_dir, start, end)
 
 
@@ -317,8 +321,8 @@ def lookup_exactly_one(spark, sf_dir):
 @register("ms_to_key")
 def ms_to_key(spark, sf_dir):
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    _utc(spark)
     ev = cl.load(spark, sf_dir, "events")
-    _click(spark, sf_dir)
     return ev.select(F.col("event_id").cast("string").alias("ID"),
                      tk.ms_to_key(ms.cast("string")).alias("KEY17"),
                      tk.ms_to_key(ms, tk.HOUR_KEY).alias("KEYH"))
@@ -326,8 +330,8 @@ def ms_to_key(spark, sf_dir):
 
 @register("ts_to_key")
 def ts_to_key(spark, sf_dir):
+    _utc(spark)
     ev = cl.load(spark, sf_dir, "events")
-    _click(spark, sf_dir)
     return ev.select(F.col("event_id").cast("string").alias("ID"),
                      tk.ts_to_key("ts", tk.DAY_KEY).alias("K_DAY"),
                      tk.ts_to_key("ts", tk.HOUR_KEY).alias("K_HOUR"),
@@ -583,7 +587,7 @@ def job_copy_window(spark, sf_dir):
 # -- streaming -------------------------------------------------------------------
 
 def _run_stream(spark, sf_dir, kind):
-    _click(spark, sf_dir)
+    _utc(spark)
     events = sc.event_stream(spark, sf_dir, "events.parquet")
     df = sc.stream_label_counts(events) if kind == "label" else sc.stream_dim_counts(events)
     sink = scratch_path(spark, f"stream-{kind}")
