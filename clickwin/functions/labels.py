@@ -19,11 +19,18 @@ def split_labels(col, sep: str = ",") -> Column:
     first.  Null stays null (and ``explode`` then yields no row).
     """
     c = _c(col)
-    s = F.lit(sep)
+    empty = F.array().cast("array<string>")
+    if len(sep) == 1:
+        # Fast path, no regular expression per row: trailing separators are
+        # trimmed as characters; a non-empty string that trims to '' was
+        # made only of separators.  (``split`` with a one-character literal
+        # pattern takes the JDK's non-regex fast path.)
+        stripped = F.rtrim(c, F.lit(sep))
+        return F.when((stripped == F.lit("")) & (c != F.lit("")), empty).otherwise(
+            F.split(stripped, _re(sep)))
     only_seps = c.rlike(f"^(?:{_re(sep)})+$")
     stripped = F.regexp_replace(c, F.lit(f"(?:{_re(sep)})+$"), F.lit(""))
-    return F.when(only_seps, F.array().cast("array<string>")).otherwise(
-        F.split(stripped, _re(sep)))
+    return F.when(only_seps, empty).otherwise(F.split(stripped, _re(sep)))
 
 
 def _re(sep: str) -> str:

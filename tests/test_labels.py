@@ -60,3 +60,9 @@ def test_empty_window_gives_no_rows(spark):
     df = spark.createDataFrame([("2024010100000", "a")], "TIME string, CONTENT_LABEL string")
     assert counts.label_pv_window(df, "2025010100", "2025010101").count() == 0
     assert counts.max_value(df.where(F.lit(False)), "TIME").first()["TIME"] is None
+
+
+def test_multi_char_separator_path(spark):
+    df = spark.createDataFrame([("a;;b;;",), (";;;;",), ("",), (";;a",)], "s string")
+    got = {r["s"]: r["p"] for r in df.select("s", split_labels("s", ";;").alias("p")).collect()}
+    assert got == {"a;;b;;": ["a", "b"], ";;;;": [], "": [""], ";;a": ["", "a"]}
