@@ -18,8 +18,6 @@ import json
 import sys
 from datetime import datetime
 
-from clickwin.operators import counts
-from clickwin.plans import backfill as bf
 from clickwin.plans import incremental as inc
 from clickwin.session import get_spark
 from clickwin.sources import clicklog as cl
@@ -61,14 +59,10 @@ def main(argv: list[str] | None = None) -> int:
         status = inc.run_window_job(spark, source, store, args.job, args.step, now=now,
                                     default_start=args.default_start, gate=args.gate)
     elif args.job == "backfill":
-        click = counts.in_window(source(args.default_start, None), args.default_start, None)
-        make = bf.label_backfill if args.kind == "label" else bf.dim_backfill
-        rows = make(click, args.default_start, args.step, now=now, gate=args.gate)
         store = inc.label_store(args.store) if args.kind == "label" else inc.dim_store(
             args.store)
-        store.write_results(spark, rows)
-        store.mark_many(spark, store.results(spark).select("ENDTIME", "STARTTIME").distinct())
-        status = {"status": "done"}
+        status = inc.run_catch_up(spark, source, store, args.kind, args.step, now=now,
+                                  default_start=args.default_start, gate=args.gate)
     else:
         inc.copy_window(spark, source, args.dest,
                         ["ID", "TIME", "PARAM_TYPE", "URL", "TITLE", "CONTENT_TYPE"],

@@ -106,20 +106,46 @@ def backfill(df: DataFrame, start: str, step_hours: int,
     """All ready windows: ``(ENDTIME, STARTTIME, *keys, FREQUENCY)``.
 
     ``materialize`` writes the hour-grain aggregate once as a table in
-    ``spark.checkpoint.dir`` and reads it back.  The big table is then scanned exactly once;
-    the readiness subquery and the final roll-up read the small checkpoint,
-    and a lost executor never forces a rescan of the source.  It also keeps
-    Catalyst from pushing the window-limit predicate (a function of the hour
-    key) below the aggregate, where it would be evaluated once per row.
+    ``spark.checkpoint.dir`` and reads it back.  The big table is then
+    scanned exactly once; the readiness subquery and the final roll-up read
+    the small table, and a lost executor never forces a rescan of the
+    source.  It also keeps Catalyst from pushing the window-limit predicate
+    (a function of the hour key) below the aggregate, where it would be
+    evaluated once per row.
     """
+    return backfill_parts(df, start, step_hours, keys, count_filter, now, gate, time_col,
+                          materialize)[0]
+
+
+def backfill_parts(df: DataFrame, start: str, step_hours: int,
+                   keys: Callable[[DataFrame], DataFrame], count_filter: Column | None = None,
+                   now: datetime | None = None, gate: str = "next_hour",
+                   time_col: str = "TIME", materialize: bool = True
+                   ) -> tuple[DataFrame, DataFrame]:
+    """``(rows, windows)``: the result rows and every ready window
+    ``(ENDTIME, STARTTIME)`` -- also those without rows, so each can be
+    marked done.  The window list has one row per window (bounded by the time
+    span, not by the data)."""
     h = int(step_hours)
     hourly = hourly_counts(df, start, keys, time_col)
     if materialize:
         hourly = materialize_table(hourly, "hourly")
     hourly = hourly.withColumn("K", _hour_index(F.col("HOUR"), start)).where(
         F.col("K").isNotNull())
-    key_cols = [c for c in hourly.columns if c not in ("HOUR", "N", "K")]
     limit = ready_limit(hourly.select("K"), h, start, now, gate)
+    rows = _rollup(hourly, start, h, limit, count_filter)
+    spark = df.sparkSession
+    windows = (spark.range(1)
+               .select(F.explode(F.when(limit > 0, F.sequence(F.lit(0).cast("bigint"),
+                                                              limit - 1))).alias("W"))
+               .select(_window_key(start, (F.col("W") + 1) * h).alias("ENDTIME"),
+                       _window_key(start, F.col("W") * h).alias("STARTTIME")))
+    return rows, windows
+
+
+def _rollup(hourly: DataFrame, start: str, h: int, limit: Column,
+            count_filter: Column | None) -> DataFrame:
+    key_cols = [c for c in hourly.columns if c not in ("HOUR", "N", "K")]
     kept = hourly.where((F.col("K") >= 0) & (F.floor(F.col("K") / h) < limit))
     if count_filter is not None:
         kept = kept.where(count_filter)
@@ -139,6 +165,20 @@ def label_keys(label_col: str = "CONTENT_LABEL") -> Callable[[DataFrame], DataFr
     return f
 
 
+def label_parts(df: DataFrame, start: str, step_hours: int, now: datetime | None = None,
+                gate: str = "next_hour") -> tuple[DataFrame, DataFrame]:
+    return backfill_parts(df, start, step_hours, label_keys(), F.col("WORD").isNotNull(),
+                          now, gate)
+
+
+def dim_parts(df: DataFrame, start: str, step_hours: int,
+              dims: Sequence[str] = ("PLATFORM", "PARAM_TYPE", "CONTENT_TYPE"),
+              now: datetime | None = None, gate: str = "next_hour"
+              ) -> tuple[DataFrame, DataFrame]:
+    return backfill_parts(df, start, step_hours, lambda r: r.select("HOUR", *dims), None,
+                          now, gate)
+
+
 def label_backfill(df: DataFrame, start: str, step_hours: int, now: datetime | None = None,
                    gate: str = "next_hour", materialize: bool = True) -> DataFrame:
     return backfill(df, start, step_hours, label_keys(), F.col("WORD").isNotNull(), now, gate,

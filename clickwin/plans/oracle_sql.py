@@ -366,3 +366,5 @@ SQL["lookup_object_ci"] = with_clicklog(
 SQL["job_label_pv_stored"] = SQL["job_label_pv"]
 
 SQL["scan_key_range_stored"] = SQL["scan_key_range"]
+
+SQL["job_catch_up"] = LABEL_5H

@@ -577,6 +577,17 @@ def job_label_pv_stored(spark, sf_dir):
     return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")
 
 
+@register("job_catch_up")
+def job_catch_up(spark, sf_dir):
+    # scheduler-style catch-up: the first run does every ready 5-hour window
+    # in one pass, the second finds the next window not ready yet
+    store = inc.label_store(scratch_path(spark, "job-catch-up"))
+    for _ in range(2):
+        inc.run_catch_up(spark, _source(spark, sf_dir), store, "label", 5, now=NOW,
+                         default_start=START)
+    return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")
+
+
 @register("job_copy_window")
 def job_copy_window(spark, sf_dir):
     dst = scratch_path(spark, "copy")

@@ -122,3 +122,27 @@ def test_marker_in_results_parity(spark, tmp_root):
     markers = res.where(F.col("WORD").isNull()).collect()
     assert sorted(r["ENDTIME"] for r in markers) == ["2024010101", "2024010102"]
     assert all(r["FREQUENCY"] is None for r in markers)
+
+
+def test_catch_up_marks_every_ready_window_and_resumes(spark, tmp_root):
+    click = cl.clicklog(spark, SF001)
+    store = inc.dim_store(tmp_root)
+    r1 = inc.run_catch_up(spark, click, store, "dim", 5, now=NOW, default_start=START)
+    r2 = inc.run_catch_up(spark, click, store, "dim", 5, now=NOW, default_start=START)
+    assert r1["status"] == "done" and r1["windows"] > 0
+    assert r2["status"] == "not_ready" and r2["start"] == r1["end"]
+    got = _sorted(store.results(spark).select("ENDTIME", "STARTTIME", *counts.DIMENSIONS,
+                                              "FREQUENCY"))
+    assert got == _sorted(bf.dim_backfill(click, START, 5, now=NOW))
+    marks = store.markers(spark)
+    assert marks.count() == r1["windows"]
+    # the one-window job continues exactly where the catch-up stopped
+    nxt = inc.next_window(spark, marks, 5, now=NOW).first()
+    assert nxt["STARTTIME"] == r1["end"]
+
+
+def test_catch_up_with_nothing_ready(spark, tmp_root):
+    click = cl.clicklog(spark, SF001)
+    store = inc.label_store(tmp_root)
+    r = inc.run_catch_up(spark, click, store, "label", 1, now=NOW, default_start="2030010100")
+    assert r["status"] in ("not_ready", "caught_up") and r["windows"] == 0
