@@ -218,14 +218,29 @@ def dim_store(root: str, dims: Sequence[str] = counts.DIMENSIONS,
 
 def copy_window(spark: SparkSession, src, dst_path: str, columns: Sequence[str],
                 start: str, end: str, keys: Sequence[str] = ("ID",),
-                partition_by: Sequence[str] = (), time_col: str = "TIME") -> None:
+                by_day: bool = True, time_col: str = "TIME") -> None:
     """Upsert a projected time slice of one table into another.
 
-    Narrow: scan (with the range pushed down) -> project -> write; the only
-    shuffle is the keyed merge when the target already holds rows.
+    Narrow: scan (window pushed down) -> project -> write.  With ``by_day``
+    the target is partitioned by the day of ``TIME`` and only the day folders
+    of ``[start, end)`` are read and merged, so copying one hour into a large
+    table costs one day, not the table.  (A key never changes day: an event
+    keeps its time.)
     """
     rows = rows_between(src, start, end).select(*columns)
-    up.write_upsert(spark, dst_path, rows, list(keys), partition_by=partition_by)
+    if not by_day:
+        up.write_upsert(spark, dst_path, rows, list(keys))
+        return
+    from datetime import timedelta
+
+    from clickwin.sources.clicklog import DAY_PARTITION, key_start
+    rows = rows.withColumn(DAY_PARTITION, F.substring(time_col, 1, 8))
+    days, d, last = [], key_start(start[:8]), key_start(end[:8])
+    while d <= last:
+        days.append(d.strftime("%Y%m%d"))
+        d += timedelta(days=1)
+    up.write_upsert(spark, dst_path, rows, list(keys), partition_by=[DAY_PARTITION],
+                    partition_values=days)
 
 
 __all__ = ["next_window", "window_ready", "WindowStore", "run_window_job", "label_store",

@@ -592,7 +592,7 @@ def job_catch_up(spark, sf_dir):
 def job_copy_window(spark, sf_dir):
     dst = scratch_path(spark, "copy")
     inc.copy_window(spark, _source(spark, sf_dir), dst, COPY_COLS, START, MONTH_END)
-    return spark.read.parquet(dst)
+    return up.read_table(spark, dst, [cl.DAY_PARTITION]).select(*COPY_COLS)
 
 
 # -- streaming -------------------------------------------------------------------

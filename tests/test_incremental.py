@@ -98,6 +98,11 @@ def test_copy_window(spark, tmp_root):
     want = click.where((F.col("TIME") >= "2024010500") & (F.col("TIME") < "2024010700"))
     assert got.count() == want.count() > 0
     assert got.select("ID").distinct().count() == got.count()
+    # a later copy of another day leaves the copied days untouched
+    inc.copy_window(spark, click, dst, cols, "2024010900", "2024010901")
+    assert sorted(p.split("DAY=")[1][:8] for p in {f.rsplit("/", 1)[0] for f in
+                  spark.read.parquet(dst).inputFiles()}) == ["20240105", "20240106",
+                                                             "20240109"]
 
 
 def test_any_later_gate_skips_empty_hours(spark):
