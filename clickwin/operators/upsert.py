@@ -280,6 +280,13 @@ def upsert_sql(spark: SparkSession, path: str, sql: str, args, keys: Sequence[st
 
 
 def _write(df: DataFrame, path: str, part: Sequence[str], fmt: str, mode: str) -> None:
+    if part:
+        # Cluster rows by partition value before a partitioned write: without
+        # it every task writes a file into every partition it holds rows for
+        # (tasks x partitions small files).  REBALANCE lets AQE coalesce small
+        # partitions and split a skewed one, so a hot window or day is still
+        # written by several tasks.
+        df = df.hint("rebalance", *part)
     w = df.write.format(fmt).mode(mode)
     if part:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*part)

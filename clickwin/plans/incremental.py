@@ -92,7 +92,16 @@ def window_ready(click, end: str, pattern: str = HOUR_KEY, gate: str = "next_hou
 
 
 class WindowStore:
-    """Result table (partitioned by window end) plus a marker table."""
+    """Result table plus a marker table.
+
+    Results are partitioned by the day of the window end (``END_DAY``), not
+    by the window itself: a catch-up or a stream closing hundreds of hourly
+    windows then writes a few dozen folders instead of one per window (one
+    folder per window is a small-files problem at scale), and a rerun merges
+    one day folder.
+    """
+
+    PART = "END_DAY"
 
     def __init__(self, root: str, table_name: str, keys: Sequence[str],
                  marker_in_results: bool = False):
@@ -118,14 +127,15 @@ class WindowStore:
             F.col("TABLE_NAME") == self.table_name)
 
     def results(self, spark: SparkSession) -> DataFrame:
-        return up.read_table(spark, self.results_path, ["ENDTIME"])
+        return up.read_table(spark, self.results_path, [self.PART]).drop(self.PART)
 
     def write_results(self, spark: SparkSession, rows: DataFrame, end: str | None = None
                       ) -> None:
-        """Upsert result rows; ``end`` (the window's end, when known) lets a
-        first run write its new partition directly."""
-        up.write_upsert(spark, self.results_path, rows, self.keys, partition_by=["ENDTIME"],
-                        unique=True, partition_values=None if end is None else [end])
+        """Upsert result rows; ``end`` (the window's end, when known) limits
+        the merge to that day's folder, or writes it directly when new."""
+        rows = rows.withColumn(self.PART, F.substring("ENDTIME", 1, 8))
+        up.write_upsert(spark, self.results_path, rows, self.keys, partition_by=[self.PART],
+                        unique=True, partition_values=None if end is None else [end[:8]])
 
     def mark(self, spark: SparkSession, start: str, end: str) -> None:
         if self.marker_in_results:
@@ -133,8 +143,7 @@ class WindowStore:
             marker = spark.range(1).select(*[
                 (F.lit(end) if c == "ENDTIME" else F.lit(start) if c == "STARTTIME"
                  else F.lit(None)).cast(t).alias(c) for c, t in rows.dtypes])
-            up.write_upsert(spark, self.results_path, marker, self.keys,
-                            partition_by=["ENDTIME"], unique=True)
+            self.write_results(spark, marker, end)
             return
         row = spark.createDataFrame([(self.table_name, end, start)], MARKER_SCHEMA)
         up.write_upsert(spark, self.markers_path, row, ["TABLE_NAME", "ENDTIME"], unique=True)

@@ -368,3 +368,5 @@ SQL["job_label_pv_stored"] = SQL["job_label_pv"]
 SQL["scan_key_range_stored"] = SQL["scan_key_range"]
 
 SQL["job_catch_up"] = LABEL_5H
+
+SQL["stream_label_store"] = SQL["stream_label_pv"]

@@ -615,3 +615,14 @@ def stream_label_pv(spark, sf_dir):
 @register("stream_dim_pv")
 def stream_dim_pv(spark, sf_dir):
     return _run_stream(spark, sf_dir, "dim")
+
+
+@register("stream_label_store")
+def stream_label_store(spark, sf_dir):
+    # the stream writes closed windows into the label job's keyed store
+    _utc(spark)
+    events = sc.event_stream(spark, sf_dir, "events.parquet")
+    store = inc.label_store(scratch_path(spark, "stream-store"))
+    sc.start_to_store(sc.stream_label_counts(events), store,
+                      scratch_path(spark, "stream-store-checkpoint")).awaitTermination()
+    return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")

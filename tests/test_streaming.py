@@ -55,3 +55,20 @@ def test_stream_into_keyed_store_matches_batch_launch(spark, tmp_root):
     cols = ["ENDTIME", "STARTTIME", "WORD", "FREQUENCY"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(
         map(tuple, batch.select(*cols).collect()))
+
+
+def test_rocksdb_state_store_gives_same_windows(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    sc.use_rocksdb_state(spark)
+    try:
+        assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
+        events = sc.event_stream(spark, SF01, "events.parquet")
+        sink = scratch_path(spark, "test-rocks")
+        sc.start_to_parquet(sc.stream_dim_counts(events), sink, sink + "-ckpt").awaitTermination()
+        assert spark.read.parquet(sink).count() == 9110
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
