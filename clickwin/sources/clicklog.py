@@ -97,7 +97,13 @@ def events_between(events: DataFrame, start: str | None, end: str | None,
     for bound, op in ((start, "__ge__"), (end, "__lt__")):
         if bound is None:
             continue
-        lit = F.lit(key_start(bound).isoformat(sep=" ")).cast("timestamp_ntz")
+        try:
+            at = key_start(bound)
+        except (KeyError, ValueError):
+            # a bound of another width is still a valid string bound on TIME
+            # (applied by the window filter); it just is not pushed down
+            continue
+        lit = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
         c = getattr(F.col(ts_col), op)(lit)
         cond = c if cond is None else cond & c
     return events if cond is None else events.where(cond)

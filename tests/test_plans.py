@@ -90,7 +90,8 @@ def test_full_row_upsert_does_not_shuffle_stored_side(spark):
 @pytest.mark.parametrize("start,end", [("2024010500", "2024010600"),
                                        ("202401051234", "202401070001"),
                                        ("20240105123456789", "20240105180000001"),
-                                       (None, "20240103"), ("2024012923", None)])
+                                       (None, "20240103"), ("2024012923", None),
+                                       ("2024010512345", "202401060")])
 def test_window_bounds_reach_events_scan_exactly(spark, start, end):
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     sf = "/root/testdata/sf0.01"
@@ -99,9 +100,9 @@ def test_window_bounds_reach_events_scan_exactly(spark, start, end):
     assert sorted(r["ID"] for r in bounded.select("ID").collect()) == sorted(
         r["ID"] for r in full.select("ID").collect())
     plan = _plan(bounded)
-    if start:
+    if start and len(start) in (8, 10, 12, 14, 17):
         assert "GreaterThanOrEqual(ts," in plan
-    if end:
+    if end and len(end) in (8, 10, 12, 14, 17):
         assert "LessThan(ts," in plan
 
 
