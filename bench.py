@@ -6,8 +6,10 @@ Runs the main page-view queries at ``$BENCH_SF_DIR`` (default
 
 Each query is executed to completion with the ``noop`` sink (no driver
 collection); one unmeasured pass over all queries runs first so JVM start-up
-and JIT compilation are not charged to the measured runs.  Each query is timed ``$BENCH_REPEAT`` times
-(default 3) and the best time is reported.
+and JIT compilation are not charged to the measured runs.  Each query is
+timed ``$BENCH_REPEAT`` times (default 3) and the best time is reported.
+``$BENCH_EVENT_LOG_DIR`` (a fresh scratch folder) turns on Spark's event log
+for stage and task times.
 """
 
 from __future__ import annotations

@@ -107,8 +107,8 @@ def test_copy_window(spark, tmp_root):
 
 def test_any_later_gate_skips_empty_hours(spark):
     rows = [("20240101000500000",), ("20240101010500000",), ("20240101030500000",)]
-    click = spark.createDataFrame(rows, "TIME string").selectExpr("TIME", "'ios' AS PLATFORM", "'p1' AS PARAM_TYPE",
-                             "'view' AS CONTENT_TYPE")
+    click = spark.createDataFrame(rows, "TIME string").selectExpr(
+        "TIME", "'ios' AS PLATFORM", "'p1' AS PARAM_TYPE", "'view' AS CONTENT_TYPE")
     strict = bf.dim_backfill(click, START, 1, now=NOW)
     assert sorted(r[0] for r in strict.select("ENDTIME").collect()) == ["2024010101"]
     loose = bf.dim_backfill(click, START, 1, now=NOW, gate="any_later")
