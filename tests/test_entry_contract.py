@@ -1,0 +1,31 @@
+"""The driver contract of __spark_entry__.py."""
+
+import inspect
+import re
+
+import __spark_entry__ as E
+
+DRIVER_VIEWS = {"region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+                "events", "documents", "embeddings", "pages", "benchmark", "labels",
+                "conversations"}
+
+
+def test_every_query_has_oracle_sql_and_takes_spark_and_dir():
+    qs, sql = E.queries(), E.oracle_sql()
+    assert set(qs) == set(sql) and len(qs) >= 70
+    for name, fn in qs.items():
+        assert list(inspect.signature(fn).parameters)[:2] == ["spark", "sf_dir"], name
+
+
+def test_oracle_sql_reads_only_driver_views():
+    for name, text in E.oracle_sql().items():
+        froms = set(re.findall(r"\bFROM\s+([A-Za-z_][A-Za-z0-9_]*)", text, re.I))
+        ctes = set(re.findall(r"\b([A-Za-z_][A-Za-z0-9_]*)\s+AS\s*\(", text, re.I))
+        unknown = {f for f in froms if f.lower() not in DRIVER_VIEWS and f not in ctes}
+        assert not unknown, (name, unknown)
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema
+    assert [f.name for f in a.schema.fields] == ["ENDTIME", "STARTTIME", "WORD", "FREQUENCY"]
