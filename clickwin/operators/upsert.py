@@ -269,6 +269,17 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     _write(merged, staging, part, fmt, "overwrite")
     staged = read_table(spark, staging, part, fmt)
     _write(staged.select(*merged.columns), path, part, fmt, "overwrite")
+    # the overwrite has committed: the staging copy is no longer needed
+    _delete_quietly(spark, staging)
+
+
+def _delete_quietly(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001 -- a leftover staging folder is harmless
+        pass
 
 
 def upsert_sql(spark: SparkSession, path: str, sql: str, args, keys: Sequence[str],
