@@ -127,6 +127,8 @@ class WindowStore:
             F.col("TABLE_NAME") == self.table_name)
 
     def results(self, spark: SparkSession) -> DataFrame:
+        if not up.path_exists(spark, self.results_path):
+            raise FileNotFoundError(f"no results written yet under {self.results_path}")
         return up.read_table(spark, self.results_path, [self.PART]).drop(self.PART)
 
     def write_results(self, spark: SparkSession, rows: DataFrame, end: str | None = None

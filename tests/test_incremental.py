@@ -151,3 +151,11 @@ def test_catch_up_with_nothing_ready(spark, tmp_root):
     store = inc.label_store(tmp_root)
     r = inc.run_catch_up(spark, click, store, "label", 1, now=NOW, default_start="2030010100")
     assert r["status"] in ("not_ready", "caught_up") and r["windows"] == 0
+
+
+def test_results_of_an_empty_store_is_a_clear_error(spark, tmp_root):
+    import pytest
+    store = inc.label_store(tmp_root)
+    assert store.markers(spark) is None
+    with pytest.raises(FileNotFoundError):
+        store.results(spark)
