@@ -8,10 +8,11 @@ shingle sets are one node from the start (the one with the smallest id).
 In a bucket the candidates are the edges of a star around its smallest node,
 so their number is linear in the bucket.  Every edge is confirmed on the full
 shingle sets.  A star can miss a link between two nodes that are both unlike
-its centre: buckets whose nodes are not yet in one component get more stars,
-and in what is then left every node outside the bucket's largest component is
-held against the nodes of other components, so no link inside a bucket is
-lost and nodes known to be connected are never compared again.
+its centre.  So where a bucket's nodes are not yet in one component, the nodes
+outside its largest component are held against the others once more, by
+matrix products over blocks of at most BLOCK shingle sets: no link inside a
+bucket is lost, no pairs are emitted but links (one per node and component),
+and nodes known to be connected are not compared again.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from clickwin.session import materialize
 SHINGLE = 5
 BANDS, ROWS = 48, 5         # a link of similarity 0.75 shares no bucket with chance 2e-6
 BINS = BANDS * ROWS
-STARS = 2                   # star rounds after the first, before the rest is compared
+BLOCK = 1024                # shingle sets on either side of a block
+WIDTH = 8192                # shingles of one matrix product
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -191,10 +193,10 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     named = sigs.where("n > 0 and doc_id is not null")
     reps = materialize(named.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "reps")
     keys = (named.join(reps, ["fp", "doc_id"], "left_semi")
-            .select("doc_id", "n", F.explode("bands").alias("key")))
+            .select("doc_id", F.explode("bands").alias("key")))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top")
                                      ).where("hub < top").select("key", "hub")
-    buckets = materialize(keys.join(shared, "key"), "buckets")       # key, doc_id, n, hub
+    buckets = materialize(keys.join(shared, "key"), "buckets")       # key, doc_id, hub
 
     pairs = (buckets.where("doc_id <> hub")
              .select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
@@ -205,16 +207,11 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = materialize(docs.join(nodes, "doc_id", "left_semi"), "texts")
     edges = materialize(confirm(pairs, texts, percent), "links")
     labels = components(edges)
-    for turn in range(STARS + 1):
-        open_ = _open_buckets(buckets, labels)
-        if open_.isEmpty():
-            break
-        more = (_stars(open_, turn) if turn < STARS else _rest(open_)).join(
-            pairs, ["a", "b"], "left_anti")
-        more = materialize(more, "pairs")
-        pairs = pairs.unionByName(more)
-        edges = edges.unionByName(materialize(confirm(more, texts, percent), "links"))
-        labels = components(edges)
+    open_ = _open_units(buckets, labels)
+    if not open_.isEmpty():
+        more = materialize(_links_across(open_, texts, percent), "links")
+        more = materialize(confirm(more, texts, percent), "links")
+        labels = components(edges.unionByName(more))
     named_reps = (reps.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                   .select("fp", F.coalesce("label", "doc_id").alias("label")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
@@ -223,43 +220,70 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
                     F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")))
 
 
-def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Buckets whose nodes lie in several components: key, doc_id, n, label,
-    main (the bucket's most frequent component)."""
+def _open_units(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes of buckets that span several components, by unit: the buckets
+    with the same largest component.  ``unit, doc_id, label`` once each."""
     now = (buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-           .select("key", "doc_id", "n", F.coalesce("label", "doc_id").alias("label")))
+           .select("key", "doc_id", F.coalesce("label", "doc_id").alias("label")))
     parts = now.groupBy("key", "label").agg(F.count("*").alias("rows"))
-    mixed = (parts.groupBy("key").agg(F.max_by("label", F.struct("rows", "label")).alias("main"),
+    mixed = (parts.groupBy("key").agg(F.max_by("label", F.struct("rows", "label")).alias("unit"),
                                       F.count("*").alias("parts")).where("parts > 1"))
-    return materialize(now.join(mixed.select("key", "main"), "key"), "open-buckets")
-
-
-def _possible(n1: str, n2: str, percent: int = 75) -> str:
-    """Set sizes that leave the similarity possible."""
-    return f"100 * least({n1}, {n2}) >= {percent} * greatest({n1}, {n2})"
-
-
-def _stars(open_: DataFrame, turn: int) -> DataFrame:
-    """Around one node outside the main component of each bucket."""
-    hub = (open_.where("label <> main").groupBy("key")
-           .agg(F.min_by(F.struct("doc_id", "n", "label"),
-                         F.xxhash64(F.lit(turn), "doc_id")).alias("h")))
-    return _pairs(open_.join(hub, "key").select("doc_id", "n", "label", "h.*")
-                  .toDF("x", "nx", "lx", "y", "ny", "ly"))
-
-
-def _rest(open_: DataFrame) -> DataFrame:
-    """Each node outside the main component with the bucket's other components."""
-    out = open_.where("label <> main").select(
-        "key", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"))
-    rest = open_.select("key", F.col("doc_id").alias("x"), F.col("n").alias("nx"),
-                        F.col("label").alias("lx"))
-    return _pairs(rest.join(out, "key"))
-
-
-def _pairs(p: DataFrame) -> DataFrame:
-    return (p.where("lx <> ly and " + _possible("nx", "ny"))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    return materialize(now.join(mixed.select("key", "unit"), "key")
+                       .select("unit", "doc_id", "label").distinct(), "open-buckets")
+
+
+def _links_across(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes outside a unit's main component and nodes of
+    its other components.  Large units are dealt into blocks, so a task holds
+    at most about 2 * BLOCK texts."""
+    out = F.col("label") != F.col("unit")
+    sizes = open_.groupBy("unit").agg(
+        F.ceil(F.count(F.when(out, 1)) / BLOCK).cast("int").alias("ni"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("nj"))
+    rows = open_.join(sizes, "unit").withColumn("h", F.xxhash64("doc_id"))
+    left = (rows.where(out).withColumn("i", F.expr("pmod(h, ni)"))
+            .withColumn("j", F.explode(F.expr("sequence(0, nj - 1)"))).withColumn("left", F.lit(True)))
+    right = (rows.withColumn("j", F.expr("pmod(h, nj)"))
+             .withColumn("i", F.explode(F.expr("sequence(0, ni - 1)")))
+             .withColumn("left", F.lit(False)))
+    cols = ["unit", "i", "j", "left", "doc_id", "label"]
+    id_type = open_.schema["doc_id"].dataType.simpleString()
+    schema = f"a {id_type}, b {id_type}"
+
+    def compare(pdf):
+        import pandas as pd
+        known: dict = {}
+        with np.errstate(over="ignore"):
+            sets = [shingle_hashes(t.encode(), known) for t in pdf["text"]]
+        side, ids, label = (pdf[c].to_numpy() for c in ("left", "doc_id", "label"))
+        x, y = np.flatnonzero(side), np.flatnonzero(~side)
+        n = np.array([len(h) for h in sets])
+        both = np.zeros((len(x), len(y)), np.float32)
+        shared = np.intersect1d(np.concatenate([sets[k] for k in x]),
+                                np.concatenate([sets[k] for k in y]))
+        for at in range(0, len(shared), WIDTH):
+            part = shared[at:at + WIDTH]
+            both += _presence(sets, x, part) @ _presence(sets, y, part).T
+        ok = 100 * both >= percent * (n[x][:, None] + n[y][None, :] - both)
+        ok &= label[x][:, None] != label[y][None, :]
+        links = []
+        for k in np.flatnonzero(ok.any(1)):
+            found = y[ok[k]]
+            _, first = np.unique(label[found], return_index=True)    # one per component
+            links += [(min(ids[x[k]], ids[m]), max(ids[x[k]], ids[m])) for m in found[first]]
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    return (left.select(*cols).unionByName(right.select(*cols)).join(texts, "doc_id")
+            .groupBy("unit", "i", "j").applyInPandas(compare, schema).distinct())
+
+
+def _presence(sets: list, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the sorted ``values`` each set holds."""
+    out = np.zeros((len(rows), len(values)), np.float32)
+    for i, k in enumerate(rows):
+        at = np.minimum(np.searchsorted(values, sets[k]), len(values) - 1)
+        out[i, at[values[at] == sets[k]]] = 1
+    return out
 
 
 def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
