@@ -184,3 +184,11 @@ def op10_top_k(spark, sf_dir):
     from clickwin.llm.topk import top_k
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+# -- 8 LM scoring -----------------------------------------------------------------
+
+@register("op8_lm_scoring")
+def op8_lm_scoring(spark, sf_dir):
+    from clickwin.llm.suffix_tree import lm_scores
+    return lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
