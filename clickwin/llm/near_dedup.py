@@ -143,7 +143,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = 75) -> DataFrame:
 
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(run, schema)
+    return (pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a")
+            .select("a", "b", "ta", "tb").mapInArrow(run, schema))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -204,7 +205,8 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     nodes = (pairs.select(F.col("a").alias("doc_id"))
              .unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
     # every text of a bucket with two nodes; all later rounds compare these only
-    texts = materialize(docs.join(nodes, "doc_id", "left_semi"), "texts")
+    # (a merge join: the list of nodes grows with the table, so it is never broadcast)
+    texts = materialize(docs.join(nodes.hint("merge"), "doc_id", "left_semi"), "texts")
     edges = materialize(confirm(pairs, texts, percent), "links")
     labels = components(edges)
     open_ = _open_units(buckets, labels)
