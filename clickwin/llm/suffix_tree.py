@@ -35,7 +35,7 @@ from clickwin.llm.common import batch_of, blocks, utf8, words
 from clickwin.session import materialize
 
 ALPHA = 0.1
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 END = b""                   # the end symbol; no word is empty
 
 
@@ -294,47 +294,47 @@ def score(corpus: DataFrame, counts: DataFrame, n: int, v: int, tree: Tree) -> D
     shared = spark.sparkContext.broadcast(tree)
     norm = n + ALPHA * (v + 1)
 
-    def run(batches):
+    def run(block: pa.Table, counted: pa.Table) -> pa.Table:
         tree = shared.value
         one = [c for c in tree.contexts if len(c) == 1]
         two = [c for c in tree.contexts if len(c) == 2]
         state_of = {c: i for i, c in enumerate(tree.contexts)}
-        for batch in batches:
-            for row in _numpy(batch):
-                c = np.zeros(len(row["vocab"]), np.int64)
-                c[row["at"]] = row["c"]
-                tokens, ends = row["tokens"], np.asarray(row["ends"])
-                starts = np.concatenate([[0], ends[:-1]])
-                hashes = word_hash(row["vocab"])
-                p = ((c + ALPHA) / norm)[tokens]
-                base = np.log10(p)
-                # contexts may not reach over a document's start
-                room = np.ones(len(tokens), np.int64) * 2
-                room[starts] = 0
-                room[(starts + 1)[starts + 1 < ends]] = 1
-                for length, contexts in ((1, one), (2, two)):
-                    if not contexts or len(tokens) <= length:
-                        continue
-                    state = np.full(len(tokens), -1, np.int64)
-                    state[1:] = Lookup(contexts, hashes).match(tokens, length)[:-1]
-                    state[room < length] = -1
-                    order = np.flatnonzero(state >= 0)
-                    order = order[np.argsort(state[order], kind="stable")]
-                    cut = np.flatnonzero(np.diff(state[order])) + 1
-                    for at in np.split(order, cut):
-                        if len(at):
-                            s = state_of[contexts[state[at[0]]]]
-                            p[at] = tree.prob(s, hashes[tokens[at]], p[at])
-                known = c[tokens] > 0
-                sums = [np.add.reduceat(x, starts) for x in
-                        (known.astype(np.int64), base, np.log10(p))]
-                yield batch_of(arrow, row["ids"], row["held"], ends - starts, sums[0],
-                               np.full(len(ends), n), sums[1], sums[2])
-
-    back = counts.groupBy("block").agg(F.collect_list("at").alias("at"),
-                                       F.collect_list("c").alias("c"))
-    return (corpus.select("block", "ids", "held", "ends", "tokens", "vocab").join(back, "block")
-            .drop("block").mapInArrow(run, schema))
+        out = []
+        for row in (r for batch in block.to_batches() for r in _numpy(batch)):
+            c = np.zeros(len(row["vocab"]), np.int64)
+            c[counted.column("at").to_numpy()] = counted.column("c").to_numpy()
+            tokens, ends = row["tokens"], np.asarray(row["ends"])
+            starts = np.concatenate([[0], ends[:-1]])
+            hashes = word_hash(row["vocab"])
+            p = ((c + ALPHA) / norm)[tokens]
+            base = np.log10(p)
+            # contexts may not reach over a document's start
+            room = np.full(len(tokens), 2, np.int8)
+            room[starts] = 0
+            room[(starts + 1)[starts + 1 < ends]] = 1
+            for length, contexts in ((1, one), (2, two)):
+                if not contexts or len(tokens) <= length:
+                    continue
+                state = np.full(len(tokens), -1, np.int64)
+                state[1:] = Lookup(contexts, hashes).match(tokens, length)[:-1]
+                state[room < length] = -1
+                order = np.flatnonzero(state >= 0)
+                order = order[np.argsort(state[order], kind="stable")]
+                cut = np.flatnonzero(np.diff(state[order])) + 1
+                for at in np.split(order, cut):
+                    if len(at):
+                        s = state_of[contexts[state[at[0]]]]
+                        p[at] = tree.prob(s, hashes[tokens[at]], p[at])
+            known = c[tokens] > 0
+            sums = [np.add.reduceat(x, starts) for x in
+                    (known.astype(np.int64), base, np.log10(p))]
+            out.append(batch_of(arrow, row["ids"], row["held"], ends - starts, sums[0],
+                                np.full(len(ends), n), sums[1], sums[2]))
+        return pa.Table.from_batches(out, arrow)
+
+    return (corpus.select("block", "ids", "held", "ends", "tokens", "vocab").groupBy("block")
+            .cogroup(counts.select("block", "at", "c").groupBy("block"))
+            .applyInArrow(run, schema))
 
 
 def lm_scores(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
