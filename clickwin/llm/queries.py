@@ -192,3 +192,12 @@ def op10_top_k(spark, sf_dir):
 def op8_lm_scoring(spark, sf_dir):
     from clickwin.llm.suffix_tree import lm_scores
     return lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# -- 2 benchmark decontamination -----------------------------------------------------
+
+@register("op2_decontamination")
+def op2_decontamination(spark, sf_dir):
+    from clickwin.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        table(spark, sf_dir, "benchmark", "item_id", "text"))
