@@ -35,7 +35,8 @@ from clickwin.llm.common import batch_of, blocks, utf8, words
 from clickwin.session import materialize
 
 ALPHA = 0.1
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
+SLICE = 1 << 18            # tokens scored at a time
 END = b""                   # the end symbol; no word is empty
 
 
@@ -303,33 +304,41 @@ def score(corpus: DataFrame, counts: DataFrame, n: int, v: int, tree: Tree) -> D
         for row in (r for batch in block.to_batches() for r in _numpy(batch)):
             c = np.zeros(len(row["vocab"]), np.int64)
             c[counted.column("at").to_numpy()] = counted.column("c").to_numpy()
-            tokens, ends = row["tokens"], np.asarray(row["ends"])
-            starts = np.concatenate([[0], ends[:-1]])
             hashes = word_hash(row["vocab"])
-            p = ((c + ALPHA) / norm)[tokens]
-            base = np.log10(p)
-            # contexts may not reach over a document's start
-            room = np.full(len(tokens), 2, np.int8)
-            room[starts] = 0
-            room[(starts + 1)[starts + 1 < ends]] = 1
-            for length, contexts in ((1, one), (2, two)):
-                if not contexts or len(tokens) <= length:
-                    continue
-                state = np.full(len(tokens), -1, np.int64)
-                state[1:] = Lookup(contexts, hashes).match(tokens, length)[:-1]
-                state[room < length] = -1
-                order = np.flatnonzero(state >= 0)
-                order = order[np.argsort(state[order], kind="stable")]
-                cut = np.flatnonzero(np.diff(state[order])) + 1
-                for at in np.split(order, cut):
-                    if len(at):
-                        s = state_of[contexts[state[at[0]]]]
-                        p[at] = tree.prob(s, hashes[tokens[at]], p[at])
-            known = c[tokens] > 0
-            sums = [np.add.reduceat(x, starts) for x in
-                    (known.astype(np.int64), base, np.log10(p))]
-            out.append(batch_of(arrow, row["ids"], row["held"], ends - starts, sums[0],
-                                np.full(len(ends), n), sums[1], sums[2]))
+            root = (c + ALPHA) / norm
+            lookups = [(k, ctx, Lookup(ctx, hashes)) for k, ctx in ((1, one), (2, two)) if ctx]
+            ends = np.asarray(row["ends"])
+            first = 0
+            while first < len(ends):          # some documents at a time, one at least
+                from_ = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, from_ + SLICE, "right")))
+                tokens = row["tokens"][from_:ends[last - 1]]
+                stop = ends[first:last] - from_
+                start = np.concatenate([[0], stop[:-1]])
+                p = root[tokens]
+                base = np.log10(p)
+                # contexts may not reach over a document's start
+                room = np.full(len(tokens), 2, np.int8)
+                room[start] = 0
+                room[(start + 1)[start + 1 < stop]] = 1
+                for length, contexts, lookup in lookups:
+                    if len(tokens) <= length:
+                        continue
+                    state = np.full(len(tokens), -1, np.int64)
+                    state[1:] = lookup.match(tokens, length)[:-1]
+                    state[room < length] = -1
+                    order = np.flatnonzero(state >= 0)
+                    order = order[np.argsort(state[order], kind="stable")]
+                    cut = np.flatnonzero(np.diff(state[order])) + 1
+                    for at in np.split(order, cut):
+                        if len(at):
+                            s = state_of[contexts[state[at[0]]]]
+                            p[at] = tree.prob(s, hashes[tokens[at]], p[at])
+                sums = [np.add.reduceat(x, start) for x in
+                        ((c[tokens] > 0).astype(np.int64), base, np.log10(p))]
+                out.append(batch_of(arrow, row["ids"][first:last], row["held"][first:last],
+                                    stop - start, sums[0], np.full(len(stop), n), *sums[1:]))
+                first = last
         return pa.Table.from_batches(out, arrow)
 
     return (corpus.select("block", "ids", "held", "ends", "tokens", "vocab").groupBy("block")
