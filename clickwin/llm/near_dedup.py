@@ -254,6 +254,8 @@ def _links_across(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame
 
     def compare(pdf):
         import pandas as pd
+        if pdf["left"].all() or not pdf["left"].any():       # nothing on one side
+            return pd.DataFrame({"a": [], "b": []})
         known: dict = {}
         with np.errstate(over="ignore"):
             sets = [shingle_hashes(t.encode(), known) for t in pdf["text"]]
