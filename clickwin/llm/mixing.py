@@ -67,7 +67,8 @@ def splitting_tree(quotas: np.ndarray, shards: int, rng) -> np.ndarray:
         return quotas[None, :]
     half = shards // 2
     share = int(quotas.sum()) * half // shards
-    # "marginals": a chain of univariate draws, no array of all draws
+    # "marginals": a chain of univariate draws, no array of all draws; numpy
+    # takes fewer than 1e9 draws, which is over a million sources
     left = (rng.multivariate_hypergeometric(quotas, share, method="marginals")
             if quotas.sum() else quotas)
     return np.vstack([splitting_tree(left, half, rng),
@@ -85,10 +86,12 @@ def _keyed(docs: DataFrame, seed: int) -> DataFrame:
 
 def plan_mix(docs: DataFrame, shards: int = 16, cap: float = 3.0, seed: int = 7
              ) -> DataFrame:
-    """``docs`` with ``size, source_size, target`` and ``places``: the output
-    shards that take the document, one entry per copy (none: not taken)."""
+    """``docs`` (without columns named like an output or ending in ``__``)
+    with ``size, source_size, target`` and ``places``: the output shards that
+    take the document, one entry per copy (none: not taken)."""
     spark = docs.sparkSession
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "places")]
+    kept = [c for c in docs.columns if not c.endswith("__")
+            and c not in ("size", "source_size", "target", "places")]
     sized = _keyed(docs.select(*kept, words_in(F.col("text")).alias("size")), seed)
     rows = materialize(sized.select("source", "key__", "perm__", "block__", "size"), "mix-sizes")
     per_block = materialize(rows.groupBy("source", "key__", "block__")
@@ -167,11 +170,11 @@ def mix(docs: DataFrame, shards: int = 16, cap: float = 3.0, seed: int = 7,
     columns named like an output are replaced.  The order depends on ids and
     seed only, so reruns agree.
     """
-    kept = [c for c in docs.columns if c not in ("mix_shard", "mix_copy", "size", "source_size",
-                                                 "target", "places")]
-    rows = plan_mix(docs, shards, cap, seed).select(
-        *kept, "size", F.posexplode("places").alias("mix_copy", "mix_shard"))
-    return shuffled(rows, shards, seed, lane_bytes).select(*kept, "mix_shard", "mix_copy")
+    kept = [c for c in docs.columns if c not in ("mix_shard", "mix_copy")]
+    packed = docs.select("doc_id", "source", "text", F.struct(*kept).alias("row"))
+    rows = plan_mix(packed, shards, cap, seed).select(
+        "row", "doc_id", "size", F.posexplode("places").alias("mix_copy", "mix_shard"))
+    return shuffled(rows, shards, seed, lane_bytes).select("row.*", "mix_shard", "mix_copy")
 
 
 def shuffled(rows: DataFrame, shards: int, seed: int, lane_bytes: int) -> DataFrame:

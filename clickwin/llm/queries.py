@@ -52,8 +52,8 @@ def op4_license_scan(spark, sf_dir):
 
 @register("op5_sharding")
 def op5_sharding(spark, sf_dir):
-    from clickwin.llm.sharding import shard_documents
-    docs = shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), shards=40)
+    from clickwin.llm.sharding import place
+    docs = place(table(spark, sf_dir, "documents", "doc_id", "text"), shards=40)
     return docs.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 

@@ -102,40 +102,43 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.005,
     """``docs`` with ``size, text_crc32, shard, slot``.
 
     ``size`` is the UTF-8 bytes of ``text`` (null: none) plus 16 and
-    ``text_crc32`` their CRC-32 (null: as empty); null and empty texts stay
-    apart only by their rows.  Law: every shard's bytes are equal up to
-    ``tolerance`` of a shard on either cut, or one document where a single
-    one is larger.  Slots count from 0 without gaps within a shard.  Shards
-    larger than ``lane_bytes`` are numbered by several tasks (lanes).  Rows
-    equal in text and id share a key and a shard, each with a slot of its own.
-    A null id is a key like another.  Input columns named like an output are
-    replaced; an empty table gives an empty result.  ``docs`` must be
-    repeatable (a table): it is read once for keys and once for the exchange.
+    ``text_crc32`` their CRC-32 (null: as empty).  Law: every shard's bytes
+    are equal up to ``tolerance`` of a shard on either cut, or one document
+    where a single one is larger.  Slots count from 0 without gaps within a
+    shard.  Shards larger than ``lane_bytes`` are numbered by several tasks
+    (lanes).  Rows equal in text and id share a key and a shard, each with a
+    slot of its own.  A null id is a key like another.  Input columns named
+    like an output are replaced; an empty table gives an empty result.
+    ``docs`` must be repeatable (a table): it is read once for keys and once
+    for the exchange.
     """
     kept = [c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    rows = docs.select("doc_id", "text", F.struct(*kept).alias("row"))
+    return (place(rows, shards, tolerance, lane_bytes, "row")
+            .select("row.*", "size", "text_crc32", "shard", "slot"))
+
+
+def place(docs: DataFrame, shards: int = 40, tolerance: float = 0.005,
+          lane_bytes: int = 128 << 20, *carry: str) -> DataFrame:
+    """``doc_id, size, text_crc32, shard, slot`` and the ``carry`` columns."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(*kept, (F.octet_length(text) + 16).cast("bigint").alias("size"),
+    keyed = docs.select("doc_id", *carry,
+                        (F.octet_length(text) + 16).cast("bigint").alias("size"),
                         F.crc32(text).alias("text_crc32"),
-                        _key62(text).alias("h__"), _key62(F.col("doc_id")).alias("g__"))
-    keys = materialize(keyed.select("size", F.col("h__").alias("h"), F.col("g__").alias("g")),
-                       "shard-keys")
+                        _key62(text).alias("h"), _key62(F.col("doc_id")).alias("g"))
+    keys = materialize(keyed.select("size", "h", "g"), "shard-keys")
     cuts = splitters(keys, shards, tolerance)
     total = keys.agg(F.sum("size")).first()[0] or 0
     lanes = max(1, math.ceil(total / shards / lane_bytes))
-
-    def place(df: DataFrame, h: str, g: str) -> DataFrame:
-        shard = " + ".join(f"int({h} > {H}L or ({h} = {H}L and {g} >= {G}L))"
-                           for H, G in cuts) or "0"
-        return df.withColumns({"shard": F.expr(shard),
-                               "lane__": F.expr(f"pmod(xxhash64({g}, {h}), {lanes})")})
+    shard = " + ".join(f"int(h > {H}L or (h = {H}L and g >= {G}L))" for H, G in cuts) or "0"
+    placed = {"shard": F.expr(shard), "lane": F.expr(f"pmod(xxhash64(g, h), {lanes})")}
 
     # exact rows per lane; the first slot of each lane follows from them
-    offsets = (place(keys, "h", "g").groupBy("shard", "lane__").agg(F.count("*").alias("n"))
-               .select("shard", "lane__", (F.sum("n").over(
-                   Window.partitionBy("shard").orderBy("lane__")) - F.col("n")).alias("from__")))
-    order = Window.partitionBy("shard", "lane__").orderBy("h__", "g__")
-    return (place(keyed, "h__", "g__")
-            .withColumn("row__", F.row_number().over(order))
-            .join(offsets, ["shard", "lane__"])
-            .select(*kept, "size", "text_crc32", "shard",
-                    (F.col("from__") + F.col("row__") - 1).cast("bigint").alias("slot")))
+    offsets = (keys.withColumns(placed).groupBy("shard", "lane").agg(F.count("*").alias("n"))
+               .select("shard", "lane", (F.sum("n").over(
+                   Window.partitionBy("shard").orderBy("lane")) - F.col("n")).alias("from")))
+    order = Window.partitionBy("shard", "lane").orderBy("h", "g")
+    return (keyed.withColumns(placed).withColumn("number", F.row_number().over(order))
+            .join(offsets, ["shard", "lane"])
+            .select("doc_id", *carry, "size", "text_crc32", "shard",
+                    (F.col("from") + F.col("number") - 1).cast("bigint").alias("slot")))
