@@ -108,7 +108,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0,
                    file_bytes: int = FILE_BYTES) -> None:
     """Gzipped WARC files of about ``file_bytes`` (before compression) each."""
     mean = pages.agg(F.avg(F.coalesce(F.octet_length("html"), F.lit(0)))).first()[0] or 0
-    per_file = max(3, int(3 * file_bytes / (mean + 1500)))
+    per_file = 3 * max(1, int(file_bytes / (mean + 1500)))       # captures stay in one file
     (records(pages, min_bytes).write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", per_file).text(path))
 

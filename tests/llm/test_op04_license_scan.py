@@ -1,0 +1,79 @@
+"""Operator 4: base phrases against brute force, edited notices, edge cases."""
+
+import random
+import re
+
+from clickwin.llm.license_scan import NOTICES, PHRASES, Scanner, license_scan, split_pieces
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(low)
+
+
+def brute(text):
+    w = words(text)
+    places = [(i, label) for p, label in PHRASES for i in range(len(w))
+              if w[i:i + len(p.split())] == p.split()]
+    return (len(w), len(places), min(places)[0] if places else None,
+            max(places)[0] if places else None, ",".join(sorted({x for _, x in places})))
+
+
+CASES = [(1, None), (2, ""), (3, "Licensed under CC BY-NC 4.0."), (4, "cc by nc cc-by-nc;CC BY NC"),
+         (5, "Released under the MIT License. under the mit license"), (6, "ccby nc xcc by nc"),
+         (7, "Über the Äpfel under the mit license"), (8, "x " * 100_000 + "Apache License, Version 2.0"),
+         (5, "Released under the MIT License. under the mit license"), (None, "cc by nc")]
+
+
+def test_base_equals_brute_force(spark):
+    docs = spark.createDataFrame([(i, t, "z", 0) for i, t in CASES],
+                                 "doc_id long, text string, labels string, d int")
+    got = sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)
+                  for r in license_scan(docs).collect()), key=repr)
+    assert got == sorted(((i, *brute(t)) for i, t in CASES), key=repr)
+
+
+def test_base_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    hits = 0
+    for r in license_scan(docs).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(text[r.doc_id])
+        assert set(r.base_labels.split(",")) <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
+        assert (r.score == 1.0) == (r.n_base > 0) or r.score == 1.0
+        hits += r.n_base
+    assert hits
+
+
+def test_edits_within_the_bound_are_found():
+    scanner, rng = Scanner(), random.Random(5)
+    for label, notice, k, must in NOTICES:
+        for _ in range(40):
+            parts = notice.split()
+            for _ in range(rng.randint(0, k)):
+                i = rng.choice([j for j, w in enumerate(parts) if w not in must and len(w) > 3])
+                w, at = parts[i], rng.randrange(1, len(parts[i]) - 1)
+                parts[i] = rng.choice([w[:at] + "q" + w[at + 1:], w[:at] + "q" + w[at:]])
+            text = "some words before " + " ".join(parts) + " and some after"
+            hits = [h for h in scanner.scan(text) if h.label == label]
+            assert hits, (notice, text)
+            assert any(h.first_word <= 3 <= h.last_word or h.first_word == 3 for h in hits)
+
+
+def test_other_licenses_and_plain_text_stay_clean():
+    scanner = Scanner()
+    for text in ("under the bsd licence only".replace("bsd", "epl"), "apache license version 1",
+                 "licensed under cc by sa", "plain words about a house and a tree"):
+        assert not {h.label for h in scanner.scan(text)} & {"mit", "apache-2", "cc-by-nc"}
+
+
+def test_pigeonhole_pieces_cover_the_notice():
+    for _, notice, k, _ in NOTICES:
+        pieces = split_pieces(notice, k)
+        assert len(pieces) == k + 1 and "".join(p for _, p in pieces) == notice
+
+
+def test_empty_table(spark):
+    assert license_scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0

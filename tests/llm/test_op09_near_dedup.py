@@ -1,0 +1,107 @@
+"""Operator 9 against brute force; sketches, components, edge cases."""
+
+import random
+
+import numpy as np
+import pytest
+
+from clickwin.llm import near_dedup as nd
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(rows):
+    sets = [shingles(t) for _, t in rows]
+    root = {i: i for i, _ in rows if i is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            i, j = rows[a][0], rows[b][0]
+            if i is None or j is None or not sets[a] or not sets[b]:
+                continue
+            k = len(sets[a] & sets[b])
+            if 100 * k >= 75 * (len(sets[a]) + len(sets[b]) - k):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return sorted(((i, len(s), None if i is None else find(i), i is None or find(i) == i)
+                   for (i, _), s in zip(rows, sets)), key=repr)
+
+
+def run(spark, rows):
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows],
+                                 "doc_id long, text string, label int, key string")
+    return sorted((tuple(r) for r in nd.link(docs).collect()), key=repr), docs
+
+
+def edited(words, n, rng):
+    out = list(words)
+    for _ in range(n):
+        out[rng.randrange(len(out))] = f"e{rng.randrange(10 ** 6)}"
+    return " ".join(out)
+
+
+def test_near_copies_of_many_kinds(spark):
+    rng = random.Random(3)
+    rows = []
+    for g in range(12):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([4, 6, 9, 30, 120, 300]))]
+        rows += [(len(rows) + i, edited(base, rng.randrange(0, 1 + len(base) // 12), rng))
+                 for i in range(rng.choice([1, 2, 5, 14]))]
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows += [(1000 + i, passage + " " + " ".join(f"q{rng.randrange(10 ** 6)}" for _ in range(30)))
+             for i in range(12)]
+    got, _ = run(spark, rows)
+    assert got == brute(rows)
+
+
+def test_blocks_of_open_buckets(spark, monkeypatch):
+    """A group whose smallest document is unlike most of the others."""
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    monkeypatch.setattr(nd, "WIDTH", 16)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, edited(base, 5, rng)) for i in range(40)]
+    rows += [(100 + i, edited(rows[i][1].split(), 1, rng)) for i in range(20)]
+    got, _ = run(spark, rows)
+    assert got == brute(rows)
+
+
+def test_edge_cases(spark):
+    long = "word " * 60_000 + " ".join(f"u{i}" for i in range(3000))
+    rows = [(1, None), (2, ""), (3, " \t"), (4, "one two"), (5, "ONE\ttwo"), (6, "one two three"),
+            (None, "one two"), (7, "a b c d e f g"), (7, "a b c d e f g"), (8, "a b c d e f g"),
+            (9, long), (10, long + " tail")]
+    got, docs = run(spark, rows)
+    assert got == brute(rows)
+    kept = nd.near_dedup(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 7, 9]
+    assert nd.link(docs.limit(0)).count() == 0 and nd.near_dedup(docs.limit(0)).count() == 0
+
+
+def test_sketch_estimates_similarity():
+    rng = np.random.default_rng(2)
+    with np.errstate(over="ignore"):
+        got = []
+        for n in (40, 400):
+            for _ in range(60):
+                both = rng.integers(0, 2 ** 63, n).astype(np.uint64)
+                a = np.concatenate([both, rng.integers(0, 2 ** 63, n // 6).astype(np.uint64)])
+                b = np.concatenate([both, rng.integers(0, 2 ** 63, n // 6).astype(np.uint64)])
+                got.append((nd.sketch(a) == nd.sketch(b)).mean())
+    assert np.mean(got) == pytest.approx(0.75, abs=0.02)
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(500, 500 + i) for i in range(1, 50)]
+    got = {r.node: r.label for r in nd.components(
+        spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(61)}, **{500 + i: 500 for i in range(50)}}
