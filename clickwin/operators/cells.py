@@ -9,7 +9,7 @@ groups outside the range.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickwin.functions.timekeys import key_range
@@ -36,17 +36,22 @@ def project_rowkey(cells: DataFrame) -> DataFrame:
 
 
 def cells_to_map(cells: DataFrame, drop_last: bool = False, out: str = "cells") -> DataFrame:
-    """One row per row key: ``qualifier -> value`` map sorted by qualifier.
-
-    A group is one record's cells, bounded by the record width (cells are
-    unique per ``(rowkey, family, qualifier)``), so collecting it is safe at
-    any table size.  ``drop_last=True`` omits the greatest qualifier, as the
-    reference's conversion loop did.
+    """One row per row key and family: ``qualifier -> value`` map sorted by
+    qualifier.
+
+    Equal cells count once; of several values of a cell the greatest stays
+    (cells carry no version).  A group is one record's distinct cells, bounded
+    by the record width; tables with rows of unbounded width go through
+    ``cells_of_rows_with_n`` first.  ``drop_last=True`` omits the greatest
+    qualifier, as the reference's conversion loop did.
     """
-    entries = F.array_sort(F.collect_list(F.struct("qualifier", "value")))
+    entries = F.array_sort(F.collect_set(F.struct("qualifier", "value")))
+    entries = F.filter(entries, lambda e, i: F.coalesce(
+        F.get(entries, i + 1)["qualifier"] != e["qualifier"], F.lit(True)))
     if drop_last:
         entries = F.slice(entries, 1, F.greatest(F.size(entries) - 1, F.lit(0)))
-    return cells.groupBy("rowkey").agg(F.map_from_entries(entries).alias(out))
+    return (cells.groupBy("rowkey", "family").agg(F.map_from_entries(entries).alias(out))
+            .drop("family"))
 
 
 def filter_cell_count(maps: DataFrame, n: int, col: str = "cells") -> DataFrame:
@@ -55,16 +60,19 @@ def filter_cell_count(maps: DataFrame, n: int, col: str = "cells") -> DataFrame:
 
 
 def cells_of_rows_with_n(cells: DataFrame, n: int) -> DataFrame:
-    """Cells of the rows that hold exactly ``n`` cells, before any row is
-    assembled.
+    """Cells of the rows that hold exactly ``n`` different qualifiers in a
+    family, before any row is assembled.
 
-    Counting cells per row key is a partial + final aggregate, so even a row
-    with millions of qualifiers costs one row per map task; only rows that
-    pass -- each with exactly ``n`` cells -- are then gathered into maps.
+    Cells are exchanged by row key once and counted there by a window (which
+    spills), so the source is read once and ``cells_to_map`` reuses the
+    partitioning; only rows that pass are then gathered into maps.
     """
-    keep = cells.groupBy("rowkey").agg(F.count(F.lit(1)).alias("_n")).where(
-        F.col("_n") == n).select("rowkey")
-    return cells.join(keep, "rowkey", "left_semi")
+    row = ["rowkey", "family"]
+    # the running number of different qualifiers; its greatest value is their count
+    number = F.dense_rank().over(Window.partitionBy(*row).orderBy("qualifier"))
+    count = F.max("_q").over(Window.partitionBy(*row))
+    return (cells.withColumn("_q", number).withColumn("_n", count).where(F.col("_n") == n)
+            .drop("_q", "_n"))
 
 
 def cells_to_wide(maps: DataFrame, n_cells: int, width: int, col: str = "cells",

@@ -61,6 +61,15 @@ def label_counts(df: DataFrame, start: str | None = None, end: str | None = None
             .groupBy(word).agg(F.count(F.lit(1)).alias(freq)))
 
 
+def label_counts_by_day(df: DataFrame, start: str | None = None, end: str | None = None,
+                        time_col: str = "TIME", label_col: str = "CONTENT_LABEL") -> DataFrame:
+    """Label counts of every day of ``[start, end)``: ``(TIME, WORD, FREQUENCY)``."""
+    rows = in_window(df, start, end, time_col).where(F.col(label_col).isNotNull())
+    return (rows.select(F.substring(time_col, 1, 8).alias("TIME"),
+                        F.explode(split_labels(label_col)).alias("WORD"))
+            .groupBy("TIME", "WORD").agg(F.count(F.lit(1)).alias("FREQUENCY")))
+
+
 def dim_counts(df: DataFrame, start: str | None = None, end: str | None = None,
                dims: Sequence[str] = DIMENSIONS, time_col: str = "TIME",
                freq: str = "FREQUENCY") -> DataFrame:

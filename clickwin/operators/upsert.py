@@ -81,7 +81,7 @@ def _with_join_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list
 
 def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str],
                  columns: Sequence[str] | None = None, dedupe: bool = False,
-                 order_desc: Sequence[str] | None = None) -> DataFrame:
+                 order_desc: Sequence[str] | None = None, one_pass: bool = False) -> DataFrame:
     """Rows of ``old`` with ``new`` upserted by (null-safe) ``keys``.
 
     ``columns`` is the batch's column list (defaults to all of ``new``'s
@@ -92,8 +92,11 @@ def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str],
 
     The join is an equi-join on materialised ``(coalesce(k, default),
     isnull(k))`` columns -- the same null-safe semantics as ``<=>`` -- and the
-    dedup window is partitioned on those very columns, so the batch is
-    shuffled once for both.
+    dedup window is partitioned on those very columns.  A full-row upsert is
+    an anti-join and a union, which reads ``new`` twice but never shuffles
+    ``old`` for a small, stored batch; ``one_pass`` plans one full outer join
+    instead, which evaluates both sides once (for a batch that is costly to
+    compute).
     """
     cols = list(columns) if columns is not None else list(new.columns)
     missing = [k for k in keys if k not in cols]
@@ -105,7 +108,7 @@ def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str],
         w = Window.partitionBy(*kn).orderBy(*[F.col(c).desc_nulls_last() for c in order])
         n = n.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     o, ko = _with_join_keys(old, keys)
-    if set(cols) == set(old.columns):
+    if set(cols) == set(old.columns) and not one_pass:
         # Full-row upsert: stored rows whose key is not in the batch, plus the
         # batch.  The anti-join needs only the batch's keys, so a small batch
         # is broadcast by AQE and the stored side is never shuffled.
@@ -184,8 +187,9 @@ def affected(df: DataFrame, cond: Column, out: str = "AFFECTED") -> DataFrame:
 
 # -- storage ----------------------------------------------------------------
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a table with at least one data file.
+def path_exists(spark: SparkSession, path: str, hidden: bool = False) -> bool:
+    """True when ``path`` holds a table with at least one data file (with
+    ``hidden``: when it is there at all).
 
     A folder left by writing an empty result has no schema to read, so it
     counts as absent.  The listing stops at the first data file.
@@ -193,8 +197,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return False
+    if hidden or not fs.exists(p):
+        return fs.exists(p)
     it = fs.listFiles(p, True)
     while it.hasNext():
         st = it.next()
@@ -204,6 +208,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """``path_exists`` after finishing an overwrite that was cut off."""
+    recover(spark, path)
+    return path_exists(spark, path)
+
+
 def read_table(spark: SparkSession, path: str, partition_by: Sequence[str] = (),
                fmt: str = "parquet") -> DataFrame:
     """Read a stored table; partition columns come back as strings."""
@@ -242,7 +252,7 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     and the batch is written straight into new partitions.
     """
     part = list(partition_by)
-    fresh = not path_exists(spark, path)
+    fresh = not table_exists(spark, path)
     touched_dirs = None
     if not fresh and partition_values is not None and len(part) == 1:
         touched_dirs = [d for d in (f"{path.rstrip('/')}/{part[0]}={v}"
@@ -260,19 +270,53 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     else:
         old = read_table(spark, path, part, fmt)
     order = old.columns
+    # evaluated once, read for the touched partitions, the keys and the rows
+    reduced = scratch_path(spark, "upsert-batch")
+    (batch if unique else dedupe_latest(batch, keys, order_desc)).write.parquet(reduced)
+    batch = read_table(spark, reduced, part)
     if part and not touched_dirs:
         touched = batch.select(*part).distinct()
         old = old.join(touched, part, "left_semi")
-    merged = merge_upsert(old, batch, keys, columns, dedupe=not unique, order_desc=order_desc)
+    merged = merge_upsert(old, batch, keys, columns)
     merged = merged.select(*order, *[c for c in merged.columns if c not in order])
     staging = scratch_path(spark, "upsert-staging")
     _write(merged, staging, part, fmt, "overwrite")
-    staged = read_table(spark, staging, part, fmt)
-    _write(staged.select(*merged.columns), path, part, fmt, "overwrite")
-    # the overwrite has committed: the staging copy is no longer needed
+    # from here on the merged rows are safe: a cut-off overwrite is repeated
+    # from the staging copy by the next reader or writer
+    note = spark.createDataFrame([(staging, ",".join(part), fmt, ",".join(merged.columns))], _NOTE)
+    note.coalesce(1).write.mode("overwrite").parquet(_pending(path))
+    _finish(spark, path, staging, part, fmt, merged.columns)
+    _delete_quietly(spark, reduced)
+
+
+_NOTE = "staging string, part string, fmt string, columns string"
+
+
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
+
+
+def _finish(spark, path, staging, part, fmt, columns) -> None:
+    _write(read_table(spark, staging, part, fmt).select(*columns), path, part, fmt, "overwrite")
+    # the overwrite has committed: the note goes first, then the staging copy
+    _delete_quietly(spark, _pending(path))
     _delete_quietly(spark, staging)
 
 
+def recover(spark: SparkSession, path: str) -> bool:
+    """Repeat an overwrite of the table at ``path`` that did not finish (the
+    driver or the job died between the staging copy and the commit)."""
+    if not path_exists(spark, f"{_pending(path)}/_SUCCESS", hidden=True):
+        return False
+    note = spark.read.schema(_NOTE).parquet(_pending(path)).first()
+    if not path_exists(spark, note["staging"]):     # finished but for the note
+        _delete_quietly(spark, _pending(path))
+        return False
+    _finish(spark, path, note["staging"], [c for c in note["part"].split(",") if c],
+            note["fmt"], note["columns"].split(","))
+    return True
+
+
 def _delete_quietly(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

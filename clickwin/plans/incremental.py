@@ -104,7 +104,7 @@ class WindowStore:
     PART = "END_DAY"
 
     def __init__(self, root: str, table_name: str, keys: Sequence[str],
-                 marker_in_results: bool = False):
+                 marker_in_results: bool = False, schema: str | None = None):
         self.root = root
         self.table_name = table_name
         self.keys = list(keys)
@@ -114,20 +114,23 @@ class WindowStore:
         # marker then cannot make a half-written window look done.
         self.marker_in_results = marker_in_results
         self.results_path = os.path.join(root, table_name)
-        self.markers_path = os.path.join(root, "MARKERS")
+        # one folder per table: jobs that share a root never write the same one
+        self.markers_path = os.path.join(root, "MARKERS", f"TABLE_NAME={table_name}")
+        # columns of a result row, for a marker before any row was written
+        self.schema = schema
 
     def markers(self, spark: SparkSession) -> DataFrame | None:
         if self.marker_in_results:
-            if not up.path_exists(spark, self.results_path):
+            if not up.table_exists(spark, self.results_path):
                 return None
             return self.results(spark).select("ENDTIME", "STARTTIME")
         if not up.path_exists(spark, self.markers_path):
             return None
-        return spark.read.schema(MARKER_SCHEMA).parquet(self.markers_path).where(
-            F.col("TABLE_NAME") == self.table_name)
+        # a repeated launch may have added a window's marker twice
+        return spark.read.schema(MARKER_SCHEMA).parquet(self.markers_path).distinct()
 
     def results(self, spark: SparkSession) -> DataFrame:
-        if not up.path_exists(spark, self.results_path):
+        if not up.table_exists(spark, self.results_path):
             raise FileNotFoundError(f"no results written yet under {self.results_path}")
         return up.read_table(spark, self.results_path, [self.PART]).drop(self.PART)
 
@@ -141,20 +144,24 @@ class WindowStore:
 
     def mark(self, spark: SparkSession, start: str, end: str) -> None:
         if self.marker_in_results:
-            rows = self.results(spark)
+            rows = (self.results(spark) if up.table_exists(spark, self.results_path)
+                    else spark.createDataFrame([], self.schema))
             marker = spark.range(1).select(*[
                 (F.lit(end) if c == "ENDTIME" else F.lit(start) if c == "STARTTIME"
                  else F.lit(None)).cast(t).alias(c) for c, t in rows.dtypes])
             self.write_results(spark, marker, end)
             return
-        row = spark.createDataFrame([(self.table_name, end, start)], MARKER_SCHEMA)
-        up.write_upsert(spark, self.markers_path, row, ["TABLE_NAME", "ENDTIME"], unique=True)
+        self._add_markers(spark.createDataFrame([(self.table_name, end, start)], MARKER_SCHEMA))
+
+    def _add_markers(self, rows: DataFrame) -> None:
+        """Append only: one small file per call, nothing recorded is rewritten."""
+        rows.coalesce(1).write.mode("append").parquet(self.markers_path)
 
     def mark_many(self, spark: SparkSession, windows: DataFrame) -> None:
         """Markers for many windows (``ENDTIME, STARTTIME`` rows)."""
         rows = windows.select(F.lit(self.table_name).alias("TABLE_NAME"), "ENDTIME",
                               "STARTTIME")
-        up.write_upsert(spark, self.markers_path, rows, ["TABLE_NAME", "ENDTIME"])
+        self._add_markers(rows)
 
 
 def run_window_job(spark: SparkSession, click, store: WindowStore, kind: str,
@@ -218,21 +225,25 @@ def run_catch_up(spark: SparkSession, source, store: WindowStore, kind: str, ste
 
 
 def label_store(root: str, marker_in_results: bool = False) -> WindowStore:
-    return WindowStore(root, "STAT_LABEL", ["ENDTIME", "WORD"], marker_in_results)
+    return WindowStore(root, "STAT_LABEL", ["ENDTIME", "WORD"], marker_in_results,
+                       "ENDTIME string, STARTTIME string, WORD string, FREQUENCY bigint")
 
 
 def dim_store(root: str, dims: Sequence[str] = counts.DIMENSIONS,
               marker_in_results: bool = False) -> WindowStore:
-    return WindowStore(root, "STAT_PARAMTYPE_CONTENTTYPE", ["ENDTIME", *dims],
-                       marker_in_results)
+    columns = ", ".join(f"{d} string" for d in dims)
+    return WindowStore(root, "STAT_PARAMTYPE_CONTENTTYPE", ["ENDTIME", *dims], marker_in_results,
+                       f"ENDTIME string, STARTTIME string, {columns}, FREQUENCY bigint")
 
 
 def copy_window(spark: SparkSession, src, dst_path: str, columns: Sequence[str],
                 start: str, end: str, keys: Sequence[str] = ("ID",),
-                by_day: bool = True, time_col: str = "TIME") -> None:
+                by_day: bool = True, time_col: str = "TIME", unique: bool = False) -> None:
     """Upsert a projected time slice of one table into another.
 
-    Narrow: scan (window pushed down) -> project -> write.  With ``by_day``
+    Scan (window pushed down) -> project -> write.  ``unique`` says that the
+    source holds one row per key: then days that are new in the target cost
+    no shuffle but the one that gathers a day's rows into few files.  With ``by_day``
     the target is partitioned by the day of ``TIME`` and only the day folders
     of ``[start, end)`` are read and merged, so copying one hour into a large
     table costs one day, not the table.  (A key never changes day: an event
@@ -240,7 +251,7 @@ def copy_window(spark: SparkSession, src, dst_path: str, columns: Sequence[str],
     """
     rows = rows_between(src, start, end).select(*columns)
     if not by_day:
-        up.write_upsert(spark, dst_path, rows, list(keys))
+        up.write_upsert(spark, dst_path, rows, list(keys), unique=unique)
         return
     from datetime import timedelta
 
@@ -251,7 +262,7 @@ def copy_window(spark: SparkSession, src, dst_path: str, columns: Sequence[str],
         days.append(d.strftime("%Y%m%d"))
         d += timedelta(days=1)
     up.write_upsert(spark, dst_path, rows, list(keys), partition_by=[DAY_PARTITION],
-                    partition_values=days)
+                    partition_values=days, unique=unique)
 
 
 __all__ = ["next_window", "window_ready", "WindowStore", "run_window_job", "label_store",

@@ -10,7 +10,7 @@ from __future__ import annotations
 CLICKLOG_SQL = """
 SELECT CAST(event_id AS VARCHAR) AS ID,
        strftime(ts, '%Y%m%d%H%M%S%g') AS TIME,
-       lpad(CAST(user_id AS VARCHAR), 4, '0') AS UDID,
+       lpad(CAST(user_id AS VARCHAR), CAST(greatest(len(CAST(user_id AS VARCHAR)), 4) AS INTEGER), '0') AS UDID,
        CASE user_id % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' END AS PLATFORM,
        concat('p', CAST(event_id % 4 AS VARCHAR)) AS PARAM_TYPE,
        event_type AS CONTENT_TYPE,
@@ -95,8 +95,9 @@ SQL["label_pv_minute"] = with_clicklog(tag(
     label_count_sql("TIME >= '202401010000' AND TIME < '202402010000'", null_as_empty=True)))
 
 SQL["label_pv_day"] = with_clicklog(
-    "SELECT '20240101' AS TIME, WORD, FREQUENCY FROM ("
-    + label_count_sql("TIME >= '20240101' AND TIME < '20240201'") + ") t")
+    "SELECT DAY AS TIME, w AS WORD, CAST(count(*) AS BIGINT) AS FREQUENCY FROM ("
+    f"SELECT substr(TIME, 1, 8) AS DAY, unnest({java_split('CONTENT_LABEL')}) AS w FROM clicklog "
+    "WHERE TIME >= '20240101' AND TIME < '20240201' AND CONTENT_LABEL IS NOT NULL) s GROUP BY ALL")
 
 SQL["label_pv_all"] = with_clicklog(label_count_sql("TRUE"))
 
@@ -118,7 +119,7 @@ SQL["backfill_labels_5h"] = backfill_sql(
 CELL_COLS = "ID, TIME, UDID, PLATFORM, PARAM_TYPE, CONTENT_TYPE, URL, TITLE, CONTENT_LABEL"
 CELLS_CTE = f"""cells AS (
   SELECT rowkey, 'info' AS family, qualifier, value FROM (
-    UNPIVOT (SELECT concat(UDID, '_', TIME) AS rowkey, {CELL_COLS} FROM clicklog)
+    UNPIVOT (SELECT concat(UDID, '_', TIME, '_', ID) AS rowkey, {CELL_COLS} FROM clicklog)
     ON {CELL_COLS} INTO NAME qualifier VALUE value))"""
 
 
@@ -146,7 +147,7 @@ SQL["query_with_args"] = with_clicklog(
     f"AND TIME < '{MONTH_END}' GROUP BY CONTENT_TYPE")
 SQL["scan_as_maps"] = with_clicklog(
     "SELECT 'CONTENT_TYPE=' || coalesce(CONTENT_TYPE, '\\N') || ';TIME=' || coalesce(TIME, '\\N')"
-    " || ';UDID=' || coalesce(UDID, '\\N') AS M FROM clicklog ORDER BY TIME, ID LIMIT 10")
+    " || ';UDID=' || coalesce(UDID, '\\N') AS M FROM clicklog")
 SQL["scan_key_range"] = with_cells(
     "SELECT * FROM cells WHERE rowkey >= '0000' AND rowkey < '0100' AND family = 'info'")
 SQL["scan_qualifier"] = with_cells(
@@ -174,12 +175,12 @@ SQL["filter_cell_count"] = with_cells(
     f"SELECT rowkey, {MAP_TEXT} AS CELLS FROM cells GROUP BY rowkey HAVING count(*) = 9")
 SQL["cells_to_wide"] = with_cells("SELECT * FROM wide", WIDE_CTE.format(lo="", hi="~"))
 SQL["job_latest_n"] = with_cells(
-    "SELECT * FROM top", WIDE_CTE.format(lo="0000", hi="9999") + ",\n" + LATEST_CTE)
+    "SELECT * FROM top", WIDE_CTE.format(lo="0000", hi="~") + ",\n" + LATEST_CTE)
 SQL["rows_to_cells"] = with_cells(
     "SELECT rowkey, 'info' AS family, qualifier, coalesce(value, 'null') AS value FROM ("
     "SELECT col3 AS rowkey, col1, col2, col3, col6, col8, CAST(rank AS VARCHAR) AS rank FROM top)"
     " UNPIVOT INCLUDE NULLS (value FOR qualifier IN (col1, col2, col3, col6, col8, rank))",
-    WIDE_CTE.format(lo="0000", hi="9999") + ",\n" + LATEST_CTE)
+    WIDE_CTE.format(lo="0000", hi="~") + ",\n" + LATEST_CTE)
 
 # -- window, sorts, lookups ----------------------------------------------------
 
@@ -356,12 +357,16 @@ SQL["stream_dim_pv"] = with_clicklog(
     f"SELECT strftime({_WEND}, '%Y%m%d%H') AS ENDTIME, substr(TIME, 1, 10) AS STARTTIME, {DIMS},"
     f" CAST(count(*) AS BIGINT) AS FREQUENCY FROM clicklog WHERE {_CLOSED} GROUP BY ALL")
 
-_LATEST_ROW = "(SELECT * FROM clicklog ORDER BY TIME DESC, ID DESC LIMIT 1) l"
-SQL["lookup_object"] = with_clicklog(
-    'SELECT CAST(ID AS BIGINT) AS ID, CAST(NULL AS VARCHAR) AS UDID, PLATFORM AS "Platform" '
-    f"FROM {_LATEST_ROW}")
-SQL["lookup_object_ci"] = with_clicklog(
-    f'SELECT CAST(ID AS BIGINT) AS ID, UDID, PLATFORM AS "Platform" FROM {_LATEST_ROW}')
+# the exactly-one rule over no, one and many rows (ids below 0, equal to the least, all)
+_LOOKUPS = " UNION ALL ".join(
+    f"SELECT '{c}' AS ROWS_FOUND, CASE WHEN count(*) = 1 THEN min(CAST(ID AS BIGINT)) END AS ID, "
+    "CASE WHEN count(*) = 1 THEN {udid} END AS UDID, CASE WHEN count(*) = 1 THEN min(PLATFORM) "
+    f"END AS \"Platform\" FROM clicklog WHERE {w}"
+    for c, w in (("none", "CAST(ID AS BIGINT) < 0"),
+                 ("one", "CAST(ID AS BIGINT) = (SELECT min(event_id) FROM events)"),
+                 ("many", "TRUE")))
+SQL["lookup_object"] = with_clicklog(_LOOKUPS.replace("{udid}", "CAST(NULL AS VARCHAR)"))
+SQL["lookup_object_ci"] = with_clicklog(_LOOKUPS.replace("{udid}", "min(UDID)"))
 
 SQL["job_label_pv_stored"] = SQL["job_label_pv"]
 

@@ -32,6 +32,8 @@ START = "2024010100"           # default start (hour key), before the first even
 MONTH_END = "2024020100"       # beyond the last event
 NOW = datetime(2024, 3, 1)     # injected wall clock for reproducible guards
 
+LATENESS = "0 seconds"         # the streams' input is whole in one micro-batch: nothing is late
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -82,9 +84,8 @@ def label_pv_minute(spark, sf_dir):
 
 @register("label_pv_day")
 def label_pv_day(spark, sf_dir):
-    df = counts.label_counts(_click(spark, sf_dir, "20240101", "20240201"), "20240101",
-                             "20240201")
-    return df.select(F.lit("20240101").alias("TIME"), "WORD", "FREQUENCY")
+    return counts.label_counts_by_day(_click(spark, sf_dir, "20240101", "20240201"),
+                                      "20240101", "20240201")
 
 
 @register("label_pv_all")
@@ -151,8 +152,7 @@ MAP_COLS = ["UDID", "TIME", "CONTENT_TYPE"]
 
 @register("scan_as_maps")
 def scan_as_maps(spark, sf_dir):
-    first10 = topn.limit_n(_click(spark, sf_dir), 10, "TIME", "ID")
-    return src.scan_as_maps(first10, MAP_COLS, "m").select(rec.map_as_text("m").alias("M"))
+    return src.scan_as_maps(_click(spark, sf_dir), MAP_COLS, "m").select(rec.map_as_text("m").alias("M"))
 
 
 @register("scan_key_range")
@@ -243,7 +243,7 @@ def cells_to_wide(spark, sf_dir):
 def _latest_n_from_cells(spark, sf_dir):
     # J4: key range -> cells to sorted map -> full rows -> wide -> top 3 per
     # device (col8 = UDID) by time (col6 = TIME), ties by col3 = ID.
-    cells = cx.scan_key_range(_cells(spark, sf_dir), "0000", "9999", "info")
+    cells = cx.scan_key_range(_cells(spark, sf_dir), "0000", None, "info")
     wide = cx.cells_to_wide(cx.cells_to_map(cx.cells_of_rows_with_n(cells, 9)), 9, 14)
     top = topn.latest_n_per_group(wide, "col8", "col6", 3, tie_break="col3")
     return topn.sort_desc(top.select("col1", "col2", "col3", "col6", "col8", "rank"), "col2")
@@ -420,23 +420,26 @@ def map_to_struct_ci(spark, sf_dir):
     return _rec_maps(spark, sf_dir).select(s_.alias("r")).select("r.*")
 
 
-def _latest_as_map(spark, sf_dir):
-    latest = topn.limit_n(_click(spark, sf_dir), 1, F.col("TIME").desc(), F.col("ID").desc())
-    return latest.select(F.create_map(F.lit("ID"), F.col("ID"), F.lit("udid"), F.col("UDID"),
-                                      F.lit("Platform"), F.col("PLATFORM")).alias("m"))
+def _lookups(spark, sf_dir, record):
+    """The exactly-one rule on lookups that find no, one and many rows."""
+    rows = _rec_maps(spark, sf_dir)
+    number = F.col("m")["ID"].cast("bigint")
+    least = rows.agg(F.min(number).alias("LEAST"))
+    found = {"none": rows.where(number < 0),
+             "one": rows.join(least, number == F.col("LEAST"), "left_semi"), "many": rows}
+    parts = [topn.lookup_object(df, record).select(F.lit(name).alias("ROWS_FOUND"), "R.*")
+             for name, df in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("lookup_object")
 def lookup_object(spark, sf_dir):
-    one = topn.lookup_object(_latest_as_map(spark, sf_dir), rec.map_to_struct("m", REC_SCHEMA))
-    return one.select("R.*")
+    return _lookups(spark, sf_dir, rec.map_to_struct("m", REC_SCHEMA))
 
 
 @register("lookup_object_ci")
 def lookup_object_ci(spark, sf_dir):
-    one = topn.lookup_object(_latest_as_map(spark, sf_dir),
-                             rec.map_to_struct_ci("m", REC_SCHEMA))
-    return one.select("R.*")
+    return _lookups(spark, sf_dir, rec.map_to_struct_ci("m", REC_SCHEMA))
 
 
 @register("struct_to_map")
@@ -468,7 +471,7 @@ def _old_new(spark, sf_dir):
 @register("upsert_by_key")
 def upsert_by_key(spark, sf_dir):
     old, new = _old_new(spark, sf_dir)
-    return up.merge_upsert(old, new, ["ID"], dedupe=True, order_desc=["TIME"])
+    return up.merge_upsert(old, new, ["ID"], dedupe=True, order_desc=["TIME"], one_pass=True)
 
 
 @register("upsert_partial")
@@ -482,7 +485,8 @@ def upsert_batch(spark, sf_dir):
     # device-keyed table; the batch repeats keys, the latest write wins
     old, new = _old_new(spark, sf_dir)
     old_latest = up.dedupe_latest(old, ["UDID"], ["TIME", "ID"])
-    return up.merge_upsert(old_latest, new, ["UDID"], dedupe=True, order_desc=["TIME", "ID"])
+    return up.merge_upsert(old_latest, new, ["UDID"], dedupe=True, order_desc=["TIME", "ID"],
+                           one_pass=True)
 
 
 @register("upsert_positional")
@@ -591,7 +595,8 @@ def job_catch_up(spark, sf_dir):
 @register("job_copy_window")
 def job_copy_window(spark, sf_dir):
     dst = scratch_path(spark, "copy")
-    inc.copy_window(spark, _source(spark, sf_dir), dst, COPY_COLS, START, MONTH_END)
+    inc.copy_window(spark, _source(spark, sf_dir), dst, COPY_COLS, START, MONTH_END,
+                    unique=True)        # events are keyed by ID
     return up.read_table(spark, dst, [cl.DAY_PARTITION]).select(*COPY_COLS)
 
 
@@ -599,8 +604,9 @@ def job_copy_window(spark, sf_dir):
 
 def _run_stream(spark, sf_dir, kind):
     _utc(spark)
-    events = sc.event_stream(spark, sf_dir, "events.parquet")
-    df = sc.stream_label_counts(events) if kind == "label" else sc.stream_dim_counts(events)
+    events = sc.event_stream(spark, cl.table_path(sf_dir, "events"))
+    df = (sc.stream_label_counts(events, delay=LATENESS) if kind == "label"
+          else sc.stream_dim_counts(events, delay=LATENESS))
     sink = scratch_path(spark, f"stream-{kind}")
     q = sc.start_to_parquet(df, sink, sink + "-checkpoint")
     q.awaitTermination()
@@ -621,8 +627,8 @@ def stream_dim_pv(spark, sf_dir):
 def stream_label_store(spark, sf_dir):
     # the stream writes closed windows into the label job's keyed store
     _utc(spark)
-    events = sc.event_stream(spark, sf_dir, "events.parquet")
+    events = sc.event_stream(spark, cl.table_path(sf_dir, "events"))
     store = inc.label_store(scratch_path(spark, "stream-store"))
-    sc.start_to_store(sc.stream_label_counts(events), store,
+    sc.start_to_store(sc.stream_label_counts(events, delay=LATENESS), store,
                       scratch_path(spark, "stream-store-checkpoint")).awaitTermination()
     return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")

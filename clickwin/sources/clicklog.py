@@ -51,7 +51,8 @@ def clicklog_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataF
         *keep,
         s(eid).alias("ID"),
         F.date_format("ts", MILLI_KEY).alias("TIME"),
-        F.lpad(s(uid), 4, "0").alias("UDID"),
+        # lpad alone would cut longer ids to four characters
+        F.lpad(s(uid), F.greatest(F.length(s(uid)), F.lit(4)), F.lit("0")).alias("UDID"),
         F.when(uid % 3 == 0, "ios").when(uid % 3 == 1, "android").alias("PLATFORM"),
         F.concat(F.lit("p"), s(eid % 4)).alias("PARAM_TYPE"),
         et.alias("CONTENT_TYPE"),
@@ -61,16 +62,6 @@ def clicklog_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataF
     )
 
 
-_DEFINITIONS: dict = {}
-
-
-def _mtime(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getFileStatus(p).getModificationTime())
-
-
 _KEY_FORMATS = {8: "%Y%m%d", 10: "%Y%m%d%H", 12: "%Y%m%d%H%M", 14: "%Y%m%d%H%M%S"}
 
 
@@ -111,21 +102,8 @@ def events_between(events: DataFrame, start: str | None, end: str | None,
 
 def clicklog(spark: SparkSession, sf_dir: str, start: str | None = None,
              end: str | None = None) -> DataFrame:
-    """The click log of ``sf_dir``'s events, optionally only ``[start, end)``.
-
-    The analysed DataFrame definition (not data) is reused within a session
-    while the input file is unchanged, so building a query does not repeat
-    the listing and the analysis of the derived columns.
-    """
-    path = table_path(sf_dir, "events")
-    key = (id(spark), spark.sparkContext.applicationId, path, _mtime(spark, path),
-           spark.conf.get("spark.sql.session.timeZone"), start, end)
-    df = _DEFINITIONS.get(key)
-    if df is None:
-        events = events_between(spark.read.parquet(path), start, end)
-        df = clicklog_from_events(events)
-        _DEFINITIONS[key] = df
-    return df
+    """The click log of ``sf_dir``'s events, optionally only ``[start, end)``."""
+    return clicklog_from_events(events_between(load(spark, sf_dir, "events"), start, end))
 
 
 def rows_to_cells(df: DataFrame, rowkey: str = "rowkey", columns: list[str] | None = None,
@@ -148,26 +126,26 @@ def rows_to_cells(df: DataFrame, rowkey: str = "rowkey", columns: list[str] | No
 
 
 def cells_from_clicklog(click: DataFrame, family: str = "info") -> DataFrame:
-    """Cells keyed by ``UDID_TIME`` (device, then 17-digit time)."""
-    keyed = click.select(F.concat("UDID", F.lit("_"), "TIME").alias("rowkey"),
+    """Cells keyed by ``UDID_TIME_ID`` (device, 17-digit time, event): two
+    events of a device in the same millisecond are two rows."""
+    keyed = click.select(F.concat_ws("_", "UDID", "TIME", "ID").alias("rowkey"),
                          *CELL_QUALIFIERS)
     return rows_to_cells(keyed, "rowkey", CELL_QUALIFIERS, family)
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells_from_clicklog(clicklog(spark, sf_dir))
-
-
 def write_sorted_cells(cells_df: DataFrame, path: str, num_partitions: int | None = None) -> None:
     """Store cells range-partitioned and sorted by row key.
 
     Sorted files make each Parquet row group cover a narrow key range, so a
     later ``[start, stop)`` row-key scan skips most row groups via min/max
-    statistics (the cell store's key-range scan).
+    statistics (the cell store's key-range scan).  Without ``num_partitions``
+    AQE sizes the ranges by bytes (``advisoryPartitionSizeInBytes``).
     """
-    n = num_partitions or cells_df.sparkSession.sparkContext.defaultParallelism
     # qualifier breaks ties, so one very wide row spreads over several tasks
-    (cells_df.repartitionByRange(n, "rowkey", "qualifier")
+    ranges = ["rowkey", "qualifier"]
+    ranged = (cells_df.repartitionByRange(num_partitions, *ranges) if num_partitions
+              else cells_df.repartitionByRange(*ranges))
+    (ranged
      .sortWithinPartitions("rowkey", "family", "qualifier")
      .write.mode("overwrite").parquet(path))
 

@@ -29,24 +29,37 @@ from clickwin.operators.counts import DIMENSIONS
 from clickwin.sources.clicklog import clicklog_from_events
 
 
-def event_stream(spark: SparkSession, folder: str, glob: str = "events*.parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of ``events`` rows from Parquet files arriving in ``folder``.
+def event_stream(spark: SparkSession, table: str, max_files_per_trigger: int | None = None
+                 ) -> DataFrame:
+    """Stream of ``events`` rows from a table: one Parquet file, or a folder
+    that part files arrive in.
 
     The schema is read once from the files already present (file streams
-    need a fixed schema); ``glob`` keeps other tables' files out.
+    need a fixed schema).
     """
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{glob}").schema
-    r = (spark.readStream.format("parquet").schema(schema)
-         .option("pathGlobFilter", glob))
+    r = spark.readStream.format("parquet").schema(spark.read.parquet(table).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(path).isFile():     # file streams watch folders
+        return r.option("pathGlobFilter", path.getName()).load(str(path.getParent()))
+    return r.load(table)
 
 
-def stream_label_counts(events: DataFrame, window: str = "1 hour", delay: str = "0 seconds"
-                        ) -> DataFrame:
-    """Streaming ``(ENDTIME, STARTTIME, WORD, FREQUENCY)`` per tumbling window."""
+def dropped_rows(query: StreamingQuery) -> int:
+    """Aggregated rows that came too late for their window, over the query's
+    recorded progress.  More than 0 means the lateness was set too low."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
+def stream_label_counts(events: DataFrame, window: str = "1 hour", *, delay: str) -> DataFrame:
+    """Streaming ``(ENDTIME, STARTTIME, WORD, FREQUENCY)`` per tumbling window.
+
+    ``delay`` is the lateness to wait for; rows later than that are dropped
+    (see ``dropped_rows``), so it has no default.
+    """
     click = _click_with_ts(events)
     agg = (click.withWatermark("EVENT_TS", delay)
            .where(F.col("CONTENT_LABEL").isNotNull())
@@ -56,9 +69,10 @@ def stream_label_counts(events: DataFrame, window: str = "1 hour", delay: str =
     return _tag(agg, ["WORD"])
 
 
-def stream_dim_counts(events: DataFrame, window: str = "1 hour", delay: str = "0 seconds",
-                      dims: Sequence[str] = DIMENSIONS) -> DataFrame:
-    """Streaming ``(ENDTIME, STARTTIME, *dims, FREQUENCY)`` per tumbling window."""
+def stream_dim_counts(events: DataFrame, window: str = "1 hour",
+                      dims: Sequence[str] = DIMENSIONS, *, delay: str) -> DataFrame:
+    """Streaming ``(ENDTIME, STARTTIME, *dims, FREQUENCY)`` per tumbling window;
+    ``delay`` as in ``stream_label_counts``."""
     click = _click_with_ts(events)
     agg = (click.withWatermark("EVENT_TS", delay)
            .groupBy(F.window("EVENT_TS", window).alias("w"), *dims)

@@ -36,7 +36,7 @@ def test_rows_to_cells_null_text(spark):
 
 
 def test_key_range_scan_on_sorted_files(spark, tmp_root):
-    cells = cl.cells(spark, "/root/testdata/sf0.001")
+    cells = cl.cells_from_clicklog(cl.clicklog(spark, "/root/testdata/sf0.001"))
     path = os.path.join(tmp_root, "cells")
     cl.write_sorted_cells(cells, path, 4)
     stored = spark.read.parquet(path)
@@ -45,3 +45,27 @@ def test_key_range_scan_on_sorted_files(spark, tmp_root):
     assert got.count() == want.count() > 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(rowkey,0010)" in plan
+
+
+def test_long_device_ids_stay_whole_and_rows_unique(spark):
+    import datetime as dt
+    at = dt.datetime(2024, 1, 5, 1, 2, 3, 4000)
+    events = spark.createDataFrame(
+        [(i, at, u, "click") for i, u in enumerate((7, 1000, 9999, 10000, 10007, 10007))],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    click = cl.clicklog_from_events(events)
+    assert sorted(r.UDID for r in click.collect()) == ["0007", "1000", "10000", "10007", "10007", "9999"]
+    cells = cl.cells_from_clicklog(click)
+    assert cells.select("rowkey").distinct().count() == 6
+    full = cx.cells_to_map(cx.scan_key_range(cells, "0000", None)).collect()
+    assert len(full) == 6 and any("9999_" in r.rowkey for r in full)
+
+
+def test_families_and_repeated_cells(spark):
+    cells = spark.createDataFrame([("r", "a", "q", "1"), ("r", "b", "q", "2"), ("r", "a", "q", "1"),
+                                   ("r", "a", "q", "0"), ("r", "a", "p", None)], CELLS)
+    got = sorted((r["cells"] for r in cx.cells_to_map(cells).collect()), key=len)
+    assert got == [{"q": "2"}, {"p": None, "q": "1"}]
+    two = cx.cells_of_rows_with_n(cells, 2)
+    assert {r["family"] for r in two.collect()} == {"a"}
+    assert [r["cells"] for r in cx.cells_to_map(two).collect()] == [{"p": None, "q": "1"}]

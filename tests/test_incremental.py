@@ -159,3 +159,29 @@ def test_results_of_an_empty_store_is_a_clear_error(spark, tmp_root):
     assert store.markers(spark) is None
     with pytest.raises(FileNotFoundError):
         store.results(spark)
+
+
+def test_two_jobs_share_a_root_and_markers_are_appended(spark, tmp_root):
+    a, b = inc.label_store(tmp_root), inc.dim_store(tmp_root)
+    for end in ("2024010101", "2024010102", "2024010102"):
+        a.mark(spark, "s", end)
+    b.mark(spark, "s", "2024010107")
+    assert sorted(r.ENDTIME for r in a.markers(spark).collect()) == ["2024010101", "2024010102"]
+    assert [r.ENDTIME for r in b.markers(spark).collect()] == ["2024010107"]
+
+
+def test_marker_in_results_without_label_rows(spark, tmp_root):
+    store = inc.label_store(tmp_root, marker_in_results=True)
+    store.mark(spark, "2024010100", "2024010101")
+    assert [tuple(r) for r in store.results(spark).collect()] == [("2024010101", "2024010100", None, None)]
+    nxt = inc.next_window(spark, store.markers(spark), 1).first()
+    assert nxt["STARTTIME"] == "2024010101"
+
+
+def test_appended_file_is_seen_by_the_next_read(spark, tmp_root):
+    from clickwin.sources import clicklog as cl
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("d", F.lit(1))
+    rows.limit(10).write.partitionBy("d").parquet(f"{tmp_root}/events.parquet")
+    assert cl.clicklog(spark, tmp_root).count() == 10
+    rows.limit(5).write.mode("append").partitionBy("d").parquet(f"{tmp_root}/events.parquet")
+    assert cl.clicklog(spark, tmp_root).count() == 15

@@ -6,6 +6,7 @@ import sys
 import pytest
 
 import __spark_entry__ as E
+from clickwin.plans.queries import QUERIES
 
 from conftest import ROOT, SF01
 
@@ -20,10 +21,10 @@ def con():
     return duck(SF01)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_duckdb(spark, con, name):
     assert name in SQL, f"{name} has no oracle SQL"
-    df = E.queries()[name](spark, SF01)
+    df = QUERIES[name](spark, SF01)
     srows = [tuple(r) for r in df.collect()]
     res = con.execute(SQL[name])
     dcols = [d[0] for d in res.description]

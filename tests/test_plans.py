@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from clickwin.plans.queries import QUERIES
 from clickwin.operators import counts, topn
 from clickwin.sources import clicklog as cl
 
@@ -39,11 +40,9 @@ def test_top_n_uses_partial_window_group_limit(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_evaluation(spark, name):
-    if name.startswith(("job_", "stream_")):
-        pytest.skip("runs writes; covered by the oracle test")
-    df = E.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)        # jobs and streams run; their read-back is looked at
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and \
            "ArrowEvalPython" not in plan
@@ -116,3 +115,14 @@ def test_stored_log_lists_only_window_days(spark, tmp_root):
     got = counts.label_counts(part, "2024010523", "2024010601")
     want = counts.label_counts(click, "2024010523", "2024010601")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("name", ["upsert_by_key", "upsert_batch"])
+def test_upserts_scan_each_input_once(spark, name):
+    plan = _plan(QUERIES[name](spark, SF001))
+    assert plan.count("FileScan") == 2      # the stored rows and the batch
+
+
+def test_cell_job_scans_and_exchanges_cells_once(spark):
+    plan = QUERIES["job_latest_n"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning(rowkey") == 1

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickwin.operators import upsert as up
@@ -123,3 +124,27 @@ def test_null_safe_date_and_int_keys(spark):
                    ("None", "None", "new")]
     partial = up.merge_upsert(old, new.select("d", "n", "v"), ["d", "n"], ["d", "n", "v"])
     assert partial.count() == 3
+
+
+def test_cut_off_overwrite_is_repeated(spark, tmp_root, monkeypatch):
+    """The job dies while the stored rows are being replaced."""
+    path, schema = f"{tmp_root}/t", "ENDTIME string, WORD string, N int"
+    up.write_upsert(spark, path, spark.createDataFrame([("d1", "a", 1), ("d1", "b", 2)], schema),
+                    ["ENDTIME", "WORD"], ["ENDTIME"])
+    real = up._write
+
+    def dies(df, target, *rest):
+        if target == path:
+            up._delete_quietly(spark, f"{path}/ENDTIME=d1")     # old files gone, new ones not there
+            raise RuntimeError("lost")
+        return real(df, target, *rest)
+
+    monkeypatch.setattr(up, "_write", dies)
+    with pytest.raises(RuntimeError):
+        up.write_upsert(spark, path, spark.createDataFrame([("d1", "a", 9)], schema),
+                        ["ENDTIME", "WORD"], ["ENDTIME"])
+    monkeypatch.setattr(up, "_write", real)
+    assert up.recover(spark, path) and not up.recover(spark, path)
+    got = sorted(tuple(r) for r in up.read_table(spark, path, ["ENDTIME"]).select(
+        "ENDTIME", "WORD", "N").collect())
+    assert got == [("d1", "a", 9), ("d1", "b", 2)]
