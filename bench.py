@@ -32,6 +32,7 @@ HEADLINE = [
     "upsert_by_key",        # K1 keyed merge
     "upsert_batch",         # K7 merge with duplicate keys in the batch
     "job_label_pv",         # I5 two incremental launches with keyed writes
+    "job_label_hourly",     # I5 hourly launches into an existing day
     "job_copy_window",      # I7 window copy
     "stream_label_pv",      # X1 streaming tumbling-window label counts
 ]

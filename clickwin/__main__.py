@@ -18,6 +18,7 @@ import json
 import sys
 from datetime import datetime
 
+from clickwin.functions.timekeys import HOUR_KEY
 from clickwin.plans import incremental as inc
 from clickwin.session import get_spark
 from clickwin.sources import clicklog as cl
@@ -40,11 +41,17 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--store", help="root folder of result and marker tables")
     p.add_argument("--events", help="events table (Parquet) to derive the click log from")
     p.add_argument("--log", help="click log stored by day")
-    p.add_argument("--step", type=int, default=1, help="window length in hours")
+    p.add_argument("--step", type=int, default=1, help="window length in units")
     p.add_argument("--default-start", default=inc.DEFAULT_START)
     p.add_argument("--now", help="wall clock as yyyy-MM-dd HH:mm:ss (default: now)")
     p.add_argument("--kind", choices=["label", "dim"], default="label", help="for backfill")
     p.add_argument("--gate", choices=["next_hour", "any_later"], default="next_hour")
+    p.add_argument("--unit", default="HOUR", help="of --step: HOUR, MIMUE (minute) or DAY")
+    p.add_argument("--pattern", default=HOUR_KEY, help="time key of window bounds, "
+                   "e.g. yyyyMMddHHmm for minutes, yyyyMMdd for days")
+    p.add_argument("--guard", choices=["start", "end"], default="start")
+    p.add_argument("--null-as-empty", action="store_true",
+                   help="count a null label as the empty one")
     p.add_argument("--dest", help="copy target")
     p.add_argument("--start")
     p.add_argument("--end")
@@ -57,7 +64,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.job in ("label", "dim"):
         store = inc.label_store(args.store) if args.job == "label" else inc.dim_store(args.store)
         status = inc.run_window_job(spark, source, store, args.job, args.step, now=now,
-                                    default_start=args.default_start, gate=args.gate)
+                                    default_start=args.default_start, gate=args.gate,
+                                    unit=args.unit, pattern=args.pattern, guard=args.guard,
+                                    null_as_empty=args.null_as_empty)
     elif args.job == "backfill":
         store = inc.label_store(args.store) if args.kind == "label" else inc.dim_store(
             args.store)

@@ -36,8 +36,3 @@ def split_labels(col, sep: str = ",") -> Column:
 def _re(sep: str) -> str:
     import re
     return re.escape(sep)
-
-
-def explode_labels(df, col: str = "CONTENT_LABEL", out: str = "WORD", sep: str = ","):
-    """One row per label occurrence (repeats within a row all count)."""
-    return df.select(F.explode(split_labels(col, sep)).alias(out))

@@ -42,15 +42,6 @@ def map_to_struct_ci(m, schema: StructType) -> Column:
                       for f in schema.fields])
 
 
-def null_as_text(c, text: str = "null") -> Column:
-    """Null -> the literal text (how a null is stored as a cell value)."""
-    return F.coalesce(_c(c).cast("string"), F.lit(text))
-
-
-def null_as_empty(c) -> Column:
-    return F.coalesce(_c(c), F.lit(""))
-
-
 def map_as_text(m) -> Column:
     """Map -> ``k=v;k=v`` with keys sorted (stable text for comparisons)."""
     entries = F.array_sort(F.map_entries(_c(m)))

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickwin.session import scratch_path
@@ -157,14 +157,29 @@ def widest_map_keys(maps: DataFrame, map_col: str, order: Sequence[str]) -> list
     return list(row["k"]) if row is not None else []
 
 
+def all_map_keys(maps: DataFrame, map_col: str) -> list[str]:
+    """Every key of any map, sorted (one short row per key reaches the driver)."""
+    rows = maps.select(F.explode(F.map_keys(map_col)).alias("k")).distinct().collect()
+    return sorted(r["k"] for r in rows)
+
+
+def dropped_entries(maps: DataFrame, map_col: str, keys: Sequence[str],
+                    out: str = "DROPPED") -> DataFrame:
+    """One row: the entries that a column list of ``keys`` leaves out."""
+    other = F.size(F.array_except(F.map_keys(map_col), F.array(*[F.lit(k) for k in keys])))
+    return maps.agg(F.coalesce(F.sum(other), F.lit(0)).cast("bigint").alias(out))
+
+
 def ragged_maps_to_rows(maps: DataFrame, map_col: str, order: Sequence[str],
-                        keys: Sequence[str] | None = None) -> DataFrame:
+                        keys: Sequence[str] | None = None, union: bool = False) -> DataFrame:
     """Records as maps with differing key sets -> rows.
 
-    Columns are the keys of the widest map; a missing key gives null and a
-    key outside that list is dropped.
+    Columns are the keys of the widest map (a key outside that list is
+    dropped; ``dropped_entries`` counts them), or with ``union`` the keys of
+    any map.  A missing key gives null.  Finding the keys runs a job.
     """
-    cols = list(keys) if keys is not None else widest_map_keys(maps, map_col, order)
+    cols = (list(keys) if keys is not None else all_map_keys(maps, map_col) if union
+            else widest_map_keys(maps, map_col, order))
     return maps.select(*[F.col(map_col).getItem(k).alias(k) for k in cols])
 
 
@@ -242,8 +257,9 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
                  partition_by: Sequence[str] = (), order_desc: Sequence[str] | None = None,
                  columns: Sequence[str] | None = None, fmt: str = "parquet",
                  unique: bool = False, partition_values: Sequence[str] | None = None
-                 ) -> None:
-    """Upsert ``batch`` into the table at ``path`` (created when absent).
+                 ) -> int:
+    """Upsert ``batch`` into the table at ``path`` (created when absent);
+    returns the affected rows (the batch's rows, one per key).
 
     ``unique=True`` skips the dedup when the batch is one row per key by
     construction (a grouped aggregate keyed by the table key).
@@ -261,8 +277,9 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     if fresh:
         if not unique:
             batch = dedupe_latest(batch, keys, order_desc)
-        _write(batch, path, part, fmt, "overwrite")
-        return
+        seen = Observation()
+        _write(batch.observe(seen, F.count(F.lit(1)).alias("n")), path, part, fmt, "overwrite")
+        return int(seen.get["n"])
     if touched_dirs:
         # Read only the touched partition folders: plain Parquet would list
         # every partition of the table first, however many windows it holds.
@@ -274,11 +291,21 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     reduced = scratch_path(spark, "upsert-batch")
     (batch if unique else dedupe_latest(batch, keys, order_desc)).write.parquet(reduced)
     batch = read_table(spark, reduced, part)
+    affected_rows = batch.count()           # from the file footers
     if part and not touched_dirs:
         touched = batch.select(*part).distinct()
         old = old.join(touched, part, "left_semi")
     merged = merge_upsert(old, batch, keys, columns)
     merged = merged.select(*order, *[c for c in merged.columns if c not in order])
+    _replace(spark, path, merged, part, fmt)
+    _delete_quietly(spark, reduced)
+    return affected_rows
+
+
+def _replace(spark: SparkSession, path: str, merged: DataFrame, part: Sequence[str], fmt: str
+             ) -> None:
+    """Overwrite the table's touched partitions (all of it, unpartitioned)
+    with rows that were derived from it."""
     staging = scratch_path(spark, "upsert-staging")
     _write(merged, staging, part, fmt, "overwrite")
     # from here on the merged rows are safe: a cut-off overwrite is repeated
@@ -286,7 +313,33 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     note = spark.createDataFrame([(staging, ",".join(part), fmt, ",".join(merged.columns))], _NOTE)
     note.coalesce(1).write.mode("overwrite").parquet(_pending(path))
     _finish(spark, path, staging, part, fmt, merged.columns)
-    _delete_quietly(spark, reduced)
+
+
+def rewrite_where(spark: SparkSession, path: str, cond: Column,
+                  assignments: Mapping[str, Column] | None = None,
+                  partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
+    """DELETE (or with ``assignments`` UPDATE) the stored rows where ``cond``
+    is true; returns how many.  Only partitions that hold such rows are
+    rewritten; assignments may not move a row to another partition."""
+    if not table_exists(spark, path):
+        return 0
+    part = list(partition_by)
+    stored = read_table(spark, path, part, fmt)
+    number = affected(stored, cond).first()[0]
+    if not number:
+        return 0
+    touched = stored.where(cond).select(*part).distinct() if part else None
+    rows = stored.join(touched, part, "left_semi").select(*stored.columns) if part else stored
+    left = update_where(rows, assignments, cond) if assignments else delete_where(rows, cond)
+    emptied = []
+    if part and not assignments:            # a folder left without rows goes as a whole
+        kept = left.select(*part).distinct()
+        emptied = touched.join(kept, part, "left_anti").collect()   # one row per partition
+    if not part or left.take(1):
+        _replace(spark, path, left, part, fmt)
+    for r in emptied:
+        _delete_quietly(spark, "/".join([path.rstrip("/"), *[f"{c}={r[c]}" for c in part]]))
+    return int(number)
 
 
 _NOTE = "staging string, part string, fmt string, columns string"
@@ -327,11 +380,11 @@ def _delete_quietly(spark: SparkSession, path: str) -> None:
 
 
 def upsert_sql(spark: SparkSession, path: str, sql: str, args, keys: Sequence[str],
-               partition_by: Sequence[str] = ()) -> None:
+               partition_by: Sequence[str] = ()) -> int:
     """Upsert the rows a SQL statement with bound values produces, e.g.
     ``SELECT ? AS ENDTIME, ? AS STARTTIME`` with ``args=[end, start]``.
     Values are bound, never spliced into the text."""
-    write_upsert(spark, path, spark.sql(sql, args=args), keys, partition_by)
+    return write_upsert(spark, path, spark.sql(sql, args=args), keys, partition_by)
 
 
 def _write(df: DataFrame, path: str, part: Sequence[str], fmt: str, mode: str) -> None:

@@ -177,7 +177,10 @@ def run_window_job(spark: SparkSession, click, store: WindowStore, kind: str,
         return {"status": "caught_up", "start": start, "end": end}
     if not window_ready(click, end, pattern, gate).first()["READY"]:
         return {"status": "not_ready", "start": start, "end": end}
-    window = rows_between(click, start, end)
+    # a time that is none (only its text lies in the window) is in no window;
+    # the catch-up has the same rule
+    window = rows_between(click, start, end).where(
+        key_to_ms(F.substring("TIME", 1, 10), HOUR_KEY).isNotNull())
     if kind == "label":
         rows = counts.label_pv_window(window, start, end, null_as_empty=null_as_empty)
     elif kind == "dim":

@@ -344,6 +344,28 @@ SQL["job_copy_window"] = with_clicklog(
     f"SELECT ID, TIME, PARAM_TYPE, URL, TITLE, CONTENT_TYPE FROM clicklog WHERE TIME >= '{START}'"
     f" AND TIME < '{MONTH_END}'")
 
+SQL["job_label_hourly"] = with_clicklog(" UNION ALL ".join(
+    tag(f"20240101{h + 1:02d}", f"20240101{h:02d}",
+        label_count_sql(f"TIME >= '20240101{h:02d}' AND TIME < '20240101{h + 1:02d}'"))
+    for h in range(3)))
+SQL["job_label_minute"] = with_clicklog(" UNION ALL ".join(
+    tag(e, s, label_count_sql(f"TIME >= '{s}' AND TIME < '{e}'", null_as_empty=True))
+    for s, e in (("202401010000", "202401010130"), ("202401010130", "202401010300"))))
+_MERGED = ("(SELECT * FROM n0 UNION ALL SELECT * FROM o WHERE TIME < '2024011000')")
+SQL["keyed_write_counts"] = with_clicklog(
+    "SELECT (SELECT count(*) FROM n0) AS UPSERTED, count(*) FILTER (PLATFORM = 'web') AS UPDATED, "
+    "count(*) FILTER (CONTENT_TYPE = 'error') AS DELETED, "
+    "count(*) FILTER (CONTENT_TYPE IS DISTINCT FROM 'error') AS ROWS_LEFT, "
+    "count(*) FILTER (CONTENT_TYPE IS DISTINCT FROM 'error' AND (PLATFORM = 'web' "
+    f"OR TITLE = upper(TITLE))) AS UPPER_TITLES FROM {_MERGED} m", OLD_NEW)
+SQL["upsert_sql_store"] = with_clicklog(
+    f"SELECT CONTENT_TYPE, '{MONTH_END}' AS ENDTIME, CAST(count(*) AS BIGINT) AS FREQUENCY "
+    f"FROM clicklog WHERE TIME < '{MONTH_END}' GROUP BY CONTENT_TYPE")
+SQL["upsert_ragged_store"] = SQL["scan_table"]
+SQL["cells_upsert_store"] = with_cells(
+    "SELECT rowkey, family, qualifier, CASE WHEN qualifier = 'TITLE' THEN upper(value) "
+    "ELSE value END AS value FROM cells")
+
 # -- streaming -------------------------------------------------------------------
 
 _WEND = "(strptime(substr(TIME, 1, 10), '%Y%m%d%H') + INTERVAL 1 HOUR)"

@@ -509,8 +509,63 @@ def marker_upsert(spark, sf_dir):
     windows = bf.dim_backfill(_click(spark, sf_dir, START), START, 1, now=NOW)
     marks = windows.select(F.lit("STAT_PARAMTYPE_CONTENTTYPE").alias("TABLE_NAME"),
                            "ENDTIME", "STARTTIME").distinct()
-    empty = spark.createDataFrame([], inc.MARKER_SCHEMA)
-    return up.merge_upsert(empty, marks, ["TABLE_NAME", "ENDTIME"])
+    # half of the markers are there already, with another start
+    recorded = marks.where("ENDTIME < '2024011600'").withColumn("STARTTIME", F.lit("old"))
+    return up.merge_upsert(recorded, marks, ["TABLE_NAME", "ENDTIME"])
+
+
+@register("keyed_write_counts")
+def keyed_write_counts(spark, sf_dir):
+    """Affected rows of an upsert, an update and a delete on one stored table."""
+    old, new = _old_new(spark, sf_dir)
+    path = scratch_path(spark, "keyed-table")
+    day = F.substring("TIME", 1, 8).alias("DAY")
+    up.write_upsert(spark, path, old.select("*", day), ["ID"], ["DAY"])
+    counts_ = [up.write_upsert(spark, path, new.select("*", day), ["ID"], ["DAY"]),
+               up.rewrite_where(spark, path, F.col("PLATFORM") == "web",
+                                {"TITLE": F.upper("TITLE")}, ["DAY"]),
+               up.rewrite_where(spark, path, F.col("CONTENT_TYPE") == "error",
+                                partition_by=["DAY"])]
+    left = up.read_table(spark, path, ["DAY"])
+    return left.agg(*[F.lit(n).cast("bigint").alias(c) for n, c in
+                      zip(counts_, ("UPSERTED", "UPDATED", "DELETED"))],
+                    F.count(F.lit(1)).alias("ROWS_LEFT"),
+                    F.count_if(F.col("TITLE") == F.upper("TITLE")).alias("UPPER_TITLES"))
+
+
+@register("upsert_sql_store")
+def upsert_sql_store(spark, sf_dir):
+    # a SQL statement with bound values, upserted by position into a stored table
+    _click(spark, sf_dir).createOrReplaceTempView("clicklog")
+    path = scratch_path(spark, "sql-table")
+    for bound in ("2024011600", MONTH_END):
+        up.upsert_sql(spark, path, "SELECT CONTENT_TYPE, ? AS ENDTIME, count(*) AS FREQUENCY "
+                      "FROM clicklog WHERE TIME < ? GROUP BY CONTENT_TYPE", [bound, bound],
+                      ["CONTENT_TYPE"])
+    return up.read_table(spark, path)
+
+
+@register("upsert_ragged_store")
+def upsert_ragged_store(spark, sf_dir):
+    # ragged maps, every key a column, upserted twice into a stored table
+    maps = src.scan_as_maps(_click(spark, sf_dir), cl.CLICK_COLUMNS, "m").select(
+        F.map_filter("m", lambda k, v: v.isNotNull()).alias("m"))
+    path = scratch_path(spark, "ragged-table")
+    rows = up.ragged_maps_to_rows(maps, "m", [], union=True)
+    for _ in range(2):
+        up.write_upsert(spark, path, rows, ["ID"])
+    return up.read_table(spark, path).select(*cl.CLICK_COLUMNS)
+
+
+@register("cells_upsert_store")
+def cells_upsert_store(spark, sf_dir):
+    # cells written by (rowkey, family, qualifier); later titles replace earlier ones
+    cells, path = _cells(spark, sf_dir), scratch_path(spark, "cell-table")
+    keys = ["rowkey", "family", "qualifier"]
+    up.write_upsert(spark, path, cells, keys)
+    up.write_upsert(spark, path, cells.where("qualifier = 'TITLE'").withColumn(
+        "value", F.upper("value")), keys)
+    return up.read_table(spark, path)
 
 
 @register("delete_where")
@@ -562,6 +617,27 @@ def job_label_pv(spark, sf_dir):
     return _run_job(spark, sf_dir, "label")
 
 
+@register("job_label_hourly")
+def job_label_hourly(spark, sf_dir):
+    # hourly launches: all but the first merge into the day's existing folder
+    store = inc.label_store(scratch_path(spark, "job-label-hourly"))
+    for _ in range(3):
+        inc.run_window_job(spark, _source(spark, sf_dir), store, "label", 1, now=NOW,
+                           default_start=START, gate="any_later")
+    return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")
+
+
+@register("job_label_minute")
+def job_label_minute(spark, sf_dir):
+    # the minute-grain job: null labels count as the empty one, guard on the window's end
+    store = inc.label_store(scratch_path(spark, "job-label-minute"))
+    for _ in range(2):
+        inc.run_window_job(spark, _source(spark, sf_dir), store, "label", 90, now=NOW,
+                           default_start="202401010000", gate="any_later", unit="MIMUE",
+                           pattern=tk.MINUTE_KEY, guard="end", null_as_empty=True)
+    return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")
+
+
 @register("job_dim_pv")
 def job_dim_pv(spark, sf_dir):
     return _run_job(spark, sf_dir, "dim")

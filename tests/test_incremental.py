@@ -185,3 +185,18 @@ def test_appended_file_is_seen_by_the_next_read(spark, tmp_root):
     assert cl.clicklog(spark, tmp_root).count() == 10
     rows.limit(5).write.mode("append").partitionBy("d").parquet(f"{tmp_root}/events.parquet")
     assert cl.clicklog(spark, tmp_root).count() == 15
+
+
+def test_malformed_times_count_neither_in_launches_nor_in_the_catch_up(spark, tmp_root):
+    click = spark.createDataFrame(
+        [("20240101013000000", "a"), ("2024010199zz", "a"), ("20240101023000000", "b"),
+         ("2024010107oops", "c"), ("20240102003000000", "d"), ("2024 bad", "e")],
+        "TIME string, CONTENT_LABEL string")
+    out = []
+    for launch in (inc.run_window_job, inc.run_catch_up):
+        store = inc.label_store(f"{tmp_root}/{launch.__name__}")
+        status = launch(spark, click, store, "label", 24, now=dt.datetime(2024, 3, 1),
+                        default_start="2024010100")
+        assert status["status"] == "done"
+        out.append(sorted((r.WORD, r.FREQUENCY) for r in store.results(spark).collect()))
+    assert out[0] == out[1] == [("a", 1), ("b", 1), ("c", 1)]

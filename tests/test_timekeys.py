@@ -79,3 +79,9 @@ def test_parse_datetime_and_ranges(spark):
                                   ("20181001015959999",), ("20181001020000000",)], "t string")
     kept = [r[0] for r in keys.where(tk.key_range("t", "2018100101", "2018100102")).collect()]
     assert kept == ["20181001010000000", "20181001015959999"]
+
+
+def test_format_now_takes_the_given_clock(spark):
+    import datetime as dt
+    row = spark.range(1).select(tk.format_now(dt.datetime(2024, 3, 1, 4, 5, 6)).alias("t")).first()
+    assert row["t"] == "2024-03-01 04:05:06"

@@ -148,3 +148,23 @@ def test_cut_off_overwrite_is_repeated(spark, tmp_root, monkeypatch):
     got = sorted(tuple(r) for r in up.read_table(spark, path, ["ENDTIME"]).select(
         "ENDTIME", "WORD", "N").collect())
     assert got == [("d1", "a", 9), ("d1", "b", 2)]
+
+
+def test_stored_delete_and_update_report_their_rows(spark, tmp_root):
+    path, schema = f"{tmp_root}/t", "D string, K string, N int"
+    rows = [("d1", "a", 1), ("d1", "b", 2), ("d2", "c", 3), ("d3", "e", None)]
+    assert up.write_upsert(spark, path, spark.createDataFrame(rows, schema), ["K"], ["D"]) == 4
+    assert up.write_upsert(spark, path, spark.createDataFrame([("d2", "c", 4), ("d2", "x", 5)], schema),
+                           ["K"], ["D"]) == 2
+    assert up.rewrite_where(spark, path, F.col("N") > 3, {"N": F.lit(0)}, ["D"]) == 2
+    assert up.rewrite_where(spark, path, F.col("D") == "d2", partition_by=["D"]) == 2
+    assert up.rewrite_where(spark, path, F.col("N") == 77, partition_by=["D"]) == 0
+    got = sorted(map(tuple, up.read_table(spark, path, ["D"]).select("D", "K", "N").collect()), key=repr)
+    assert got == [("d1", "a", 1), ("d1", "b", 2), ("d3", "e", None)]
+    assert up.rewrite_where(spark, f"{tmp_root}/none", F.lit(True)) == 0
+
+
+def test_ragged_union_and_dropped_entries(spark):
+    maps = spark.createDataFrame([({"a": "1", "b": "2"},), ({"c": "3"},)], "m map<string,string>")
+    assert up.ragged_maps_to_rows(maps, "m", [], union=True).columns == ["a", "b", "c"]
+    assert up.dropped_entries(maps, "m", ["a", "b"]).first()[0] == 1
