@@ -25,7 +25,7 @@ from clickwin.llm.common import batch_of
 ALPHABET = 96               # most frequent characters of the landmarks; the rest are one symbol
 CHUNK = 1 << 20             # characters looked at together
 ROWS = 256                  # documents of one matrix product
-LETTER = re.compile(r"[^\W\d_]")
+ASCII_LETTER = re.compile(r"[A-Za-z]")
 
 
 def held_out(id_col) -> F.Column:
@@ -33,6 +33,10 @@ def held_out(id_col) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and (ASCII_LETTER.search(text) is not None or any(map(str.isalpha, text)))
+
+
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -75,7 +79,7 @@ def fit(docs: DataFrame, per_lang: int = 120, landmarks: int = 160, ridge: float
               .select("doc_id", "text", "lang")
               .withColumn("rank", F.row_number().over(order))
               .where(F.col("rank") <= per_lang).orderBy("rank", "lang").collect())
-    sample = [r for r in sample if LETTER.search(r["text"])]
+    sample = [r for r in sample if has_letter(r["text"])]
     if not sample:
         return None
     langs = sorted({r["lang"] for r in sample})
@@ -140,7 +144,7 @@ def predict(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_
                 part = batch.slice(at, ROWS)
                 texts = part.column(part.num_columns - 1).to_pylist()
                 label, score = ["und"] * len(texts), np.zeros(len(texts))
-                rows = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+                rows = [i for i, t in enumerate(texts) if has_letter(t)]
                 if m and rows:
                     x = _presence([grams(texts[i]) for i in rows], column, len(m["vocab"]))
                     f = np.round(x @ m["weights"] + m["bias"], 6)    # equal texts, equal scores
