@@ -30,7 +30,7 @@ from clickwin.session import materialize
 
 N = 3                       # words of a seed
 MIN_BITS = 24.0             # information of a seed that starts an alignment
-THRESHOLD = 0.5             # of the item's full score
+THRESHOLD = 0.4             # of the item's full score
 MATCH, MISMATCH, GAP = 2, -1, -1
 MAX_ITEM_BYTES = 32 << 20
 WORD = re.compile(r"\w+")
