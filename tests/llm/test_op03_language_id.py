@@ -74,3 +74,8 @@ def test_language_and_source_are_no_inputs(spark):
     same = docs.selectExpr("doc_id", "text", "'xx' as lang", "'yy' as source")
     a = {r.doc_id: (r.lang_pred, r.score) for r in li.predict(docs, model).collect()}
     assert a == {r.doc_id: (r.lang_pred, r.score) for r in li.predict(same, model).collect()}
+
+
+def test_letters_are_unicode_letters_only():
+    assert [li.has_letter(t) for t in ("x", "é", "你", "ª")] == [True] * 4
+    assert not any(li.has_letter(t) for t in (None, "", "12 !", "½²Ⅷ_", "\u0301"))
