@@ -10,6 +10,7 @@ bounded-error matching verifies the notice and gives its span.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import regex
@@ -56,6 +57,17 @@ def split_pieces(text: str, k: int) -> list[tuple[int, str]]:
     return [(a, text[a:b]) for a, b in zip(cut, cut[1:])]
 
 
+def merged(spans: list[list[int]]) -> list[list[int]]:
+    """The same stretches in order, overlapping ones as one."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
 class Scanner:
     """Finds notices with a bounded number of edits in normalised texts."""
 
@@ -63,8 +75,11 @@ class Scanner:
         import ahocorasick
         self.notices = notices
         # \b: an edit may not turn into half a word at either end
-        self.patterns = [regex.compile(rf"(?b)\b(?:{regex.escape(t)}){{e<={k}}}\b")
-                         for _, t, k, _ in notices]
+        body = [rf"\b(?:{regex.escape(t)}){{e<={k}}}\b" for _, t, k, _ in notices]
+        # the next match reads on from the last one; the best match looks at
+        # all it is given, so it only sees the surroundings of the next one
+        self.next = [regex.compile("(?e)" + p) for p in body]
+        self.best = [regex.compile("(?b)" + p) for p in body]
         places: dict[str, list] = {}
         for n, (_, text, k, _) in enumerate(notices):
             for off, piece in split_pieces(text, k):
@@ -88,23 +103,40 @@ class Scanner:
                 a = max(0, end - length + 1 - off - k - 1)
                 b = a + size + 2 * k + 2
                 mine = out.setdefault(n, [])
-                if mine and a <= mine[-1][1]:
+                if mine and mine[-1][0] <= a <= mine[-1][1]:
                     mine[-1][1] = max(mine[-1][1], b)
                 else:
                     mine.append([a, b])
-        return out
+        return {n: merged(mine) for n, mine in out.items()}
+
+    def matches(self, n: int, text: str, at: int, end: int) -> Iterator[regex.Match]:
+        """Matches of notice ``n`` in a window, left to right: the best one
+        around every place that has one."""
+        _, _, k, must = self.notices[n]
+        while m := self.next[n].search(text, at, end):
+            near = self.best[n].search(text, max(at, m.start() - k), min(end, m.end() + k + 1))
+            at = m.end()
+            for found in (near, m):
+                # the end of what was searched is not the end of a word
+                if found and (found.end() == len(text) or found.group()[-1] == " "
+                              or text[found.end()] == " "):
+                    got = found.group().split()
+                    if all(w in got for w in must):
+                        at = max(at, found.end())
+                        yield found
+                        break
 
     def scan(self, text: str) -> list[Hit]:
         hits = []
         for n, spans in self.windows(text).items():
-            label, notice, _, must = self.notices[n]
+            label, notice = self.notices[n][:2]
+            word = seen = 0             # word number at ``seen``; both only grow
             for a, b in spans:
-                for m in self.patterns[n].finditer(text, a, min(b, len(text))):
-                    got = m.group().split()
-                    if all(w in got for w in must):
-                        first = text.count(" ", 0, m.start() + (m.group()[:1] == " "))
-                        hits.append(Hit(label, first, first + max(len(got) - 1, 0),
-                                        sum(m.fuzzy_counts), len(notice)))
+                for m in self.matches(n, text, a, min(b, len(text))):
+                    start = m.start() + (m.group()[:1] == " ")
+                    word, seen = word + text.count(" ", seen, start), start
+                    hits.append(Hit(label, word, word + max(len(m.group().split()) - 1, 0),
+                                    sum(m.fuzzy_counts), len(notice)))
         return sorted(set(hits), key=lambda h: (h.first_word, h.last_word, h.label, h.errors))
 
 
@@ -118,10 +150,11 @@ def base_places(padded: bytes, phrases=PHRASES) -> list[tuple[int, str]]:
     out = []
     for phrase, label in phrases:
         want = b" " + phrase.encode() + b" "
-        at = padded.find(want)
-        while at >= 0:
-            out.append((padded.count(b" ", 0, at), label))
-            at = padded.find(want, at + 1)
+        word = seen = 0                 # word number at ``seen``
+        while (at := padded.find(want, seen)) >= 0:
+            word += padded.count(b" ", seen, at + 1)
+            out.append((word - 1, label))
+            seen = at + 1
     return out
 
 

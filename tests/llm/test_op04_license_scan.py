@@ -2,8 +2,9 @@
 
 import random
 import re
+import time
 
-from clickwin.llm.license_scan import NOTICES, PHRASES, Scanner, license_scan, split_pieces
+from clickwin.llm.license_scan import NOTICES, PHRASES, Scanner, base_places, license_scan, merged, split_pieces
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -77,3 +78,27 @@ def test_pigeonhole_pieces_cover_the_notice():
 
 def test_empty_table(spark):
     assert license_scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_every_place_of_a_text_full_of_notices_is_found():
+    # the first has more errors than the next: none may hide another
+    text = "under tha mit license or under the mit license and " * 20_000
+    began = time.monotonic()
+    hits = Scanner().scan(text)
+    assert [(h.first_word, h.errors) for h in hits] == [
+        (at, e) for i in range(20_000) for at, e in ((10 * i, 1), (10 * i + 5, 0))]
+    assert len(base_places(b" " + text.encode() * 5)) == 100_000
+    assert time.monotonic() - began < 60        # linear in the text
+
+
+def test_a_match_does_not_end_inside_a_word():
+    scanner = Scanner()
+    for text in ("gnu under the gnu general public license version 2023", "apache license version 20",
+                 "under the gnu general public license version 31 and more"):
+        assert not scanner.scan(text), text
+    hit, = scanner.scan("under the gnu general public license versionq 2 and some after")
+    assert (hit.label, hit.first_word, hit.last_word, hit.errors) == ("gpl-2", 0, 7, 1)
+
+
+def test_windows_are_merged_from_their_earliest_start():
+    assert merged([[30, 40], [10, 20], [15, 31], [50, 60]]) == [[10, 40], [50, 60]]
