@@ -33,6 +33,17 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+def merged(spans: list[list[int]]) -> list[list[int]]:
+    """The same stretches in order, overlapping ones as one."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int
            ) -> Iterator[pa.RecordBatch]:
     """Slices of the batches of about ``limit`` bytes of text (a longer text

@@ -8,7 +8,8 @@ seeds of at least ``min_bits`` start an alignment, unless an item has none.
 Around the seeds of one (text, item) pair a passage of the text is aligned
 with the item by Smith-Waterman over words; the score is the best local
 alignment's value over that of the whole item, so edits, insertions and
-losses cost a little each.  Texts are read whole: every passage around a seed
+losses cost a little each.  A few common words are no copy of a short item: an
+alignment must also be worth ``LEAST_WORDS`` matching words or the whole item.  Texts are read whole: every passage around a seed
 is aligned.
 
 The item list is broadcast while it stays below ``MAX_ITEM_BYTES`` of text
@@ -25,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickwin.llm.common import batch_of
+from clickwin.llm.common import batch_of, merged
 from clickwin.session import materialize
 
 N = 3                       # words of a seed
 MIN_BITS = 24.0             # information of a seed that starts an alignment
 THRESHOLD = 0.4             # of the item's full score
+LEAST_WORDS = 6             # words an alignment is worth at least (or the whole item)
 MATCH, MISMATCH, GAP = 2, -1, -1
 MAX_ITEM_BYTES = 32 << 20
 WORD = re.compile(r"\w+")
@@ -103,11 +105,11 @@ class Items:
                     a = max(0, at - self.off[j] - slack)
                     b = min(len(seq), at - self.off[j] + size + slack)
                     mine = out.setdefault(int(k), [])
-                    if mine and a <= mine[-1][1]:
+                    if mine and mine[-1][0] <= a <= mine[-1][1]:
                         mine[-1][1] = max(mine[-1][1], b)
                     else:
                         mine.append([a, b])
-        return out
+        return {k: merged(mine) for k, mine in out.items()}
 
 
 def smith_waterman(text: np.ndarray, item: np.ndarray) -> tuple[int, int]:
@@ -200,18 +202,19 @@ def _scan(docs, items, threshold, schema, arrow) -> DataFrame:
                 seq = items.encode(tokens(text))
                 for k, spans in items.passages(seq).items():
                     item = items.seqs[k]
+                    full = MATCH * len(item)
+                    need = max(threshold * full, min(full, MATCH * LEAST_WORDS))
                     best = (0, 0, 0)
                     for a, b in spans:
                         # words that no side shares cannot raise the value enough
-                        if MATCH * np.isin(item, seq[a:b]).sum() < threshold * MATCH * len(item):
+                        if MATCH * np.isin(item, seq[a:b]).sum() < need:
                             continue
                         value, end = smith_waterman(seq[a:b], item)
                         if value > best[0]:
                             _, back = smith_waterman(seq[a:a + end][::-1], item[::-1])
                             best = (value, a + end - back, a + end - 1)
-                    if best[0] >= threshold * MATCH * len(item) > 0:
-                        rows.append((doc, items.ids[k], best[0] / (MATCH * len(item)),
-                                     best[1], best[2]))
+                    if best[0] >= need > 0:
+                        rows.append((doc, items.ids[k], best[0] / full, best[1], best[2]))
             yield batch_of(arrow, *(map(list, zip(*rows)) if rows else [[]] * 5))
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickwin.llm.common import batch_of, utf8
+from clickwin.llm.common import batch_of, merged, utf8
 
 #: Exact phrases and their labels (fixed values).
 PHRASES = (("under the mit license", "mit"),
@@ -57,17 +57,6 @@ def split_pieces(text: str, k: int) -> list[tuple[int, str]]:
     return [(a, text[a:b]) for a, b in zip(cut, cut[1:])]
 
 
-def merged(spans: list[list[int]]) -> list[list[int]]:
-    """The same stretches in order, overlapping ones as one."""
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
-
-
 class Scanner:
     """Finds notices with a bounded number of edits in normalised texts."""
 

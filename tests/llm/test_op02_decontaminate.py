@@ -90,3 +90,21 @@ def test_items_in_slices(spark, monkeypatch):
     docs = table(spark, [(i, t) for i, t in items], "doc_id long, text string")
     got = dc.contaminated(docs, table(spark, items, "item_id long, text string")).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i in range(12)]
+
+
+def test_a_few_common_words_are_no_copy_of_a_short_item(spark):
+    items = table(spark, [(1, "what is the name of it"), (2, "the cat sat")],
+                  "item_id long, text string")
+    docs = table(spark, [(1, "she asked what is the name he bore"), (2, "what is the name of it"),
+                         (3, "the cat sat down"), (4, "the cat ran")], "doc_id long, text string")
+    got = dc.contaminated(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.score) for r in got) == [(2, 1, 1.0), (3, 2, 1.0)]
+
+
+def test_a_passage_is_cut_out_from_its_earliest_start():
+    item = [f"w{i}" for i in range(40)]
+    item[30:33] = item[:3]                      # a seed at both ends of the item
+    items = dc.Items([(1, " ".join(item))])
+    text = "x " * 100 + " ".join(["y"] * 30 + item[30:])        # its first words are lost
+    (a, b), = items.passages(items.encode(dc.tokens(text)))[0]
+    assert a <= 100 and b >= 140

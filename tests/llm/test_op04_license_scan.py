@@ -4,7 +4,8 @@ import random
 import re
 import time
 
-from clickwin.llm.license_scan import NOTICES, PHRASES, Scanner, base_places, license_scan, merged, split_pieces
+from clickwin.llm.common import merged
+from clickwin.llm.license_scan import NOTICES, PHRASES, Scanner, base_places, license_scan, split_pieces
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
