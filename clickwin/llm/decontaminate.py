@@ -9,8 +9,8 @@ Around the seeds of one (text, item) pair a passage of the text is aligned
 with the item by Smith-Waterman over words; the score is the best local
 alignment's value over that of the whole item, so edits, insertions and
 losses cost a little each.  A few common words are no copy of a short item: an
-alignment must also be worth ``LEAST_WORDS`` matching words or the whole item.  Texts are read whole: every passage around a seed
-is aligned.
+alignment must also be worth ``LEAST_WORDS`` matching words or the whole item.
+Texts are read whole: every passage around a seed is aligned.
 
 The item list is broadcast while it stays below ``MAX_ITEM_BYTES`` of text
 (checked); a longer list is worked through in slices below that size.
@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickwin.llm.common import batch_of, merged
-from clickwin.session import materialize
 
 N = 3                       # words of a seed
 MIN_BITS = 24.0             # information of a seed that starts an alignment
@@ -190,38 +189,63 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     return reduce(DataFrame.unionByName, found)
 
 
+def leaks(items: Items, text: str | None, threshold: float):
+    """(item, score, first word, last word) of every item the text holds."""
+    seq = items.encode(tokens(text))
+    for k, spans in items.passages(seq).items():
+        item = items.seqs[k]
+        full = MATCH * len(item)
+        need = max(threshold * full, min(full, MATCH * LEAST_WORDS))
+        best = (0, 0, 0)
+        for a, b in spans:
+            # words that no side shares cannot raise the value enough
+            if MATCH * np.isin(item, seq[a:b]).sum() < need:
+                continue
+            value, end = smith_waterman(seq[a:b], item)
+            if value > best[0]:
+                _, back = smith_waterman(seq[a:a + end][::-1], item[::-1])
+                best = (value, a + end - back, a + end - 1)
+        if best[0] >= need > 0:
+            yield k, best[0] / full, best[1], best[2]
+
+
 def _scan(docs, items, threshold, schema, arrow) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
         items = shared.value
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(),
-                                 batch.column("text").to_pylist()):
-                seq = items.encode(tokens(text))
-                for k, spans in items.passages(seq).items():
-                    item = items.seqs[k]
-                    full = MATCH * len(item)
-                    need = max(threshold * full, min(full, MATCH * LEAST_WORDS))
-                    best = (0, 0, 0)
-                    for a, b in spans:
-                        # words that no side shares cannot raise the value enough
-                        if MATCH * np.isin(item, seq[a:b]).sum() < need:
-                            continue
-                        value, end = smith_waterman(seq[a:b], item)
-                        if value > best[0]:
-                            _, back = smith_waterman(seq[a:a + end][::-1], item[::-1])
-                            best = (value, a + end - back, a + end - 1)
-                    if best[0] >= need > 0:
-                        rows.append((doc, items.ids[k], best[0] / full, best[1], best[2]))
+            rows = [(doc, items.ids[k], *rest)
+                    for doc, text in zip(batch.column("doc_id").to_pylist(),
+                                         batch.column("text").to_pylist())
+                    for k, *rest in leaks(items, text, threshold)]
             yield batch_of(arrow, *(map(list, zip(*rows)) if rows else [[]] * 5))
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the documents that hold a test item's passage."""
-    gone = materialize(contaminated(docs, benchmark, **settings).select("doc_id").distinct(),
-                       "leaks")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
+                  min_bits: float = MIN_BITS) -> DataFrame:
+    """``docs`` without the rows whose text holds a test item's passage.
+
+    Rows are judged one by one where they are, so nothing is shuffled and rows
+    with null or repeated ids are kept or dropped by their own text.
+    """
+    left = docs
+    for items in _slices(benchmark):
+        items.weigh(*word_counts(docs, items), min_bits)
+        left = _without(left, items, threshold)
+    return left
+
+
+def _without(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+    def run(batches):
+        items = shared.value
+        for batch in batches:
+            clean = [next(leaks(items, text, threshold), None) is None
+                     for text in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -81,6 +81,13 @@ def test_edge_cases(spark):
     got = dc.contaminated(d, b).collect()
     assert sorted((r.doc_id or 0, r.item_id, r.score) for r in got) == [
         (0, 7, 1.0), (3, 7, 1.0), (3, 7, 1.0), (4, 7, 1.0)]
+    # rows are dropped by their own text, whatever their ids are
+    more = d.unionByName(table(spark, [(None, "clean"), (3, "clean too"), (None, None)],
+                               "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.text) for r in dc.decontaminate(more, b).collect()), key=repr) == \
+        sorted([(1, None), (2, ""), (5, "alpha beta"), (None, "clean"), (3, "clean too"),
+                (None, None)], key=repr)
+    assert dc.decontaminate(d, b.limit(0)).count() == d.count()
     assert dc.contaminated(d.limit(0), b).count() == 0 and dc.contaminated(d, b.limit(0)).count() == 0
 
 
