@@ -185,9 +185,10 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     Documents are linked when their shingle sets have a similarity of at least
     ``percent``; a component's id is its smallest doc_id and that document is
     kept.  Null and empty texts (and texts of white space) have no shingle and
-    no link: they are kept, alone.  Rows with equal ids are one node.  A row
-    with a null id has no link, a null component and is kept.  Other columns
-    are not read; an empty table gives no rows.
+    no link: they are kept, alone, also beside a row of the same id that has
+    words.  Rows with equal ids are one node.  A row with a null id has no
+    link, a null component and is kept.  Other columns are not read; an empty
+    table gives no rows.
     """
     docs = docs.select("doc_id", "text")
     sigs = materialize(signatures(docs), "signatures")
@@ -206,7 +207,9 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
              .unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
     # every text of a bucket with two nodes; all later rounds compare these only
     # (a merge join: the list of nodes grows with the table, so it is never broadcast)
-    texts = materialize(docs.join(nodes.hint("merge"), "doc_id", "left_semi"), "texts")
+    # (a repeated id may have a null text beside another one)
+    texts = materialize(docs.where("text is not null")
+                        .join(nodes.hint("merge"), "doc_id", "left_semi"), "texts")
     edges = materialize(confirm(pairs, texts, percent), "links")
     labels = components(edges)
     open_ = _open_units(buckets, labels)

@@ -74,6 +74,17 @@ def test_blocks_of_open_buckets(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_null_texts_beside_repeated_ids(spark):
+    """Ids of open buckets that come once more without a text."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, edited(base, 5, rng)) for i in range(40)]
+    rows += [(100 + i, edited(rows[i][1].split(), 1, rng)) for i in range(20)]
+    blank = [(i, t) for i, _ in rows for t in (None, " ")]
+    got, _ = run(spark, rows + blank)
+    assert got == sorted(brute(rows) + [(i, 0, i, True) for i, _ in blank], key=repr)
+
+
 def test_edge_cases(spark):
     long = "word " * 60_000 + " ".join(f"u{i}" for i in range(3000))
     rows = [(1, None), (2, ""), (3, " \t"), (4, "one two"), (5, "ONE\ttwo"), (6, "one two three"),
