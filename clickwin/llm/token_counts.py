@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from clickwin.llm.common import batch_of, blocks, utf8
 
 BLOCK_BYTES = 32 << 20
-CACHED_PIECES = 400_000      # pre-tokens a task remembers across blocks
+CACHED_PIECES = 400_000      # pre-tokens a task remembers across blocks ...
+CACHED_BYTES = 64            # ... of at most so many bytes (scripts without spaces have long ones)
 
 
 def load_tokenizer(path: str):
@@ -45,7 +46,8 @@ def piece_counts(tokenizer, pretokens: list[bytes], known: dict[bytes, int]) ->
         out[part] = [len(e.ids) for e in
                      tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     for i in new[:max(0, CACHED_PIECES - len(known))]:
-        known[pretokens[i]] = int(out[i])
+        if len(pretokens[i]) <= CACHED_BYTES:
+            known[pretokens[i]] = int(out[i])
     return out
 
 
