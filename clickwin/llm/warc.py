@@ -211,10 +211,14 @@ def captures_digest(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     got = materialize(got.select("capture", "copies", "response",
                                  F.col("metadata.page_id").cast(id_type).alias("page_id")),
                       "captures")
-    # a hot response is referred to by many: its side has one row per record
-    target = got.select(F.col("capture").alias("to"), F.col("page_id").alias("refers_to"))
-    return (got.join(target, F.col("response.refers_to") == F.col("to"), "left")
+    # a hot response is referred to by many: its side has one row per record;
+    # a response looks itself up, so that no third of the rows shares a null key
+    target = got.select(F.col("capture").alias("to"), F.col("page_id").alias("first"))
+    sought = F.coalesce("response.refers_to", "capture")
+    return (got.join(target, sought == F.col("to"), "left")
             .select("page_id", "response.payload_bytes", "response.payload_digest",
-                    F.col("response.type").alias("record_type"), "refers_to",
+                    F.col("response.type").alias("record_type"),
+                    F.when(F.col("response.refers_to").isNotNull(), F.col("first"))
+                    .alias("refers_to"),
                     F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
             .drop("copy"))
