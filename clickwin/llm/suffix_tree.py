@@ -1,29 +1,33 @@
 """LM scoring with a probabilistic suffix tree (operator 8).
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lowered) and one end.  The
-root is the unigram distribution smoothed by 0.1.  Contexts of one and two
-words whose share of the training tokens reaches ``min_share`` are candidate
-states; a state keeps the next words of share ``min_next`` seen at least
-twice, discounted by ``discount``, and leaves the rest of its mass to its
-suffix's distribution (so every state's probabilities sum to one).  A
-context stays in the tree only if its distribution differs from its suffix's
-by at least ``divergence`` nats (Kullback-Leibler).  A token is scored by the
-longest suffix of what stands before it that is a state.
+root is the unigram distribution smoothed by 0.1.  Contexts of one to ``depth``
+words seen at least ``min_count`` times in the training texts are candidate
+states; a state keeps the next words seen at least twice, discounted by
+``discount``, and leaves the rest of its mass to its suffix's distribution (so
+every state's probabilities sum to one).  A context stays in the tree only if
+its distribution differs from its suffix's by at least ``divergence`` nats
+(Kullback-Leibler).  A token is scored by the longest suffix of what stands
+before it that is a state.
 
 The corpus is tokenised once into blocks (one row each: vocabulary and token
-numbers).  Word counts are summed over all blocks and handed back to each
-block by one window per word, whose rows are one per block: a word that is
-everywhere is as frequent there as there are blocks, not tokens.  Counts of
-continuations travel as (context, word hash, count) summed per block.  The
-tree has at most ``1 / min_share`` contexts a level with ``1 / min_next``
-words each, whatever the corpus; only the tree is broadcast.
+numbers).  The tree grows with the corpus and is held as a table: word counts,
+counts of grams (a context and its next word) and back-off weights of states,
+each with the blocks that need them.  A block asks for its own distinct words,
+grams and contexts; they meet by one window per key, whose rows are one per
+block: what is everywhere is as frequent there as there are blocks, not tokens.
+Levels are built one by one: a context is only extended where its count, known
+from the level below, allows it.  Nothing of the tree reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 from itertools import count
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -35,18 +39,28 @@ from clickwin.llm.common import batch_of, blocks, utf8, words
 from clickwin.session import materialize
 
 ALPHA = 0.1
-BLOCK_BYTES = 12 << 20
-SLICE = 1 << 18            # tokens scored at a time
+BLOCK_BYTES = 8 << 20
+SLICE = 1 << 18            # tokens summed at a time
 END = b""                   # the end symbol; no word is empty
 
 
 @dataclass(frozen=True)
 class Settings:
-    min_share: tuple = (0.004, 0.0005)      # of contexts of one and two words
-    min_next: float = 0.001
+    min_count: int = 10                     # of contexts
+    depth: int = 3                          # words of the longest context
+    min_share: tuple | None = None          # of contexts of one, two, ... words, for min_count and depth
+    min_next: float = 0.0
     discount: float = 0.5
     divergence: float = 0.01
 
+    @property
+    def levels(self) -> int:
+        return self.depth if self.min_share is None else len(self.min_share)
+
+    def least(self, length: int, n: int) -> float:
+        """Count of a candidate context of ``length`` words."""
+        return self.min_count if self.min_share is None else self.min_share[length - 1] * n
+
 
 def held_out(id_col: str):
     """True where crc32 of the id as text is 0 modulo 10 (null id: false)."""
@@ -64,7 +78,7 @@ def tokenise(docs: DataFrame) -> DataFrame:
     documents' ends in ``tokens``, ``trained`` each word's training count.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = (f"block string, ids array<{id_type}>, held array<boolean>, ends array<int>, "
+    schema = (f"block bigint, ids array<{id_type}>, held array<boolean>, ends array<int>, "
               "tokens array<int>, vocab array<binary>, trained array<bigint>")
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(docs.sparkSession.createDataFrame([], schema).schema)
@@ -85,7 +99,7 @@ def tokenise(docs: DataFrame) -> DataFrame:
             learn = [s for s, h in zip(seqs, held) if not h]
             trained = np.bincount(np.concatenate(learn) if learn else np.zeros(0, np.int32),
                                   minlength=len(number))
-            yield batch_of(arrow, [f"{task}-{at}"], pa.array([part.column("doc_id").to_pylist()],
+            yield batch_of(arrow, [(task << 32) + at], pa.array([part.column("doc_id").to_pylist()],
                                                              arrow.field("ids").type),
                            [held], [ends.astype(np.int32)], [np.concatenate(seqs)],
                            [list(number)], [trained])
@@ -94,256 +108,188 @@ def tokenise(docs: DataFrame) -> DataFrame:
             .mapInArrow(run, schema))
 
 
-def corpus_counts(corpus: DataFrame, share: float) -> tuple[DataFrame, int, int]:
-    """Training counts of every block's words, as ``block, at, c, word``; with
-    N and V.  ``word`` is given once for words of the share, null elsewhere."""
+def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keys of grams from the keys of their contexts and next words."""
+    x = context.view(np.uint64)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
+# Kinds of rows of the tree's table: words are 0, grams of contexts of d words
+# 2 d - 1, states of d words 2 d.  ``at`` is a number within the block.
+TABLE = ("block", "kind", "at", "value", "own")
+
+
+def corpus_counts(corpus: DataFrame) -> tuple[DataFrame, int, int]:
+    """Training counts of every block's words as rows of the table; N and V."""
     n = corpus.select(F.aggregate("trained", F.lit(0).cast("bigint"), lambda a, x: a + x)
                       .alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     each = Window.partitionBy("word")
     counts = materialize(
         corpus.select("block", F.posexplode(F.arrays_zip("vocab", "trained")).alias("at", "x"))
-        .select("block", "at", F.col("x.vocab").alias("word"), F.col("x.trained").alias("n"))
-        .withColumn("c", F.sum("n").over(each))
-        .withColumn("first", F.row_number().over(each.orderBy("block")) == 1)
-        .withColumn("word", F.when(F.col("first") & (F.col("c") >= share * n), F.col("word"))),
+        .select("block", F.lit(0).alias("kind"), "at", F.col("x.vocab").alias("word"),
+                F.col("x.trained").alias("n"))
+        .withColumn("value", F.sum("n").over(each).cast("double"))
+        .withColumn("own", F.min("block").over(each) == F.col("block")).select(*TABLE),
         "word-counts")
-    return counts, n, counts.where("first and c > 0").count()
+    return counts, n, counts.where("own and value > 0").count()
+
+
+def _numpy(table: pa.Table) -> Iterator[dict]:
+    """The rows of a table of blocks, arrays as numpy."""
+    for batch in table.to_batches():
+        for i in range(batch.num_rows):
+            yield {name: (v.values.to_pylist() if name in ("vocab", "ids") else
+                          v.values.to_numpy(zero_copy_only=False)) if isinstance(v, pa.ListScalar)
+                   else v.as_py() for name, v in
+                   ((n, batch.column(n)[i]) for n in batch.schema.names)}
+
+
+def _known(table: pa.Table) -> dict[int, tuple]:
+    """(at, value, own) of every kind of row a block got."""
+    kind, *rest = (table.column(c).to_numpy() for c in TABLE[1:])
+    return {int(k): tuple(x[kind == k] for x in rest) for k in np.unique(kind)}
+
+
+def walk(row: dict, known: dict, depth: int, cfg: Settings, n: int, v: int) -> SimpleNamespace:
+    """A block's tokens with the contexts and grams of 1 ... ``depth`` words,
+    and each token's probability by the states known so far."""
+    size, tokens = len(row["vocab"]), row["tokens"].astype(np.int64)
+    lengths = np.diff(row["ends"], prepend=0)
+    room = np.arange(len(tokens)) - np.repeat(row["ends"] - lengths, lengths)
+    learn = np.repeat(~np.asarray(row["held"], bool), lengths)
+    c = np.zeros(size, np.int64)
+    if 0 in known:
+        c[known[0][0]] = known[0][1]
+    hashes = word_hash(row["vocab"])
+    p = ((c + ALPHA) / (n + ALPHA * (v + 1)))[tokens]
+    out = SimpleNamespace(tokens=tokens, c=c, base=p, levels=[])
+    head = c >= cfg.least(1, n) if depth else None
+    # gram that ends at each token; counts and keys of the grams (of no gram: last)
+    ids, total, key = tokens, c, hashes
+    for d in range(1, depth + 1):
+        ctx = np.full(len(tokens), -1, np.int64)
+        ctx[1:] = ids[:-1]
+        good = (room >= d) & (ctx >= 0) & (total[ctx] >= cfg.least(d, n))
+        good[1:] &= head[tokens[:-1]]
+        ctx[~good] = -1
+        # what is seen twice has a last word seen twice, and so has its suffix
+        use = good & (c[tokens] >= 2)
+        if d > 1 and cfg.min_share is None and not cfg.min_next:
+            use &= total[ids] >= 2
+        code, first, which = np.unique(ctx[use] * size + tokens[use], return_index=True,
+                                       return_inverse=True)
+        gram = np.full(len(tokens), -1, np.int64)
+        gram[use] = which
+        of = code // size
+        level = SimpleNamespace(
+            ctx=ctx, total=total, ctx_key=key, of=of, key=mixed(key[of], hashes[code % size]),
+            num=np.bincount(which[learn[use]], minlength=len(code)),
+            low=p[np.flatnonzero(use)[first]], kept=np.zeros(len(code) + 1, np.int64),
+            own=np.zeros(len(code) + 1, bool))
+        if 2 * d - 1 in known:
+            at, value, own = known[2 * d - 1]
+            level.kept[at], level.own[at] = value, own
+            level.kept[:-1][level.kept[:-1] < np.maximum(2, cfg.min_next * total[of])] = 0
+        if 2 * d in known:
+            back = np.full(len(total), np.nan)
+            back[known[2 * d][0]] = known[2 * d][1]
+            state = np.flatnonzero((ctx >= 0) & ~np.isnan(back[ctx]))
+            k, s = level.kept[gram[state]], ctx[state]
+            p = p.copy()
+            p[state] = np.where(k > 0, (k - cfg.discount) / total[s], back[s] * p[state])
+        out.levels.append(level)
+        ids, total, key = gram, level.kept, np.append(level.key, np.int64(0))
+    out.p = p
+    return out
+
+
+def _step(corpus: DataFrame, table: DataFrame, d: int, cfg: Settings, n: int, v: int) -> DataFrame:
+    """Rows of the table for the grams of ``d``-word contexts and the states of
+    ``d - 1`` words."""
+    schema = "kind int, block bigint, at int, key bigint, a double, b double, e double"
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow = to_arrow_schema(corpus.sparkSession.createDataFrame([], schema).schema)
 
+    def run(block: pa.Table, got: pa.Table) -> pa.Table:
+        out = []
+        for row in _numpy(block):
+            levels = walk(row, _known(got), min(d, cfg.levels), cfg, n, v).levels
+
+            def add(kind, at, key, *sums):
+                out.append(batch_of(arrow, np.full(len(at), kind, np.int32),
+                                    np.full(len(at), row["block"]), at.astype(np.int32), key, *sums))
+
+            if d <= cfg.levels:
+                g = levels[d - 1]
+                none = np.zeros(len(g.key))
+                add(2 * d - 1, np.arange(len(g.key)), g.key, g.num.astype(float), none, none)
+            if d > 1:
+                g = levels[d - 2]
+                mine = np.flatnonzero(g.own[:-1] & (g.kept[:-1] > 0))     # one block's each
+                of, low = g.of[mine], g.low[mine]
+                p = (g.kept[mine] - cfg.discount) / g.total[of]
+                at = np.unique(g.ctx[g.ctx >= 0])
+                add(2 * d - 2, at, g.ctx_key[at],
+                    *(np.bincount(of, x, len(g.total))[at] for x in (p * np.log(p / low), p, low)))
+        return pa.Table.from_batches(out, arrow)
 
-def _views(row: dict):
-    """(held, token array) of every document of a block."""
-    start = 0
-    for held, end in zip(row["held"], row["ends"]):
-        yield held, row["tokens"][start:end]
-        start = end
+    each = Window.partitionBy("kind", "key")
+    rest, room = F.lit(1.0) - F.col("b"), F.greatest(F.lit(1.0) - F.col("e"), F.lit(1e-12))
+    gram = F.col("kind") % 2 == 1
+    distance = F.col("a") + rest * F.log(F.greatest(rest, F.lit(1e-300)) / room)
+    return (_meet(corpus, table, run, schema)
+            .select("kind", "block", "at", (F.min("block").over(each) == F.col("block")).alias("own"),
+                    *(F.sum(x).over(each).alias(x) for x in "abe"))
+            .where(F.when(gram, F.col("a") >= 2)
+                   .otherwise((F.col("b") > 0) & (distance >= cfg.divergence)))
+            .withColumn("value", F.when(gram, F.col("a")).otherwise(rest / room)).select(*TABLE))
 
 
-def _numpy(batch: pa.RecordBatch):
-    """The rows of a batch of blocks, arrays as numpy."""
-    for i in range(batch.num_rows):
-        yield {name: (v.values.to_pylist() if name in ("vocab", "ids") else
-                      v.values.to_numpy(zero_copy_only=False)) if isinstance(v, pa.ListScalar)
-               else v.as_py() for name, v in
-               ((n, batch.column(n)[i]) for n in batch.schema.names)}
+def _meet(corpus: DataFrame, table: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` on every block with its rows of the table."""
+    return (corpus.select("block", "ids", "held", "ends", "tokens", "vocab").groupBy("block")
+            .cogroup(table.groupBy("block")).applyInArrow(run, schema))
 
 
-def next_counts(corpus: DataFrame, contexts: list[tuple[int, ...]]) -> DataFrame:
-    """``context, word, n``: training continuations of the contexts (given as
-    word hashes, all of one length), counted per block, then summed."""
-    length = len(contexts[0])
-    lookup = corpus.sparkSession.sparkContext.broadcast(contexts)   # at most 1 / min_share
-    schema = "context int, word bigint, n bigint"
-    arrow = pa.schema([("context", pa.int32()), ("word", pa.int64()), ("n", pa.int64())])
+def grow(corpus: DataFrame, counts: DataFrame, cfg: Settings, n: int, v: int) -> DataFrame:
+    """The tree's table, level by level: contexts by count, then by divergence."""
+    tables = [counts]
+    for d in range(1, cfg.levels + 2) if n else ():
+        tables.append(materialize(_step(corpus, reduce(DataFrame.unionByName, tables), d, cfg, n, v),
+                                  f"tree-{d}"))
+    return reduce(DataFrame.unionByName, tables)
 
-    def run(batches):
-        wanted = lookup.value
-        for batch in batches:
-            for row in _numpy(batch):
-                hashes = word_hash(row["vocab"])
-                state = Lookup(wanted, hashes)
-                codes = []
-                for held, seq in _views(row):
-                    if not held and len(seq) > length:
-                        ctx = state.match(seq[:-1], length)[length - 1:]
-                        good = ctx >= 0
-                        codes.append(ctx[good].astype(np.int64) * len(hashes)
-                                     + seq[length:][good])
-                code, n = np.unique(np.concatenate(codes) if codes else np.zeros(0, np.int64),
-                                    return_counts=True)
-                yield batch_of(arrow, (code // len(hashes)).astype(np.int32),
-                               hashes[code % len(hashes)], n)
-
-    return (corpus.select("held", "ends", "tokens", "vocab").mapInArrow(run, schema)
-            .groupBy("context", "word").agg(F.sum("n").alias("n")))
-
-
-class Lookup:
-    """Numbers of contexts (word hash tuples) within one block."""
-
-    def __init__(self, contexts: list[tuple[int, ...]], hashes: np.ndarray):
-        self.size = len(hashes)
-        at = {int(h): i for i, h in enumerate(hashes)} if contexts else {}
-        self.single = np.full(self.size, -1, np.int64)
-        pairs = {}
-        for i, c in enumerate(contexts):
-            local = [at.get(w) for w in c]
-            if None not in local:
-                if len(c) == 1:
-                    self.single[local[0]] = i
-                else:
-                    pairs[local[0] * self.size + local[1]] = i
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
-
-    def match(self, seq: np.ndarray, length: int) -> np.ndarray:
-        """The context that ends at each position, or -1."""
-        if length == 1:
-            return self.single[seq]
-        out = np.full(len(seq), -1, np.int64)
-        if len(self.keys) and len(seq) > 1:
-            key = seq[:-1].astype(np.int64) * self.size + seq[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            out[1:] = np.where(self.keys[at] == key, self.values[at], -1)
-        return out
-
-
-@dataclass
-class Tree:
-    """States and their kept next words.  State s has ``probs`` for the words
-    in ``words`` between ``start[s]`` and ``start[s + 1]`` (sorted hashes);
-    other words get ``backoff[s]`` times the suffix's probability."""
-    contexts: list = field(default_factory=list)
-    start: list = field(default_factory=lambda: [0])
-    words: list = field(default_factory=list)
-    probs: list = field(default_factory=list)
-    backoff: list = field(default_factory=list)
-
-    def add(self, context, words, probs, backoff):
-        order = np.argsort(words)
-        self.contexts.append(context)
-        self.words.append(words[order])
-        self.probs.append(probs[order])
-        self.start.append(self.start[-1] + len(words))
-        self.backoff.append(backoff)
-
-    def state(self, context) -> int:
-        return self.contexts.index(context) if context in self.contexts else -1
-
-    def prob(self, s: int, word: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """P(word | state) where ``lower`` is P(word | suffix)."""
-        kept, p = self.words[s], self.probs[s]
-        if not len(kept):
-            return lower * self.backoff[s]
-        at = np.minimum(np.searchsorted(kept, word), len(kept) - 1)
-        return np.where(kept[at] == word, p[at], lower * self.backoff[s])
-
-
-def grow(corpus: DataFrame, counts: DataFrame, n: int, v: int, cfg: Settings) -> Tree:
-    """The tree: level by level, contexts by share, then by divergence."""
-    tree = Tree()
-    if not n:
-        return tree
-    spark = corpus.sparkSession
-    norm = n + ALPHA * (v + 1)
-    frequent = counts.where(F.octet_length("word") > 0).select("word", F.col("c").alias("n"))
-    rows = frequent.collect()                                   # at most 1 / min_share[0]
-    total = {(int(word_hash([bytes(r["word"])])[0]),): r["n"] for r in rows}
-    level = sorted(total)
-    for depth, share in enumerate(cfg.min_share):
-        if not level:
-            break
-        seen = materialize(next_counts(corpus, level), "continuations")
-        sums = {r["context"]: r["n"] for r in
-                seen.groupBy("context").agg(F.sum("n").alias("n")).collect()}
-        floors = spark.createDataFrame([(c, max(2.0, cfg.min_next * s)) for c, s in sums.items()],
-                                       "context int, least double")
-        got = (seen.join(F.broadcast(floors), "context").where("n >= least")
-               .select("context", "word", "n").toArrow())       # at most level / min_next
-        ctx, word, num = (got.column(i).to_numpy() for i in range(3))
-        base = _root(corpus, word, norm)
-        for c in np.unique(ctx).tolist():
-            mine = ctx == c
-            _add_state(tree, level[c], word[mine], num[mine], sums[c], base[mine], cfg)
-        if depth + 1 < len(cfg.min_share):
-            least = cfg.min_share[depth + 1] * n
-            heads = {c[0] for c in total}
-            level = sorted((*level[c], int(w)) for c, w, k in zip(ctx.tolist(), word, num)
-                           if k >= least and int(w) in heads)
-    return tree
-
-
-def _root(corpus: DataFrame, word: np.ndarray, norm: float) -> np.ndarray:
-    """Root probabilities of the words (a bounded list of hashes)."""
-    wanted = corpus.sparkSession.sparkContext.broadcast(np.unique(word))
 
-    def run(batches):
-        for batch in batches:
-            for row in _numpy(batch):
-                h = word_hash(row["vocab"])
-                ok = np.isin(h, wanted.value) & (row["trained"] > 0)
-                yield batch_of(arrow, h[ok], row["trained"][ok])
-
-    arrow = pa.schema([("word", pa.int64()), ("n", pa.int64())])
-    got = (corpus.select("vocab", "trained").mapInArrow(run, "word bigint, n bigint")
-           .groupBy("word").agg(F.sum("n").alias("n")).toArrow())
-    counts = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
-    return np.array([(counts.get(w, 0) + ALPHA) / norm for w in word.tolist()])
-
-
-def _add_state(tree, context, word, num, total, base, cfg) -> None:
-    """Add the state if its suffix is the root or a state and its
-    distribution differs from it."""
-    parent = -1
-    if len(context) > 1:
-        parent = tree.state(context[1:])
-    lower = base if parent < 0 else tree.prob(parent, word, base)
-    p = (num - cfg.discount) / total
-    rest, room = 1 - p.sum(), max(1 - lower.sum(), 1e-12)
-    distance = float((p * np.log(p / lower)).sum() + rest * np.log(max(rest, 1e-300) / room))
-    if distance >= cfg.divergence:
-        tree.add(context, word, p, rest / room)
-
-
-def score(corpus: DataFrame, counts: DataFrame, n: int, v: int, tree: Tree) -> DataFrame:
+def score(corpus: DataFrame, tree: DataFrame, cfg: Settings, n: int, v: int) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
-    spark = corpus.sparkSession
     id_type = corpus.schema["ids"].dataType.elementType.simpleString()
     schema = (f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
               "train_tokens bigint, base_score double, score double")
     from pyspark.sql.pandas.types import to_arrow_schema
-    arrow = to_arrow_schema(spark.createDataFrame([], schema).schema)
-    shared = spark.sparkContext.broadcast(tree)
-    norm = n + ALPHA * (v + 1)
-
-    def run(block: pa.Table, counted: pa.Table) -> pa.Table:
-        tree = shared.value
-        one = [c for c in tree.contexts if len(c) == 1]
-        two = [c for c in tree.contexts if len(c) == 2]
-        state_of = {c: i for i, c in enumerate(tree.contexts)}
+    arrow = to_arrow_schema(corpus.sparkSession.createDataFrame([], schema).schema)
+
+    def run(block: pa.Table, got: pa.Table) -> pa.Table:
         out = []
-        for row in (r for batch in block.to_batches() for r in _numpy(batch)):
-            c = np.zeros(len(row["vocab"]), np.int64)
-            c[counted.column("at").to_numpy()] = counted.column("c").to_numpy()
-            hashes = word_hash(row["vocab"])
-            root = (c + ALPHA) / norm
-            lookups = [(k, ctx, Lookup(ctx, hashes)) for k, ctx in ((1, one), (2, two)) if ctx]
-            ends = np.asarray(row["ends"])
-            first = 0
+        for row in _numpy(block):
+            w = walk(row, _known(got), cfg.levels if n else 0, cfg, n, v)
+            ends, first = row["ends"], 0
             while first < len(ends):          # some documents at a time, one at least
                 from_ = ends[first - 1] if first else 0
                 last = max(first + 1, int(np.searchsorted(ends, from_ + SLICE, "right")))
-                tokens = row["tokens"][from_:ends[last - 1]]
+                part = slice(from_, ends[last - 1])
                 stop = ends[first:last] - from_
                 start = np.concatenate([[0], stop[:-1]])
-                p = root[tokens]
-                base = np.log10(p)
-                # contexts may not reach over a document's start
-                room = np.full(len(tokens), 2, np.int8)
-                room[start] = 0
-                room[(start + 1)[start + 1 < stop]] = 1
-                for length, contexts, lookup in lookups:
-                    if len(tokens) <= length:
-                        continue
-                    state = np.full(len(tokens), -1, np.int64)
-                    state[1:] = lookup.match(tokens, length)[:-1]
-                    state[room < length] = -1
-                    order = np.flatnonzero(state >= 0)
-                    order = order[np.argsort(state[order], kind="stable")]
-                    cut = np.flatnonzero(np.diff(state[order])) + 1
-                    for at in np.split(order, cut):
-                        if len(at):
-                            s = state_of[contexts[state[at[0]]]]
-                            p[at] = tree.prob(s, hashes[tokens[at]], p[at])
                 sums = [np.add.reduceat(x, start) for x in
-                        ((c[tokens] > 0).astype(np.int64), base, np.log10(p))]
+                        ((w.c[w.tokens[part]] > 0).astype(np.int64), np.log10(w.base[part]),
+                         np.log10(w.p[part]))]
                 out.append(batch_of(arrow, row["ids"][first:last], row["held"][first:last],
                                     stop - start, sums[0], np.full(len(stop), n), *sums[1:]))
                 first = last
         return pa.Table.from_batches(out, arrow)
 
-    return (corpus.select("block", "ids", "held", "ends", "tokens", "vocab").groupBy("block")
-            .cogroup(counts.select("block", "at", "c").groupBy("block"))
-            .applyInArrow(run, schema))
+    return _meet(corpus, tree, run, schema)
 
 
 def lm_scores(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
@@ -356,5 +302,5 @@ def lm_scores(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     each; other columns are not read; an empty table gives no rows.
     """
     corpus = materialize(tokenise(docs), "tokens")
-    counts, n, v = corpus_counts(corpus, cfg.min_share[0])
-    return score(corpus, counts, n, v, grow(corpus, counts, n, v, cfg))
+    counts, n, v = corpus_counts(corpus)
+    return score(corpus, grow(corpus, counts, cfg, n, v), cfg, n, v)
