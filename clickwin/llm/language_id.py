@@ -4,8 +4,9 @@ Kernel: blended spectrum of character n-grams (n = 1..3) with presence
 values, ``k(x, y) = |G(x) & G(y)| / sqrt(|G(x)| |G(y)|)``.  Landmarks (a
 sample of the training texts) give Nystroem features
 ``K(x, L) K(L, L)^(-1/2)``; one-versus-rest kernel ridge regression is solved
-on them.  A task scores a block of documents with one matrix product:
-presence matrix times the landmark weights.
+on them.  A task scores a text by the product of its presence vector with
+the landmark weights.  Grams are told apart by their code points, so every
+gram of the landmarks is a column, whatever the scripts.
 
 Bounds: ``per_lang`` training documents per language (the ones with the
 smallest hash of their id) and ``landmarks`` of them; these, and nothing
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 
 from clickwin.llm.common import batch_of
 
-ALPHABET = 96               # most frequent characters of the landmarks; the rest are one symbol
 CHUNK = 1 << 20             # characters looked at together
-ROWS = 256                  # documents of one matrix product
+ROWS = 256                  # documents of one result batch
+ROWS_OF_VOCAB = 1 << 16     # grams of one matrix product in training
 ASCII_LETTER = re.compile(r"[A-Za-z]")
 
 
@@ -41,30 +42,35 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
 class Grams:
-    """Distinct n-grams (n = 1..3) of a text over a fixed alphabet.
+    """Distinct n-grams (n = 1..3) of a text as sorted keys: code points + 1,
+    21 bits each, so that no two grams share a key.
 
-    Symbol 0 stands for every other character, so any text has a defined set.
+    ``alphabet``, the landmarks' characters, is only told: no other character
+    is merged with another.
     """
 
-    def __init__(self, alphabet: list[int]):
-        self.size = len(alphabet) + 1
-        self.map = np.zeros(max(alphabet, default=0) + 2, np.int32)
-        self.map[alphabet] = np.arange(1, self.size)
-        self.seen = np.zeros(self.size + self.size ** 2 + self.size ** 3, bool)
+    def __init__(self, alphabet: list[int] = ()):
+        self.alphabet = alphabet
 
     def __call__(self, text: str) -> np.ndarray:
-        n, seen = self.size, self.seen
-        codes = _codes(text)
+        codes, out = _codes(text), []
         for at in range(0, len(codes), CHUNK):
-            part = codes[at:at + CHUNK + 2]      # two more: grams over the cut
-            s = self.map[np.minimum(part, len(self.map) - 1)]
-            seen[s] = True
-            seen[n + s[:-1] * n + s[1:]] = True
-            seen[n + n * n + (s[:-2] * n + s[1:-1]) * n + s[2:]] = True
-        out = np.flatnonzero(seen)
-        seen[out] = False
-        return out
+            s = codes[at:at + CHUNK + 2].astype(np.uint64) + np.uint64(1)   # two more: grams over the cut
+            two = (s[:-1] << np.uint64(21)) | s[1:]
+            out.append(_distinct(np.concatenate([s, two, (two[:-1] << np.uint64(21)) | s[2:]])))
+        return out[0] if len(out) == 1 else _distinct(np.concatenate([*out, np.zeros(0, np.uint64)]))
+
+
+def _columns(vocab: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of those keys that the sorted vocabulary has."""
+    at = np.minimum(np.searchsorted(vocab, keys), len(vocab) - 1)
+    return at[vocab[at] == keys]
 
 
 def fit(docs: DataFrame, per_lang: int = 120, landmarks: int = 160, ridge: float = 1e-3
@@ -83,19 +89,16 @@ def fit(docs: DataFrame, per_lang: int = 120, landmarks: int = 160, ridge: float
     if not sample:
         return None
     langs = sorted({r["lang"] for r in sample})
-    codes, freq = np.unique(np.concatenate([_codes(r["text"]) for r in sample[:landmarks]]),
-                            return_counts=True)
-    keep = codes[np.argsort(-freq, kind="stable")][:ALPHABET].tolist()
-    grams = Grams([int(c) for c in keep])
+    alphabet = np.unique(np.concatenate([_codes(r["text"]) for r in sample[:landmarks]]))
+    grams = Grams(alphabet.tolist())
     sets = [grams(r["text"]) for r in sample]
     marks = sets[:landmarks]                     # rank order: languages in turn
     vocab = np.unique(np.concatenate(marks))
-    column = np.full(len(grams.seen), -1, np.int32)
-    column[vocab] = np.arange(len(vocab))
-    basis = np.zeros((len(vocab), len(marks)))
+    has = np.zeros((len(vocab), len(marks)), bool)
     for j, g in enumerate(marks):
-        basis[column[g], j] = 1 / np.sqrt(len(g))
-    kernel = _presence(sets, column, len(vocab)) @ basis
+        has[np.searchsorted(vocab, g), j] = True
+    norm = np.sqrt([len(g) for g in marks])
+    kernel = np.array([has[_columns(vocab, g)].sum(0) / np.sqrt(len(g)) for g in sets]) / norm
     values, vectors = np.linalg.eigh(kernel[:len(marks)])
     good = values > 1e-8 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])          # K(L, L)^(-1/2)
@@ -103,17 +106,16 @@ def fit(docs: DataFrame, per_lang: int = 120, landmarks: int = 160, ridge: float
     target = np.array([[r["lang"] == c for c in langs] for r in sample], float)
     beta = np.linalg.solve(phi.T @ phi + ridge * len(sets) * np.eye(phi.shape[1]),
                            phi.T @ target)
-    return {"langs": langs, "alphabet": [int(c) for c in keep], "vocab": vocab,
-            "weights": basis @ root @ beta[:-1], "bias": beta[-1]}
+    each = (root @ beta[:-1]) / norm[:, None]                # of a landmark's every gram
+    weights = np.concatenate([has[i:i + ROWS_OF_VOCAB] @ each
+                              for i in range(0, len(vocab), ROWS_OF_VOCAB)])
+    return {"langs": langs, "alphabet": grams.alphabet, "vocab": vocab,
+            "weights": weights, "bias": beta[-1]}
 
 
-def _presence(sets, column, width) -> np.ndarray:
-    """Rows of K's left factor: presence over the landmark grams, normalised."""
-    out = np.zeros((len(sets), width))
-    for i, g in enumerate(sets):
-        at = column[g]
-        out[i, at[at >= 0]] = 1 / np.sqrt(max(len(g), 1))
-    return out
+def _values(m: dict, keys: np.ndarray) -> np.ndarray:
+    """Regression values of a text with these grams."""
+    return m["weights"][_columns(m["vocab"], keys)].sum(0) / np.sqrt(len(keys)) + m["bias"]
 
 
 def predict(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_id",)
@@ -131,14 +133,12 @@ def predict(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_
     kept = docs.select(*carry).schema
     schema = kept.add("lang_pred", "string").add("score", "double")
     arrow = to_arrow_schema(schema)
-    shared = docs.sparkSession.sparkContext.broadcast(model)   # bounded: alphabet^3 columns
+    shared = docs.sparkSession.sparkContext.broadcast(model)   # grams of the landmarks
 
     def run(batches):
         m = shared.value
         if m:
             grams = Grams(m["alphabet"])
-            column = np.full(len(grams.seen), -1, np.int32)
-            column[m["vocab"]] = np.arange(len(m["vocab"]))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
@@ -146,8 +146,7 @@ def predict(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_
                 label, score = ["und"] * len(texts), np.zeros(len(texts))
                 rows = [i for i, t in enumerate(texts) if has_letter(t)]
                 if m and rows:
-                    x = _presence([grams(texts[i]) for i in rows], column, len(m["vocab"]))
-                    f = np.round(x @ m["weights"] + m["bias"], 6)    # equal texts, equal scores
+                    f = np.round([_values(m, grams(texts[i])) for i in rows], 6)
                     best = f.argmax(1)
                     score[rows] = np.clip(f[np.arange(len(rows)), best], 0, 1)
                     for i, b in zip(rows, best):
