@@ -8,6 +8,13 @@ on them.  A task scores a text by the product of its presence vector with
 the landmark weights.  Grams are told apart by their code points, so every
 gram of the landmarks is a column, whatever the scripts.
 
+Regression values of all languages sum to about one, so the best is high for
+any text where there are few.  What is no language of the training texts is
+found by familiarity instead: the share of a text's 3-grams (those without a
+digit) that at least two training texts of the predicted language have.  It
+must reach half of what is usual for training texts that are judged by the
+others of their language, less three standard errors.
+
 Bounds: ``per_lang`` training documents per language (the ones with the
 smallest hash of their id) and ``landmarks`` of them; these, and nothing
 else, reach the driver.  Scoring reads every whole text.
@@ -73,6 +80,41 @@ def _columns(vocab: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return at[vocab[at] == keys]
 
 
+def _threes(keys: np.ndarray) -> np.ndarray:
+    """The 3-grams without an ASCII digit."""
+    keys = keys[keys >> np.uint64(42) > 0]
+    digit = np.zeros(len(keys), bool)
+    for shift in (0, 21, 42):
+        c = (keys >> np.uint64(shift)) & np.uint64((1 << 21) - 1)
+        digit |= (c > ord("0")) & (c <= ord("9") + 1)            # code points + 1
+    return keys[~digit]
+
+
+def _usual(sets: list[np.ndarray]) -> np.ndarray:
+    """Grams of at least two of the sets."""
+    keys, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
+    return keys[n >= 2]
+
+
+def _share(keys: np.ndarray, known: np.ndarray) -> float:
+    return len(_columns(known, keys)) / len(keys) if len(known) and len(keys) else 0.0
+
+
+def _familiar(sets: list[np.ndarray]) -> tuple[np.ndarray, float]:
+    """Usual 3-grams of a language's texts, and the share a text must have:
+    half the median of either half of the texts under the other."""
+    halves = sets[::2], sets[1::2]
+    seen = [_share(g, known) for known, judged in zip(map(_usual, halves), halves[::-1])
+            for g in judged if len(g)]
+    return _usual(sets), float(np.median(seen)) / 2 if seen else 0.0
+
+
+def _strange(keys: np.ndarray, known: np.ndarray, least: float) -> bool:
+    keys = _threes(keys)
+    return bool(len(keys)) and _share(keys, known) < least - 3 * np.sqrt(
+        least * (1 - least) / len(keys))
+
+
 def fit(docs: DataFrame, per_lang: int = 120, landmarks: int = 160, ridge: float = 1e-3
         ) -> dict | None:
     """Model from the rows that are not held out and have a language.
@@ -110,7 +152,9 @@ def fit(docs: DataFrame, per_lang: int = 120, landmarks: int = 160, ridge: float
     weights = np.concatenate([has[i:i + ROWS_OF_VOCAB] @ each
                               for i in range(0, len(vocab), ROWS_OF_VOCAB)])
     return {"langs": langs, "alphabet": grams.alphabet, "vocab": vocab,
-            "weights": weights, "bias": beta[-1]}
+            "weights": weights, "bias": beta[-1],
+            "familiar": [_familiar([_threes(g) for g, r in zip(sets, sample) if r["lang"] == c])
+                         for c in langs]}
 
 
 def _values(m: dict, keys: np.ndarray) -> np.ndarray:
@@ -118,14 +162,15 @@ def _values(m: dict, keys: np.ndarray) -> np.ndarray:
     return m["weights"][_columns(m["vocab"], keys)].sum(0) / np.sqrt(len(keys)) + m["bias"]
 
 
-def predict(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_id",)
-            ) -> DataFrame:
+def predict(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_id",),
+            reject: bool = False) -> DataFrame:
     """``carry`` columns of ``docs`` plus ``lang_pred, score`` for every row.
 
     The prediction reads only ``text``.  ``und`` with score 0 for a null or
     empty text, a text without a letter, or a model without training rows.
     The score is the winner's regression value cut to 0..1; equal values go
-    to the language first in order.  Rows are kept as they are, repeats too;
+    to the language first in order.  With ``reject`` a text that is not
+    familiar in the predicted language is ``und`` with score 0, too.  Rows are kept as they are, repeats too;
     a carried column named like an output is replaced.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -146,11 +191,15 @@ def predict(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_
                 label, score = ["und"] * len(texts), np.zeros(len(texts))
                 rows = [i for i, t in enumerate(texts) if has_letter(t)]
                 if m and rows:
-                    f = np.round([_values(m, grams(texts[i])) for i in rows], 6)
+                    keys = [grams(texts[i]) for i in rows]
+                    f = np.round([_values(m, g) for g in keys], 6)
                     best = f.argmax(1)
                     score[rows] = np.clip(f[np.arange(len(rows)), best], 0, 1)
-                    for i, b in zip(rows, best):
-                        label[i] = m["langs"][b]
+                    for i, b, g in zip(rows, best, keys):
+                        if reject and _strange(g, *m["familiar"][b]):
+                            score[i] = 0
+                        else:
+                            label[i] = m["langs"][b]
                 yield batch_of(arrow, *[part.column(i) for i in range(len(carry))],
                                label, score)
 

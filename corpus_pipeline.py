@@ -14,18 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from clickwin.llm import decontaminate, language_id, mixing, near_dedup, sharding
 from clickwin.session import materialize
 
-MIN_SCORE = 0.2             # language ID: lower scores are no language of the training rows
 SHARDS = 40
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of no known language: ``und`` or a score below MIN_SCORE."""
+    """Drops documents of no known language: ``und``, or not
+    familiar in the language that comes nearest."""
     model = language_id.fit(docs)
     if model is None:           # no labelled row to learn from: nothing can be rejected
         return docs
-    predicted = language_id.predict(docs, model, tuple(docs.columns))
-    return (predicted.where(f"lang_pred <> 'und' and score >= {MIN_SCORE}")
-            .select(*docs.columns))
+    predicted = language_id.predict(docs, model, tuple(docs.columns), reject=True)
+    return predicted.where("lang_pred <> 'und'").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
