@@ -5,11 +5,13 @@ lowered, joined by single spaces.  Exact phrases are the base.  For edited
 notices a notice with ``k`` allowed edits is cut into ``k + 1`` pieces
 (pigeonhole: one of them occurs unedited); the pieces are found together by
 an Aho-Corasick automaton, and around each place the ``regex`` library's
-bounded-error matching verifies the notice and gives its span.
+bounded-error matching verifies the notice and gives its span.  What follows
+a match in the same word, up to and with a typographic mark, counts as errors.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +42,9 @@ NOTICES = (("mit", "under the mit license", 2, ("mit",)),
 # bytes that are no word bytes become spaces, A-Z become a-z
 _CLEAN = bytes(32 if b < 0x30 or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F
                else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+# the rest of a word with the marks that stick to it (only non-ASCII ones are left)
+REST = re.compile(r"\w*[^\w ]*")
+MARKS = re.compile(r"^[^\w ]+|[^\w ]+$")
 
 
 @dataclass(frozen=True)
@@ -98,21 +103,24 @@ class Scanner:
                     mine.append([a, b])
         return {n: merged(mine) for n, mine in out.items()}
 
-    def matches(self, n: int, text: str, at: int, end: int) -> Iterator[regex.Match]:
-        """Matches of notice ``n`` in a window, left to right: the best one
-        around every place that has one."""
+    def matches(self, n: int, text: str, at: int, end: int) -> Iterator[tuple[regex.Match, int]]:
+        """Matches of notice ``n`` in a window, left to right, with the
+        characters left of their last word: the best one around every place
+        that has one."""
         _, _, k, must = self.notices[n]
         while m := self.next[n].search(text, at, end):
             near = self.best[n].search(text, max(at, m.start() - k), min(end, m.end() + k + 1))
             at = m.end()
             for found in (near, m):
+                if not found:
+                    continue
                 # the end of what was searched is not the end of a word
-                if found and (found.end() == len(text) or found.group()[-1] == " "
-                              or text[found.end()] == " "):
-                    got = found.group().split()
+                rest = "" if found.group()[-1] == " " else REST.match(text, found.end()).group()
+                if sum(found.fuzzy_counts) + len(rest) <= k:
+                    got = [MARKS.sub("", w) for w in (found.group() + rest).split()]
                     if all(w in got for w in must):
-                        at = max(at, found.end())
-                        yield found
+                        at = max(at, found.end() + len(rest))
+                        yield found, len(rest)
                         break
 
     def scan(self, text: str) -> list[Hit]:
@@ -121,11 +129,11 @@ class Scanner:
             label, notice = self.notices[n][:2]
             word = seen = 0             # word number at ``seen``; both only grow
             for a, b in spans:
-                for m in self.matches(n, text, a, min(b, len(text))):
+                for m, rest in self.matches(n, text, a, min(b, len(text))):
                     start = m.start() + (m.group()[:1] == " ")
                     word, seen = word + text.count(" ", seen, start), start
                     hits.append(Hit(label, word, word + max(len(m.group().split()) - 1, 0),
-                                    sum(m.fuzzy_counts), len(notice)))
+                                    sum(m.fuzzy_counts) + rest, len(notice)))
         return sorted(set(hits), key=lambda h: (h.first_word, h.last_word, h.label, h.errors))
 
 
