@@ -4,7 +4,9 @@ Seeds are ``N`` consecutive words of a test item; training texts meet items
 by them.  A seed counts for its rarity: the information of its words under
 their frequencies in the whole corpus (copies of an item raise a few counts,
 not by orders of magnitude, so a passage copied often stays rare).  Only
-seeds of at least ``min_bits`` start an alignment, unless an item has none.
+seeds of at least ``min_bits`` start an alignment alone, unless an item has
+none; of the others ``FEW`` on nearby diagonals do, so that a passage whose
+words are common because many texts hold it is aligned, too.
 Around the seeds of one (text, item) pair a passage of the text is aligned
 with the item by Smith-Waterman over words; the score is the best local
 alignment's value over that of the whole item, so edits, insertions and
@@ -30,6 +32,7 @@ from clickwin.llm.common import batch_of, merged
 
 N = 3                       # words of a seed
 MIN_BITS = 24.0             # information of a seed that starts an alignment
+FEW = 2                     # common seeds that start an alignment together
 THRESHOLD = 0.4             # of the item's full score
 LEAST_WORDS = 6             # words an alignment is worth at least (or the whole item)
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -96,20 +99,38 @@ class Items:
         grams = self.grams(seq)
         lo = np.searchsorted(self.keys, grams, "left")
         hi = np.searchsorted(self.keys, grams, "right")
+        common: dict[int, list[tuple[int, int]]] = {}
         for at in np.flatnonzero((hi > lo) & (grams > 0)):
             for j in range(lo[at], hi[at]):
+                k, off = int(self.item[j]), self.off[j]
                 if self.good[j]:
-                    k, size = self.item[j], len(self.seqs[self.item[j]])
-                    slack = size // 2 + N
-                    a = max(0, at - self.off[j] - slack)
-                    b = min(len(seq), at - self.off[j] + size + slack)
-                    mine = out.setdefault(int(k), [])
-                    if mine and mine[-1][0] <= a <= mine[-1][1]:
-                        mine[-1][1] = max(mine[-1][1], b)
-                    else:
-                        mine.append([a, b])
+                    self._around(out, k, at - off, len(seq))
+                else:
+                    common.setdefault(k, []).append((at - off, off))
+        for k, hits in common.items():
+            slack, together = self._slack(k), {}
+            for diagonal, off in hits:          # nearby: in one strip or the next
+                for strip in (diagonal // slack, diagonal // slack + 1):
+                    together.setdefault(strip, set()).add(off)
+            for diagonal, _ in hits:
+                strip = diagonal // slack
+                if max(len(together[strip]), len(together[strip + 1])) >= FEW:
+                    self._around(out, k, diagonal, len(seq))
         return {k: merged(mine) for k, mine in out.items()}
 
+    def _slack(self, k: int) -> int:
+        return len(self.seqs[k]) // 2 + N
+
+    def _around(self, out: dict, k: int, diagonal: int, end: int) -> None:
+        """Adds the stretch of a text that item ``k`` may take on a diagonal."""
+        a = max(0, diagonal - self._slack(k))
+        b = min(end, diagonal + len(self.seqs[k]) + self._slack(k))
+        mine = out.setdefault(k, [])
+        if mine and mine[-1][0] <= a <= mine[-1][1]:
+            mine[-1][1] = max(mine[-1][1], b)
+        else:
+            mine.append([a, b])
+
 
 def smith_waterman(text: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     """(value, end position in the text) of the best local alignment.
