@@ -37,7 +37,9 @@ THRESHOLD = 0.4             # of the item's full score
 LEAST_WORDS = 6             # words an alignment is worth at least (or the whole item)
 MATCH, MISMATCH, GAP = 2, -1, -1
 MAX_ITEM_BYTES = 32 << 20
-WORD = re.compile(r"\w+")
+# scripts without spaces (kana, Han, Thai, Lao, Burmese, Khmer): a character is a word
+NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W{NO_SPACES}]+|(?=\w)[{NO_SPACES}]")
 
 
 def tokens(text: str | None) -> list[str]:
