@@ -201,3 +201,11 @@ def op2_decontamination(spark, sf_dir):
     from clickwin.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
                         table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+# -- 11 SimHash near-dedup -------------------------------------------------------------
+
+@register("op11_simhash")
+def op11_simhash(spark, sf_dir):
+    from clickwin.llm.simhash import simhash
+    return simhash(table(spark, sf_dir, "documents", "doc_id", "text"))
