@@ -209,3 +209,102 @@ def op2_decontamination(spark, sf_dir):
 def op11_simhash(spark, sf_dir):
     from clickwin.llm.simhash import simhash
     return simhash(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# -- 12 source divergence audit ----------------------------------------------------------
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           AS text
+  FROM documents),
+t AS (
+  SELECT lang, source, doc, unnest(regexp_extract_all(
+      text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term
+  HAVING count(DISTINCT doc) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT g.lang, g.source, k.term, count(t.term) AS n
+  FROM g JOIN k USING (lang)
+  LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term GROUP BY ALL),
+s AS (SELECT lang, source, sum(n)::BIGINT AS n FROM c GROUP BY lang, source),
+p AS (
+  SELECT c.lang, c.source, c.term, c.n, 1 + 1000000000 * (c.n + 2) // (s.n + 2 * v.v) AS p,
+         1 + 1000000000 * (k.n + 2) // (v.n + 2 * v.v) AS q
+  FROM c JOIN s USING (lang, source) JOIN v USING (lang) JOIN k USING (lang, term)),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY ALL) f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                               ORDER BY value DESC, item)::INT AS rank FROM r)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@register("op12_divergence", OP12_SQL)
+def op12_divergence(spark, sf_dir):
+    from clickwin.llm.divergence import divergence
+    return divergence(table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+# -- 13 filter interaction audit -----------------------------------------------------------
+
+OP13_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents),
+l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+  FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+          100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text),
+          regexp_matches(text, '[#$%&*|]'), coalesce(first < w.doc_id, false)] AS fails
+  FROM w LEFT JOIN l USING (doc_id)),
+n AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good,
+         count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, fails),
+i AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS f FROM i a, i b, i c, i d, i e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (
+  SELECT part, o.f, k.i AS step, o.f[k.i] AS own, n.n, n.good, n.toxic, n.fails[o.f[k.i]] AS hit,
+         list_bool_or(list_transform(o.f[1 : k.i - 1], lambda x: n.fails[x])) AS earlier,
+         len(list_filter(n.fails, lambda x: x)) AS failed
+  FROM n, o, i k),
+a AS (
+  SELECT part, array_to_string(list_transform(f, lambda x: 'ABCDE'[x]), '') AS filter_order,
+         step::INT AS step, any_value(own) AS own,
+         coalesce(sum(n) FILTER (NOT hit AND NOT coalesce(earlier, false)), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (hit AND NOT coalesce(earlier, false)), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (hit AND earlier), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (hit AND failed = 1), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (hit AND NOT coalesce(earlier, false)), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (hit AND NOT coalesce(earlier, false)), 0)::BIGINT AS toxic_lost
+  FROM s GROUP BY part, f, step)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM a
+"""
+
+
+@register("op13_filter_audit", OP13_SQL)
+def op13_filter_audit(spark, sf_dir):
+    from clickwin.llm.filter_audit import filter_audit
+    return filter_audit(table(spark, sf_dir, "documents", "doc_id", "lang", "text"),
+                        table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
