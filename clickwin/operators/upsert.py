@@ -18,16 +18,20 @@ Scale notes.
 * The merged rows are written to a staging folder under the shared
   checkpoint directory first, so the overwrite never reads the files it
   replaces and a lost executor only reruns its task.
+
+Partitions are matched null-safe and by their folders' names on disk, so null
+and odd partition values are values like any other.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickwin.session import scratch_path
+from clickwin.session import materialize, scratch_path
 
 _NEW = "__new_row"
 
@@ -224,8 +228,8 @@ def path_exists(spark: SparkSession, path: str, hidden: bool = False) -> bool:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """``path_exists`` after finishing an overwrite that was cut off."""
-    recover(spark, path)
+    """``path_exists``; reads only (an overwrite that was cut off is finished
+    by writers, see ``recover``)."""
     return path_exists(spark, path)
 
 
@@ -265,9 +269,16 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     construction (a grouped aggregate keyed by the table key).
     ``partition_values`` (single partition column) names the partitions the
     batch can touch; when none of them exists yet there is nothing to merge
-    and the batch is written straight into new partitions.
+    and the batch is written straight into new partitions.  Without it, a key
+    that is stored in another partition moves: unless the partition columns
+    are keys, the others are searched for the batch's keys.
+
+    This layout (one folder per partition value, readable as plain Parquet)
+    is for one writer at a time; ``sources.snapshots`` keeps readers and
+    several writers apart.
     """
     part = list(partition_by)
+    _finish_dead(spark, path)
     fresh = not table_exists(spark, path)
     touched_dirs = None
     if not fresh and partition_values is not None and len(part) == 1:
@@ -292,84 +303,155 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     (batch if unique else dedupe_latest(batch, keys, order_desc)).write.parquet(reduced)
     batch = read_table(spark, reduced, part)
     affected_rows = batch.count()           # from the file footers
+    read = None
     if part and not touched_dirs:
-        touched = batch.select(*part).distinct()
-        old = old.join(touched, part, "left_semi")
+        touched = batch.select(*part)
+        if not set(part) <= set(keys):      # partitions that hold the keys now
+            holding = _matching(old, batch.select(*keys), keys).select(*part)
+            touched = touched.unionByName(holding)
+            # such a partition may be left without rows
+            read = _folders(spark, path, _matching(
+                old.select(*part, _folder()), holding.distinct(), part))
+        old = _matching(old, touched.distinct(), part)
     merged = merge_upsert(old, batch, keys, columns)
     merged = merged.select(*order, *[c for c in merged.columns if c not in order])
-    _replace(spark, path, merged, part, fmt)
+    _replace(spark, path, merged, part, fmt, read)
     _delete_quietly(spark, reduced)
     return affected_rows
 
 
-def _replace(spark: SparkSession, path: str, merged: DataFrame, part: Sequence[str], fmt: str
-             ) -> None:
+def _matching(rows: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose columns equal (null-safe) a row of ``wanted``."""
+    left, names = _with_join_keys(rows, columns)
+    right, _ = _with_join_keys(wanted, columns)
+    return left.join(right.select(*names), names, "left_semi").select(*rows.columns)
+
+
+def _folder() -> Column:
+    """The folder of a row's file."""
+    return F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("__folder")
+
+
+def _folders(spark: SparkSession, path: str, rows: DataFrame) -> list[str]:
+    """Partition folders of the rows' files, as they are named on disk below
+    ``path`` (one row per partition reaches the driver)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+    names = []
+    for r in rows.select("__folder").distinct().collect():
+        full = jvm.java.net.URI(r["__folder"]).getPath()
+        names.append(full[full.index(root) + len(root):].strip("/"))
+    return names
+
+
+def _replace(spark: SparkSession, path: str, merged: DataFrame, part: Sequence[str], fmt: str,
+             read: Sequence[str] | None = None) -> None:
     """Overwrite the table's touched partitions (all of it, unpartitioned)
-    with rows that were derived from it."""
+    with rows that were derived from it.  Of the partition folders ``read``,
+    those for which no row is left go."""
     staging = scratch_path(spark, "upsert-staging")
     _write(merged, staging, part, fmt, "overwrite")
+    emptied = [d for d in read or () if not path_exists(spark, f"{staging}/{d}")]
     # from here on the merged rows are safe: a cut-off overwrite is repeated
-    # from the staging copy by the next reader or writer
-    note = spark.createDataFrame([(staging, ",".join(part), fmt, ",".join(merged.columns))], _NOTE)
-    note.coalesce(1).write.mode("overwrite").parquet(_pending(path))
-    _finish(spark, path, staging, part, fmt, merged.columns)
+    # from the staging copy by the next writer
+    note = spark.createDataFrame([(staging, ",".join(part), fmt, ",".join(merged.columns),
+                                   emptied)], _NOTE)
+    note.coalesce(1).write.mode("errorifexists").parquet(_pending(path))
+    _finish(spark, path, staging, part, fmt, merged.columns, emptied)
 
 
 def rewrite_where(spark: SparkSession, path: str, cond: Column,
                   assignments: Mapping[str, Column] | None = None,
                   partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
     """DELETE (or with ``assignments`` UPDATE) the stored rows where ``cond``
-    is true; returns how many.  Only partitions that hold such rows are
-    rewritten; assignments may not move a row to another partition."""
+    is true; returns how many, once they are gone (a failure raises).  Only
+    partitions that hold such rows are rewritten; assignments may not move a
+    row to another partition."""
+    _finish_dead(spark, path)
     if not table_exists(spark, path):
         return 0
     part = list(partition_by)
     stored = read_table(spark, path, part, fmt)
-    number = affected(stored, cond).first()[0]
+    hit = F.coalesce(cond, F.lit(False))
+    # one row per partition that holds such rows
+    found = stored.select("*", _folder()).where(hit).groupBy("__folder").count()
+    found = materialize(found, "rewrite-folders")
+    number = found.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     if not number:
         return 0
-    touched = stored.where(cond).select(*part).distinct() if part else None
-    rows = stored.join(touched, part, "left_semi").select(*stored.columns) if part else stored
+    if part:
+        rows = _matching(stored, stored.where(hit).select(*part).distinct(), part)
+    else:
+        rows = stored
     left = update_where(rows, assignments, cond) if assignments else delete_where(rows, cond)
-    emptied = []
-    if part and not assignments:            # a folder left without rows goes as a whole
-        kept = left.select(*part).distinct()
-        emptied = touched.join(kept, part, "left_anti").collect()   # one row per partition
-    if not part or left.take(1):
-        _replace(spark, path, left, part, fmt)
-    for r in emptied:
-        _delete_quietly(spark, "/".join([path.rstrip("/"), *[f"{c}={r[c]}" for c in part]]))
+    _replace(spark, path, left, part, fmt, _folders(spark, path, found) if part else None)
     return int(number)
 
 
-_NOTE = "staging string, part string, fmt string, columns string"
+_NOTE = "staging string, part string, fmt string, columns string, emptied array<string>"
+LEASE_SECONDS = 900         # a note that old is a dead writer's
+
+
+class WriteInProgress(RuntimeError):
+    """Another writer is replacing this table's rows (or died doing so a short
+    while ago)."""
 
 
 def _pending(path: str) -> str:
     return f"{path.rstrip('/')}.pending"
 
 
-def _finish(spark, path, staging, part, fmt, columns) -> None:
-    _write(read_table(spark, staging, part, fmt).select(*columns), path, part, fmt, "overwrite")
+def _finish(spark, path, staging, part, fmt, columns, emptied) -> None:
+    if path_exists(spark, staging):         # else no row is left at all
+        _write(read_table(spark, staging, part, fmt).select(*columns), path, part, fmt,
+               "overwrite")
+    elif not part:
+        _delete(spark, path)
+    for folder in emptied:
+        _delete(spark, f"{path.rstrip('/')}/{folder}")
     # the overwrite has committed: the note goes first, then the staging copy
-    _delete_quietly(spark, _pending(path))
+    _delete(spark, _pending(path))
     _delete_quietly(spark, staging)
 
 
+def _finish_dead(spark: SparkSession, path: str) -> None:
+    """What a writer does about another's unfinished overwrite: repeat it if
+    the other is dead (its note is older than the lease), else stop."""
+    note = f"{_pending(path)}/_SUCCESS"
+    if not path_exists(spark, note, hidden=True):
+        return
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(note)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if time.time() - fs.getFileStatus(p).getModificationTime() / 1000 < LEASE_SECONDS:
+        raise WriteInProgress(f"{path} is being written; if that writer is dead, call recover()")
+    recover(spark, path)
+
+
 def recover(spark: SparkSession, path: str) -> bool:
     """Repeat an overwrite of the table at ``path`` that did not finish (the
-    driver or the job died between the staging copy and the commit)."""
+    driver or the job died between the staging copy and the commit).  Only
+    writers call it, never readers."""
     if not path_exists(spark, f"{_pending(path)}/_SUCCESS", hidden=True):
         return False
     note = spark.read.schema(_NOTE).parquet(_pending(path)).first()
-    if not path_exists(spark, note["staging"]):     # finished but for the note
-        _delete_quietly(spark, _pending(path))
+    # a staging folder that is gone means an overwrite that finished, but for the note
+    if not path_exists(spark, note["staging"], hidden=True):
+        _delete(spark, _pending(path))
         return False
     _finish(spark, path, note["staging"], [c for c in note["part"].split(",") if c],
-            note["fmt"], note["columns"].split(","))
+            note["fmt"], note["columns"].split(","), note["emptied"] or [])
     return True
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.delete(p, True) and fs.exists(p):
+        raise OSError(f"could not delete {path}")
+
+
 def _delete_quietly(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

@@ -3,10 +3,9 @@
 A launch (1) reads the greatest recorded window end -- the next window's
 start -- from the marker table, (2) derives ``[start, start + step)`` and
 applies the guard, (3) checks the completeness gate (data exists in the hour
-after the window), (4) counts the window, (5) upserts the result rows and
-only then (6) records the marker.  A crash between (5) and (6) leaves the
-window unmarked, so the next launch recomputes it and the keyed upsert
-makes that rerun a no-op on the stored rows.
+after the window), (4) counts the window and (5) publishes its rows and its
+marker in one step.  A crash before that leaves the store as it was, so the
+next launch computes the window again.
 
 Only one-row descriptors (window bounds, ready flag) reach the driver.
 """
@@ -25,6 +24,7 @@ from clickwin.functions.timekeys import (HOUR_KEY, MINUTE_KEY, add_to_key, key_t
                                          now_millis, shift_key)
 from clickwin.operators import counts
 from clickwin.operators import upsert as up
+from clickwin.sources.snapshots import Store, Table
 
 MARKER_SCHEMA = StructType([StructField("TABLE_NAME", StringType(), False),
                             StructField("ENDTIME", StringType(), True),
@@ -92,16 +92,23 @@ def window_ready(click, end: str, pattern: str = HOUR_KEY, gate: str = "next_hou
 
 
 class WindowStore:
-    """Result table plus a marker table.
+    """Result rows and window markers, published together.
+
+    Both are tables of one ``snapshots.Store``: a window's rows and its marker
+    appear at once, readers see whole states only, and of two launches of the
+    same window one is refused.
 
     Results are partitioned by the day of the window end (``END_DAY``), not
     by the window itself: a catch-up or a stream closing hundreds of hourly
-    windows then writes a few dozen folders instead of one per window (one
-    folder per window is a small-files problem at scale), and a rerun merges
-    one day folder.
+    windows then writes a few dozen folders instead of one per window.  The
+    store knows the window ends each folder holds, so the rows of a new window
+    go into a folder of their own without reading the day; the folders of a
+    day are merged when there are many.
     """
 
     PART = "END_DAY"
+    RESULTS, MARKERS = "results", "markers"
+    LAYOUT = Table(StructType(), (PART,), ("ENDTIME",))
 
     def __init__(self, root: str, table_name: str, keys: Sequence[str],
                  marker_in_results: bool = False, schema: str | None = None):
@@ -110,58 +117,92 @@ class WindowStore:
         self.keys = list(keys)
         # Parity with the reference: the marker is a row of the result table
         # itself (window columns set, the others null) and the next window is
-        # read from the results.  Off by default: a crash between rows and
-        # marker then cannot make a half-written window look done.
+        # read from the results.
         self.marker_in_results = marker_in_results
-        self.results_path = os.path.join(root, table_name)
         # one folder per table: jobs that share a root never write the same one
-        self.markers_path = os.path.join(root, "MARKERS", f"TABLE_NAME={table_name}")
+        self.path = os.path.join(root, table_name)
         # columns of a result row, for a marker before any row was written
         self.schema = schema
 
+    def store(self, spark: SparkSession) -> Store:
+        return Store(spark, self.path)
+
     def markers(self, spark: SparkSession) -> DataFrame | None:
-        if self.marker_in_results:
-            if not up.table_exists(spark, self.results_path):
-                return None
-            return self.results(spark).select("ENDTIME", "STARTTIME")
-        if not up.path_exists(spark, self.markers_path):
+        table = self.RESULTS if self.marker_in_results else self.MARKERS
+        store = self.store(spark)
+        if store.table(table) is None:
             return None
         # a repeated launch may have added a window's marker twice
-        return spark.read.schema(MARKER_SCHEMA).parquet(self.markers_path).distinct()
-
-    def results(self, spark: SparkSession) -> DataFrame:
-        if not up.table_exists(spark, self.results_path):
-            raise FileNotFoundError(f"no results written yet under {self.results_path}")
-        return up.read_table(spark, self.results_path, [self.PART]).drop(self.PART)
-
-    def write_results(self, spark: SparkSession, rows: DataFrame, end: str | None = None
-                      ) -> None:
-        """Upsert result rows; ``end`` (the window's end, when known) limits
-        the merge to that day's folder, or writes it directly when new."""
-        rows = rows.withColumn(self.PART, F.substring("ENDTIME", 1, 8))
-        up.write_upsert(spark, self.results_path, rows, self.keys, partition_by=[self.PART],
-                        unique=True, partition_values=None if end is None else [end[:8]])
+        columns = [f.name for f in MARKER_SCHEMA] if table == self.MARKERS else [
+            "ENDTIME", "STARTTIME"]
+        return store.read(table).select(*columns).distinct()
+
+    def last_end(self, spark: SparkSession) -> str | None:
+        """Greatest recorded window end, from the store's manifest (no file is
+        read)."""
+        return self.store(spark).greatest(
+            self.RESULTS if self.marker_in_results else self.MARKERS, "ENDTIME")
+
+    def results(self, spark: SparkSession, start: str | None = None, end: str | None = None
+                ) -> DataFrame:
+        """Result rows, optionally of windows that end in ``[start, end]`` (only
+        folders that hold such ends are read)."""
+        store = self.store(spark)
+        if store.table(self.RESULTS) is None:
+            raise FileNotFoundError(f"no results written yet under {self.path}")
+        rows = store.read(self.RESULTS, lo=(start or "",), hi=None if end is None else (end,))
+        for bound, op in ((start, ">="), (end, "<=")):
+            if bound is not None:
+                rows = rows.where(f"ENDTIME {op} '{bound}'")
+        return rows.drop(self.PART)
+
+    def write_results(self, spark: SparkSession, rows: DataFrame) -> None:
+        """Upsert result rows without recording their windows."""
+        self.publish(spark, rows)
+
+    def publish(self, spark: SparkSession, rows: DataFrame | None = None,
+                windows: DataFrame | None = None) -> None:
+        """Upsert result rows and record windows (``ENDTIME, STARTTIME`` rows)
+        in one step."""
+        day = F.substring("ENDTIME", 1, 8)
+
+        def body(tx):
+            if rows is not None:
+                tx.upsert(self.RESULTS, rows.withColumn(self.PART, day), self.keys,
+                          self.LAYOUT, unique=True, fixed=True)
+            if windows is None:
+                return
+            if self.marker_in_results:
+                columns = tx.tables[self.RESULTS].schema if self.RESULTS in tx.tables else (
+                    spark.createDataFrame([], self.schema).withColumn(self.PART, day).schema)
+                marks = windows.select(*[
+                    (day if f.name == self.PART else F.col(f.name)
+                     if f.name in ("ENDTIME", "STARTTIME") else F.lit(None))
+                    .cast(f.dataType).alias(f.name) for f in columns])
+                tx.upsert(self.RESULTS, marks, self.keys, self.LAYOUT, unique=True, fixed=True)
+            else:
+                tx.append(self.MARKERS, windows.select(
+                    F.lit(self.table_name).alias("TABLE_NAME"), "ENDTIME", "STARTTIME",
+                    day.alias(self.PART)), self.LAYOUT)
+
+        self.store(spark).run(body)
 
     def mark(self, spark: SparkSession, start: str, end: str) -> None:
-        if self.marker_in_results:
-            rows = (self.results(spark) if up.table_exists(spark, self.results_path)
-                    else spark.createDataFrame([], self.schema))
-            marker = spark.range(1).select(*[
-                (F.lit(end) if c == "ENDTIME" else F.lit(start) if c == "STARTTIME"
-                 else F.lit(None)).cast(t).alias(c) for c, t in rows.dtypes])
-            self.write_results(spark, marker, end)
-            return
-        self._add_markers(spark.createDataFrame([(self.table_name, end, start)], MARKER_SCHEMA))
-
-    def _add_markers(self, rows: DataFrame) -> None:
-        """Append only: one small file per call, nothing recorded is rewritten."""
-        rows.coalesce(1).write.mode("append").parquet(self.markers_path)
+        self.publish(spark, windows=one_window(spark, start, end))
 
     def mark_many(self, spark: SparkSession, windows: DataFrame) -> None:
         """Markers for many windows (``ENDTIME, STARTTIME`` rows)."""
-        rows = windows.select(F.lit(self.table_name).alias("TABLE_NAME"), "ENDTIME",
-                              "STARTTIME")
-        self._add_markers(rows)
+        self.publish(spark, windows=windows)
+
+
+def one_window(spark: SparkSession, start: str, end: str) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(F.lit(end).alias("ENDTIME"),
+                                          F.lit(start).alias("STARTTIME"))
+
+
+def _recorded(spark: SparkSession, store: WindowStore) -> DataFrame | None:
+    end = store.last_end(spark)
+    return None if end is None else one_window(spark, "", end)
 
 
 def run_window_job(spark: SparkSession, click, store: WindowStore, kind: str,
@@ -170,7 +211,7 @@ def run_window_job(spark: SparkSession, click, store: WindowStore, kind: str,
                    guard: str = "start", dims: Sequence[str] = counts.DIMENSIONS,
                    null_as_empty: bool = False) -> dict:
     """One launch of the label (``kind='label'``) or dimension job."""
-    desc = next_window(spark, store.markers(spark), step, unit, pattern, default_start, now,
+    desc = next_window(spark, _recorded(spark, store), step, unit, pattern, default_start, now,
                        guard).first()
     start, end = desc["STARTTIME"], desc["ENDTIME"]
     if desc["STATUS"] != "run":
@@ -187,8 +228,7 @@ def run_window_job(spark: SparkSession, click, store: WindowStore, kind: str,
         rows = counts.dim_pv_window(window, start, end, dims)
     else:
         raise ValueError(f"unknown job kind {kind!r}")
-    store.write_results(spark, rows, end)
-    store.mark(spark, start, end)
+    store.publish(spark, rows, one_window(spark, start, end))
     return {"status": "done", "start": start, "end": end}
 
 
@@ -205,7 +245,7 @@ def run_catch_up(spark: SparkSession, source, store: WindowStore, kind: str, ste
     """
     from clickwin.plans import backfill as bf
 
-    desc = next_window(spark, store.markers(spark), step, "HOUR", HOUR_KEY, default_start,
+    desc = next_window(spark, _recorded(spark, store), step, "HOUR", HOUR_KEY, default_start,
                        now, "start").first()
     start = desc["STARTTIME"]
     if desc["STATUS"] != "run":
@@ -221,8 +261,7 @@ def run_catch_up(spark: SparkSession, source, store: WindowStore, kind: str, ste
     summary = windows.agg(F.count(F.lit(1)).alias("n"), F.max("ENDTIME").alias("end")).first()
     if summary["n"] == 0:
         return {"status": "not_ready", "start": start, "windows": 0}
-    store.write_results(spark, rows)
-    store.mark_many(spark, windows)
+    store.publish(spark, rows, windows)
     return {"status": "done", "start": start, "end": summary["end"],
             "windows": int(summary["n"])}
 

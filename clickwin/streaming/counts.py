@@ -122,8 +122,8 @@ def start_to_store(df: DataFrame, store, checkpoint: str, available_now: bool =
 
     Each micro-batch holds windows the watermark has closed; they are
     upserted by key (so a micro-batch replayed after a failure rewrites the
-    same rows) and a marker per window is recorded after the rows are
-    committed -- the same protocol as ``plans.incremental.run_window_job``.
+    same rows) and published with a marker per window -- the same protocol as
+    ``plans.incremental.run_window_job``.
     """
     spark = df.sparkSession
 
@@ -134,9 +134,8 @@ def start_to_store(df: DataFrame, store, checkpoint: str, available_now: bool =
         try:
             if batch.isEmpty():  # no window closed in this micro-batch
                 return
-            store.write_results(spark, batch)
             windows = batch.select("ENDTIME", "STARTTIME").distinct()
-            store.mark_many(spark, windows)
+            store.publish(spark, batch, windows)
         finally:
             batch.unpersist()
 
