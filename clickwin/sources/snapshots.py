@@ -276,6 +276,7 @@ class Transaction:
         self._met: dict[str, list] = {}             # table -> segments' places relied on
         self._mine: list[str] = []                  # folders written
         self._keep: set[str] = set()
+        self._over: list[str] = []                  # folders dropped before the grace period
 
     # -- writing ------------------------------------------------------------
 
@@ -291,16 +292,20 @@ class Transaction:
         facts = [F.count(F.lit(1)).alias("n")]
         if not table.each:
             facts += _bounds(zone)
-        out = rows.observe(seen, *facts).withColumn(PART, _label_column(table.partition_by))
+        out = rows.withColumn(PART, _label_column(table.partition_by))
         if not placed:
             # rows of a partition go together (split where large), not a file per task
             out = out.hint("rebalance", PART)
+        # counted by the tasks that write: one that is run again is not counted twice
+        out = out.observe(seen, *facts)
         if table.sort:
             out = out.sortWithinPartitions(PART, *table.sort)
         out.write.partitionBy(PART).parquet(f"{self.store.root}/{name}")
-        got = seen.get
         dirs = [d for d, _ in self.store.files.names(name) if d.startswith(f"{PART}=")]
-        if table.each and zone and dirs:
+        if not dirs:                # no rows; Spark may have dropped the counting with them
+            return [], 0
+        got = seen.get
+        if table.each and zone:
             stored = self.spark.read.schema(StructType([*rows.schema.fields])).parquet(
                 *[f"{self.store.root}/{name}/{d}" for d in dirs])
             found = stored.groupBy(_folder()).agg(*_bounds(zone)).collect()  # a row a partition
@@ -469,8 +474,9 @@ class Transaction:
                 s for d, s in are.items() if d not in gone) + tuple(added))
             dropped.update({d: now for d in gone})
             self._keep |= {s.dir for s in added}
-        return State(head.version + 1, tables, {**head.values, **self.values},
-                     {d: at for d, at in dropped.items() if at >= now - self.store.grace})
+        recent = {d: at for d, at in dropped.items() if at >= now - self.store.grace}
+        self._over = [d for d in dropped if d not in recent]
+        return State(head.version + 1, tables, {**head.values, **self.values}, recent)
 
     def _relies_on(self, name: str, other: Segment) -> bool:
         return any(m is EVERYWHERE or (m.part == other.part and m.meets(other.lo, other.hi))
@@ -481,8 +487,11 @@ class Transaction:
         period and old manifests.  The state is published: a failure here
         leaves files behind and nothing else."""
         files, used = self.store.files, {d.split("/")[1] for d in self._keep}
-        over = [d for d, at in self.base.dropped.items() if d not in state.dropped]
-        over += [f for f in self._mine if f.split("/")[1] not in used]
+        still = {d.split("/")[1] for t in state.tables.values() for d in (s.dir for s in t.segments)}
+        still |= {d.split("/")[1] for d in state.dropped}
+        # a write's whole folder goes with its last partition
+        over = {d if d.split("/")[1] in still else "/".join(d.split("/")[:2]) for d in self._over}
+        over |= {f for f in self._mine if f.split("/")[1] not in used}
         for name in over:
             files.delete(name)
         if state.version > KEEP_MANIFESTS:
