@@ -344,13 +344,9 @@ SQL["job_copy_window"] = with_clicklog(
     f"SELECT ID, TIME, PARAM_TYPE, URL, TITLE, CONTENT_TYPE FROM clicklog WHERE TIME >= '{START}'"
     f" AND TIME < '{MONTH_END}'")
 
-SQL["job_label_hourly"] = with_clicklog(" UNION ALL ".join(
-    tag(f"20240101{h + 1:02d}", f"20240101{h:02d}",
-        label_count_sql(f"TIME >= '20240101{h:02d}' AND TIME < '20240101{h + 1:02d}'"))
-    for h in range(3)))
 SQL["job_label_minute"] = with_clicklog(" UNION ALL ".join(
     tag(e, s, label_count_sql(f"TIME >= '{s}' AND TIME < '{e}'", null_as_empty=True))
-    for s, e in (("202401010000", "202401010130"), ("202401010130", "202401010300"))))
+    for s, e in ((f"202401{d:02d}0000", f"202401{d + 7:02d}0000") for d in (1, 8, 15, 22))))
 _MERGED = ("(SELECT * FROM n0 UNION ALL SELECT * FROM o WHERE TIME < '2024011000')")
 SQL["keyed_write_counts"] = with_clicklog(
     "SELECT (SELECT count(*) FROM n0) AS UPSERTED, count(*) FILTER (PLATFORM = 'web') AS UPDATED, "
@@ -366,6 +362,11 @@ SQL["cells_upsert_store"] = with_cells(
     "SELECT rowkey, family, qualifier, CASE WHEN qualifier = 'TITLE' THEN upper(value) "
     "ELSE value END AS value FROM cells")
 
+SQL["upsert_batches_store"] = with_clicklog(
+    "SELECT UDID, ID, TIME, TITLE, (SELECT count(*) FROM (SELECT DISTINCT UDID, "
+    "ceil(CAST(substr(TIME, 7, 2) AS INT) / 11) FROM clicklog) d) AS AFFECTED FROM clicklog "
+    "QUALIFY row_number() OVER (PARTITION BY UDID ORDER BY TIME DESC, ID DESC) = 1")
+
 # -- streaming -------------------------------------------------------------------
 
 _WEND = "(strptime(substr(TIME, 1, 10), '%Y%m%d%H') + INTERVAL 1 HOUR)"
@@ -397,3 +398,6 @@ SQL["scan_key_range_stored"] = SQL["scan_key_range"]
 SQL["job_catch_up"] = LABEL_5H
 
 SQL["stream_label_store"] = SQL["stream_label_pv"]
+
+# every hour that is over by the last event
+SQL["job_label_hourly"] = SQL["stream_label_pv"]

@@ -20,17 +20,21 @@ from clickwin.functions.labels import split_labels
 from clickwin.operators import cells as cx
 from clickwin.operators import counts, topn
 from clickwin.operators import upsert as up
+from clickwin.operators.batches import write_batches
 from clickwin.plans import backfill as bf
 from clickwin.plans import incremental as inc
 from clickwin.session import scratch_path
 from clickwin.sources import clicklog as cl
 from clickwin.sources import tables as src
+from clickwin.sources.cellstore import CellStore
+from clickwin.sources.snapshots import Store, Table
 from clickwin.streaming import counts as sc
 
 # Fixed parameters of the registered queries.
 START = "2024010100"           # default start (hour key), before the first event
 MONTH_END = "2024020100"       # beyond the last event
 NOW = datetime(2024, 3, 1)     # injected wall clock for reproducible guards
+LAST_EVENING = datetime(2024, 1, 30, 22)
 
 LATENESS = "0 seconds"         # the streams' input is whole in one micro-batch: nothing is late
 
@@ -162,11 +166,11 @@ def scan_key_range(spark, sf_dir):
 
 @register("scan_key_range_stored")
 def scan_key_range_stored(spark, sf_dir):
-    # cells stored range-partitioned and sorted by row key: the [start, stop)
-    # bounds are pushed to the scan and row groups outside them are skipped
-    path = scratch_path(spark, "cells")
-    cl.write_sorted_cells(_cells(spark, sf_dir), path)
-    return cx.scan_key_range(spark.read.parquet(path), "0000", "0100", "info")
+    # cells stored in sorted key regions: regions outside [start, stop) are not
+    # listed, the bounds are pushed to the scan of the others
+    store = CellStore(spark, scratch_path(spark, "cells"))
+    store.load(_cells(spark, sf_dir), unique=True)
+    return store.scan("0000", "0100", "info")
 
 
 @register("scan_qualifier")
@@ -518,15 +522,16 @@ def marker_upsert(spark, sf_dir):
 def keyed_write_counts(spark, sf_dir):
     """Affected rows of an upsert, an update and a delete on one stored table."""
     old, new = _old_new(spark, sf_dir)
-    path = scratch_path(spark, "keyed-table")
-    day = F.substring("TIME", 1, 8).alias("DAY")
-    up.write_upsert(spark, path, old.select("*", day), ["ID"], ["DAY"])
-    counts_ = [up.write_upsert(spark, path, new.select("*", day), ["ID"], ["DAY"]),
-               up.rewrite_where(spark, path, F.col("PLATFORM") == "web",
-                                {"TITLE": F.upper("TITLE")}, ["DAY"]),
-               up.rewrite_where(spark, path, F.col("CONTENT_TYPE") == "error",
-                                partition_by=["DAY"])]
-    left = up.read_table(spark, path, ["DAY"])
+    store = Store(spark, scratch_path(spark, "keyed-table"))
+    layout = Table(T.StructType(), ("DAY",))
+    # clicks of hour 5 have no day: a null partition is one like any other
+    day = F.when(F.substring("TIME", 9, 2) != "05", F.substring("TIME", 1, 8)).alias("DAY")
+    store.run(lambda tx: tx.upsert("clicks", old.select("*", day), ["ID"], layout))
+    counts_ = [store.run(lambda tx: tx.upsert("clicks", new.select("*", day), ["ID"])),
+               store.run(lambda tx: tx.rewrite("clicks", F.col("PLATFORM") == "web",
+                                               {"TITLE": F.upper("TITLE")})),
+               store.run(lambda tx: tx.rewrite("clicks", F.col("CONTENT_TYPE") == "error"))]
+    left = store.read("clicks")
     return left.agg(*[F.lit(n).cast("bigint").alias(c) for n, c in
                       zip(counts_, ("UPSERTED", "UPDATED", "DELETED"))],
                     F.count(F.lit(1)).alias("ROWS_LEFT"),
@@ -559,13 +564,25 @@ def upsert_ragged_store(spark, sf_dir):
 
 @register("cells_upsert_store")
 def cells_upsert_store(spark, sf_dir):
-    # cells written by (rowkey, family, qualifier); later titles replace earlier ones
-    cells, path = _cells(spark, sf_dir), scratch_path(spark, "cell-table")
-    keys = ["rowkey", "family", "qualifier"]
-    up.write_upsert(spark, path, cells, keys)
-    up.write_upsert(spark, path, cells.where("qualifier = 'TITLE'").withColumn(
-        "value", F.upper("value")), keys)
-    return up.read_table(spark, path)
+    # cells stored in key regions; later titles replace earlier ones there
+    cells = _cells(spark, sf_dir)
+    store = CellStore(spark, scratch_path(spark, "cell-table"))
+    store.load(cells, unique=True)                      # events are keyed by ID
+    store.upsert(cells.where("qualifier = 'TITLE'").withColumn("value", F.upper("value")),
+                 unique=True)
+    return store.scan()
+
+
+@register("upsert_batches_store")
+def upsert_batches_store(spark, sf_dir):
+    """Device-keyed table written in numbered batches of about ten days, each
+    committed on its own; AFFECTED is the count that the job reports."""
+    store = Store(spark, scratch_path(spark, "batch-table"))
+    rows = _click(spark, sf_dir).select("UDID", "ID", "TIME", "TITLE")
+    affected = write_batches(store, "devices", rows, ["UDID"], "load",
+                             F.ceil(F.substring("TIME", 7, 2).cast("int") / 11),
+                             ["TIME", "ID"], require=F.col("ID").isNotNull())
+    return store.read("devices").withColumn("AFFECTED", F.lit(affected).cast("bigint"))
 
 
 @register("delete_where")
@@ -619,22 +636,26 @@ def job_label_pv(spark, sf_dir):
 
 @register("job_label_hourly")
 def job_label_hourly(spark, sf_dir):
-    # hourly launches: all but the first merge into the day's existing folder
+    # the catch-up does the month up to its last evening with data, hourly launches the rest
     store = inc.label_store(scratch_path(spark, "job-label-hourly"))
-    for _ in range(3):
-        inc.run_window_job(spark, _source(spark, sf_dir), store, "label", 1, now=NOW,
-                           default_start=START, gate="any_later")
+    inc.run_catch_up(spark, _source(spark, sf_dir), store, "label", 1, now=LAST_EVENING,
+                     default_start=START, gate="any_later")
+    while inc.run_window_job(spark, _source(spark, sf_dir), store, "label", 1, now=NOW,
+                             default_start=START, gate="any_later")["status"] == "done":
+        pass
     return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")
 
 
 @register("job_label_minute")
 def job_label_minute(spark, sf_dir):
-    # the minute-grain job: null labels count as the empty one, guard on the window's end
+    # the minute-grain job: null labels count as the empty one, guard on the window's end;
+    # windows of a week until the gate closes
     store = inc.label_store(scratch_path(spark, "job-label-minute"))
-    for _ in range(2):
-        inc.run_window_job(spark, _source(spark, sf_dir), store, "label", 90, now=NOW,
-                           default_start="202401010000", gate="any_later", unit="MIMUE",
-                           pattern=tk.MINUTE_KEY, guard="end", null_as_empty=True)
+    while inc.run_window_job(spark, _source(spark, sf_dir), store, "label", 7 * 24 * 60, now=NOW,
+                             default_start="202401010000", gate="any_later", unit="MIMUE",
+                             pattern=tk.MINUTE_KEY, guard="end",
+                             null_as_empty=True)["status"] == "done":
+        pass
     return store.results(spark).select("ENDTIME", "STARTTIME", "WORD", "FREQUENCY")
 
 

@@ -76,7 +76,7 @@ class CellStore:
         """Store the cells of a new table (one value a key: the greatest, unless
         ``unique`` says there is just one); returns how many.  Without
         ``regions`` their number follows from the bytes."""
-        if self.store.table(_TABLE) is not None:
+        if self.regions():
             raise ValueError(f"{self.store.root} holds cells already: use upsert")
         rows = cells.select(*KEYS, "value")
         rows = rows if unique else up.dedupe_latest(rows, KEYS)
@@ -92,7 +92,7 @@ class CellStore:
 
     def upsert(self, batch: DataFrame, unique: bool = False) -> int:
         """Upsert cells by key; returns the batch's cells, one per key."""
-        if self.store.table(_TABLE) is None:
+        if not self.regions():
             return self.load(batch, unique)
 
         def body(tx: Transaction) -> int:

@@ -1,7 +1,10 @@
 """The driver contract of __spark_entry__.py."""
 
 import inspect
+import os
 import re
+import subprocess
+import sys
 
 import __spark_entry__ as E
 
@@ -30,3 +33,13 @@ def test_entry_schema_is_stable(spark):
     a, b = E.entry(spark), E.entry(spark)
     assert a.schema == b.schema
     assert [f.name for f in a.schema.fields] == ["ENDTIME", "STARTTIME", "WORD", "FREQUENCY"]
+
+
+def test_entry_survives_a_missing_library():
+    code = ("import sys, warnings; warnings.simplefilter('ignore'); sys.modules['xxhash'] = None; "
+            "import __spark_entry__ as E; print(*E.queries()); print(*E.oracle_sql())")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                          cwd=os.path.dirname(os.path.abspath(E.__file__)), check=True)
+    from clickwin.plans.queries import QUERIES
+    for names in done.stdout.splitlines():
+        assert set(QUERIES) <= set(names.split())
