@@ -11,17 +11,22 @@ its distribution differs from its suffix's by at least ``divergence`` nats
 before it that is a state.
 
 The corpus is tokenised once into blocks (one row each: vocabulary and token
-numbers).  The tree grows with the corpus and is held as a table: word counts,
-counts of grams (a context and its next word) and back-off weights of states,
-each with the blocks that need them.  A block asks for its own distinct words,
-grams and contexts; they meet by one window per key, whose rows are one per
-block: what is everywhere is as frequent there as there are blocks, not tokens.
-Levels are built one by one: a context is only extended where its count, known
-from the level below, allows it.  Nothing of the tree reaches the driver.
+numbers) and stored in buckets by block, so that no later pass exchanges it.
+The tree grows with the corpus and is held as a table: counts of words, counts
+of grams (a context and its next word) and back-off weights of states, each
+for the blocks that need them.  A block asks for its own distinct words, grams
+and contexts: their keys are sorted, cut into parts by key and sent as one
+packed row per part.  The rows of a part are summed in one group and answered
+in the same order without the keys, so an answer costs a few bits where a gram
+is seen once.  There are as many parts as blocks: a group holds about as many
+keys as a block, and of a frequent one as many as there are blocks.  Levels
+are built one by one: a context is only extended where its count, known from
+the level below, allows it.  Nothing of the tree reaches the driver.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,14 +37,15 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickwin.llm.common import batch_of, blocks, utf8, words
-from clickwin.session import materialize
+from clickwin.session import materialize, scratch_path
 
 ALPHA = 0.1
 BLOCK_BYTES = 8 << 20
+BUCKETS = 50_000           # of the stored corpus at most (a bucket holds many blocks)
 SLICE = 1 << 18            # tokens summed at a time
 END = b""                   # the end symbol; no word is empty
 
@@ -71,22 +77,44 @@ def word_hash(vocab: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, vocab), np.uint64, len(vocab)).view(np.int64)
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Numbers of eight bytes, first all their first bytes, then all their
+    second ones, ...: bytes that are mostly equal compress away."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(data: bytes, dtype=np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(dtype).ravel()
+
+
+def dealt(key: np.ndarray, parts: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The order of the keys by value, and the stretch of every part in it."""
+    u = key.view(np.uint64)
+    order = np.argsort(u, kind="stable")
+    part = ((u[order] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    stops = [0, *cuts.tolist(), len(part)] if len(part) else [0]
+    return order, [(int(part[a]), slice(a, b)) for a, b in zip(stops, stops[1:])]
+
+
 def tokenise(docs: DataFrame) -> DataFrame:
-    """Blocks of documents: ``block, ids, held, ends, tokens, vocab, trained``.
+    """Blocks of documents: ``block, ids, held, ends, tokens, vocab, trained, n``.
 
-    ``tokens`` are numbers into ``vocab`` (number 0 is the end), ``ends`` the
-    documents' ends in ``tokens``, ``trained`` each word's training count.
+    ``tokens`` are numbers into ``vocab`` (number 0 is the end; its words are
+    joined by spaces), ``ends`` the documents' ends in ``tokens``, ``trained``
+    each word's training count, ``n`` their sum.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = (f"block bigint, ids array<{id_type}>, held array<boolean>, ends array<int>, "
-              "tokens array<int>, vocab array<binary>, trained array<bigint>")
+    schema = (f"block bigint, ids array<{id_type}>, held array<boolean>, ends binary, "
+              "tokens binary, vocab binary, trained binary, n bigint")
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(docs.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches):
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        for at, part in enumerate(blocks(batches, "text", BLOCK_BYTES)):
+        at = 0
+        for part in blocks(batches, "text", BLOCK_BYTES):
             number = defaultdict(count().__next__)
             number[END]
             held = np.array(part.column("held").to_pylist(), bool)
@@ -94,20 +122,32 @@ def tokenise(docs: DataFrame) -> DataFrame:
             for text in utf8(part, "text"):
                 w = words(text)
                 w.append(END)
-                seqs.append(np.fromiter(map(number.__getitem__, w), np.int32, len(w)))
+                seqs.append(np.fromiter(map(number.__getitem__, w), np.int64, len(w)))
             ends = np.cumsum([len(s) for s in seqs])
             learn = [s for s, h in zip(seqs, held) if not h]
-            trained = np.bincount(np.concatenate(learn) if learn else np.zeros(0, np.int32),
-                                  minlength=len(number))
+            trained = np.bincount(np.concatenate(learn) if learn else np.zeros(0, np.int64),
+                                  minlength=len(number)).astype(np.int64)
             yield batch_of(arrow, [(task << 32) + at], pa.array([part.column("doc_id").to_pylist()],
                                                              arrow.field("ids").type),
-                           [held], [ends.astype(np.int32)], [np.concatenate(seqs)],
-                           [list(number)], [trained])
+                           [held], [packed(ends.astype(np.int64))], [packed(np.concatenate(seqs))],
+                           [b" ".join(number)], [packed(trained)], [int(trained.sum())])
+            at += 1
 
     return (docs.select("doc_id", "text", held_out("doc_id").alias("held"))
             .mapInArrow(run, schema))
 
 
+def by_block(corpus: DataFrame, parts: int) -> DataFrame:
+    """The corpus as a stored table in buckets by block; a block's row is
+    written where it was made, so this exchanges nothing."""
+    spark = corpus.sparkSession
+    name = f"tokens_{uuid.uuid4().hex[:12]}"
+    (corpus.write.bucketBy(min(parts, BUCKETS), "block").sortBy("block")
+     .option("compression", "zstd").option("path", scratch_path(spark, "tokens"))
+     .saveAsTable(name))
+    return spark.table(name)
+
+
 def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Keys of grams from the keys of their contexts and next words."""
     x = context.view(np.uint64)
@@ -117,52 +157,119 @@ def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 # Kinds of rows of the tree's table: words are 0, grams of contexts of d words
-# 2 d - 1, states of d words 2 d.  ``at`` is a number within the block.
-TABLE = ("block", "kind", "at", "value", "own")
+# 2 d - 1, states of d words 2 d.  ``body`` answers the keys that a block sent
+# to a part, in their order: counts; counts times two, plus one where the gram
+# is the block's to sum; back-off weights.  0 is "none", rows of none are left out.
+TABLE = "block bigint, kind int, part bigint, body binary, fresh bigint"
+ASKED = "kind int, part bigint, block bigint, key binary, a binary, b binary, e binary"
 
 
-def corpus_counts(corpus: DataFrame) -> tuple[DataFrame, int, int]:
+def _arrow(spark, schema: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    return to_arrow_schema(spark.createDataFrame([], schema).schema)
+
+
+def _answer(asked: pa.Table, arrow: pa.Schema, divergence: float) -> pa.Table:
+    """The rows of the table for all that was asked of one kind in one part."""
+    asked = asked.sort_by("block").combine_chunks()
+    kind, part = asked.column("kind")[0].as_py(), asked.column("part")[0].as_py()
+    keys = asked.column("key").to_pylist()
+    a, b, e = ([unpacked(x, np.int64 if kind == 0 or kind % 2 else float) for x in
+                asked.column(c).to_pylist() if x is not None] for c in "abe")
+    sizes, fresh = [len(x) for x in a], 0
+    if kind == 0:
+        same = pa.array(b" ".join(keys).split(b" "), pa.large_binary()).dictionary_encode()
+        total = np.bincount(same.indices.to_numpy(), np.concatenate(a))
+        fresh = int((total > 0).sum())
+        value = total.astype(np.int64)[same.indices.to_numpy()]
+    else:
+        _, first, which = np.unique(np.concatenate(
+            [np.cumsum(unpacked(k, np.uint64), dtype=np.uint64) for k in keys]),
+            return_index=True, return_inverse=True)
+        if kind % 2:
+            total = np.bincount(which, np.concatenate(a)).astype(np.int64)
+            value = 2 * total[which]
+            value[first] += 1
+            value[total[which] < 2] = 0
+        else:
+            a, b, e = (np.bincount(which, np.concatenate(x)) for x in (a, b, e))
+            rest, room = 1.0 - b, np.maximum(1.0 - e, 1e-12)
+            distance = a + rest * np.log(np.maximum(rest, 1e-300) / room)
+            weight = np.where((b > 0) & (distance >= divergence), rest / room, 0.0)
+            value = weight.view(np.int64)[which]
+    out, at = [], 0
+    for block, size in zip(asked.column("block").to_pylist(), sizes):
+        mine, at = value[at:at + size], at + size
+        if mine.any() or fresh:
+            out.append((block, kind, part, packed(mine), fresh))
+            fresh = 0
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(
+        zip(*out) if out else [[]] * len(arrow), arrow)], schema=arrow)
+
+
+def _answered(asked: DataFrame, name: str, cfg: Settings) -> DataFrame:
+    arrow, divergence = _arrow(asked.sparkSession, TABLE), cfg.divergence
+    return materialize(asked.groupBy("kind", "part").applyInArrow(
+        lambda table: _answer(table, arrow, divergence), TABLE), name)
+
+
+def corpus_counts(corpus: DataFrame, parts: int, cfg: Settings) -> tuple[DataFrame, int, int]:
     """Training counts of every block's words as rows of the table; N and V."""
-    n = corpus.select(F.aggregate("trained", F.lit(0).cast("bigint"), lambda a, x: a + x)
-                      .alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    each = Window.partitionBy("word")
-    counts = materialize(
-        corpus.select("block", F.posexplode(F.arrays_zip("vocab", "trained")).alias("at", "x"))
-        .select("block", F.lit(0).alias("kind"), "at", F.col("x.vocab").alias("word"),
-                F.col("x.trained").alias("n"))
-        .withColumn("value", F.sum("n").over(each).cast("double"))
-        .withColumn("own", F.min("block").over(each) == F.col("block")).select(*TABLE),
-        "word-counts")
-    return counts, n, counts.where("own and value > 0").count()
-
-
-def _numpy(table: pa.Table) -> Iterator[dict]:
-    """The rows of a table of blocks, arrays as numpy."""
-    for batch in table.to_batches():
-        for i in range(batch.num_rows):
-            yield {name: (v.values.to_pylist() if name in ("vocab", "ids") else
-                          v.values.to_numpy(zero_copy_only=False)) if isinstance(v, pa.ListScalar)
-                   else v.as_py() for name, v in
-                   ((n, batch.column(n)[i]) for n in batch.schema.names)}
-
-
-def _known(table: pa.Table) -> dict[int, tuple]:
-    """(at, value, own) of every kind of row a block got."""
-    kind, *rest = (table.column(c).to_numpy() for c in TABLE[1:])
-    return {int(k): tuple(x[kind == k] for x in rest) for k in np.unique(kind)}
-
-
-def walk(row: dict, known: dict, depth: int, cfg: Settings, n: int, v: int) -> SimpleNamespace:
+    n = corpus.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    arrow = _arrow(corpus.sparkSession, ASKED)
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                vocab, trained = row["vocab"].split(b" "), unpacked(row["trained"])
+                order, stretches = dealt(word_hash(vocab), parts)
+                for part, at in stretches:
+                    yield batch_of(arrow, [0], [part], [row["block"]],
+                                   [b" ".join(vocab[i] for i in order[at])],
+                                   [packed(trained[order[at]])], [None], [None])
+
+    counts = _answered(corpus.select("block", "vocab", "trained").mapInArrow(run, ASKED),
+                       "word-counts", cfg)
+    return counts, n, counts.agg(F.coalesce(F.sum("fresh"), F.lit(0))).first()[0]
+
+
+def _rows(table: pa.Table) -> Iterator[dict]:
+    """The rows of a table of blocks, decoded."""
+    for row in table.to_pylist():
+        yield row | {"vocab": row["vocab"].split(b" "), "tokens": unpacked(row["tokens"]),
+                     "ends": unpacked(row["ends"])}
+
+
+class Known:
+    """What a block got, by kind and part."""
+
+    def __init__(self, table: pa.Table, parts: int):
+        self.got, self.parts = defaultdict(dict), parts
+        for kind, part, body in zip(*(table.column(c).to_pylist() for c in ("kind", "part", "body"))):
+            self.got[kind][part] = body
+
+    def __contains__(self, kind: int) -> bool:
+        return kind in self.got
+
+    def values(self, kind: int, key: np.ndarray) -> np.ndarray:
+        """The answers of the keys; 0 where there is none."""
+        out, mine = np.zeros(len(key), np.int64), self.got[kind]
+        order, stretches = dealt(key, self.parts)
+        for part, at in stretches:
+            if part in mine:
+                out[order[at]] = unpacked(mine[part])
+        return out
+
+
+def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int) -> SimpleNamespace:
     """A block's tokens with the contexts and grams of 1 ... ``depth`` words,
     and each token's probability by the states known so far."""
-    size, tokens = len(row["vocab"]), row["tokens"].astype(np.int64)
+    size, tokens = len(row["vocab"]), row["tokens"]
     lengths = np.diff(row["ends"], prepend=0)
     room = np.arange(len(tokens)) - np.repeat(row["ends"] - lengths, lengths)
     learn = np.repeat(~np.asarray(row["held"], bool), lengths)
-    c = np.zeros(size, np.int64)
-    if 0 in known:
-        c[known[0][0]] = known[0][1]
     hashes = word_hash(row["vocab"])
+    c = known.values(0, hashes)
     p = ((c + ALPHA) / (n + ALPHA * (v + 1)))[tokens]
     out = SimpleNamespace(tokens=tokens, c=c, base=p, levels=[])
     head = c >= cfg.least(1, n) if depth else None
@@ -189,13 +296,14 @@ def walk(row: dict, known: dict, depth: int, cfg: Settings, n: int, v: int) -> S
             low=p[np.flatnonzero(use)[first]], kept=np.zeros(len(code) + 1, np.int64),
             own=np.zeros(len(code) + 1, bool))
         if 2 * d - 1 in known:
-            at, value, own = known[2 * d - 1]
-            level.kept[at], level.own[at] = value, own
+            value = known.values(2 * d - 1, level.key)
+            level.kept[:-1], level.own[:-1] = value >> 1, value & 1
             level.kept[:-1][level.kept[:-1] < np.maximum(2, cfg.min_next * total[of])] = 0
         if 2 * d in known:
-            back = np.full(len(total), np.nan)
-            back[known[2 * d][0]] = known[2 * d][1]
-            state = np.flatnonzero((ctx >= 0) & ~np.isnan(back[ctx]))
+            back = np.zeros(len(total))
+            asked = np.unique(ctx[ctx >= 0])
+            back[asked] = known.values(2 * d, key[asked]).view(float)
+            state = np.flatnonzero((ctx >= 0) & (back[ctx] > 0))
             k, s = level.kept[gram[state]], ctx[state]
             p = p.copy()
             p[state] = np.where(k > 0, (k - cfg.discount) / total[s], back[s] * p[state])
@@ -205,46 +313,40 @@ def walk(row: dict, known: dict, depth: int, cfg: Settings, n: int, v: int) -> S
     return out
 
 
-def _step(corpus: DataFrame, table: DataFrame, d: int, cfg: Settings, n: int, v: int) -> DataFrame:
-    """Rows of the table for the grams of ``d``-word contexts and the states of
-    ``d - 1`` words."""
-    schema = "kind int, block bigint, at int, key bigint, a double, b double, e double"
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow = to_arrow_schema(corpus.sparkSession.createDataFrame([], schema).schema)
+def _step(corpus: DataFrame, table: DataFrame, d: int, parts: int, cfg: Settings, n: int,
+          v: int) -> DataFrame:
+    """What the blocks ask: grams of ``d``-word contexts with their counts, and
+    states of ``d - 1`` words with sums over the grams that are theirs."""
+    arrow = _arrow(corpus.sparkSession, ASKED)
 
     def run(block: pa.Table, got: pa.Table) -> pa.Table:
         out = []
-        for row in _numpy(block):
-            levels = walk(row, _known(got), min(d, cfg.levels), cfg, n, v).levels
+        for row in _rows(block):
+            levels = walk(row, Known(got, parts), min(d, cfg.levels), cfg, n, v).levels
 
-            def add(kind, at, key, *sums):
-                out.append(batch_of(arrow, np.full(len(at), kind, np.int32),
-                                    np.full(len(at), row["block"]), at.astype(np.int32), key, *sums))
+            def add(kind, key, *sums):
+                order, stretches = dealt(key, parts)
+                for part, at in stretches:
+                    mine = order[at]
+                    out.append((kind, part, row["block"],
+                                packed(np.diff(key[mine].view(np.uint64), prepend=np.uint64(0))),
+                                *(packed(x[mine]) for x in sums), *[None] * (3 - len(sums))))
 
             if d <= cfg.levels:
                 g = levels[d - 1]
-                none = np.zeros(len(g.key))
-                add(2 * d - 1, np.arange(len(g.key)), g.key, g.num.astype(float), none, none)
+                add(2 * d - 1, g.key, g.num.astype(np.int64))
             if d > 1:
                 g = levels[d - 2]
                 mine = np.flatnonzero(g.own[:-1] & (g.kept[:-1] > 0))     # one block's each
                 of, low = g.of[mine], g.low[mine]
                 p = (g.kept[mine] - cfg.discount) / g.total[of]
                 at = np.unique(g.ctx[g.ctx >= 0])
-                add(2 * d - 2, at, g.ctx_key[at],
+                add(2 * d - 2, g.ctx_key[at],
                     *(np.bincount(of, x, len(g.total))[at] for x in (p * np.log(p / low), p, low)))
-        return pa.Table.from_batches(out, arrow)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(
+            zip(*out) if out else [[]] * len(arrow), arrow)], schema=arrow)
 
-    each = Window.partitionBy("kind", "key")
-    rest, room = F.lit(1.0) - F.col("b"), F.greatest(F.lit(1.0) - F.col("e"), F.lit(1e-12))
-    gram = F.col("kind") % 2 == 1
-    distance = F.col("a") + rest * F.log(F.greatest(rest, F.lit(1e-300)) / room)
-    return (_meet(corpus, table, run, schema)
-            .select("kind", "block", "at", (F.min("block").over(each) == F.col("block")).alias("own"),
-                    *(F.sum(x).over(each).alias(x) for x in "abe"))
-            .where(F.when(gram, F.col("a") >= 2)
-                   .otherwise((F.col("b") > 0) & (distance >= cfg.divergence)))
-            .withColumn("value", F.when(gram, F.col("a")).otherwise(rest / room)).select(*TABLE))
+    return _meet(corpus, table, run, ASKED)
 
 
 def _meet(corpus: DataFrame, table: DataFrame, run, schema: str) -> DataFrame:
@@ -253,27 +355,28 @@ def _meet(corpus: DataFrame, table: DataFrame, run, schema: str) -> DataFrame:
             .cogroup(table.groupBy("block")).applyInArrow(run, schema))
 
 
-def grow(corpus: DataFrame, counts: DataFrame, cfg: Settings, n: int, v: int) -> DataFrame:
+def grow(corpus: DataFrame, counts: DataFrame, parts: int, cfg: Settings, n: int, v: int
+         ) -> DataFrame:
     """The tree's table, level by level: contexts by count, then by divergence."""
     tables = [counts]
     for d in range(1, cfg.levels + 2) if n else ():
-        tables.append(materialize(_step(corpus, reduce(DataFrame.unionByName, tables), d, cfg, n, v),
-                                  f"tree-{d}"))
+        tables.append(_answered(_step(corpus, reduce(DataFrame.unionByName, tables), d, parts,
+                                      cfg, n, v), f"tree-{d}", cfg))
     return reduce(DataFrame.unionByName, tables)
 
 
-def score(corpus: DataFrame, tree: DataFrame, cfg: Settings, n: int, v: int) -> DataFrame:
+def score(corpus: DataFrame, tree: DataFrame, parts: int, cfg: Settings, n: int, v: int
+          ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     id_type = corpus.schema["ids"].dataType.elementType.simpleString()
     schema = (f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
               "train_tokens bigint, base_score double, score double")
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow = to_arrow_schema(corpus.sparkSession.createDataFrame([], schema).schema)
+    arrow = _arrow(corpus.sparkSession, schema)
 
     def run(block: pa.Table, got: pa.Table) -> pa.Table:
         out = []
-        for row in _numpy(block):
-            w = walk(row, _known(got), cfg.levels if n else 0, cfg, n, v)
+        for row in _rows(block):
+            w = walk(row, Known(got, parts), cfg.levels if n else 0, cfg, n, v)
             ends, first = row["ends"], 0
             while first < len(ends):          # some documents at a time, one at least
                 from_ = ends[first - 1] if first else 0
@@ -301,6 +404,8 @@ def lm_scores(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     1.  A null id is not held out; repeated rows are trained on and scored
     each; other columns are not read; an empty table gives no rows.
     """
-    corpus = materialize(tokenise(docs), "tokens")
-    counts, n, v = corpus_counts(corpus)
-    return score(corpus, grow(corpus, counts, cfg, n, v), cfg, n, v)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // BLOCK_BYTES))
+    corpus = by_block(tokenise(docs), parts)
+    counts, n, v = corpus_counts(corpus, parts, cfg)
+    return score(corpus, grow(corpus, counts, parts, cfg, n, v), parts, cfg, n, v)
