@@ -30,7 +30,6 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from itertools import count
 from types import SimpleNamespace
 
@@ -41,10 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickwin.llm.common import batch_of, blocks, utf8, words
-from clickwin.session import materialize, scratch_path
+from clickwin.session import scratch_path
 
 ALPHA = 0.1
 BLOCK_BYTES = 8 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BUCKETS = 50_000           # of the stored corpus at most (a bucket holds many blocks)
 SLICE = 1 << 18            # tokens summed at a time
 END = b""                   # the end symbol; no word is empty
@@ -77,26 +77,47 @@ def word_hash(vocab: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, vocab), np.uint64, len(vocab)).view(np.int64)
 
 
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def expanded(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 def packed(x: np.ndarray) -> bytes:
     """Numbers of eight bytes, first all their first bytes, then all their
     second ones, ...: bytes that are mostly equal compress away."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return squeezed(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def unpacked(data: bytes, dtype=np.int64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(dtype).ravel()
+    planes = np.frombuffer(expanded(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
 
-def dealt(key: np.ndarray, parts: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+def dealt(key: np.ndarray, parts: int, kind: str | None = None
+          ) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     """The order of the keys by value, and the stretch of every part in it."""
     u = key.view(np.uint64)
-    order = np.argsort(u, kind="stable")
+    order = np.argsort(u, kind=kind)
     part = ((u[order] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    cuts = np.flatnonzero(np.diff(part)) + 1
+    cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
     stops = [0, *cuts.tolist(), len(part)] if len(part) else [0]
     return order, [(int(part[a]), slice(a, b)) for a, b in zip(stops, stops[1:])]
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, a place of each, and each place's number."""
+    order = np.argsort(x)
+    y = x[order]
+    new = np.ones(len(y), bool)
+    new[1:] = y[1:] != y[:-1]
+    which = np.empty(len(y), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return y[new], order[new], which
+
+
 def tokenise(docs: DataFrame) -> DataFrame:
     """Blocks of documents: ``block, ids, held, ends, tokens, vocab, trained, n``.
 
@@ -130,21 +151,27 @@ def tokenise(docs: DataFrame) -> DataFrame:
             yield batch_of(arrow, [(task << 32) + at], pa.array([part.column("doc_id").to_pylist()],
                                                              arrow.field("ids").type),
                            [held], [packed(ends.astype(np.int64))], [packed(np.concatenate(seqs))],
-                           [b" ".join(number)], [packed(trained)], [int(trained.sum())])
+                           [squeezed(b" ".join(number))], [packed(trained)], [int(trained.sum())])
             at += 1
 
     return (docs.select("doc_id", "text", held_out("doc_id").alias("held"))
             .mapInArrow(run, schema))
 
 
-def by_block(corpus: DataFrame, parts: int) -> DataFrame:
-    """The corpus as a stored table in buckets by block; a block's row is
-    written where it was made, so this exchanges nothing."""
-    spark = corpus.sparkSession
-    name = f"tokens_{uuid.uuid4().hex[:12]}"
-    (corpus.write.bucketBy(min(parts, BUCKETS), "block").sortBy("block")
-     .option("compression", "zstd").option("path", scratch_path(spark, "tokens"))
-     .saveAsTable(name))
+def stored(table: DataFrame, name: str, parts: int) -> DataFrame:
+    """``table`` added to a stored one in buckets by block, which is returned:
+    two such tables meet by block without an exchange.  Shuffle files of a
+    finished write are not needed again and are deleted at once."""
+    spark = table.sparkSession
+    write = table.write.bucketBy(min(parts, BUCKETS), "block").mode("append")
+    if not spark.catalog.tableExists(name):
+        write = write.option("path", scratch_path(spark, name))
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        write.saveAsTable(name)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.table(name)
 
 
@@ -171,21 +198,20 @@ def _arrow(spark, schema: str) -> pa.Schema:
 
 def _answer(asked: pa.Table, arrow: pa.Schema, divergence: float) -> pa.Table:
     """The rows of the table for all that was asked of one kind in one part."""
-    asked = asked.sort_by("block").combine_chunks()
+    asked = asked.sort_by("block")
     kind, part = asked.column("kind")[0].as_py(), asked.column("part")[0].as_py()
     keys = asked.column("key").to_pylist()
     a, b, e = ([unpacked(x, np.int64 if kind == 0 or kind % 2 else float) for x in
                 asked.column(c).to_pylist() if x is not None] for c in "abe")
     sizes, fresh = [len(x) for x in a], 0
     if kind == 0:
-        same = pa.array(b" ".join(keys).split(b" "), pa.large_binary()).dictionary_encode()
+        same = pa.array(b" ".join(map(expanded, keys)).split(b" "), pa.large_binary()).dictionary_encode()
         total = np.bincount(same.indices.to_numpy(), np.concatenate(a))
         fresh = int((total > 0).sum())
         value = total.astype(np.int64)[same.indices.to_numpy()]
     else:
-        _, first, which = np.unique(np.concatenate(
-            [np.cumsum(unpacked(k, np.uint64), dtype=np.uint64) for k in keys]),
-            return_index=True, return_inverse=True)
+        _, first, which = distinct(np.concatenate(
+            [np.cumsum(unpacked(k, np.uint64), dtype=np.uint64) for k in keys]))
         if kind % 2:
             total = np.bincount(which, np.concatenate(a)).astype(np.int64)
             value = 2 * total[which]
@@ -207,13 +233,15 @@ def _answer(asked: pa.Table, arrow: pa.Schema, divergence: float) -> pa.Table:
         zip(*out) if out else [[]] * len(arrow), arrow)], schema=arrow)
 
 
-def _answered(asked: DataFrame, name: str, cfg: Settings) -> DataFrame:
+def _answered(asked: DataFrame, name: str, parts: int, cfg: Settings) -> DataFrame:
+    """The table ``name`` with the answers added, one exchange to their blocks."""
     arrow, divergence = _arrow(asked.sparkSession, TABLE), cfg.divergence
-    return materialize(asked.groupBy("kind", "part").applyInArrow(
-        lambda table: _answer(table, arrow, divergence), TABLE), name)
+    got = asked.groupBy("kind", "part").applyInArrow(
+        lambda table: _answer(table, arrow, divergence), TABLE)
+    return stored(got.repartition(min(parts, BUCKETS), "block"), name, parts)
 
 
-def corpus_counts(corpus: DataFrame, parts: int, cfg: Settings) -> tuple[DataFrame, int, int]:
+def corpus_counts(corpus: DataFrame, name: str, parts: int, cfg: Settings) -> tuple[DataFrame, int, int]:
     """Training counts of every block's words as rows of the table; N and V."""
     n = corpus.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     arrow = _arrow(corpus.sparkSession, ASKED)
@@ -221,22 +249,23 @@ def corpus_counts(corpus: DataFrame, parts: int, cfg: Settings) -> tuple[DataFra
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                vocab, trained = row["vocab"].split(b" "), unpacked(row["trained"])
-                order, stretches = dealt(word_hash(vocab), parts)
+                vocab = expanded(row["vocab"]).split(b" ")
+                trained = unpacked(row["trained"])
+                order, stretches = dealt(word_hash(vocab), parts, "stable")
                 for part, at in stretches:
                     yield batch_of(arrow, [0], [part], [row["block"]],
-                                   [b" ".join(vocab[i] for i in order[at])],
+                                   [squeezed(b" ".join([vocab[i] for i in order[at]]))],
                                    [packed(trained[order[at]])], [None], [None])
 
     counts = _answered(corpus.select("block", "vocab", "trained").mapInArrow(run, ASKED),
-                       "word-counts", cfg)
+                       name, parts, cfg)
     return counts, n, counts.agg(F.coalesce(F.sum("fresh"), F.lit(0))).first()[0]
 
 
 def _rows(table: pa.Table) -> Iterator[dict]:
     """The rows of a table of blocks, decoded."""
     for row in table.to_pylist():
-        yield row | {"vocab": row["vocab"].split(b" "), "tokens": unpacked(row["tokens"]),
+        yield row | {"vocab": expanded(row["vocab"]).split(b" "), "tokens": unpacked(row["tokens"]),
                      "ends": unpacked(row["ends"])}
 
 
@@ -254,13 +283,20 @@ class Known:
     def values(self, kind: int, key: np.ndarray) -> np.ndarray:
         """The answers of the keys; 0 where there is none."""
         out, mine = np.zeros(len(key), np.int64), self.got[kind]
-        order, stretches = dealt(key, self.parts)
+        order, stretches = dealt(key, self.parts, None if kind else "stable")
         for part, at in stretches:
             if part in mine:
                 out[order[at]] = unpacked(mine[part])
         return out
 
 
+def contexts(ctx: np.ndarray, size: int) -> np.ndarray:
+    """The distinct contexts that stand before tokens (-1: none)."""
+    seen = np.zeros(size, bool)
+    seen[ctx[ctx >= 0]] = True
+    return np.flatnonzero(seen)
+
+
 def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int) -> SimpleNamespace:
     """A block's tokens with the contexts and grams of 1 ... ``depth`` words,
     and each token's probability by the states known so far."""
@@ -285,8 +321,7 @@ def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int) ->
         use = good & (c[tokens] >= 2)
         if d > 1 and cfg.min_share is None and not cfg.min_next:
             use &= total[ids] >= 2
-        code, first, which = np.unique(ctx[use] * size + tokens[use], return_index=True,
-                                       return_inverse=True)
+        code, first, which = distinct(ctx[use] * size + tokens[use])
         gram = np.full(len(tokens), -1, np.int64)
         gram[use] = which
         of = code // size
@@ -301,7 +336,7 @@ def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int) ->
             level.kept[:-1][level.kept[:-1] < np.maximum(2, cfg.min_next * total[of])] = 0
         if 2 * d in known:
             back = np.zeros(len(total))
-            asked = np.unique(ctx[ctx >= 0])
+            asked = contexts(ctx, len(total))
             back[asked] = known.values(2 * d, key[asked]).view(float)
             state = np.flatnonzero((ctx >= 0) & (back[ctx] > 0))
             k, s = level.kept[gram[state]], ctx[state]
@@ -340,7 +375,7 @@ def _step(corpus: DataFrame, table: DataFrame, d: int, parts: int, cfg: Settings
                 mine = np.flatnonzero(g.own[:-1] & (g.kept[:-1] > 0))     # one block's each
                 of, low = g.of[mine], g.low[mine]
                 p = (g.kept[mine] - cfg.discount) / g.total[of]
-                at = np.unique(g.ctx[g.ctx >= 0])
+                at = contexts(g.ctx, len(g.total))
                 add(2 * d - 2, g.ctx_key[at],
                     *(np.bincount(of, x, len(g.total))[at] for x in (p * np.log(p / low), p, low)))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(
@@ -355,14 +390,12 @@ def _meet(corpus: DataFrame, table: DataFrame, run, schema: str) -> DataFrame:
             .cogroup(table.groupBy("block")).applyInArrow(run, schema))
 
 
-def grow(corpus: DataFrame, counts: DataFrame, parts: int, cfg: Settings, n: int, v: int
+def grow(corpus: DataFrame, tree: DataFrame, name: str, parts: int, cfg: Settings, n: int, v: int
          ) -> DataFrame:
     """The tree's table, level by level: contexts by count, then by divergence."""
-    tables = [counts]
     for d in range(1, cfg.levels + 2) if n else ():
-        tables.append(_answered(_step(corpus, reduce(DataFrame.unionByName, tables), d, parts,
-                                      cfg, n, v), f"tree-{d}", cfg))
-    return reduce(DataFrame.unionByName, tables)
+        tree = _answered(_step(corpus, tree, d, parts, cfg, n, v), name, parts, cfg)
+    return tree
 
 
 def score(corpus: DataFrame, tree: DataFrame, parts: int, cfg: Settings, n: int, v: int
@@ -406,6 +439,7 @@ def lm_scores(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // BLOCK_BYTES))
-    corpus = by_block(tokenise(docs), parts)
-    counts, n, v = corpus_counts(corpus, parts, cfg)
-    return score(corpus, grow(corpus, counts, parts, cfg, n, v), parts, cfg, n, v)
+    run = uuid.uuid4().hex[:12]
+    corpus = stored(tokenise(docs), f"tokens_{run}", parts)
+    counts, n, v = corpus_counts(corpus, f"tree_{run}", parts, cfg)
+    return score(corpus, grow(corpus, counts, f"tree_{run}", parts, cfg, n, v), parts, cfg, n, v)
