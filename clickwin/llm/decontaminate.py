@@ -13,6 +13,11 @@ alignment's value over that of the whole item, so edits, insertions and
 losses cost a little each.  A few common words are no copy of a short item: an
 alignment must also be worth ``LEAST_WORDS`` matching words or the whole item.
 Texts are read whole: every passage around a seed is aligned.
+Items of one or two words have no such seed.  With ``every_item`` they match
+a text that holds nothing else, and by their whole sequence where it stands
+verbatim, if that is more than chance: its information must reach that of one
+place of the corpus (log2 of its words), so neither "of the" nor a lone word
+marks a longer text.  Items without an id take part, too.
 
 The item list is broadcast while it stays below ``MAX_ITEM_BYTES`` of text
 (checked); a longer list is worked through in slices below that size.
@@ -67,6 +72,17 @@ class Items:
         self.item = (np.concatenate(item) if item else np.zeros(0, int))[order]
         self.off = (np.concatenate(off) if off else np.zeros(0, int))[order]
         self.good = np.ones(len(self.keys), bool)
+        self.short: dict[tuple, list[tuple]] = {}    # items matched by their whole sequence
+
+    def state(self) -> dict:
+        """Plain values to broadcast: workers need not know this class by name."""
+        return dict(self.__dict__)
+
+    @classmethod
+    def of(cls, state: dict) -> Items:
+        items = cls.__new__(cls)
+        items.__dict__.update(state)
+        return items
 
     def encode(self, words: list[str]) -> np.ndarray:
         get = self.number.get
@@ -74,7 +90,8 @@ class Items:
 
     @staticmethod
     def grams(seq: np.ndarray) -> np.ndarray:
-        """Exact keys of N word numbers (21 bits each); 0 where a word is unknown."""
+        """Keys of N word numbers (21 bits each); 0 where a word is unknown.  With
+        more words than that, grams may share a key; the alignment tells them apart."""
         parts = [seq[i:len(seq) - N + 1 + i] for i in range(N)]
         key = np.zeros(len(parts[0]), np.uint64)
         for p in parts:
@@ -82,7 +99,8 @@ class Items:
         key[reduce(np.logical_or, [p == 0 for p in parts])] = 0
         return key
 
-    def weigh(self, counts: np.ndarray, total: int, min_bits: float) -> None:
+    def weigh(self, counts: np.ndarray, total: int, min_bits: float,
+              every_item: bool = False) -> None:
         """Keep the seeds with enough information; an item without any keeps all."""
         bits = -np.log2((counts + 1) / (total + len(counts) + 1))
         value = np.zeros(len(self.keys))
@@ -92,10 +110,16 @@ class Items:
         some = np.zeros(len(self.ids), bool)
         some[self.item[self.good]] = True
         self.good |= ~some[self.item]
+        self.short = {}
+        for k, seq in enumerate(self.seqs if every_item else ()):
+            if 0 < len(seq) < N:
+                rare = bool(bits[seq].sum() >= np.log2(total + 1))
+                self.short.setdefault(tuple(seq.tolist()), []).append((k, rare))
 
     def passages(self, seq: np.ndarray) -> dict[int, list[list[int]]]:
         """Merged stretches of a text around the seeds of each item."""
         out: dict[int, list[list[int]]] = {}
+        self._verbatim(out, seq)
         if len(seq) < N or not len(self.keys):
             return out
         grams = self.grams(seq)
@@ -120,6 +144,17 @@ class Items:
                     self._around(out, k, diagonal, len(seq))
         return {k: merged(mine) for k, mine in out.items()}
 
+    def _verbatim(self, out: dict, seq: np.ndarray) -> None:
+        """Adds the places of short items."""
+        if not self.short:
+            return
+        first = np.unique([s[0] for s in self.short])
+        for at in np.flatnonzero(np.isin(seq, first)).tolist():
+            for n in range(1, min(N, len(seq) - at + 1)):
+                for k, rare in self.short.get(tuple(seq[at:at + n].tolist()), ()):
+                    if rare or n == len(seq):
+                        out.setdefault(k, []).append([at, at + n])
+
     def _slack(self, k: int) -> int:
         return len(self.seqs[k]) // 2 + N
 
@@ -153,26 +188,28 @@ def smith_waterman(text: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _slices(benchmark: DataFrame):
+def _slices(benchmark: DataFrame, every_item: bool):
     """The items in lists of at most MAX_ITEM_BYTES of text (one at least)."""
-    rows = benchmark.where("item_id is not null").select("item_id", "text")
+    rows = benchmark.select("item_id", "text")
+    if not every_item:
+        rows = rows.where("item_id is not null")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     number = max(1, -(-size // (MAX_ITEM_BYTES // 2)))
     for p in range(number):
-        part = rows if number == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(number)) == p)
+        part = rows if number == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(number)) == p)
         got = sorted({(r["item_id"], r["text"]) for r in part.collect()},
-                     key=lambda r: (r[0], r[1] or ""))
+                     key=lambda r: (r[0] is None, r[0] if r[0] is not None else 0, r[1] or ""))
         if got:
             yield Items(got)
 
 
 def word_counts(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     """Corpus counts of the items' words (number 0: all others), and all words."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = docs.sparkSession.sparkContext.broadcast(items.state())
     arrow = pa.schema([("word", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        items = shared.value
+        items = Items.of(shared.value)
         n = np.zeros(len(items.number) + 1, np.int64)
         for batch in batches:
             for text in batch.column("text").to_pylist():
@@ -189,13 +226,14 @@ def word_counts(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
-                 min_bits: float = MIN_BITS) -> DataFrame:
+                 min_bits: float = MIN_BITS, every_item: bool = False) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word`` of every pair whose
     best alignment reaches ``threshold``; the span is the aligned passage
     (words from 0).
 
-    A null or empty text or item, and items of fewer than N words, match
-    nothing.  Repeated documents give repeated rows, repeated items one.
+    A null or empty text or item matches nothing.  Items of fewer than N words
+    and items with a null id (given as null) match only with ``every_item``.
+    Repeated documents give repeated rows, repeated items one.
     Other columns are not read; empty tables give no rows.
     """
     spark = docs.sparkSession
@@ -206,8 +244,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(spark.createDataFrame([], schema).schema)
     found = [spark.createDataFrame([], schema)]
-    for items in _slices(benchmark):
-        items.weigh(*word_counts(docs, items), min_bits)
+    for items in _slices(benchmark, every_item):
+        items.weigh(*word_counts(docs, items), min_bits, every_item)
         found.append(_scan(docs, items, threshold, schema, arrow))
     return reduce(DataFrame.unionByName, found)
 
@@ -233,10 +271,10 @@ def leaks(items: Items, text: str | None, threshold: float):
 
 
 def _scan(docs, items, threshold, schema, arrow) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = docs.sparkSession.sparkContext.broadcast(items.state())
 
     def run(batches):
-        items = shared.value
+        items = Items.of(shared.value)
         for batch in batches:
             rows = [(doc, items.ids[k], *rest)
                     for doc, text in zip(batch.column("doc_id").to_pylist(),
@@ -248,24 +286,24 @@ def _scan(docs, items, threshold, schema, arrow) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
-                  min_bits: float = MIN_BITS) -> DataFrame:
+                  min_bits: float = MIN_BITS, every_item: bool = False) -> DataFrame:
     """``docs`` without the rows whose text holds a test item's passage.
 
     Rows are judged one by one where they are, so nothing is shuffled and rows
     with null or repeated ids are kept or dropped by their own text.
     """
     left = docs
-    for items in _slices(benchmark):
-        items.weigh(*word_counts(docs, items), min_bits)
+    for items in _slices(benchmark, every_item):
+        items.weigh(*word_counts(docs, items), min_bits, every_item)
         left = _without(left, items, threshold)
     return left
 
 
 def _without(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = docs.sparkSession.sparkContext.broadcast(items.state())
 
     def run(batches):
-        items = shared.value
+        items = Items.of(shared.value)
         for batch in batches:
             clean = [next(leaks(items, text, threshold), None) is None
                      for text in batch.column("text").to_pylist()]

@@ -200,7 +200,7 @@ def op8_lm_scoring(spark, sf_dir):
 def op2_decontamination(spark, sf_dir):
     from clickwin.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
-                        table(spark, sf_dir, "benchmark", "item_id", "text"))
+                        table(spark, sf_dir, "benchmark", "item_id", "text"), every_item=True)
 
 
 # -- 11 SimHash near-dedup -------------------------------------------------------------

@@ -1,0 +1,75 @@
+"""Operator 2: short items, items without an id, workers without the package."""
+
+import math
+import pickle
+import random
+
+from clickwin.llm import decontaminate as dc
+
+
+def test_short_items_and_items_without_an_id_are_found(spark):
+    rng = random.Random(5)
+    word = lambda: f"v{rng.randrange(50)}"
+    docs = [(i, " ".join(word() for _ in range(200))) for i in range(40)]
+    docs += [(100, "zyxwv qwert"), (101, docs[0][1] + " Zyxwv, QWERT " + docs[1][1]),
+             (102, "zyxwv then qwert"), (103, "one lone item stands here"),
+             (104, "hapaxword " + docs[2][1]), (105, None), (106, ""), (107, "Hapaxword!"),
+             (108, "v1 v2")]
+    items = [(1, "zyxwv qwert"), (None, "one lone item stands here"), (3, "v1 v2"), (4, "v3"),
+             (5, "hapaxword"), (6, ""), (None, None)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = dc.contaminated(d, b, every_item=True).collect()
+    want = {(100, 1, 0, 1), (101, 1, 200, 201), (103, None, 0, 4), (107, 5, 0, 0), (108, 3, 0, 1)}
+    assert {(r.doc_id, r.item_id, r.first_word, r.last_word) for r in got} == want
+    assert len(got) == 5 and all(r.score == 1 for r in got)
+    kept = {r.doc_id for r in dc.decontaminate(d, b, every_item=True).collect()}
+    assert kept == {i for i, _ in docs} - {100, 101, 103, 107, 108}
+    assert dc.contaminated(d, b).count() == 0           # the default leaves them out
+
+
+def test_all_pairs_by_brute_force(spark):
+    """Every (text, item) pair aligned in full, without seeds."""
+    rng = random.Random(9)
+    word = lambda: f"u{rng.randrange(900)}"
+    items = [(i, " ".join(word() for _ in range(rng.randrange(1, 30)))) for i in range(25)]
+    docs = []
+    for d in range(60):
+        body = [word() for _ in range(rng.randrange(0, 120))]
+        if d % 2:
+            passage = items[rng.randrange(25)][1].split()
+            if len(passage) > 11 and d % 4 == 1:
+                passage[rng.randrange(len(passage))] = word()
+            cut = rng.randrange(len(body) + 1)
+            body[cut:cut] = passage
+        docs.append((d, " ".join(body)))
+    every = dc.Items(items)
+    total = sum(len(t.split()) for _, t in docs)
+    count = lambda w: sum(t.split().count(w) for _, t in docs)
+    bits = lambda w: -math.log2((count(w) + 1) / (total + len(every.number) + 2))
+    want = set()
+    for d, t in docs:
+        seq = every.encode(dc.tokens(t))
+        for (i, text), item in zip(items, every.seqs):
+            full = dc.MATCH * len(item)
+            value = dc.smith_waterman(seq, item)[0]
+            need = max(dc.THRESHOLD * full, min(full, dc.MATCH * dc.LEAST_WORDS))
+            if len(item) < dc.N and len(seq) > len(item) and sum(
+                    map(bits, dc.tokens(text))) < math.log2(total + 1):
+                continue
+            if value >= need:
+                want.add((d, i))
+    got = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string"),
+                          every_item=True).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) > 25
+
+
+def test_broadcasts_need_no_package_on_the_workers(spark, monkeypatch):
+    sc, seen = spark.sparkContext, []
+    broadcast = sc.broadcast
+    monkeypatch.setattr(sc, "broadcast", lambda v: (seen.append(pickle.dumps(v)), broadcast(v))[1])
+    d = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    assert dc.contaminated(d, b).count() == 1 and dc.decontaminate(d, b).count() == 0
+    assert len(seen) >= 3 and not any(b"clickwin" in x for x in seen)
