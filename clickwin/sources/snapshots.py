@@ -28,12 +28,13 @@ that meets none is published as written, without a second copy.
 from __future__ import annotations
 
 import json
+import math
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -42,7 +43,9 @@ from clickwin.operators import upsert as up
 GRACE_SECONDS = 3600        # readers may hold a state that long after it was replaced
 MAX_SEGMENTS = 16           # of a partition; more are merged into one
 KEEP_MANIFESTS = 50
+TASK_BYTES = 16 << 20       # of files that one task merges (sorted rows take about 20 times that)
 PART = "__part"
+_NEW = "__new"
 
 
 class ConcurrentWrite(RuntimeError):
@@ -292,7 +295,8 @@ class Transaction:
         facts = [F.count(F.lit(1)).alias("n")]
         if not table.each:
             facts += _bounds(zone)
-        out = rows.withColumn(PART, _label_column(table.partition_by))
+        out = rows if PART in rows.columns else rows.withColumn(
+            PART, _label_column(table.partition_by))
         if not placed:
             # rows of a partition go together (split where large), not a file per task
             out = out.hint("rebalance", PART)
@@ -306,9 +310,10 @@ class Transaction:
             return [], 0
         got = seen.get
         if table.each and zone:
-            stored = self.spark.read.schema(StructType([*rows.schema.fields])).parquet(
+            stored = self.spark.read.schema(StructType(
+                [f for f in rows.schema.fields if f.name != PART])).parquet(
                 *[f"{self.store.root}/{name}/{d}" for d in dirs])
-            found = stored.groupBy(_folder()).agg(*_bounds(zone)).collect()  # a row a partition
+            found = folder_bounds(stored, zone).collect()       # a row a partition
             known = {r["folder"]: _zone(r, zone) for r in found}
         else:
             known = dict.fromkeys([f"{name}/{d}" for d in dirs], _zone(got, zone))
@@ -378,9 +383,14 @@ class Transaction:
             return n
         parts = {s.part for s in old}
         again = new if searched else [b for b in new if b.part in parts]
-        merged = up.merge_upsert(self.store.load(table.schema, old),
-                                 self.store.load(batch.schema, again), keys)
-        out, _ = self._write(table, merged.select(*table.schema.names))
+        stored, fresh = self.store.load(table.schema, old), self.store.load(batch.schema, again)
+        whole = not searched and set(batch.columns) == set(table.schema.names)
+        if whole:
+            merged = merged_in_ranges(stored, fresh, table.partition_by, keys,
+                                      math.ceil(sum(s.size for s in (*old, *again)) / TASK_BYTES))
+        else:
+            merged = up.merge_upsert(stored, fresh, keys).select(*table.schema.names)
+        out, _ = self._write(table, merged, placed=whole)
         self._change(name, table, old, [b for b in new if b not in again] + out, met)
         self._merge_small(name)
         return n
@@ -514,6 +524,32 @@ def _bounds(zone: Sequence[str]) -> list[Column]:
     return [F.min(values).alias("lo"), F.max(values).alias("hi"), F.count_if(lacks).alias("lacks")]
 
 
+def folder_bounds(stored: DataFrame, zone: Sequence[str]) -> DataFrame:
+    """The zone's bounds in every data folder.  The set of flags in place of a
+    count lets Spark aggregate by hash: by the bounds alone it sorts all rows."""
+    lo, hi, lacks = _bounds(zone)
+    absent = F.exists(F.array(*zone), lambda x: x.isNull())
+    return stored.groupBy(_folder()).agg(
+        lo, hi, F.array_contains(F.collect_set(absent), True).alias("lacks"))
+
+
+def merged_in_ranges(old: DataFrame, new: DataFrame, partition_by: Sequence[str],
+                     keys: Sequence[str], tasks: int) -> DataFrame:
+    """Rows of ``new`` and those of ``old`` whose (null-safe) keys are not in
+    the same partition of ``new``, with their partition's label.
+
+    One exchange, into ``tasks`` sorted ranges of partition and key: a range
+    is as large whatever the table's size, and what leaves it is in order for
+    the write.
+    """
+    rows = (old.withColumn(_NEW, F.lit(0)).unionByName(new.withColumn(_NEW, F.lit(1)))
+            .withColumn(PART, _label_column(partition_by)))
+    order = [PART, *keys]
+    latest = F.max(_NEW).over(Window.partitionBy(*order))
+    return (rows.repartitionByRange(max(1, tasks), *order).withColumn("__latest", latest)
+            .where(F.col(_NEW) == F.col("__latest")).drop(_NEW, "__latest"))
+
+
 def _zone(facts, zone: Sequence[str]) -> tuple:
     if not zone or facts["lo"] is None or facts["lacks"]:
         return None, None
