@@ -9,7 +9,9 @@ the store's manifest, so
   skips row groups inside them;
 * an upsert rewrites only the regions that its keys fall into, and leaves
   their files sorted;
-* a region that has grown beyond twice ``region_bytes`` is split by a sampled
+* a region holds about ``region_bytes`` of cells, so that the task which sorts
+  it needs the same memory however many cells there are: a load counts their
+  bytes first, and a region grown beyond twice that is split by a sampled
   range partitioning of its own rows.
 
 States are published by ``snapshots.Store``: readers never see half a write.
@@ -27,12 +29,14 @@ from pyspark.sql.types import StructType
 
 from clickwin.functions.timekeys import key_range
 from clickwin.operators import upsert as up
+from clickwin.sources.clicklog import ranges_of
 from clickwin.sources.snapshots import Segment, Store, Table, Transaction
 
 KEYS = ["rowkey", "family", "qualifier"]
 ZONE = ["rowkey", "qualifier"]
 REGION = "REGION"
-REGION_BYTES = 128 << 20
+REGION_BYTES = 64 << 20    # of cells as text
+PACKED = 8                  # bytes of text in a byte of a sorted file, about
 _TABLE = "cells"
 LAYOUT = Table(StructType(), (REGION,), tuple(ZONE), tuple(KEYS), True)
 
@@ -79,14 +83,14 @@ class CellStore:
         if self.regions():
             raise ValueError(f"{self.store.root} holds cells already: use upsert")
         rows = cells.select(*KEYS, "value")
+        regions = regions or ranges_of(rows, self.region_bytes)
         rows = rows if unique else up.dedupe_latest(rows, KEYS)
         return self.store.run(lambda tx: tx.append(
             _TABLE, self._split(rows, regions), LAYOUT, placed=True))
 
-    def _split(self, rows: DataFrame, regions: int | None) -> DataFrame:
+    def _split(self, rows: DataFrame, regions: int) -> DataFrame:
         """Rows by sampled ranges of their keys, one region a task."""
-        ranged = (rows.repartitionByRange(regions, *ZONE) if regions
-                  else rows.repartitionByRange(*ZONE))
+        ranged = rows.repartitionByRange(regions, *ZONE)
         name = F.concat(F.lit(uuid4().hex[:8]), F.lit("."), F.spark_partition_id().cast("string"))
         return ranged.withColumn(REGION, name)
 
@@ -105,9 +109,9 @@ class CellStore:
                 REGION, region_of([least[x] for x in order[1:]], order))
             n = tx.upsert(_TABLE, rows, KEYS, unique=unique, fixed=True)
             for s in tx.tables[_TABLE].segments:
-                if s.size > 2 * self.region_bytes:
+                if (size := s.size * PACKED) > 2 * self.region_bytes:
                     old = self.store.load(tx.tables[_TABLE].schema, [s]).drop(REGION)
-                    tx.replace(_TABLE, [s], self._split(old, ceil(s.size / self.region_bytes)),
+                    tx.replace(_TABLE, [s], self._split(old, ceil(size / self.region_bytes)),
                                placed=True)
             return n
 

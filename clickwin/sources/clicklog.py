@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from clickwin.functions.timekeys import MILLI_KEY
 
+RANGE_BYTES = 64 << 20     # of text that one task sorts
+
 CLICK_COLUMNS = ["ID", "TIME", "UDID", "PLATFORM", "PARAM_TYPE", "CONTENT_TYPE",
                  "URL", "TITLE", "CONTENT_LABEL"]
 CELL_QUALIFIERS = ["ID", "TIME", "UDID", "PLATFORM", "PARAM_TYPE", "CONTENT_TYPE",
@@ -133,19 +135,28 @@ def cells_from_clicklog(click: DataFrame, family: str = "info") -> DataFrame:
     return rows_to_cells(keyed, "rowkey", CELL_QUALIFIERS, family)
 
 
+def ranges_of(rows: DataFrame, each: int = RANGE_BYTES) -> int:
+    """How many ranges of about ``each`` bytes the rows make (one pass, no
+    exchange).  Without a number Spark makes as many ranges as the session has
+    shuffle partitions, or fewer: then a range, which one task sorts, grows
+    with the table."""
+    width = sum(F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+                for c in rows.columns)
+    size = rows.agg(F.sum(width)).first()[0]
+    return max(1, -(-(size or 0) // each))
+
+
 def write_sorted_cells(cells_df: DataFrame, path: str, num_partitions: int | None = None) -> None:
     """Store cells range-partitioned and sorted by row key.
 
     Sorted files make each Parquet row group cover a narrow key range, so a
     later ``[start, stop)`` row-key scan skips most row groups via min/max
     statistics (the cell store's key-range scan).  Without ``num_partitions``
-    AQE sizes the ranges by bytes (``advisoryPartitionSizeInBytes``).
+    their number follows from the bytes.
     """
     # qualifier breaks ties, so one very wide row spreads over several tasks
     ranges = ["rowkey", "qualifier"]
-    ranged = (cells_df.repartitionByRange(num_partitions, *ranges) if num_partitions
-              else cells_df.repartitionByRange(*ranges))
-    (ranged
+    (cells_df.repartitionByRange(num_partitions or ranges_of(cells_df), *ranges)
      .sortWithinPartitions("rowkey", "family", "qualifier")
      .write.mode("overwrite").parquet(path))
 
@@ -164,7 +175,7 @@ def write_clicklog(click: DataFrame, path: str, num_partitions: int | None = Non
     everything outside an hour window.  ``dynamic`` overwrite replaces only
     the days present in ``click``.
     """
-    n = num_partitions or int(click.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or ranges_of(click)
     # the tie-break column splits a burst of equal TIME values over tasks
     order = ["TIME"] + ([tie_break] if tie_break and tie_break in click.columns else [])
     (click.withColumn(DAY_PARTITION, F.substring("TIME", 1, 8))

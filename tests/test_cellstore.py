@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clickwin.sources.cellstore import CellStore, region_of
+from clickwin.operators import upsert as up
+from clickwin.sources import snapshots as sn
+from clickwin.sources.cellstore import KEYS, CellStore, region_of
 
 
 def cells_of(spark, n, value="v"):
@@ -96,3 +98,36 @@ def test_region_of_equals_search(spark, n):
     labels = [f"r{i}" for i in range(n + 1)]
     got = cells_of(spark, 100).select("rowkey", "qualifier", region_of(bounds, labels)).collect()
     assert all(r[2] == labels[bisect_right(bounds, (r[0], r[1]))] for r in got)
+
+
+def test_regions_follow_the_bytes_not_the_shuffle_partitions(spark, tmp_root):
+    # 1,600 cells of about 30 bytes; the session has 8 shuffle partitions
+    store = CellStore(spark, tmp_root, region_bytes=1000)
+    assert store.load(cells_of(spark, 800)) == 1600
+    assert len(store.regions()) > 16
+
+
+def test_merge_is_one_exchange_and_equals_the_anti_join(spark):
+    kind = "rowkey string, family string, qualifier string, value string, REGION string"
+    old = spark.createDataFrame(
+        [(f"k{i:03}", "info", "Q", f"old{i}", f"r{i // 50}") for i in range(100)]
+        + [(None, "info", "Q", "old", "r0"), (None, "info", None, "old", "r0"),
+           ("k099", "info", "Q", "again", "r1")], kind)            # a key stored twice stays so
+    new = spark.createDataFrame(
+        [(f"k{i:03}", "info", "Q", f"new{i}", f"r{i // 50}") for i in range(0, 120, 7)]
+        + [(None, "info", "Q", "new", "r0"), ("k000", "info", "Q", "twin", "r0")], kind)
+    got = sn.merged_in_ranges(old, new, ["REGION"], KEYS, 5)
+    plan = got.sortWithinPartitions(sn.PART, *KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    want = up.merge_upsert(old, new, KEYS)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_bounds_of_folders_need_no_sort(spark, tmp_root):
+    store = CellStore(spark, tmp_root)
+    store.load(cells_of(spark, 200), regions=4)
+    files = spark.read.parquet(*[f"{tmp_root}/{s.dir}" for s in store.regions()])
+    found = sn.folder_bounds(files, ["rowkey", "qualifier"])
+    assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.folder, tuple(r.lo), tuple(r.hi), r.lacks) for r in found.collect()} == {
+        (s.dir, s.lo, s.hi, False) for s in store.regions()}
