@@ -107,15 +107,23 @@ def dealt(key: np.ndarray, parts: int, kind: str | None = None
     return order, [(int(part[a]), slice(a, b)) for a, b in zip(stops, stops[1:])]
 
 
-def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct values, a place of each, and each place's number."""
-    order = np.argsort(x)
-    y = x[order]
+def distinct(x: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of every distinct value, by value, and each place's
+    number among them.  Values from 0 to ``most`` are sorted with their places
+    in one number where both fit, several times faster than places by value."""
+    bits = max(1, len(x).bit_length())
+    if most is not None and most.bit_length() + bits < 64:
+        y = np.sort((x << bits) | np.arange(len(x)))
+        order = y & ((1 << bits) - 1)
+        y >>= bits
+    else:
+        order = np.argsort(x)
+        y = x[order]
     new = np.ones(len(y), bool)
     new[1:] = y[1:] != y[:-1]
     which = np.empty(len(y), np.int64)
     which[order] = np.cumsum(new) - 1
-    return y[new], order[new], which
+    return np.minimum.reduceat(order, np.flatnonzero(new)) if len(y) else order, which
 
 
 def tokenise(docs: DataFrame) -> DataFrame:
@@ -210,9 +218,9 @@ def _answer(asked: pa.Table, arrow: pa.Schema, divergence: float) -> pa.Table:
         fresh = int((total > 0).sum())
         value = total.astype(np.int64)[same.indices.to_numpy()]
     else:
-        _, first, which = distinct(np.concatenate(
+        first, which = distinct(np.concatenate(
             [np.cumsum(unpacked(k, np.uint64), dtype=np.uint64) for k in keys]))
-        if kind % 2:
+        if kind % 2:            # the first block that has it sums a gram: sums lie in few blocks
             total = np.bincount(which, np.concatenate(a)).astype(np.int64)
             value = 2 * total[which]
             value[first] += 1
@@ -292,56 +300,69 @@ class Known:
 
 def contexts(ctx: np.ndarray, size: int) -> np.ndarray:
     """The distinct contexts that stand before tokens (-1: none)."""
-    seen = np.zeros(size, bool)
-    seen[ctx[ctx >= 0]] = True
-    return np.flatnonzero(seen)
+    seen = np.zeros(size + 1, bool)
+    seen[ctx] = True                # no context: the last
+    return np.flatnonzero(seen[:-1])
 
 
-def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int) -> SimpleNamespace:
+def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int,
+         asking: int = 0) -> SimpleNamespace:
     """A block's tokens with the contexts and grams of 1 ... ``depth`` words,
-    and each token's probability by the states known so far."""
+    and each token's probability by the states known so far.  ``asking`` is the
+    length of the contexts whose grams are asked for, the states asked for are
+    one word shorter: what only the questions need is left out elsewhere."""
     size, tokens = len(row["vocab"]), row["tokens"]
     lengths = np.diff(row["ends"], prepend=0)
     room = np.arange(len(tokens)) - np.repeat(row["ends"] - lengths, lengths)
-    learn = np.repeat(~np.asarray(row["held"], bool), lengths)
     hashes = word_hash(row["vocab"])
     c = known.values(0, hashes)
     p = ((c + ALPHA) / (n + ALPHA * (v + 1)))[tokens]
     out = SimpleNamespace(tokens=tokens, c=c, base=p, levels=[])
-    head = c >= cfg.least(1, n) if depth else None
+    at_token = c[tokens]
+    head = at_token >= cfg.least(1, n) if depth else None
+    twice = at_token >= 2
     # gram that ends at each token; counts and keys of the grams (of no gram: last)
     ids, total, key = tokens, c, hashes
     for d in range(1, depth + 1):
+        seen = at_token if d == 1 else total[ids]
+        good = room >= d
+        good[1:] &= (ids[:-1] >= 0) & (seen[:-1] >= cfg.least(d, n)) & head[:-1]
         ctx = np.full(len(tokens), -1, np.int64)
-        ctx[1:] = ids[:-1]
-        good = (room >= d) & (ctx >= 0) & (total[ctx] >= cfg.least(d, n))
-        good[1:] &= head[tokens[:-1]]
-        ctx[~good] = -1
+        ctx[1:] = np.where(good[1:], ids[:-1], -1)
         # what is seen twice has a last word seen twice, and so has its suffix
-        use = good & (c[tokens] >= 2)
+        use = good & twice
         if d > 1 and cfg.min_share is None and not cfg.min_next:
-            use &= total[ids] >= 2
-        code, first, which = distinct(ctx[use] * size + tokens[use])
+            use &= seen >= 2
+        use = np.flatnonzero(use)
+        before, last = ctx[use], tokens[use]
+        first, which = distinct(before * size + last, len(total) * size)
         gram = np.full(len(tokens), -1, np.int64)
         gram[use] = which
-        of = code // size
-        level = SimpleNamespace(
-            ctx=ctx, total=total, ctx_key=key, of=of, key=mixed(key[of], hashes[code % size]),
-            num=np.bincount(which[learn[use]], minlength=len(code)),
-            low=p[np.flatnonzero(use)[first]], kept=np.zeros(len(code) + 1, np.int64),
-            own=np.zeros(len(code) + 1, bool))
+        of = before[first]
+        level = SimpleNamespace(ctx=ctx, total=total, ctx_key=key, of=of,
+                                key=mixed(key[of], hashes[last[first]]),
+                                kept=np.zeros(len(of) + 1, np.int64), own=np.zeros(len(of), bool))
+        if d == asking:
+            learn = np.repeat(~np.asarray(row["held"], bool), lengths)
+            level.num = np.bincount(which[learn[use]], minlength=len(of))
+        if d == asking - 1:
+            level.low = p[use[first]]
         if 2 * d - 1 in known:
             value = known.values(2 * d - 1, level.key)
-            level.kept[:-1], level.own[:-1] = value >> 1, value & 1
-            level.kept[:-1][level.kept[:-1] < np.maximum(2, cfg.min_next * total[of])] = 0
+            level.kept[:-1] = value >> 1
+            if cfg.min_next:
+                level.kept[:-1][level.kept[:-1] < cfg.min_next * total[of]] = 0
+            level.own = (value & 1).astype(bool)
         if 2 * d in known:
-            back = np.zeros(len(total))
+            back = np.zeros(len(total) + 1)
             asked = contexts(ctx, len(total))
             back[asked] = known.values(2 * d, key[asked]).view(float)
-            state = np.flatnonzero((ctx >= 0) & (back[ctx] > 0))
-            k, s = level.kept[gram[state]], ctx[state]
+            weight = back[ctx]              # of no context: the last, 0
+            state = np.flatnonzero(weight > 0)
+            k = level.kept[gram[state]]
             p = p.copy()
-            p[state] = np.where(k > 0, (k - cfg.discount) / total[s], back[s] * p[state])
+            p[state] = np.where(k > 0, (k - cfg.discount) / total[ctx[state]],
+                                weight[state] * p[state])
         out.levels.append(level)
         ids, total, key = gram, level.kept, np.append(level.key, np.int64(0))
     out.p = p
@@ -357,7 +378,7 @@ def _step(corpus: DataFrame, table: DataFrame, d: int, parts: int, cfg: Settings
     def run(block: pa.Table, got: pa.Table) -> pa.Table:
         out = []
         for row in _rows(block):
-            levels = walk(row, Known(got, parts), min(d, cfg.levels), cfg, n, v).levels
+            levels = walk(row, Known(got, parts), min(d, cfg.levels), cfg, n, v, d).levels
 
             def add(kind, key, *sums):
                 order, stretches = dealt(key, parts)
@@ -372,7 +393,7 @@ def _step(corpus: DataFrame, table: DataFrame, d: int, parts: int, cfg: Settings
                 add(2 * d - 1, g.key, g.num.astype(np.int64))
             if d > 1:
                 g = levels[d - 2]
-                mine = np.flatnonzero(g.own[:-1] & (g.kept[:-1] > 0))     # one block's each
+                mine = np.flatnonzero(g.own & (g.kept[:-1] > 0))     # one block's each
                 of, low = g.of[mine], g.low[mine]
                 p = (g.kept[mine] - cfg.discount) / g.total[of]
                 at = contexts(g.ctx, len(g.total))

@@ -3,6 +3,8 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from clickwin.llm import suffix_tree as st
@@ -73,3 +75,24 @@ def test_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = compare(spark, [(r.doc_id, r.text) for r in docs.collect()], st.Settings())
     assert {len(c) for c in model.states} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("most", [None, 50, 1 << 62])
+def test_first_places_of_distinct_values(most):
+    x = np.random.default_rng(1).integers(0, 50, 5000)
+    first, which = st.distinct(x, most)
+    values, want, numbers = np.unique(x, return_index=True, return_inverse=True)
+    assert x[first].tolist() == values.tolist() and first.tolist() == want.tolist()
+    assert which.tolist() == numbers.tolist()
+    assert [len(y) for y in st.distinct(x[:0], most)] == [0, 0]
+
+
+def test_sums_over_a_context_come_from_the_first_blocks_that_have_its_grams(spark):
+    """Every block has the same grams: one block sums them all."""
+    arrow = st._arrow(spark, st.ASKED)
+    key = np.sort(np.random.default_rng(2).integers(0, 1 << 60, 500).astype(np.uint64))
+    asked = pa.Table.from_batches([st.batch_of(
+        arrow, [1], [0], [block], [st.packed(np.diff(key, prepend=np.uint64(0)))],
+        [st.packed(np.ones(500, np.int64))], [None], [None]) for block in (3, 1, 2)])
+    rows = st._answer(asked, st._arrow(spark, st.TABLE), 0.01).to_pylist()
+    assert {r["block"]: set(st.unpacked(r["body"]).tolist()) for r in rows} == {1: {7}, 2: {6}, 3: {6}}
