@@ -528,7 +528,9 @@ def folder_bounds(stored: DataFrame, zone: Sequence[str]) -> DataFrame:
     """The zone's bounds in every data folder.  The set of flags in place of a
     count lets Spark aggregate by hash: by the bounds alone it sorts all rows."""
     lo, hi, lacks = _bounds(zone)
-    absent = F.exists(F.array(*zone), lambda x: x.isNull())
+    absent = F.lit(False)
+    for c in zone:
+        absent = absent | F.col(c).isNull()
     return stored.groupBy(_folder()).agg(
         lo, hi, F.array_contains(F.collect_set(absent), True).alias("lacks"))
 
