@@ -10,15 +10,18 @@ its distribution differs from its suffix's by at least ``divergence`` nats
 (Kullback-Leibler).  A token is scored by the longest suffix of what stands
 before it that is a state.
 
-The corpus is tokenised once into blocks (one row each: vocabulary and token
-numbers) and stored in buckets by block, so that no later pass exchanges it.
+The corpus is tokenised once into blocks (one row each: token numbers and the
+parts of the words) and stored in buckets by block, so that no later pass
+exchanges it; the words themselves are dropped once counted.
 The tree grows with the corpus and is held as a table: counts of words, counts
 of grams (a context and its next word) and back-off weights of states, each
 for the blocks that need them.  A block asks for its own distinct words, grams
-and contexts: their keys are sorted, cut into parts by key and sent as one
-packed row per part.  The rows of a part are summed in one group and answered
-in the same order without the keys, so an answer costs a few bits where a gram
-is seen once.  There are as many parts as blocks: a group holds about as many
+and contexts: they are dealt to parts and sent as one packed row per part.
+Words and contexts that count are numbered by the answers, so a gram is asked
+for by two small numbers, not by a hash, and is told exactly.  The rows of a
+part are summed in one group and answered in the same order without the keys,
+so an answer costs a few bits where a gram is seen once; a back-off weight is
+only sent to blocks where a token needs it.  There are as many parts as blocks: a group holds about as many
 keys as a block, and of a frequent one as many as there are blocks.  Levels
 are built one by one: a context is only extended where its count, known from
 the level below, allows it.  Nothing of the tree reaches the driver.
@@ -64,8 +67,15 @@ class Settings:
         return self.depth if self.min_share is None else len(self.min_share)
 
     def least(self, length: int, n: int) -> float:
-        """Count of a candidate context of ``length`` words."""
-        return self.min_count if self.min_share is None else self.min_share[length - 1] * n
+        """Count of a candidate context of ``length`` words (what is seen once
+        has no next word seen twice)."""
+        return max(2, self.min_count if self.min_share is None else self.min_share[length - 1] * n)
+
+    def numbered(self, kind: int) -> float:
+        """Count from which grams of a kind may be contexts and get numbers."""
+        if kind >= 2 * self.levels - 1:
+            return np.inf
+        return max(2, self.min_count if self.min_share is None else 2)
 
 
 def held_out(id_col: str):
@@ -73,8 +83,10 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 10 == 0, F.lit(False))
 
 
-def word_hash(vocab: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, vocab), np.uint64, len(vocab)).view(np.int64)
+def word_parts(vocab, parts: int) -> np.ndarray:
+    """Parts of words by their hash."""
+    u = np.fromiter(map(xxhash.xxh64_intdigest, vocab), np.uint64, len(vocab))
+    return (((u >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
 def squeezed(data: bytes) -> bytes:
@@ -96,15 +108,11 @@ def unpacked(data: bytes, dtype=np.int64) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
 
-def dealt(key: np.ndarray, parts: int, kind: str | None = None
-          ) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-    """The order of the keys by value, and the stretch of every part in it."""
-    u = key.view(np.uint64)
-    order = np.argsort(u, kind=kind)
-    part = ((u[order] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
-    stops = [0, *cuts.tolist(), len(part)] if len(part) else [0]
-    return order, [(int(part[a]), slice(a, b)) for a, b in zip(stops, stops[1:])]
+def dealt(part: np.ndarray, parts: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The order by parts, equal ones as they stand, and the stretch of every part in it."""
+    order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.int64), kind="stable")
+    stops = np.cumsum(np.bincount(part)).tolist() if len(part) else []
+    return order, [(p, slice(a, b)) for p, (a, b) in enumerate(zip([0, *stops], stops)) if a < b]
 
 
 def distinct(x: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -126,16 +134,16 @@ def distinct(x: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.nda
     return np.minimum.reduceat(order, np.flatnonzero(new)) if len(y) else order, which
 
 
-def tokenise(docs: DataFrame) -> DataFrame:
-    """Blocks of documents: ``block, ids, held, ends, tokens, vocab, trained, n``.
+def tokenise(docs: DataFrame, parts: int) -> DataFrame:
+    """Blocks of documents: ``block, ids, held, ends, tokens, deal, vocab, trained, n``.
 
     ``tokens`` are numbers into ``vocab`` (number 0 is the end; its words are
-    joined by spaces), ``ends`` the documents' ends in ``tokens``, ``trained``
+    joined by spaces), ``deal`` each word's part, ``ends`` the documents' ends in ``tokens``, ``trained``
     each word's training count, ``n`` their sum.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"block bigint, ids array<{id_type}>, held array<boolean>, ends binary, "
-              "tokens binary, vocab binary, trained binary, n bigint")
+              "tokens binary, deal binary, vocab binary, trained binary, n bigint")
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(docs.sparkSession.createDataFrame([], schema).schema)
 
@@ -159,6 +167,7 @@ def tokenise(docs: DataFrame) -> DataFrame:
             yield batch_of(arrow, [(task << 32) + at], pa.array([part.column("doc_id").to_pylist()],
                                                              arrow.field("ids").type),
                            [held], [packed(ends.astype(np.int64))], [packed(np.concatenate(seqs))],
+                           [packed(word_parts(number, parts))],
                            [squeezed(b" ".join(number))], [packed(trained)], [int(trained.sum())])
             at += 1
 
@@ -183,19 +192,34 @@ def stored(table: DataFrame, name: str, parts: int) -> DataFrame:
     return spark.table(name)
 
 
-def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Keys of grams from the keys of their contexts and next words."""
-    x = context.view(np.uint64)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (x ^ (x >> np.uint64(32))).view(np.int64)
+def places(number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What has a number (not -1), in their order, and each one's place in it."""
+    by = np.flatnonzero(number >= 0)
+    by = by[np.argsort(number[by])]
+    place = np.full(len(number), -1, np.int64)
+    place[by] = np.arange(len(by))
+    return by, place
+
+
+def gram_parts(context: np.ndarray, word: np.ndarray, parts: int) -> np.ndarray:
+    """Parts of grams: a context's next words go to parts of their own, so part,
+    context and the word's number without its part tell the gram."""
+    x = (context.view(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    return (word + (x * np.uint64(parts) >> np.uint64(32)).astype(np.int64)) % parts
 
 
 # Kinds of rows of the tree's table: words are 0, grams of contexts of d words
 # 2 d - 1, states of d words 2 d.  ``body`` answers the keys that a block sent
 # to a part, in their order: counts; counts times two, plus one where the gram
-# is the block's to sum; back-off weights.  0 is "none", rows of none are left out.
-TABLE = "block bigint, kind int, part bigint, body binary, fresh bigint"
+# is the block's to sum; back-off weights, or 1 where the block only needs to
+# know that there is one, all next words being the state's.  0 is "none", rows of none are left out.
+# ``code`` numbers, within the part, the words seen twice (frequent ones first)
+# and the grams that may be contexts (in their order, as differences): a number
+# times the parts plus the part is the word's or gram's in the corpus.  Grams
+# are asked for by the numbers of their contexts (key) and words (b), states by
+# numbers times two, plus one where the weight is needed, with sums over their
+# grams: a, the counts of the states and of the grams in b, and e.
+TABLE = "block bigint, kind int, part bigint, body binary, fresh bigint, code binary"
 ASKED = "kind int, part bigint, block bigint, key binary, a binary, b binary, e binary"
 
 
@@ -204,38 +228,65 @@ def _arrow(spark, schema: str) -> pa.Schema:
     return to_arrow_schema(spark.createDataFrame([], schema).schema)
 
 
-def _answer(asked: pa.Table, arrow: pa.Schema, divergence: float) -> pa.Table:
-    """The rows of the table for all that was asked of one kind in one part."""
+def _answer(asked: pa.Table, arrow: pa.Schema, divergence: float, numbered: float = np.inf) -> pa.Table:
+    """The rows of the table for all that was asked of one kind in one part;
+    grams seen ``numbered`` times get numbers."""
     asked = asked.sort_by("block")
     kind, part = asked.column("kind")[0].as_py(), asked.column("part")[0].as_py()
     keys = asked.column("key").to_pylist()
     a, b, e = ([unpacked(x, np.int64 if kind == 0 or kind % 2 else float) for x in
                 asked.column(c).to_pylist() if x is not None] for c in "abe")
-    sizes, fresh = [len(x) for x in a], 0
+    sizes, fresh, code = [len(x) for x in a], 0, None
     if kind == 0:
         same = pa.array(b" ".join(map(expanded, keys)).split(b" "), pa.large_binary()).dictionary_encode()
-        total = np.bincount(same.indices.to_numpy(), np.concatenate(a))
+        which = same.indices.to_numpy()
+        total = np.bincount(which, np.concatenate(a)).astype(np.int64)
         fresh = int((total > 0).sum())
-        value = total.astype(np.int64)[same.indices.to_numpy()]
+        value = total[which]
+        rank = np.empty(len(total), np.int64)
+        rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
+        code = np.where(total < 2, -1, rank)[which]
     else:
-        first, which = distinct(np.concatenate(
-            [np.cumsum(unpacked(k, np.uint64), dtype=np.uint64) for k in keys]))
+        key = np.concatenate([np.cumsum(unpacked(k, np.uint64), dtype=np.uint64) for k in keys])
+        most = None
+        if kind and kind % 2 == 0:
+            key, wanted = key >> np.uint64(1), (key & np.uint64(1)).astype(bool)
+            most = int(key.max(initial=0))
+            key = key.astype(np.int64)
+        elif b:
+            word = np.concatenate(b)
+            radix = int(word.max(initial=0)) + 1
+            most = (int(key.max(initial=0)) + 1) * radix
+            if most >= 1 << 63:
+                key = distinct(key)[1]
+                most = (int(key.max()) + 1) * radix
+            key = key.astype(np.int64) * radix + word
+        first, which = distinct(key, most)
         if kind % 2:            # the first block that has it sums a gram: sums lie in few blocks
             total = np.bincount(which, np.concatenate(a)).astype(np.int64)
             value = 2 * total[which]
             value[first] += 1
             value[total[which] < 2] = 0
+            code = np.where(total < numbered, -1, np.cumsum(total >= numbered) - 1)[which]
         else:
-            a, b, e = (np.bincount(which, np.concatenate(x)) for x in (a, b, e))
+            seen, b = np.concatenate([x.reshape(2, -1) for x in b], axis=1)
+            a, b, e = (np.bincount(which, x) for x in (np.concatenate(a), b, np.concatenate(e)))
+            total = np.ones(len(b))
+            total[which[seen > 0]] = seen[seen > 0]
+            b /= total
             rest, room = 1.0 - b, np.maximum(1.0 - e, 1e-12)
             distance = a + rest * np.log(np.maximum(rest, 1e-300) / room)
             weight = np.where((b > 0) & (distance >= divergence), rest / room, 0.0)
-            value = weight.view(np.int64)[which]
+            value = np.where(wanted, weight.view(np.int64)[which], (weight > 0)[which])
     out, at = [], 0
     for block, size in zip(asked.column("block").to_pylist(), sizes):
-        mine, at = value[at:at + size], at + size
+        mine, numbers = value[at:at + size], None if code is None else code[at:at + size]
+        at += size
         if mine.any() or fresh:
-            out.append((block, kind, part, packed(mine), fresh))
+            if numbers is not None:
+                numbers = numbers[numbers >= 0]
+                numbers = packed(np.diff(numbers, prepend=0) if kind else numbers) if len(numbers) else None
+            out.append((block, kind, part, packed(mine), fresh, numbers))
             fresh = 0
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(
         zip(*out) if out else [[]] * len(arrow), arrow)], schema=arrow)
@@ -245,7 +296,8 @@ def _answered(asked: DataFrame, name: str, parts: int, cfg: Settings) -> DataFra
     """The table ``name`` with the answers added, one exchange to their blocks."""
     arrow, divergence = _arrow(asked.sparkSession, TABLE), cfg.divergence
     got = asked.groupBy("kind", "part").applyInArrow(
-        lambda table: _answer(table, arrow, divergence), TABLE)
+        lambda table: _answer(table, arrow, divergence,
+                              cfg.numbered(table.column("kind")[0].as_py())), TABLE)
     return stored(got.repartition(min(parts, BUCKETS), "block"), name, parts)
 
 
@@ -259,13 +311,13 @@ def corpus_counts(corpus: DataFrame, name: str, parts: int, cfg: Settings) -> tu
             for row in batch.to_pylist():
                 vocab = expanded(row["vocab"]).split(b" ")
                 trained = unpacked(row["trained"])
-                order, stretches = dealt(word_hash(vocab), parts, "stable")
+                order, stretches = dealt(unpacked(row["deal"]), parts)
                 for part, at in stretches:
                     yield batch_of(arrow, [0], [part], [row["block"]],
                                    [squeezed(b" ".join([vocab[i] for i in order[at]]))],
                                    [packed(trained[order[at]])], [None], [None])
 
-    counts = _answered(corpus.select("block", "vocab", "trained").mapInArrow(run, ASKED),
+    counts = _answered(corpus.select("block", "deal", "vocab", "trained").mapInArrow(run, ASKED),
                        name, parts, cfg)
     return counts, n, counts.agg(F.coalesce(F.sum("fresh"), F.lit(0))).first()[0]
 
@@ -273,8 +325,7 @@ def corpus_counts(corpus: DataFrame, name: str, parts: int, cfg: Settings) -> tu
 def _rows(table: pa.Table) -> Iterator[dict]:
     """The rows of a table of blocks, decoded."""
     for row in table.to_pylist():
-        yield row | {"vocab": expanded(row["vocab"]).split(b" "), "tokens": unpacked(row["tokens"]),
-                     "ends": unpacked(row["ends"])}
+        yield row | {c: unpacked(row[c]) for c in ("ends", "tokens", "deal")}
 
 
 class Known:
@@ -282,27 +333,51 @@ class Known:
 
     def __init__(self, table: pa.Table, parts: int):
         self.got, self.parts = defaultdict(dict), parts
-        for kind, part, body in zip(*(table.column(c).to_pylist() for c in ("kind", "part", "body"))):
-            self.got[kind][part] = body
+        for kind, part, *row in zip(*(table.column(c).to_pylist() for c in ("kind", "part", "body", "code"))):
+            self.got[kind][part] = row
 
     def __contains__(self, kind: int) -> bool:
         return kind in self.got
 
-    def values(self, kind: int, key: np.ndarray) -> np.ndarray:
-        """The answers of the keys; 0 where there is none."""
-        out, mine = np.zeros(len(key), np.int64), self.got[kind]
-        order, stretches = dealt(key, self.parts, None if kind else "stable")
+    def answers(self, kind: int, order: np.ndarray, stretches: list) -> Iterator[tuple]:
         for part, at in stretches:
-            if part in mine:
-                out[order[at]] = unpacked(mine[part])
+            if part in self.got[kind]:
+                body, code = self.got[kind][part]
+                yield part, order[at], unpacked(body), code
+
+    def words(self, deal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Training counts and numbers of words (-1: not seen twice)."""
+        out, number = np.zeros(len(deal), np.int64), np.full(len(deal), -1, np.int64)
+        for part, at, body, code in self.answers(0, *dealt(deal, self.parts)):
+            out[at] = body
+            if code:
+                number[at[body >= 2]] = unpacked(code) * self.parts + part
+        return out, number
+
+    def grams(self, kind: int, context: np.ndarray, word: np.ndarray, numbered: float
+              ) -> tuple[np.ndarray, np.ndarray]:
+        """The answers of grams and their numbers (-1: no contexts)."""
+        out, number = np.zeros(len(word), np.int64), np.full(len(word), -1, np.int64)
+        for part, at, body, code in self.answers(
+                kind, *dealt(gram_parts(context, word, self.parts), self.parts)):
+            out[at] = body
+            if code:
+                number[at[body >> 1 >= numbered]] = np.cumsum(unpacked(code)) * self.parts + part
+        return out, number
+
+    def states(self, kind: int, context: np.ndarray) -> np.ndarray:
+        """The back-off weights of contexts, in order of their numbers; 0 of no state."""
+        out = np.zeros(len(context))
+        for _, at, body, _ in self.answers(kind, *dealt(context % self.parts, self.parts)):
+            out[at] = body.view(float)
         return out
 
 
-def contexts(ctx: np.ndarray, size: int) -> np.ndarray:
-    """The distinct contexts that stand before tokens (-1: none)."""
-    seen = np.zeros(size + 1, bool)
+def contexts(ctx: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """The distinct contexts that stand before tokens (-1: none), in the order ``by``."""
+    seen = np.zeros(by.max(initial=-1) + 2, bool)
     seen[ctx] = True                # no context: the last
-    return np.flatnonzero(seen[:-1])
+    return by[seen[by]]
 
 
 def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int,
@@ -311,18 +386,20 @@ def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int,
     and each token's probability by the states known so far.  ``asking`` is the
     length of the contexts whose grams are asked for, the states asked for are
     one word shorter: what only the questions need is left out elsewhere."""
-    size, tokens = len(row["vocab"]), row["tokens"]
+    tokens = row["tokens"]
     lengths = np.diff(row["ends"], prepend=0)
     room = np.arange(len(tokens)) - np.repeat(row["ends"] - lengths, lengths)
-    hashes = word_hash(row["vocab"])
-    c = known.values(0, hashes)
-    p = ((c + ALPHA) / (n + ALPHA * (v + 1)))[tokens]
-    out = SimpleNamespace(tokens=tokens, c=c, base=p, levels=[])
+    c, number = known.words(row["deal"])
+    by, place = places(number)
+    words, last_at = len(by), place[tokens]
+    unigram = (c + ALPHA) / (n + ALPHA * (v + 1))
+    p = unigram[tokens]
+    out = SimpleNamespace(tokens=tokens, c=c, unigram=unigram, levels=[])
     at_token = c[tokens]
     head = at_token >= cfg.least(1, n) if depth else None
     twice = at_token >= 2
-    # gram that ends at each token; counts and keys of the grams (of no gram: last)
-    ids, total, key = tokens, c, hashes
+    # gram that ends at each token; counts and numbers of the grams (of no gram: last)
+    ids, total, key = tokens, c, number
     for d in range(1, depth + 1):
         seen = at_token if d == 1 else total[ids]
         good = room >= d
@@ -334,13 +411,14 @@ def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int,
         if d > 1 and cfg.min_share is None and not cfg.min_next:
             use &= seen >= 2
         use = np.flatnonzero(use)
-        before, last = ctx[use], tokens[use]
-        first, which = distinct(before * size + last, len(total) * size)
+        if d > 1:
+            by, place = places(key)
+        first, which = distinct(place[ctx[use]] * words + last_at[use], len(by) * words)
         gram = np.full(len(tokens), -1, np.int64)
-        gram[use] = which
-        of = before[first]
-        level = SimpleNamespace(ctx=ctx, total=total, ctx_key=key, of=of,
-                                key=mixed(key[of], hashes[last[first]]),
+        gram[use] = which               # of no gram: the last, not kept
+        of = ctx[use[first]]
+        level = SimpleNamespace(ctx=ctx, gram=gram, total=total, ctx_key=key, by=by, of=of, context=key[of],
+                                word=number[tokens[use[first]]], number=np.full(len(of), -1, np.int64),
                                 kept=np.zeros(len(of) + 1, np.int64), own=np.zeros(len(of), bool))
         if d == asking:
             learn = np.repeat(~np.asarray(row["held"], bool), lengths)
@@ -348,23 +426,23 @@ def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int,
         if d == asking - 1:
             level.low = p[use[first]]
         if 2 * d - 1 in known:
-            value = known.values(2 * d - 1, level.key)
+            value, level.number = known.grams(2 * d - 1, level.context, level.word,
+                                              cfg.numbered(2 * d - 1))
             level.kept[:-1] = value >> 1
             if cfg.min_next:
                 level.kept[:-1][level.kept[:-1] < cfg.min_next * total[of]] = 0
             level.own = (value & 1).astype(bool)
         if 2 * d in known:
             back = np.zeros(len(total) + 1)
-            asked = contexts(ctx, len(total))
-            back[asked] = known.values(2 * d, key[asked]).view(float)
+            asked = contexts(ctx, by)
+            back[asked] = known.states(2 * d, key[asked])
             weight = back[ctx]              # of no context: the last, 0
             state = np.flatnonzero(weight > 0)
             k = level.kept[gram[state]]
-            p = p.copy()
             p[state] = np.where(k > 0, (k - cfg.discount) / total[ctx[state]],
                                 weight[state] * p[state])
         out.levels.append(level)
-        ids, total, key = gram, level.kept, np.append(level.key, np.int64(0))
+        ids, total, key = gram, level.kept, np.append(level.number, -1)
     out.p = p
     return out
 
@@ -380,25 +458,29 @@ def _step(corpus: DataFrame, table: DataFrame, d: int, parts: int, cfg: Settings
         for row in _rows(block):
             levels = walk(row, Known(got, parts), min(d, cfg.levels), cfg, n, v, d).levels
 
-            def add(kind, key, *sums):
-                order, stretches = dealt(key, parts)
-                for part, at in stretches:
+            def add(kind, part, key, *sums):
+                order, stretches = dealt(part, parts)
+                for p, at in stretches:
                     mine = order[at]
-                    out.append((kind, part, row["block"],
-                                packed(np.diff(key[mine].view(np.uint64), prepend=np.uint64(0))),
-                                *(packed(x[mine]) for x in sums), *[None] * (3 - len(sums))))
+                    out.append((kind, p, row["block"], packed(np.diff(key[mine], prepend=0)),
+                                *(x if x is None else packed(x[..., mine]) for x in sums)))
 
             if d <= cfg.levels:
                 g = levels[d - 1]
-                add(2 * d - 1, g.key, g.num.astype(np.int64))
+                add(2 * d - 1, gram_parts(g.context, g.word, parts), g.context,
+                    g.num.astype(np.int64), g.word // parts, None)
             if d > 1:
                 g = levels[d - 2]
                 mine = np.flatnonzero(g.own & (g.kept[:-1] > 0))     # one block's each
                 of, low = g.of[mine], g.low[mine]
-                p = (g.kept[mine] - cfg.discount) / g.total[of]
-                at = contexts(g.ctx, len(g.total))
-                add(2 * d - 2, g.ctx_key[at],
-                    *(np.bincount(of, x, len(g.total))[at] for x in (p * np.log(p / low), p, low)))
+                kept = g.kept[mine] - cfg.discount
+                p = kept / g.total[of]
+                at = contexts(g.ctx, g.by)
+                key, back = g.ctx_key[at], np.zeros(len(g.total) + 1, bool)
+                back[g.ctx[g.kept[g.gram] == 0]] = True
+                part, key = key % parts, key // parts * 2 + back[at]
+                a, b, e = (np.bincount(of, x, len(g.total))[at] for x in (p * np.log(p / low), kept, low))
+                add(2 * d - 2, part, key, a, np.stack([np.where(b > 0, g.total[at], 0), b]), e)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(
             zip(*out) if out else [[]] * len(arrow), arrow)], schema=arrow)
 
@@ -407,7 +489,7 @@ def _step(corpus: DataFrame, table: DataFrame, d: int, parts: int, cfg: Settings
 
 def _meet(corpus: DataFrame, table: DataFrame, run, schema: str) -> DataFrame:
     """``run`` on every block with its rows of the table."""
-    return (corpus.select("block", "ids", "held", "ends", "tokens", "vocab").groupBy("block")
+    return (corpus.select("block", "ids", "held", "ends", "tokens", "deal").groupBy("block")
             .cogroup(table.groupBy("block")).applyInArrow(run, schema))
 
 
@@ -432,6 +514,7 @@ def score(corpus: DataFrame, tree: DataFrame, parts: int, cfg: Settings, n: int,
         for row in _rows(block):
             w = walk(row, Known(got, parts), cfg.levels if n else 0, cfg, n, v)
             ends, first = row["ends"], 0
+            base = np.log10(w.unigram)
             while first < len(ends):          # some documents at a time, one at least
                 from_ = ends[first - 1] if first else 0
                 last = max(first + 1, int(np.searchsorted(ends, from_ + SLICE, "right")))
@@ -439,7 +522,7 @@ def score(corpus: DataFrame, tree: DataFrame, parts: int, cfg: Settings, n: int,
                 stop = ends[first:last] - from_
                 start = np.concatenate([[0], stop[:-1]])
                 sums = [np.add.reduceat(x, start) for x in
-                        ((w.c[w.tokens[part]] > 0).astype(np.int64), np.log10(w.base[part]),
+                        ((w.c[w.tokens[part]] > 0).astype(np.int64), base[w.tokens[part]],
                          np.log10(w.p[part]))]
                 out.append(batch_of(arrow, row["ids"][first:last], row["held"][first:last],
                                     stop - start, sums[0], np.full(len(stop), n), *sums[1:]))
@@ -461,6 +544,9 @@ def lm_scores(docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // BLOCK_BYTES))
     run = uuid.uuid4().hex[:12]
-    corpus = stored(tokenise(docs), f"tokens_{run}", parts)
-    counts, n, v = corpus_counts(corpus, f"tree_{run}", parts, cfg)
+    spark, words = docs.sparkSession, f"words_{run}"
+    tokenise(docs, parts).write.saveAsTable(words)      # with the words, which only their counts need
+    corpus = stored(spark.table(words).drop("vocab", "trained", "n"), f"tokens_{run}", parts)
+    counts, n, v = corpus_counts(spark.table(words), f"tree_{run}", parts, cfg)
+    spark.sql(f"DROP TABLE {words}")
     return score(corpus, grow(corpus, counts, f"tree_{run}", parts, cfg, n, v), parts, cfg, n, v)

@@ -96,3 +96,43 @@ def test_sums_over_a_context_come_from_the_first_blocks_that_have_its_grams(spar
         [st.packed(np.ones(500, np.int64))], [None], [None]) for block in (3, 1, 2)])
     rows = st._answer(asked, st._arrow(spark, st.TABLE), 0.01).to_pylist()
     assert {r["block"]: set(st.unpacked(r["body"]).tolist()) for r in rows} == {1: {7}, 2: {6}, 3: {6}}
+
+
+def test_asked_grams_cost_few_bytes_and_words_are_dropped(spark, monkeypatch):
+    answered, cost = st._answered, {}
+
+    def spy(asked, *rest):
+        for r in asked.select("kind", "key", "a", "b").where("kind % 2 = 1").collect():
+            n, size = cost.get(r.kind, (0, 0))
+            cost[r.kind] = n + len(st.unpacked(r.a)), size + len(r.key) + len(r.b or b"")
+        return answered(asked, *rest)
+
+    monkeypatch.setattr(st, "_answered", spy)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    assert st.lm_scores(docs).count() == docs.count()
+    assert cost[1][0] > 100_000 and cost[1][1] < 4 * cost[1][0]     # a hash takes six
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("words_")]
+
+
+def test_grams_are_told_by_part_context_and_word():
+    word, context = (x.ravel() for x in np.meshgrid(np.arange(300), np.arange(40) * 7))
+    for parts in (1, 7, 64):
+        part = st.gram_parts(context, word, parts)
+        assert part.min() >= 0 and part.max() < parts
+        assert len(set(zip(part, context, word // parts))) == len(word)
+
+
+def test_weights_go_to_blocks_that_need_them(spark):
+    """Context 0 is a state, context 1 has no gram; block 1 only asks whether they are."""
+    arrow = st._arrow(spark, st.ASKED)
+    none, sums = np.zeros(2), np.array([[10.0, 0.0], [4.5, 0.0]])      # the count, its grams' less 0.5
+    asked = pa.Table.from_batches([st.batch_of(
+        arrow, [2], [0], [block], [st.packed(np.diff(key, prepend=0))],
+        [st.packed(np.array([0.4, 0.0]) if block == 1 else none)],
+        [st.packed(sums if block == 1 else np.zeros((2, 2)))],
+        [st.packed(np.array([0.1, 0.0]) if block == 1 else none)])
+        for block, key in ((1, np.array([0, 2])), (2, np.array([1, 3])))])
+    rows = {r["block"]: st.unpacked(r["body"]) for r in
+            st._answer(asked, st._arrow(spark, st.TABLE), 0.01).to_pylist()}
+    assert rows[1].tolist() == [1, 0]
+    assert rows[2].view(float).tolist() == pytest.approx([0.55 / 0.9, 0])
