@@ -21,10 +21,11 @@ Words and contexts that count are numbered by the answers, so a gram is asked
 for by two small numbers, not by a hash, and is told exactly.  The rows of a
 part are summed in one group and answered in the same order without the keys,
 so an answer costs a few bits where a gram is seen once; a back-off weight is
-only sent to blocks where a token needs it.  There are as many parts as blocks: a group holds about as many
-keys as a block, and of a frequent one as many as there are blocks.  Levels
-are built one by one: a context is only extended where its count, known from
-the level below, allows it.  Nothing of the tree reaches the driver.
+only sent to blocks where a token needs it.  There are as many parts as blocks:
+a group holds about as many keys as a block, and of a frequent one as many as
+there are blocks.  Levels are built one by one: a context is only extended
+where its count, known from the level below, allows it.  Nothing of the tree
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -120,7 +121,8 @@ def distinct(x: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.nda
     number among them.  Values from 0 to ``most`` are sorted with their places
     in one number where both fit, several times faster than places by value."""
     bits = max(1, len(x).bit_length())
-    if most is not None and most.bit_length() + bits < 64:
+    packs = most is not None and most.bit_length() + bits < 64
+    if packs:
         y = np.sort((x << bits) | np.arange(len(x)))
         order = y & ((1 << bits) - 1)
         y >>= bits
@@ -131,6 +133,8 @@ def distinct(x: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.nda
     new[1:] = y[1:] != y[:-1]
     which = np.empty(len(y), np.int64)
     which[order] = np.cumsum(new) - 1
+    if packs:               # equal values stand by place
+        return order[new], which
     return np.minimum.reduceat(order, np.flatnonzero(new)) if len(y) else order, which
 
 
@@ -398,10 +402,9 @@ def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int,
     at_token = c[tokens]
     head = at_token >= cfg.least(1, n) if depth else None
     twice = at_token >= 2
-    # gram that ends at each token; counts and numbers of the grams (of no gram: last)
-    ids, total, key = tokens, c, number
+    # gram that ends at each token, its count; counts and numbers of the grams (of no gram: last)
+    ids, seen, total, key = tokens, at_token, c, number
     for d in range(1, depth + 1):
-        seen = at_token if d == 1 else total[ids]
         good = room >= d
         good[1:] &= (ids[:-1] >= 0) & (seen[:-1] >= cfg.least(d, n)) & head[:-1]
         ctx = np.full(len(tokens), -1, np.int64)
@@ -438,11 +441,15 @@ def walk(row: dict, known: Known, depth: int, cfg: Settings, n: int, v: int,
             back[asked] = known.states(2 * d, key[asked])
             weight = back[ctx]              # of no context: the last, 0
             state = np.flatnonzero(weight > 0)
-            k = level.kept[gram[state]]
-            p[state] = np.where(k > 0, (k - cfg.discount) / total[ctx[state]],
+            after = level.kept[gram]
+            k = after[state]
+            p[state] = np.where(k > 0, (k - cfg.discount) / seen[state - 1],   # of the context
                                 weight[state] * p[state])
+        elif d < depth:
+            after = level.kept[gram]
         out.levels.append(level)
-        ids, total, key = gram, level.kept, np.append(level.number, -1)
+        if d < depth:
+            ids, seen, total, key = gram, after, level.kept, np.append(level.number, -1)
     out.p = p
     return out
 
